@@ -94,3 +94,198 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ---- identity, validation, routing, statistics (H1-H3, I1-I3, D7-D9) ---------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from yardstick.functions import columns as C  # noqa: E402
+from yardstick.operators import quality as QC  # noqa: E402
+from yardstick.operators import routing as R  # noqa: E402
+from yardstick.operators.upsert import upsert  # noqa: E402
+from yardstick.params import DRIVER_PRIORITIES, TOPIC_PREFIX, TOPIC_VALIDATED  # noqa: E402
+from yardstick.sources import panel as src  # noqa: E402
+
+_P = DRIVER
+
+
+def _validated(spark, sf_dir):
+    return R.validate(src.stream_messages(spark, sf_dir), _P)
+
+
+@register("validate_messages", O.with_ctes(
+    "SELECT record_id, country_code, indicator_code, year, failure_reason, valid FROM validated"))
+def q_validate(spark, sf_dir):
+    return _validated(spark, sf_dir).select("record_id", "country_code", "indicator_code", "year",
+                                            "failure_reason", "valid")
+
+
+@register("dead_letter", O.with_ctes(
+    "SELECT record_id, country_code, year, value, failure_reason FROM validated WHERE NOT valid"))
+def q_dead_letter(spark, sf_dir):
+    _, dead = R.split_valid(_validated(spark, sf_dir))
+    return dead.select("record_id", "country_code", "year", "value", "failure_reason")
+
+
+_FAN_OUT_SQL = f"""
+, routed AS (
+  SELECT '{R.TOPIC_ALL}' AS topic, country_code AS key, record_id, valid, CAST(NULL AS VARCHAR) AS payload_reason
+    FROM validated WHERE valid
+  UNION ALL SELECT '{R.TOPIC_WORLD_BANK}', country_code, record_id, valid, NULL FROM validated WHERE valid
+  UNION ALL SELECT '{R.TOPIC_AFRICA}', country_code, record_id, valid, NULL FROM validated
+    WHERE valid AND country_code IN (SELECT country_code FROM member_codes)
+  UNION ALL SELECT '{R.TOPIC_VALIDATED}', country_code, record_id, valid, NULL FROM validated WHERE valid
+  UNION ALL SELECT '{R.TOPIC_FAILED}', country_code, record_id, valid, failure_reason FROM validated WHERE NOT valid)
+"""
+
+
+def _fan_out_oracle(final: str) -> str:
+    base = O.with_ctes("SELECT 1")
+    return base[: base.rindex("\nSELECT 1")] + _FAN_OUT_SQL + final
+
+
+def _routed(spark, sf_dir):
+    members = src.members(spark, sf_dir, _P)
+    return R.fan_out(_validated(spark, sf_dir), members, _P)
+
+
+@register("fan_out", _fan_out_oracle(
+    "SELECT topic, key, record_id, valid, record_id AS payload_record_id, payload_reason FROM routed"))
+def q_fan_out(spark, sf_dir):
+    r = _routed(spark, sf_dir)
+    return r.select("topic", "key", "record_id", "valid",
+                    F.get_json_object("value", "$.record_id").alias("payload_record_id"),
+                    F.get_json_object("value", "$.failure_reason").alias("payload_reason"))
+
+
+@register("publish_stats", _fan_out_oracle("""
+SELECT count(*) FILTER (WHERE valid AND topic = '""" + R.TOPIC_VALIDATED + """') AS records_published,
+       count(*) FILTER (WHERE NOT valid) AS records_failed,
+       coalesce(string_agg(DISTINCT CASE WHEN valid THEN topic END, ',' ORDER BY CASE WHEN valid THEN topic END),
+                '') AS topics_written
+FROM routed"""))
+def q_publish_stats(spark, sf_dir):
+    return R.publish_stats(_routed(spark, sf_dir))
+
+
+@register("failures_by_reason", O.with_ctes(
+    "SELECT failure_reason, count(*) AS records FROM validated WHERE NOT valid GROUP BY failure_reason"))
+def q_failures(spark, sf_dir):
+    return R.failures_by_reason(_validated(spark, sf_dir))
+
+
+@register("topic_counts", _fan_out_oracle("SELECT topic, count(*) AS record_count FROM routed GROUP BY topic"))
+def q_topic_counts(spark, sf_dir):
+    return R.topic_counts(_routed(spark, sf_dir))
+
+
+@register("raw_stream_upsert", O.with_ctes("SELECT * FROM raw_stream"))
+def q_raw_stream(spark, sf_dir):
+    return _panel(spark, sf_dir).raw_stream
+
+
+LI_KEYS = ["l_orderkey", "l_linenumber"]
+LI_UPDATE = ["l_quantity", "l_extendedprice"]
+LI_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus"]
+LI_SPLIT = "1996-01-01"
+_li_asc = ", ".join(f"{c} ASC NULLS FIRST" for c in LI_ORDER)
+_li_desc = ", ".join(f"{c} DESC NULLS LAST" for c in LI_ORDER)
+
+
+@register("upsert_two_loads", f"""
+WITH li AS (SELECT *, CASE WHEN l_shipdate < TIMESTAMP '{LI_SPLIT}' THEN 0 ELSE 1 END AS epoch FROM lineitem),
+f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY epoch, {_li_asc}) AS rn FROM li),
+l AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+             row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY epoch DESC, {_li_desc}) AS rn FROM li)
+SELECT f.l_orderkey, f.l_partkey, f.l_suppkey, f.l_linenumber, l.l_quantity, l.l_extendedprice, f.l_discount,
+       f.l_tax, f.l_returnflag, f.l_linestatus, f.l_shipdate
+FROM f JOIN l ON f.l_orderkey = l.l_orderkey AND f.l_linenumber = l.l_linenumber AND l.rn = 1
+WHERE f.rn = 1""")
+def q_upsert_two_loads(spark, sf_dir):
+    """H1: a first load, then a second load upserted into it (partial-column update)."""
+    li = src.read_table(spark, sf_dir, "lineitem")
+    early = F.col("l_shipdate") < F.lit(LI_SPLIT).cast("timestamp_ntz")
+    load1 = li.filter(early).withColumns({f"__ord_{c}": F.col(c) for c in LI_ORDER})
+    load2 = li.filter(~early).withColumns({f"__ord_{c}": F.col(c) for c in LI_ORDER})
+    order = [f"__ord_{c}" for c in LI_ORDER]
+    current = upsert(None, load1, LI_KEYS, LI_UPDATE, order)
+    return upsert(current, load2, LI_KEYS, LI_UPDATE, order)
+
+
+@register("record_ids", O.with_ctes(
+    "SELECT DISTINCT record_id, country_code, indicator_code, year FROM messages"))
+def q_record_ids(spark, sf_dir):
+    """H3: deterministic id per (entity, metric, period)."""
+    m = src.stream_messages(spark, sf_dir)
+    return m.select(C.record_id("country_code", "indicator_code", "year").alias("record_id"),
+                    "country_code", "indicator_code", "year").distinct()
+
+
+@register("extraction_by_goal", O.with_ctes(
+    "SELECT goal, count(*) AS records FROM raw_batch WHERE value IS NOT NULL GROUP BY goal"))
+def q_extraction_by_goal(spark, sf_dir):
+    """Records extracted per goal."""
+    return _panel(spark, sf_dir).raw_batch.filter(F.col("value").isNotNull()) \
+        .groupBy("goal").agg(F.count(F.lit(1)).alias("records"))
+
+
+_DICT_SQL = ", ".join(f"('{c}', {int(c[0])})" for c in DRIVER_PRIORITIES)
+
+
+@register("indicators_without_data", O.with_ctes(
+    f"SELECT d.indicator_code, d.goal FROM (VALUES {_DICT_SQL}) AS d(indicator_code, goal) "
+    "WHERE NOT EXISTS (SELECT 1 FROM raw_batch b WHERE b.indicator_code = d.indicator_code "
+    "AND b.value IS NOT NULL)"))
+def q_indicators_without_data(spark, sf_dir):
+    """Dictionary entries with no observation (dictionary ▷ observations)."""
+    from yardstick.operators.dims import literal_dimension
+    d = literal_dimension(spark, [(c, int(c[0])) for c in DRIVER_PRIORITIES], "indicator_code string, goal int")
+    seen = _panel(spark, sf_dir).raw_batch.filter(F.col("value").isNotNull()).select("indicator_code")
+    return d.join(seen, "indicator_code", "left_anti")
+
+
+# ---- data quality (I4-I11) -----------------------------------------------------------
+
+_AS_OF = _P.extra["as_of"]
+
+
+@register("gate_report", O.with_ctes(f"""
+SELECT 'min_rows' AS check_name, count(*) AS observed, count(*) >= {_P.gate_min_rows} AS passed FROM raw_batch
+UNION ALL SELECT 'no_null_codes', count(*) FILTER (WHERE country_code IS NULL OR country_code = ''),
+                 count(*) FILTER (WHERE country_code IS NULL OR country_code = '') = 0 FROM raw_batch
+UNION ALL SELECT 'year_range', count(*) FILTER (WHERE year < {_P.min_year} OR year > {_P.max_year}),
+                 count(*) FILTER (WHERE year < {_P.min_year} OR year > {_P.max_year}) = 0 FROM raw_batch
+UNION ALL SELECT 'no_unexpected_negatives',
+                 count(*) FILTER (WHERE value < 0 AND indicator_code NOT IN {O.in_list(_P.exempt_metrics)}),
+                 count(*) FILTER (WHERE value < 0 AND indicator_code NOT IN {O.in_list(_P.exempt_metrics)}) = 0
+                 FROM raw_batch
+UNION ALL SELECT 'recent_stream_rows', count(*) FILTER (WHERE r > TIMESTAMPTZ '{_AS_OF}+00' - INTERVAL {_P.gate_recent_days} DAY),
+                 count(*) FILTER (WHERE r > TIMESTAMPTZ '{_AS_OF}+00' - INTERVAL {_P.gate_recent_days} DAY) > 0
+                 FROM (SELECT TRY_CAST(regexp_replace(extracted_at, '([+-]\\d\\d:\\d\\d)Z$', '\\1') AS TIMESTAMPTZ) AS r
+                       FROM raw_stream)"""))
+def q_gate_report(spark, sf_dir):
+    pn = _panel(spark, sf_dir)
+    return QC.gate_report(pn.raw_batch, pn.raw_stream, _P, _AS_OF)
+
+
+def _column_tests_sql() -> str:
+    parts = []
+    alias = {"fct_progress": "combined", "dim_goals": "stg_goals"}
+    for model, nn, uq in QC.COLUMN_TESTS:
+        rel = alias.get(model, model)
+        for c in nn:
+            parts.append(f"SELECT '{model}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS failures FROM {rel}")
+        for c in uq:
+            parts.append(f"SELECT '{model}', '{c}', 'unique', count(*) FROM (SELECT {c} FROM {rel} "
+                         f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+    return O.with_ctes("\nUNION ALL ".join(parts))
+
+
+@register("column_tests", _column_tests_sql())
+def q_column_tests(spark, sf_dir):
+    pn = _panel(spark, sf_dir)
+    models = {m: getattr(pn, m) for m, _, _ in QC.COLUMN_TESTS}
+    return QC.column_tests(models)
