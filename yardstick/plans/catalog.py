@@ -289,3 +289,108 @@ def q_column_tests(spark, sf_dir):
     pn = _panel(spark, sf_dir)
     models = {m: getattr(pn, m) for m, _, _ in QC.COLUMN_TESTS}
     return QC.column_tests(models)
+
+
+# ---- files: landed replies, observation files, landing area, lake envelopes (A1-A4, A7, A8) ----
+
+from yardstick.operators.dims import literal_dimension  # noqa: E402
+from yardstick.sources import files as FS  # noqa: E402
+from yardstick.session import scratch_path  # noqa: E402
+
+
+def _driver_dictionary(spark):
+    """Indicator dictionary of the driver mapping (A15): code, goal, name."""
+    return literal_dimension(spark, [(c, int(c[0]), c) for c in DRIVER_PRIORITIES],
+                             "indicator_code string, goal int, indicator_name string")
+
+
+def _api_rows(spark, sf_dir):
+    """API-shaped rows from events; 'error' events carry no measurement (JSON null value)."""
+    e = src.read_table(spark, sf_dir, "events")
+    year = (F.lit(1996) + F.pmod(F.col("event_id"), F.lit(7))).cast("string")
+    api_row = F.struct(
+        src.entity_code("user_id").alias("countryiso3code"),
+        F.struct(F.col("user_id").cast("string").alias("id"), src.entity_name("user_id").alias("value"))
+        .alias("country"),
+        year.alias("date"),
+        F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
+        F.lit(None).cast("string").alias("unit"),
+        F.lit("").alias("obs_status"),
+    )
+    return e.select(src.event_metric().alias("indicator_code"), F.col("event_id"), api_row.alias("api_row"))
+
+
+_API_OBS_SQL = O.with_ctes(f"""
+SELECT CAST(substr(m, 1, 1) AS INTEGER) AS goal, m AS indicator_code, m AS indicator_name,
+       {O.code('user_id')} AS country_code, {O.name('user_id')} AS country_name, CAST(user_id AS VARCHAR) AS country_id,
+       CAST(1996 + event_id % 7 AS INTEGER) AS year, value, CAST(NULL AS VARCHAR) AS unit, '' AS obs_status,
+       'World Bank Open Data' AS source, '{_AS_OF}' AS extracted_at
+FROM (SELECT *, {O.event_metric()} AS m FROM events) WHERE event_type <> 'error'""")
+
+
+@register("api_normalise", _API_OBS_SQL)
+def q_api_normalise(spark, sf_dir):
+    """A1: API replies (pages of <= 1000 rows) landed as text, read back and normalised."""
+    path = scratch_path(spark, "api")
+    rows = _api_rows(spark, sf_dir)
+    pages = FS.api_reply_pages(rows, F.floor(F.col("event_id") / 1000).cast("long"))
+    pages.write.mode("overwrite").json(path)
+    raw = spark.read.schema("indicator_code string, reply string").json(path)
+    return FS.normalise_api_pages(raw, _driver_dictionary(spark), _AS_OF)
+
+
+def _observations(spark, sf_dir):
+    m = src.stream_messages(spark, sf_dir)
+    return m.select(*[F.col(c).cast("double").alias(c) if c == "value" else F.col(c) for c in FS.OBS_COLS])
+
+
+_OBS_SQL = ", ".join(["goal", "indicator_code", "indicator_name", "country_code", "country_name", "country_id",
+                      "year", "CAST(value AS DOUBLE) AS value", "unit", "obs_status", "source", "extracted_at"])
+
+
+@register("observation_files", O.with_ctes(
+    f"SELECT {_OBS_SQL}, replace(indicator_code, '.', '_') AS indicator_slug FROM messages"))
+def q_observation_files(spark, sf_dir):
+    """A2/A3: per-indicator tree + combined file written and read back (tree returned)."""
+    path = scratch_path(spark, "obs")
+    FS.write_observations(_observations(spark, sf_dir), path)
+    return FS.read_indicator_tree(spark, path)
+
+
+@register("observation_files_combined", O.with_ctes(f"SELECT {_OBS_SQL} FROM messages"))
+def q_observation_files_combined(spark, sf_dir):
+    path = scratch_path(spark, "obsc")
+    FS.write_observations(_observations(spark, sf_dir), path)
+    return FS.read_observations(spark, f"{path}/combined")
+
+
+LANDING_DAYS = ("2024-01-30 23:00:00", "2024-01-31 06:00:00")
+
+
+@register("landing_day", O.with_ctes(f"SELECT {_OBS_SQL}, '2024' AS y, '01' AS m, '31' AS d FROM messages"))
+def q_landing_day(spark, sf_dir):
+    """A4: two landings on different days; one day read back with partition pruning."""
+    base = scratch_path(spark, "landing")
+    obs = _observations(spark, sf_dir)
+    for ts in LANDING_DAYS:
+        FS.write_landing(obs, base, ts)
+    return FS.read_landing(spark, base, "2024/01/31")
+
+
+@register("lake_validated_records", O.with_ctes(
+    "SELECT record_id, country_code, indicator_code, year, CAST(value AS DOUBLE) AS value, published_at, "
+    f"'{TOPIC_VALIDATED}' AS topic FROM validated WHERE valid"))
+def q_lake_validated(spark, sf_dir):
+    """A7 then A8: envelopes per topic written to the lake, validated prefix read back and exploded."""
+    path = scratch_path(spark, "lake")
+    FS.write_batches(_routed(spark, sf_dir), path, _AS_OF, _P)
+    got = FS.read_batches(spark, path, TOPIC_VALIDATED)
+    return got.select("record_id", "country_code", "indicator_code", "year", "value", "published_at", "topic")
+
+
+@register("lake_topic_records", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+def q_lake_topics(spark, sf_dir):
+    """D9 over the lake: records per topic as read back from the envelopes."""
+    path = scratch_path(spark, "lake")
+    FS.write_batches(_routed(spark, sf_dir), path, _AS_OF, _P)
+    return FS.read_batches(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))

@@ -53,7 +53,13 @@ BATCH_METADATA = _s(
     ("written_at", StringType()),
     ("s3_key", StringType()),
 )
-ENVELOPE = _s(("batch_metadata", BATCH_METADATA), ("records", ArrayType(MESSAGE)))
+# records carry dead-letter messages' failure_reason too (NULL for valid messages)
+ENVELOPE = _s(("batch_metadata", BATCH_METADATA), ("records", ArrayType(DEAD_LETTER)))
+
+
+def extend(schema: StructType, *fields) -> StructType:
+    """A copy of ``schema`` with extra nullable (name, type) fields (StructType.add mutates)."""
+    return StructType(list(schema.fields) + [StructField(n, t, True) for n, t in fields])
 
 # API reply element: {countryiso3code, country{id,value}, date, value, unit, obs_status}.
 API_ROW = _s(
