@@ -61,7 +61,8 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.filter("valid").drop("failure_reason"), validated.filter("not valid")
 
 
-def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_FIELDS) -> DataFrame:
+def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_FIELDS,
+            carry: tuple = ()) -> DataFrame:
     """One output row per (record, topic) with key = country code and a JSON value.
 
     Valid records go to the all, source and validated topics plus the member
@@ -84,6 +85,7 @@ def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_
         F.when(F.col("valid"), good).otherwise(bad).alias("value"),
         "record_id",
         "valid",
+        *carry,
     )
 
 

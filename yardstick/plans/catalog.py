@@ -394,3 +394,76 @@ def q_lake_topics(spark, sf_dir):
     path = scratch_path(spark, "lake")
     FS.write_batches(_routed(spark, sf_dir), path, _AS_OF, _P)
     return FS.read_batches(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+
+
+# ---- streaming (J1-J9) over file streams, availableNow -----------------------------------------
+
+from yardstick.streaming import stream as ST  # noqa: E402
+from yardstick.params import TOPIC_ALL  # noqa: E402
+
+STREAM_FILES = 4
+
+
+def _write_arrivals(df: DataFrame, path: str, files: int = STREAM_FILES) -> None:
+    """Land transport rows as ``files`` arrivals in offset order (one write per arrival)."""
+    lo_hi = df.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()[0]  # one row
+    lo, hi = lo_hi["lo"], lo_hi["hi"]
+    if lo is None:
+        return
+    step = (hi - lo) // files + 1
+    for k in range(files):
+        part = df.filter((F.col("offset") >= lo + k * step) & (F.col("offset") < lo + (k + 1) * step))
+        part.write.mode("append").json(f"{path}/arrival={k:05d}")
+
+
+def _stream_dirs(spark, name):
+    base = scratch_path(spark, name)
+    return f"{base}/in", f"{base}/ckpt", f"{base}/out"
+
+
+_STREAM_UPSERT_SQL = O.with_ctes("""
+SELECT f.record_id, f.goal, f.indicator_code, f.indicator_name, f.country_code, f.country_name, f.year,
+       l.value, f.unit, f.obs_status, f.source, l.extracted_at, f.published_at
+FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY arrival_seq) AS rn FROM validated WHERE valid) f
+JOIN (SELECT record_id, value, extracted_at,
+             row_number() OVER (PARTITION BY record_id ORDER BY arrival_seq DESC) AS rn
+      FROM validated WHERE valid) l ON f.record_id = l.record_id AND l.rn = 1
+WHERE f.rn = 1""")
+
+
+@register("stream_upsert", _STREAM_UPSERT_SQL)
+def q_stream_upsert(spark, sf_dir):
+    """Routed messages land as several arrivals; a checkpointed availableNow
+    stream subscribes to all topics, decodes, logs the validated topic per micro-batch,
+    and the upserted table is read over the log."""
+    src_dir, ckpt, log = _stream_dirs(spark, "stream-upsert")
+    members = src.members(spark, sf_dir, _P)
+    routed = R.fan_out(_validated(spark, sf_dir), members, _P, carry=("arrival_seq",))
+    transport = routed.select("topic", "key", "value", F.lit(0).alias("partition"),
+                              F.col("arrival_seq").cast("long").alias("offset"))
+    _write_arrivals(transport, src_dir)
+    topics = [TOPIC_ALL, R.TOPIC_WORLD_BANK, R.TOPIC_AFRICA, TOPIC_VALIDATED, R.TOPIC_FAILED]
+    decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir + "/*",
+                                                       "maxFilesPerTrigger": 1}))
+    q = decoded.writeStream.option("checkpointLocation", ckpt).foreachBatch(ST.log_batches(log)) \
+        .trigger(availableNow=True).start()
+    ST.run_once(q)
+    return ST.current_table(spark, log).drop("batch_file")
+
+
+@register("stream_route", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+def q_stream_route(spark, sf_dir):
+    """Raw messages streamed through validation and fan-out into a topic-partitioned
+    sink (exactly-once file sink), read back per topic."""
+    src_dir, ckpt, out = _stream_dirs(spark, "stream-route")
+    msgs = src.stream_messages(spark, sf_dir)
+    payload = [c for c in R.MESSAGE_FIELDS if c in msgs.columns]
+    transport = msgs.select(F.lit("sdg-raw-input").alias("topic"), F.col("country_code").alias("key"),
+                            F.to_json(F.struct(*payload)).alias("value"), F.lit(0).alias("partition"),
+                            F.col("arrival_seq").cast("long").alias("offset"))
+    _write_arrivals(transport, src_dir)
+    decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {"format": "json", "path": src_dir + "/*"}))
+    routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+    q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
+    ST.run_once(q)
+    return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
