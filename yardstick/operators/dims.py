@@ -1,9 +1,14 @@
 """Dimension joins with a checked broadcast.
 
-A side is broadcast only when its size is bounded: either it was built from a
-parameter list whose length is known on the driver, or a ``limit(n+1).count()``
-probe shows at most ``max_rows`` rows. Beyond the bound the join is left to a
-shuffle (and AQE, which may still switch to broadcast at run time).
+Three cases. (1) A side built from a parameter list: its length is known on the
+driver, so it is broadcast. (2) A side whose size Catalyst can bound from file
+statistics (a scan, or an aggregate/join of scans): a plain join, so the
+planner broadcasts it under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+re-plans from the measured stage size otherwise. (3) A small derived side
+whose statistics are the size of a huge input (e.g. the distinct goals of the
+orders table) and whose shuffle would be skewed (few keys): ``probe=True``
+counts at most ``max_rows + 1`` of its rows and broadcasts only under the bound,
+else falls back to the shuffle join.
 """
 
 from __future__ import annotations
@@ -34,13 +39,14 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = 100_000, checked: bool = False) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension only when bounded.
+                   max_rows: int = 100_000, checked: bool = False, probe: bool = False) -> DataFrame:
+    """Join a fact to a dimension (see the module notes for the three cases).
 
-    ``checked=True`` means the caller already knows the dimension is small
-    (e.g. it came from ``literal_dimension``).
+    ``checked=True``: the caller knows the side is small (``literal_dimension``).
+    ``probe=True``: count-probe the side and broadcast it only under ``max_rows``.
+    Otherwise the planner decides from statistics, and AQE at run time.
     """
-    side = dim if checked else maybe_broadcast(dim, max_rows)
+    side = maybe_broadcast(dim, max_rows) if (probe and not checked) else dim
     return fact.join(side, on, how)
 
 
