@@ -12,9 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from yardstick import schemas
 from yardstick.functions import columns as C
-from yardstick.operators.dims import join_dimension, literal_dimension
+from yardstick.operators.dims import join_dimension
 from yardstick.params import PanelParams
 
 SERIES = ("country_code", "indicator_code")
@@ -70,9 +69,8 @@ def latest_per(df: DataFrame, keys=SERIES, order: str = "year") -> DataFrame:
 
 def targets_frame(spark: SparkSession, p: PanelParams) -> DataFrame:
     """Inline target relation (A14), broadcast: its size is the parameter list."""
-    return literal_dimension(spark, [(c, v, d) for c, v, d in p.targets],
-                             "indicator_code string, target_value string, direction string").select(
-        "indicator_code", F.col("target_value").cast(schemas.VALUE).alias("target_value"), "direction")
+    from yardstick.sources.dimensions import targets
+    return targets(spark, p)
 
 
 def target_gaps(combined: DataFrame, targets: DataFrame, p: PanelParams) -> DataFrame:

@@ -467,3 +467,118 @@ def q_stream_route(spark, sf_dir):
     q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
     ST.run_once(q)
     return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+
+
+# ---- materialised marts (A12, A13), latest-per definition (E5/F3), scalar families (B1-B27) ----
+
+from yardstick.operators import progress as PG  # noqa: E402
+from yardstick.plans.models import MART_NAMES, register_views, write_marts  # noqa: E402
+
+_MART_REL = {"fct_progress": "combined", "fct_target_achievement": "gaps", "dim_countries": "dim_countries",
+             "dim_goals": "stg_goals", "tracker": "tracker", "goal_summary": "goal_summary",
+             "peer_comparison": "peer_comparison"}
+
+
+@register("mart_tables", O.with_ctes("\nUNION ALL ".join(
+    f"SELECT '{m}' AS mart, count(*) AS row_count FROM {_MART_REL[m]}" for m in MART_NAMES)))
+def q_mart_tables(spark, sf_dir):
+    """All seven marts rebuilt as tables from a checkpointed panel, read back and counted."""
+    base = scratch_path(spark, "marts")
+    paths = write_marts(_panel(spark, sf_dir), base)
+    out = None
+    for name in MART_NAMES:
+        part = spark.read.parquet(paths[name]).agg(F.count(F.lit(1)).alias("row_count")) \
+            .select(F.lit(name).alias("mart"), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("staging_views", O.with_ctes(
+    "SELECT count(*) AS row_count, count(DISTINCT country_code) AS entities FROM stg_batch"))
+def q_staging_views(spark, sf_dir):
+    """Models registered as temporary views and queried with SQL."""
+    prefix = f"v{abs(hash(sf_dir)) % 10**8}_"
+    register_views(_panel(spark, sf_dir), prefix)
+    return spark.sql(f"SELECT count(*) AS row_count, count(DISTINCT country_code) AS entities "
+                     f"FROM {prefix}stg_batch")
+
+
+@register("latest_per_series", O.with_ctes(
+    "SELECT country_code, indicator_code, latest_year AS year, latest_value AS value FROM latest"))
+def q_latest_per(spark, sf_dir):
+    """E5/F3 by definition (row_number = 1 per series, WindowGroupLimit)."""
+    c = _panel(spark, sf_dir).combined.filter(F.col("value").isNotNull())
+    return PG.latest_per(c).select("country_code", "indicator_code", "year", "value")
+
+
+@register("scalar_text_time", O.with_ctes(f"""
+SELECT event_id,
+       upper(trim(' ' || lower(event_type) || ' ')) AS text_clean,
+       coalesce(json_extract_string(props, '$.unit'), '') AS unit_or_empty,
+       json_extract_string(props, '$.k') AS k_text,
+       length(props) AS props_length,
+       printf('%s:%d', event_type, event_id) AS message,
+       replace(event_type || '.a.b', '.', '_') AS slug,
+       md5(event_type || '_' || CAST(user_id AS VARCHAR)) AS md5_key,
+       strftime(TRY_CAST(regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00Z', '([+-]\\d\\d:\\d\\d)Z$', '\\1')
+                AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS parsed,
+       CAST(epoch_us(ts + to_seconds(event_id)) - epoch_us(ts) AS DOUBLE) / CAST(60000000 AS DOUBLE) AS minutes,
+       ts > TIMESTAMP '{_AS_OF}' - INTERVAL 7 DAY AS recent,
+       strftime(ts, '%Y/%m/%d') AS date_path,
+       strftime(ts, '%Y%m%d_%H%M%S') AS stamp
+FROM events"""))
+def q_scalar_text_time(spark, sf_dir):
+    """Text, JSON, identity and time functions (B2, B3, B6, B17-B25) over events."""
+    e = src.read_table(spark, sf_dir, "events")
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00Z"))
+    return e.select(
+        "event_id",
+        C.clean_code(F.concat(F.lit(" "), F.lower("event_type"), F.lit(" "))).alias("text_clean"),
+        C.default_empty(F.get_json_object("props", "$.unit")).alias("unit_or_empty"),
+        F.get_json_object("props", "$.k").alias("k_text"),
+        F.length("props").alias("props_length"),
+        F.format_string("%s:%d", "event_type", "event_id").alias("message"),
+        C.slug(F.concat("event_type", F.lit(".a.b"))).alias("slug"),
+        F.md5(F.concat_ws("_", "event_type", F.col("user_id").cast("string"))).alias("md5_key"),
+        F.date_format(C.parse_iso(iso), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+        C.minutes_between(F.timestamp_add("SECOND", F.col("event_id"), F.col("ts")), "ts").alias("minutes"),
+        C.within_days("ts", 7, _AS_OF).alias("recent"),
+        C.date_path("ts").alias("date_path"),
+        C.stamp("ts").alias("stamp"),
+    )
+
+
+@register("scalar_numeric", """
+SELECT l_orderkey, l_linenumber,
+       CAST(l_quantity AS DECIMAL(18,2)) AS qty,
+       TRY_CAST(l_returnflag AS INTEGER) AS flag_as_int,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)), 1) AS DECIMAL(18,1))
+         AS discount_amount,
+       abs(CAST(l_quantity AS DECIMAL(18,2)) - 25) AS qty_distance,
+       nullif(l_linenumber - 1, 0) AS line_offset,
+       greatest(0, least(100, CAST(l_quantity AS DECIMAL(18,2)) * 2)) AS clamped,
+       l_quantity BETWEEN 10 AND 20 AS mid_quantity,
+       l_returnflag IN ('A', 'R') AS flagged,
+       l_shipdate IS NULL AS no_ship,
+       CAST(NULL AS INTEGER) AS typed_null,
+       2005 - CAST(year(l_shipdate) AS INTEGER) AS years_left
+FROM lineitem""")
+def q_scalar_numeric(spark, sf_dir):
+    """Casts, decimal rounding, abs, nullif, clamp, ranges, IN, IS NULL, typed NULL."""
+    li = src.read_table(spark, sf_dir, "lineitem")
+    qty = F.col("l_quantity").cast("decimal(18,2)")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        qty.alias("qty"),
+        F.col("l_returnflag").try_cast("int").alias("flag_as_int"),
+        F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(18,2)"), 1)
+        .cast("decimal(18,1)").alias("discount_amount"),
+        F.abs(qty - 25).alias("qty_distance"),
+        F.nullif(F.col("l_linenumber") - 1, F.lit(0)).alias("line_offset"),
+        C.clamp(qty * 2, 0, 100).alias("clamped"),
+        C.in_range("l_quantity", 10, 20).alias("mid_quantity"),
+        F.col("l_returnflag").isin("A", "R").alias("flagged"),
+        F.col("l_shipdate").isNull().alias("no_ship"),
+        F.lit(None).cast("int").alias("typed_null"),
+        C.years_left(F.year("l_shipdate"), 2005).alias("years_left"),
+    )

@@ -135,3 +135,33 @@ class Panel:
         fresh._overrides["combined"] = self.combined.checkpoint(eager=True)
         fresh._overrides["scores"] = P.scores(P.target_gaps(fresh.combined, fresh.targets, self.p)).checkpoint(eager=True)
         return fresh
+
+
+MART_NAMES = ("fct_progress", "fct_target_achievement", "dim_countries", "dim_goals", "tracker", "goal_summary",
+              "peer_comparison")
+VIEW_NAMES = ("stg_batch", "stg_stream", "stg_goals", "stg_countries", "combined", "yoy", "gaps", "scores")
+
+
+def register_views(panel: Panel, prefix: str = "") -> list[str]:
+    """Staging and intermediate models as temporary views (A12): lazy, re-expanded per query."""
+    names = []
+    for name in VIEW_NAMES:
+        getattr(panel, name).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
+
+
+def write_marts(panel: Panel, base: str, names=MART_NAMES) -> dict[str, str]:
+    """Full rebuild of the mart tables (A13) from one materialized panel.
+
+    K5 and K8 are checkpointed once (reliably, in the shared checkpoint folder),
+    so the seven marts do not each re-run the staging and merge plans, and a
+    lost executor re-reads the checkpoint instead of the whole lineage.
+    """
+    m = panel.materialize()
+    paths = {}
+    for name in names:
+        path = f"{base.rstrip('/')}/{name}"
+        getattr(m, name).write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
