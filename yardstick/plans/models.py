@@ -47,7 +47,7 @@ class Panel:
 
     @cached_property
     def members(self) -> DataFrame:
-        return src.members(self.spark, self.sf_dir, self.p)
+        return self.raw_countries.filter("is_african").select("country_code")
 
     @cached_property
     def peers(self) -> DataFrame:

@@ -125,8 +125,9 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams)
 
     ``routed`` has ``topic`` and a JSON ``value`` per message. Records are
     spread over ceil(n / max_records_per_object) chunks by a hash of the
-    message, so no envelope (one collect_list) exceeds the bound on average
-    and no task holds a whole topic. Returns the number of messages written.
+    message salted with the row id, so no envelope (one collect_list) exceeds
+    the bound on average, even when many messages are byte-identical, and no
+    task holds a whole topic. Returns the number of messages written.
     """
     n = routed.count()
     if n == 0:
@@ -136,7 +137,7 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams)
     ts = F.lit(written_at).cast("timestamp")
     with_chunk = routed.select(
         "topic", msg.alias("m"),
-        F.pmod(F.xxhash64("topic", "value"), F.lit(chunks)).alias("chunk"))
+        F.pmod(F.xxhash64("topic", "value", F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"))
     env = with_chunk.groupBy("topic", "chunk").agg(
         F.count(F.lit(1)).alias("record_count"), F.collect_list("m").alias("records"))
     prefix = topic_prefix(F.col("topic"))
