@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yardstick.functions import columns as C
-from yardstick.operators.dims import in_set, null_safe_keys
+from yardstick.operators.dims import in_set
 from yardstick.params import PanelParams
 
 
@@ -105,25 +105,32 @@ def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams)
     one task (there are ~17 goals), so neither is computed as a window over the
     rows. The rank is read from a per-goal score histogram (scores are tenths
     in [0, 100], so <= 1001 rows per goal): rank = 1 + rows with a higher
-    score. The average is a grouped sum/count. Both are joined back on the
-    goal (NULL-safe: the NULL-goal group is a partition of its own).
+    score; the goal average is carried in the same table. It is broadcast and
+    joined back on (goal, score), NULL-safe: the NULL-goal group is a
+    partition of its own.
     """
     east = in_set(scores, "country_code", peers, p.broadcast_max_rows)
     c = dim_c.select(F.col("country_code").alias("__c_code"), "region", "income_group")
     east = east.join(c, east["country_code"] == c["__c_code"], "inner")
     east = east.withColumn("__t", _tenths("avg_goal_score"))
 
+    # (goal, score) histogram: scores are tenths clamped to [0, 1000], so it has at
+    # most 1001 rows per goal whatever the number of entities; windows over it are
+    # per goal but tiny, and the goal's sum/count ride along for the average.
     hist = east.groupBy("goal", "__t").agg(F.count(F.lit(1)).alias("__cnt"))
-    higher = F.sum("__cnt").over(Window.partitionBy("goal").orderBy(F.col("__t").desc_nulls_first())
+    by_goal = Window.partitionBy("goal")
+    higher = F.sum("__cnt").over(by_goal.orderBy(F.col("__t").desc_nulls_first())
                                  .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = hist.select(F.col("goal").alias("__h_goal"), F.col("__t").alias("__h_t"),
-                        (F.coalesce(higher, F.lit(0)) + 1).alias("ea_rank"))
-    avgs = east.groupBy("goal").agg(F.sum("__t").alias("__gsum"), F.count("__t").alias("__gn")) \
-        .withColumnRenamed("goal", "__a_goal")
-
-    j = east.join(ranks, east["goal"].eqNullSafe(ranks["__h_goal"]) & east["__t"].eqNullSafe(ranks["__h_t"]),
-                  "left")
-    j = j.join(avgs, j["goal"].eqNullSafe(avgs["__a_goal"]), "left")
+    ranks = hist.select(
+        F.col("goal").alias("__h_goal"), F.col("__t").alias("__h_t"),
+        (F.coalesce(higher, F.lit(0)) + 1).alias("ea_rank"),
+        F.sum(F.col("__t") * F.col("__cnt")).over(by_goal).alias("__gsum"),
+        F.sum("__cnt").over(by_goal).alias("__gn"),
+    )
+    # bounded by construction (<= 1001 rows per goal): broadcast, so the peer rows
+    # are never shuffled on the few goal keys
+    j = east.join(F.broadcast(ranks),
+                  east["goal"].eqNullSafe(ranks["__h_goal"]) & east["__t"].eqNullSafe(ranks["__h_t"]), "left")
     diff = C.round_ratio(F.col("__t") * F.col("__gn") - F.col("__gsum"), F.col("__gn"), 1)
     return j.select(*PEER_COLS, F.col("ea_rank").cast("long").alias("ea_rank"),
                     C.units_to_decimal(diff, 1, 6).alias("vs_ea_average"))
