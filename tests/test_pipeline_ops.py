@@ -1,7 +1,5 @@
 """Upsert, validation, routing, quality checks, files and streaming (hand-written rows + invariants)."""
 
-import os
-import tempfile
 import time
 from decimal import Decimal as D
 
@@ -132,9 +130,11 @@ def test_stream_undecodable_goes_to_dead_letter_and_restart_adds_nothing(spark,
     q = dec.writeStream.option("checkpointLocation", ckpt).foreachBatch(ST.log_batches(log)) \
         .trigger(availableNow=True).start()
     ST.run_once(q)
-    routed = ST.route_stream(dec, REFERENCE.members, REFERENCE)
+    routed = ST.with_batch_metrics(ST.route_stream(dec, REFERENCE.members, REFERENCE))
     q2 = ST.start(routed, {"format": "parquet", "path": out}, ckpt + "-route")
     ST.run_once(q2)
+    m = q2.lastProgress["observedMetrics"]["routing"]
+    assert (int(m["messages"]), int(m["failed"])) == (6, 2)  # 1 valid x 4 topics + 2 undecodable
     dead = spark.read.parquet(out).filter(F.col("topic") == TOPIC_FAILED)
     assert dead.count() == 2  # both undecodable messages routed, none lost
     t1 = rows(ST.current_table(spark, log), "record_id", "value", "extracted_at")
@@ -160,3 +160,30 @@ def test_batch_equals_stream_on_driver_tables(spark):
     a = E.queries()["stream_upsert"](spark, SF001)
     b = E.queries()["raw_stream_upsert"](spark, SF001).drop("batch_file", "created_at")
     assert rows(a) == rows(b.select(*a.columns))
+
+
+def test_processing_time_trigger_and_landing_pruning(spark, tmp_path):
+    """A processing-time consumer picks up arrivals until stopped; A4: one day read back with pruning."""
+    src_dir, ckpt, out = (str(tmp_path / n) for n in ("in", "ckpt", "out"))
+    good = ('{"goal":1,"indicator_code":"SI.POV.DDAY","indicator_name":"n","country_code":"KEN",'
+            '"country_name":"Kenya","year":2020,"value":3.5,"record_id":"r1"}')
+    _transport(spark, [good]).write.json(f"{src_dir}/a")
+    dec = ST.decode(ST.read_topics(spark, [TOPIC_VALIDATED], {"format": "json", "path": src_dir + "/*"}))
+    q = ST.start(dec.drop("payload"), {"format": "parquet", "path": out}, ckpt, trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        _transport(spark, [good], offset0=5).write.json(f"{src_dir}/b")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == 2
+
+    obs = spark.createDataFrame([(1, "X", "n", "KEN", "Kenya", "KE", 2020, 1.0, None, None, "s", "e")],
+                                schemas.OBSERVATION)
+    base = str(tmp_path / "landing")
+    FS.write_landing(obs, base, "2026-03-29 10:00:00")
+    FS.write_landing(obs, base, "2026-03-30 10:00:00")
+    day = FS.read_landing(spark, base, "2026/03/30")
+    assert day.count() == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "isnotnull(d" in plan

@@ -5,11 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from yardstick.functions import columns as C
 from yardstick.operators import marts as M
-from yardstick.params import DRIVER
+from yardstick.operators import progress as PG
+from yardstick.operators import quality as QC
+from yardstick.operators import routing as R
+from yardstick.operators.dims import literal_dimension
+from yardstick.operators.upsert import upsert
+from yardstick.params import DRIVER, DRIVER_PRIORITIES, TOPIC_ALL, TOPIC_VALIDATED
 from yardstick.plans import oracle as O
-from yardstick.plans.models import Panel
+from yardstick.plans.models import MART_NAMES, Panel, register_views, write_marts
+from yardstick.session import scratch_path
+from yardstick.sources import files as FS
+from yardstick.sources import panel as src
+from yardstick.streaming import stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,14 +109,6 @@ def oracle_sql() -> dict[str, str]:
 
 # ---- identity, validation, routing, statistics (H1-H3, I1-I3, D7-D9) ---------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from yardstick.functions import columns as C  # noqa: E402
-from yardstick.operators import quality as QC  # noqa: E402
-from yardstick.operators import routing as R  # noqa: E402
-from yardstick.operators.upsert import upsert  # noqa: E402
-from yardstick.params import DRIVER_PRIORITIES, TOPIC_PREFIX, TOPIC_VALIDATED  # noqa: E402
-from yardstick.sources import panel as src  # noqa: E402
 
 _P = DRIVER
 
@@ -293,10 +296,6 @@ def q_column_tests(spark, sf_dir):
 
 # ---- files: landed replies, observation files, landing area, lake envelopes (A1-A4, A7, A8) ----
 
-from yardstick.operators.dims import literal_dimension  # noqa: E402
-from yardstick.sources import files as FS  # noqa: E402
-from yardstick.session import scratch_path  # noqa: E402
-
 
 def _driver_dictionary(spark):
     """Indicator dictionary of the driver mapping (A15): code, goal, name."""
@@ -398,8 +397,6 @@ def q_lake_topics(spark, sf_dir):
 
 # ---- streaming (J1-J9) over file streams, availableNow -----------------------------------------
 
-from yardstick.streaming import stream as ST  # noqa: E402
-from yardstick.params import TOPIC_ALL  # noqa: E402
 
 STREAM_FILES = 4
 
@@ -463,7 +460,7 @@ def q_stream_route(spark, sf_dir):
                             F.col("arrival_seq").cast("long").alias("offset"))
     _write_arrivals(transport, src_dir)
     decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {"format": "json", "path": src_dir + "/*"}))
-    routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+    routed = ST.with_batch_metrics(ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P))
     q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
     ST.run_once(q)
     return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
@@ -471,8 +468,6 @@ def q_stream_route(spark, sf_dir):
 
 # ---- materialised marts (A12, A13), latest-per definition (E5/F3), scalar families (B1-B27) ----
 
-from yardstick.operators import progress as PG  # noqa: E402
-from yardstick.plans.models import MART_NAMES, register_views, write_marts  # noqa: E402
 
 _MART_REL = {"fct_progress": "combined", "fct_target_achievement": "gaps", "dim_countries": "dim_countries",
              "dim_goals": "stg_goals", "tracker": "tracker", "goal_summary": "goal_summary",
