@@ -402,15 +402,12 @@ STREAM_FILES = 4
 
 
 def _write_arrivals(df: DataFrame, path: str, files: int = STREAM_FILES) -> None:
-    """Land transport rows as ``files`` arrivals in offset order (one write per arrival)."""
-    lo_hi = df.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()[0]  # one row
-    lo, hi = lo_hi["lo"], lo_hi["hi"]
-    if lo is None:
-        return
-    step = (hi - lo) // files + 1
-    for k in range(files):
-        part = df.filter((F.col("offset") >= lo + k * step) & (F.col("offset") < lo + (k + 1) * step))
-        part.write.mode("append").json(f"{path}/arrival={k:05d}")
+    """Land transport rows as ``files`` arrival folders in one write (hash of the offset).
+
+    Arrival order does not matter to the result: the upsert orders by (partition, offset).
+    """
+    df.withColumn("arrival", F.pmod(F.xxhash64("offset"), F.lit(files))) \
+        .write.mode("append").partitionBy("arrival").json(path)
 
 
 def _stream_dirs(spark, name):
@@ -440,7 +437,7 @@ def q_stream_upsert(spark, sf_dir):
                               F.col("arrival_seq").cast("long").alias("offset"))
     _write_arrivals(transport, src_dir)
     topics = [TOPIC_ALL, R.TOPIC_WORLD_BANK, R.TOPIC_AFRICA, TOPIC_VALIDATED, R.TOPIC_FAILED]
-    decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir + "/*",
+    decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir,
                                                        "maxFilesPerTrigger": 1}))
     q = decoded.writeStream.option("checkpointLocation", ckpt).foreachBatch(ST.log_batches(log)) \
         .trigger(availableNow=True).start()
@@ -459,7 +456,7 @@ def q_stream_route(spark, sf_dir):
                             F.to_json(F.struct(*payload)).alias("value"), F.lit(0).alias("partition"),
                             F.col("arrival_seq").cast("long").alias("offset"))
     _write_arrivals(transport, src_dir)
-    decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {"format": "json", "path": src_dir + "/*"}))
+    decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {"format": "json", "path": src_dir}))
     routed = ST.with_batch_metrics(ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P))
     q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
     ST.run_once(q)
@@ -511,7 +508,7 @@ SELECT event_id,
        upper(trim(' ' || lower(event_type) || ' ')) AS text_clean,
        coalesce(json_extract_string(props, '$.unit'), '') AS unit_or_empty,
        json_extract_string(props, '$.k') AS k_text,
-       length(props) AS props_length,
+       CAST(length(props) AS INTEGER) AS props_length,
        printf('%s:%d', event_type, event_id) AS message,
        replace(event_type || '.a.b', '.', '_') AS slug,
        md5(event_type || '_' || CAST(user_id AS VARCHAR)) AS md5_key,

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -129,10 +131,18 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams)
     the bound on average, even when many messages are byte-identical, and no
     task holds a whole topic. Returns the number of messages written.
     """
-    n = routed.count()
-    if n == 0:
-        return 0
-    chunks = max(1, math.ceil(n / p.max_records_per_object))
+    routed = routed.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then written: compute once
+    try:
+        n = routed.count()
+        if n == 0:
+            return 0
+        _write_envelopes(routed, path, written_at, max(1, math.ceil(n / p.max_records_per_object)))
+        return n
+    finally:
+        routed.unpersist()
+
+
+def _write_envelopes(routed: DataFrame, path: str, written_at: str, chunks: int) -> None:
     msg = F.from_json("value", schemas.DEAD_LETTER)
     ts = F.lit(written_at).cast("timestamp")
     with_chunk = routed.select(
@@ -151,7 +161,6 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams)
         F.date_format(ts, "yyyy-MM-dd").alias("lake_day"),
     )
     out.write.mode("append").partitionBy("lake_prefix", "lake_day").json(path)
-    return n
 
 
 def read_batches(spark: SparkSession, path: str, topic: str | None = None, days: list[str] | None = None) -> DataFrame:
