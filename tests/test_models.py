@@ -195,3 +195,13 @@ def test_tracker_classes(spark, score, label):
     t = M.tracker(s, dims_df(spark, ["A"]), REFERENCE)
     r = t.first()
     assert r.progress_category == label and r.years_remaining == 10 and r.region == "R"
+
+
+def test_priority_union_equals_anti_join_definition(spark):
+    schema = "country_code string, indicator_code string, year int, value int, src string"
+    b = spark.createDataFrame([("A", "X", 1, None, "b"), ("A", None, 1, 1, "b"), ("B", "X", 2, 2, "b"),
+                               ("B", "X", 2, 3, "b")], schema)
+    s = spark.createDataFrame([("A", "X", 1, 9, "s"), ("A", None, 1, 9, "s"), ("C", "X", 1, 9, "s"),
+                               ("B", "X", 2, 9, "s"), (None, "X", 2, 9, "s")], schema)
+    assert rows(CB.priority_union(b, s)) == rows(CB.anti_join_union(b, s))
+    assert len(rows(CB.priority_union(b, s))) == 7  # 4 batch + (A,NULL,1), C, NULL-code stream rows
