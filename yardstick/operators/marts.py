@@ -91,7 +91,7 @@ def goal_summary(scores: DataFrame) -> DataFrame:
         "lowest_country_score", "highest_country_score",
         "total_achieved", "total_on_track", "total_off_track",
         status.alias("goal_status"),
-    )
+    ).orderBy(F.asc_nulls_last("goal"))  # output edge; at most one row per goal
 
 
 PEER_COLS = ("country_code", "country_name", "goal", "goal_title", "sdg_pillar", "avg_goal_score",

@@ -398,7 +398,8 @@ def q_lake_topics(spark, sf_dir):
 # ---- streaming (J1-J9) over file streams, availableNow -----------------------------------------
 
 
-STREAM_FILES = 4
+STREAM_FILES = 4            # arrival folders landed before the stream starts
+FILES_PER_TRIGGER = 8       # bound on one micro-batch (files), as a consumer would set it
 
 
 def _write_arrivals(df: DataFrame, path: str, files: int = STREAM_FILES) -> None:
@@ -438,7 +439,7 @@ def q_stream_upsert(spark, sf_dir):
     _write_arrivals(transport, src_dir)
     topics = [TOPIC_ALL, R.TOPIC_WORLD_BANK, R.TOPIC_AFRICA, TOPIC_VALIDATED, R.TOPIC_FAILED]
     decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir,
-                                                       "maxFilesPerTrigger": 1}))
+                                                       "maxFilesPerTrigger": FILES_PER_TRIGGER}))
     q = decoded.writeStream.option("checkpointLocation", ckpt).foreachBatch(ST.log_batches(log)) \
         .trigger(availableNow=True).start()
     ST.run_once(q)
