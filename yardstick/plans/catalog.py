@@ -398,8 +398,7 @@ def q_lake_topics(spark, sf_dir):
 # ---- streaming (J1-J9) over file streams, availableNow -----------------------------------------
 
 
-STREAM_FILES = 4            # arrival folders landed before the stream starts
-FILES_PER_TRIGGER = 8       # bound on one micro-batch (files), as a consumer would set it
+STREAM_FILES = 4  # arrival folders landed before the stream starts; about one micro-batch each
 
 
 def _write_arrivals(df: DataFrame, path: str, files: int = STREAM_FILES) -> None:
@@ -438,8 +437,11 @@ def q_stream_upsert(spark, sf_dir):
                               F.col("arrival_seq").cast("long").alias("offset"))
     _write_arrivals(transport, src_dir)
     topics = [TOPIC_ALL, R.TOPIC_WORLD_BANK, R.TOPIC_AFRICA, TOPIC_VALIDATED, R.TOPIC_FAILED]
+    # bound a micro-batch by files (file listing only, no data read): ~STREAM_FILES batches
+    n_files = len(spark.read.schema(ST.TRANSPORT).json(src_dir).inputFiles())
+    per_trigger = max(1, -(-n_files // STREAM_FILES))
     decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir,
-                                                       "maxFilesPerTrigger": FILES_PER_TRIGGER}))
+                                                       "maxFilesPerTrigger": per_trigger}))
     q = decoded.writeStream.option("checkpointLocation", ckpt).foreachBatch(ST.log_batches(log)) \
         .trigger(availableNow=True).start()
     ST.run_once(q)

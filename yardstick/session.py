@@ -27,6 +27,9 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("YARDSTICK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # per-call Python call-site capture for error contexts: ~8 extra driver
+        # round trips per Column operation while plans are built; off for runs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if event_log_dir:
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
