@@ -23,118 +23,135 @@ from yardstick.session import ensure_checkpoint_dir
 from yardstick.sources import panel as src
 
 
+def _model(fn):
+    """A lazily built model that a materialised panel may replace by its checkpoint."""
+    name = fn.__name__
+
+    def get(self):
+        return self._overrides[name] if name in self._overrides else fn(self)
+    get.__name__ = name
+    get.__doc__ = fn.__doc__
+    return cached_property(get)
+
+
 class Panel:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: PanelParams = DRIVER):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: PanelParams = DRIVER,
+                 overrides: dict[str, DataFrame] | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
-        self._overrides: dict[str, DataFrame] = {}
+        self._overrides: dict[str, DataFrame] = dict(overrides or {})
 
     # raw -------------------------------------------------------------------
-    @cached_property
+    @_model
     def raw_batch(self) -> DataFrame:
         return src.raw_batch(self.spark, self.sf_dir, self.p)
 
-    @cached_property
+    @_model
     def raw_stream(self) -> DataFrame:
         return src.raw_stream(self.spark, self.sf_dir, self.p)
 
-    @cached_property
+    @_model
     def raw_goals(self) -> DataFrame:
         return src.raw_goals(self.spark, self.sf_dir, self.p)
 
-    @cached_property
+    @_model
     def raw_countries(self) -> DataFrame:
         return src.raw_countries(self.spark, self.sf_dir, self.p)
 
-    @cached_property
+    @_model
     def members(self) -> DataFrame:
         return self.raw_countries.filter("is_african").select("country_code")
 
-    @cached_property
+    @_model
     def peers(self) -> DataFrame:
         return src.peers(self.spark, self.sf_dir, self.p)
 
-    @cached_property
+    @_model
     def targets(self) -> DataFrame:
         return P.targets_frame(self.spark, self.p)
 
     # staging ----------------------------------------------------------------
-    @cached_property
+    @_model
     def stg_batch(self) -> DataFrame:
         return S.stg_batch(self.raw_batch, self.p, self.members)
 
-    @cached_property
+    @_model
     def stg_stream(self) -> DataFrame:
         return S.stg_stream(self.raw_stream, self.p)
 
-    @cached_property
+    @_model
     def stg_goals(self) -> DataFrame:
         return S.stg_goals(self.raw_goals)
 
-    @cached_property
+    @_model
     def stg_countries(self) -> DataFrame:
         return S.stg_countries(self.raw_countries, self.p)
 
     # intermediate -------------------------------------------------------------
-    @cached_property
+    @_model
     def combined(self) -> DataFrame:
-        if "combined" in self._overrides:
-            return self._overrides["combined"]
         return CB.combine(self.stg_batch, self.stg_stream, self.stg_goals, self.p)
 
-    @cached_property
+    @_model
     def yoy(self) -> DataFrame:
         return P.year_over_year(self.combined)
 
-    @cached_property
+    @_model
     def gaps(self) -> DataFrame:
         return P.target_gaps(self.combined, self.targets, self.p)
 
-    @cached_property
+    @_model
     def scored(self) -> DataFrame:
         return P.scored(self.gaps)
 
-    @cached_property
+    @_model
     def scores(self) -> DataFrame:
-        if "scores" in self._overrides:
-            return self._overrides["scores"]
         return P.scores(self.gaps)
 
     # marts ----------------------------------------------------------------------
-    @cached_property
+    @_model
     def fct_progress(self) -> DataFrame:
         return M.fct_progress(self.combined)
 
-    @cached_property
+    @_model
     def fct_target_achievement(self) -> DataFrame:
         return M.fct_target_achievement(self.gaps)
 
-    @cached_property
+    @_model
     def dim_countries(self) -> DataFrame:
         return M.dim_countries(self.stg_countries, self.scores)
 
-    @cached_property
+    @_model
     def dim_goals(self) -> DataFrame:
         return M.dim_goals(self.stg_goals)
 
-    @cached_property
+    @_model
     def tracker(self) -> DataFrame:
         return M.tracker(self.scores, self.dim_countries, self.p)
 
-    @cached_property
+    @_model
     def goal_summary(self) -> DataFrame:
         return M.goal_summary(self.scores)
 
-    @cached_property
+    @_model
     def peer_comparison(self) -> DataFrame:
         return M.peer_comparison(self.scores, self.dim_countries, self.peers, self.p)
 
     def materialize(self) -> "Panel":
-        """Checkpoint K5 and K8 (reliable, in the shared checkpoint folder) for multi-mart runs."""
+        """Cut lineage where several outputs share work: the raw tables (physical
+        tables in the reference), the merged panel K5 and the scores K8.
+
+        Reliable ``checkpoint()`` into the cluster's checkpoint folder: a lost
+        executor re-reads the checkpoint instead of re-running the lineage.
+        """
         ensure_checkpoint_dir(self.spark)
-        fresh = Panel(self.spark, self.sf_dir, self.p)
-        fresh._overrides["combined"] = self.combined.checkpoint(eager=True)
-        fresh._overrides["scores"] = P.scores(P.target_gaps(fresh.combined, fresh.targets, self.p)).checkpoint(eager=True)
-        return fresh
+        m = Panel(self.spark, self.sf_dir, self.p)
+        for name in ("raw_batch", "raw_stream"):
+            m._overrides[name] = getattr(self, name).checkpoint(eager=True)
+        m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
+        m._overrides["combined"] = m.combined.checkpoint(eager=True)
+        m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
+        m._overrides["scores"] = m.scores.checkpoint(eager=True)
+        return Panel(self.spark, self.sf_dir, self.p, m._overrides)
 
 
 MART_NAMES = ("fct_progress", "fct_target_achievement", "dim_countries", "dim_goals", "tracker", "goal_summary",
@@ -152,13 +169,13 @@ def register_views(panel: Panel, prefix: str = "") -> list[str]:
 
 
 def write_marts(panel: Panel, base: str, names=MART_NAMES) -> dict[str, str]:
-    """Full rebuild of the mart tables (A13) from one materialized panel.
+    """Full rebuild of the mart tables (A13) from one materialised panel.
 
-    K5 and K8 are checkpointed once (reliably, in the shared checkpoint folder),
-    so the seven marts do not each re-run the staging and merge plans, and a
-    lost executor re-reads the checkpoint instead of the whole lineage.
+    The raw tables, K5 and K8 are checkpointed once (reliably, in the shared
+    checkpoint folder), so the seven marts do not each re-run the staging and
+    merge plans. A panel that is already materialised is used as it is.
     """
-    m = panel.materialize()
+    m = panel if {"combined", "scores"} <= set(panel._overrides) else panel.materialize()
     paths = {}
     for name in names:
         path = f"{base.rstrip('/')}/{name}"

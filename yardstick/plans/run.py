@@ -41,7 +41,7 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
 
 def run(spark: SparkSession, sf_dir: str, out: str, gate_mode: str = "stop") -> dict:
     t0 = time.perf_counter()
-    panel = Panel(spark, sf_dir, DRIVER)
+    panel = Panel(spark, sf_dir, DRIVER).materialize()  # raw tables, K5, K8 checkpointed once
     report = QC.gate_report(panel.raw_batch, panel.raw_stream, DRIVER, DRIVER.extra["as_of"])
     gate_rows = [r.asDict() for r in report.collect()]  # five rows
     if gate_mode == "stop":
