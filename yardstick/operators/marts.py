@@ -69,8 +69,11 @@ def tracker(scores: DataFrame, dim_c: DataFrame, p: PanelParams) -> DataFrame:
     )
 
 
-def goal_summary(scores: DataFrame) -> DataFrame:
-    """Per goal; the status uses the unrounded average (exact compare)."""
+def goal_summary(scores: DataFrame, ordered: bool = True) -> DataFrame:
+    """Per goal; the status uses the unrounded average (exact compare).
+
+    ``ordered`` sorts by goal at the output edge (the mart's order); consumers
+    that aggregate it further take the unordered relation."""
     t = _tenths("avg_goal_score")
     agg = scores.groupBy("goal", "goal_title", "sdg_pillar").agg(
         F.count_distinct("country_code").alias("countries_tracked"),
@@ -85,13 +88,14 @@ def goal_summary(scores: DataFrame) -> DataFrame:
     s, n = F.col("__sum"), F.col("__n")
     status = (F.when(s >= n * 750, "On track").when(s >= n * 500, "Moderate progress")
               .when(s >= n * 250, "Limited progress").otherwise("Off track"))
-    return agg.select(
+    out = agg.select(
         "goal", "goal_title", "sdg_pillar", "countries_tracked",
         C.units_to_decimal(C.round_mean(s, n), 1, 5).alias("africa_avg_score"),
         "lowest_country_score", "highest_country_score",
         "total_achieved", "total_on_track", "total_off_track",
         status.alias("goal_status"),
-    ).orderBy(F.asc_nulls_last("goal"))  # output edge; at most one row per goal
+    )
+    return out.orderBy(F.asc_nulls_last("goal")) if ordered else out  # at most one row per goal
 
 
 PEER_COLS = ("country_code", "country_name", "goal", "goal_title", "sdg_pillar", "avg_goal_score",

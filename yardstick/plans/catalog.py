@@ -74,7 +74,7 @@ UNION ALL
 SELECT * FROM (SELECT 'worst' AS position, goal, goal_title, africa_avg_score FROM goal_summary
                ORDER BY africa_avg_score ASC, goal ASC NULLS LAST LIMIT 1)"""))
 def q_best_worst(spark, sf_dir):
-    return M.best_worst_goal(_panel(spark, sf_dir).goal_summary)
+    return M.best_worst_goal(M.goal_summary(_panel(spark, sf_dir).scores, ordered=False))
 
 
 @register("peer_leaders", O.with_ctes(
