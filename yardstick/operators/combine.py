@@ -62,7 +62,8 @@ def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p
     g = goals_stg.select(F.col("goal").alias("__g_goal"), "goal_title", "sdg_pillar")
     # few goal keys: a shuffle on goal would put whole goals in single tasks, so the
     # goal dimension is probed and broadcast when bounded
-    enriched = join_dimension(merged, g, merged["goal"] == g["__g_goal"], "left", p.broadcast_max_rows, probe=True)
+    enriched = join_dimension(merged, g, lambda f, d: f["goal"] == d["__g_goal"], "left", p.broadcast_max_rows,
+                              probe=True)
     return enriched.select(
         "indicator_code", "country_code", "country_name",
         F.coalesce(F.col("goal"), F.col("__g_goal")).alias("goal"),

@@ -35,7 +35,16 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+    """Broadcast ``df`` when it has at most ``max_rows`` rows, else return it unchanged.
+
+    The probe fetches at most ``max_rows + 1`` rows; when they are all the rows,
+    they are broadcast as they are (a broadcast passes through the driver
+    anyway), so the main plan does not compute the dimension a second time.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
@@ -45,9 +54,11 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     ``checked=True``: the caller knows the side is small (``literal_dimension``).
     ``probe=True``: count-probe the side and broadcast it only under ``max_rows``.
     Otherwise the planner decides from statistics, and AQE at run time.
+    ``on`` may be a callable ``(fact, side) -> Column`` (needed with ``probe``,
+    whose broadcast side is a new relation).
     """
     side = maybe_broadcast(dim, max_rows) if (probe and not checked) else dim
-    return fact.join(side, on, how)
+    return fact.join(side, on(fact, side) if callable(on) else on, how)
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
