@@ -124,3 +124,17 @@ RAW_COUNTRIES = _s(
 TARGETS = _s(("indicator_code", StringType()), ("target_value", VALUE), ("direction", StringType()))
 
 INDICATORS = _s(("indicator_code", StringType()), ("goal", IntegerType()), ("indicator_name", StringType()))
+
+
+# Input tables of the driver mapping (declared, so scans skip footer schema inference).
+DRIVER_TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}

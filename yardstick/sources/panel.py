@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yardstick import schemas
 from yardstick.functions import columns as C
 from yardstick.operators.dims import join_dimension
 from yardstick.operators.routing import validate
@@ -21,8 +22,10 @@ from yardstick.params import DRIVER, DRIVER_EVENT_PRIORITY, TOPIC_PREFIX, TOPIC_
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Source-table scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Source-table scan (A11) with the declared schema when there is one."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = schemas.DRIVER_TABLES.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def entity_code(key) -> Column:
