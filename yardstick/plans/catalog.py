@@ -604,3 +604,29 @@ def q_lake_incremental(spark, sf_dir):
         ST.run_once(rows.writeStream.option("checkpointLocation", ckpt).format("parquet").option("path", out)
                     .trigger(availableNow=True).start())
     return spark.read.parquet(out)
+
+
+def _api_observations(spark, sf_dir):
+    """Normalised observations of the API pages (no landing): the extractor's own output."""
+    pages = FS.api_reply_pages(_api_rows(spark, sf_dir), F.floor(F.col("event_id") / 1000).cast("long"))
+    return FS.normalise_api_pages(pages, _driver_dictionary(spark), _AS_OF)
+
+
+_API_OBS = "(SELECT * FROM (SELECT *, " + O.event_metric() + " AS m FROM events) WHERE event_type <> 'error')"
+
+
+@register("api_extraction_by_goal", O.with_ctes(
+    f"SELECT CAST(substr(m, 1, 1) AS INTEGER) AS goal, count(*) AS records FROM {_API_OBS} GROUP BY 1"))
+def q_api_extraction_by_goal(spark, sf_dir):
+    """D7 over the extractor's output: records per goal of the normalised API pages."""
+    return _api_observations(spark, sf_dir).groupBy("goal").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("api_indicators_without_data", O.with_ctes(
+    f"SELECT d.indicator_code, d.goal FROM (VALUES {_DICT_SQL}) AS d(indicator_code, goal) "
+    f"WHERE NOT EXISTS (SELECT 1 FROM {_API_OBS} o WHERE o.m = d.indicator_code)"))
+def q_api_indicators_without_data(spark, sf_dir):
+    """Dictionary entries the API returned no values for (dictionary ▷ observations)."""
+    d = literal_dimension(spark, [(c, int(c[0])) for c in DRIVER_PRIORITIES], "indicator_code string, goal int")
+    seen = _api_observations(spark, sf_dir).select("indicator_code")
+    return d.join(seen, "indicator_code", "left_anti")
