@@ -110,10 +110,12 @@ def start(df: DataFrame, sink: dict, checkpoint: str, trigger: dict | None = Non
     {'processingTime': '5 minutes'} for the continuous consumer,
     {'availableNow': True} for a bounded run that drains what is there.
     """
+    fmt = sink.get("format", "parquet")
+    if fmt == "kafka":  # the Kafka sink takes only its transport columns
+        df = df.select("topic", "key", "value")
     w = df.writeStream.option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    fmt = sink.get("format", "parquet")
     if fmt == "kafka":
         w = w.format("kafka")
         for k, v in sink.get("options", {}).items():
