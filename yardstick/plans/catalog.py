@@ -630,3 +630,33 @@ def q_api_indicators_without_data(spark, sf_dir):
     d = literal_dimension(spark, [(c, int(c[0])) for c in DRIVER_PRIORITIES], "indicator_code string, goal int")
     seen = _api_observations(spark, sf_dir).select("indicator_code")
     return d.join(seen, "indicator_code", "left_anti")
+
+
+_BATCH_COLS = ("indicator_code", "indicator_name", "goal", "country_code", "country_name", "year", "value", "unit",
+               "obs_status", "source", "extracted_at", "created_at")
+_BATCH_COLS_SQL = ", ".join(_BATCH_COLS)
+
+
+@register("batch_table_upsert", O.with_ctes(f"""
+SELECT f.indicator_code, f.indicator_name, f.goal, f.country_code, f.country_name, f.year, l.value, f.unit,
+       f.obs_status, f.source, l.extracted_at, f.created_at
+FROM (SELECT *, row_number() OVER (PARTITION BY country_code, indicator_code, year
+                                   ORDER BY epoch, ts NULLS FIRST, seq NULLS FIRST) AS rn FROM loads) f
+JOIN (SELECT country_code, indicator_code, year, value, extracted_at,
+             row_number() OVER (PARTITION BY country_code, indicator_code, year
+                                ORDER BY epoch DESC, ts DESC NULLS LAST, seq DESC NULLS LAST) AS rn FROM loads) l
+  ON f.country_code = l.country_code AND f.indicator_code = l.indicator_code AND f.year = l.year AND l.rn = 1
+WHERE f.rn = 1""").replace("\nSELECT f.indicator_code", f""",
+loads AS (SELECT {_BATCH_COLS_SQL}, 0 AS epoch, CAST(NULL AS TIMESTAMP) AS ts, CAST(NULL AS BIGINT) AS seq
+          FROM raw_batch
+          UNION ALL
+          SELECT indicator_code, indicator_name, goal, country_code, country_name, year, value, unit, obs_status,
+                 source, extracted_at, created_at, 1, arrival_ts, arrival_seq FROM validated WHERE valid)
+SELECT f.indicator_code""", 1))
+def q_batch_table_upsert(spark, sf_dir):
+    """A9/H1 on the panel key: validated messages loaded into the batch raw table keyed by
+    (country, indicator, year); existing keys change only value and extracted_at."""
+    current = _panel(spark, sf_dir).raw_batch
+    incoming = _validated(spark, sf_dir).filter("valid").select(*_BATCH_COLS, "arrival_ts", "arrival_seq")
+    return upsert(current, incoming, ["country_code", "indicator_code", "year"], ["value", "extracted_at"],
+                  ["arrival_ts", "arrival_seq"])
