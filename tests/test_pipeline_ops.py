@@ -169,7 +169,7 @@ def test_processing_time_trigger_and_landing_pruning(spark, tmp_path):
             '"country_name":"Kenya","year":2020,"value":3.5,"record_id":"r1"}')
     _transport(spark, [good]).write.json(f"{src_dir}/a")
     dec = ST.decode(ST.read_topics(spark, [TOPIC_VALIDATED], {"format": "json", "path": src_dir + "/*"}))
-    q = ST.start(dec.drop("payload"), {"format": "parquet", "path": out}, ckpt, trigger={"processingTime": "1 second"})
+    q = ST.run_stream(dec.drop("payload"), {"format": "parquet", "path": out}, ckpt, interval="1 second")
     try:
         q.processAllAvailable()
         _transport(spark, [good], offset0=5).write.json(f"{src_dir}/b")

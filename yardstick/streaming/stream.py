@@ -128,6 +128,12 @@ def start(df: DataFrame, sink: dict, checkpoint: str, trigger: dict | None = Non
     return w.outputMode("append").start()
 
 
+def run_stream(df: DataFrame, sink: dict, checkpoint: str, interval: str = "300 seconds",
+               name: str | None = None) -> StreamingQuery:
+    """Continuous consumer (J2): one micro-batch per ``interval`` (the reference flushes every 300 s)."""
+    return start(df, sink, checkpoint, trigger={"processingTime": interval}, name=name)
+
+
 def run_once(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Bounded run (J3): wait for an availableNow query to drain and stop."""
     query.awaitTermination(timeout_s)
