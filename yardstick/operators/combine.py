@@ -18,7 +18,8 @@ COMBINED_BASE = ("indicator_code", "country_code", "country_name", "goal", "indi
                  "data_source")
 
 
-def priority_union(primary: DataFrame, secondary: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+def priority_union(primary: DataFrame, secondary: DataFrame, keys: Sequence[str] = PANEL_KEYS,
+                   cluster_by: Sequence[str] | None = None) -> DataFrame:
     """primary ∪ (secondary ▷ primary) on ``keys`` (G2, C1), in one shuffle.
 
     Both sides are unioned and a secondary row is dropped when a primary row
@@ -27,9 +28,15 @@ def priority_union(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]
     side once; an anti join would read the primary side twice (rows and keys).
     As in ``NOT EXISTS`` with ``=``, keys only count: a primary row with a NULL
     value still wins, and a secondary row with a NULL key part never matches.
+
+    ``cluster_by`` (a subset of ``keys``) hash-partitions the union by those
+    columns instead; the window accepts it, and consumers keyed by the same
+    columns reuse the partitioning instead of shuffling again.
     """
     keys = list(keys)
     rows = primary.withColumn("__primary", F.lit(1)).unionByName(secondary.withColumn("__primary", F.lit(0)))
+    if cluster_by:
+        rows = rows.repartition(*cluster_by)
     rows = rows.withColumn("__has_primary", F.max("__primary").over(Window.partitionBy(*keys)))
     complete_key = F.lit(True)
     for k in keys:
@@ -58,7 +65,10 @@ def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p
         C.milestone("year", p, with_target=False).alias("sdg_milestone"),
         F.lit("streaming").alias("data_source"),
     )
-    merged = priority_union(batch, stream)
+    # per-series consumers (year over year, latest/baseline) key on (entity, metric):
+    # cluster the merge by those so they need no further exchange; a series holds
+    # at most one row per side and year, so partitions stay bounded under skew
+    merged = priority_union(batch, stream, cluster_by=("country_code", "indicator_code"))
     g = goals_stg.select(F.col("goal").alias("__g_goal"), "goal_title", "sdg_pillar")
     # few goal keys: a shuffle on goal would put whole goals in single tasks, so the
     # goal dimension is probed and broadcast when bounded
