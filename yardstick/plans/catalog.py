@@ -660,3 +660,24 @@ def q_batch_table_upsert(spark, sf_dir):
     incoming = _validated(spark, sf_dir).filter("valid").select(*_BATCH_COLS, "arrival_ts", "arrival_seq")
     return upsert(current, incoming, ["country_code", "indicator_code", "year"], ["value", "extracted_at"],
                   ["arrival_ts", "arrival_seq"])
+
+
+@register("stream_lake", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+def q_stream_lake(spark, sf_dir):
+    """§3.2 consumer: raw messages streamed through validation and fan-out and flushed per
+    micro-batch to the lake as envelopes (idempotent per batch id); the lake read back per topic."""
+    src_dir, ckpt, lake = _stream_dirs(spark, "stream-lake")
+    msgs = src.stream_messages(spark, sf_dir)
+    payload = [c for c in R.MESSAGE_FIELDS if c in msgs.columns]
+    transport = msgs.select(F.lit("sdg-raw-input").alias("topic"), F.col("country_code").alias("key"),
+                            F.to_json(F.struct(*payload)).alias("value"), F.lit(0).alias("partition"),
+                            F.col("arrival_seq").cast("long").alias("offset"))
+    _write_arrivals(transport, src_dir)
+    n_files = len(spark.read.schema(ST.TRANSPORT).json(src_dir).inputFiles())
+    decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {
+        "format": "json", "path": src_dir, "maxFilesPerTrigger": max(1, -(-n_files // STREAM_FILES))}))
+    routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+    q = routed.writeStream.option("checkpointLocation", ckpt).foreachBatch(
+        ST.lake_sink(lake, _P, clock=lambda: _AS_OF.replace(" ", "T"))).trigger(availableNow=True).start()
+    ST.run_once(q)
+    return FS.read_batches(spark, lake).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))

@@ -122,7 +122,7 @@ def topic_prefix(topic: Column) -> Column:
 ENVELOPE_LINE = schemas.extend(schemas.ENVELOPE, ("lake_prefix", StringType()), ("lake_day", StringType()))
 
 
-def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams) -> int:
+def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams, mode: str = "append") -> int:
     """Write one envelope per topic and chunk: ``{batch_metadata{...}, records[...]}``.
 
     ``routed`` has ``topic`` and a JSON ``value`` per message. Records are
@@ -136,13 +136,13 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams)
         n = routed.count()
         if n == 0:
             return 0
-        _write_envelopes(routed, path, written_at, max(1, math.ceil(n / p.max_records_per_object)))
+        _write_envelopes(routed, path, written_at, max(1, math.ceil(n / p.max_records_per_object)), mode)
         return n
     finally:
         routed.unpersist()
 
 
-def _write_envelopes(routed: DataFrame, path: str, written_at: str, chunks: int) -> None:
+def _write_envelopes(routed: DataFrame, path: str, written_at: str, chunks: int, mode: str = "append") -> None:
     msg = F.from_json("value", schemas.DEAD_LETTER)
     ts = F.lit(written_at).cast("timestamp")
     with_chunk = routed.select(
@@ -160,7 +160,7 @@ def _write_envelopes(routed: DataFrame, path: str, written_at: str, chunks: int)
         prefix.alias("lake_prefix"),
         F.date_format(ts, "yyyy-MM-dd").alias("lake_day"),
     )
-    out.write.mode("append").partitionBy("lake_prefix", "lake_day").json(path)
+    out.write.mode(mode).partitionBy("lake_prefix", "lake_day").json(path)
 
 
 def read_batches(spark: SparkSession, path: str, topic: str | None = None, days: list[str] | None = None) -> DataFrame:

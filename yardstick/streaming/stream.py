@@ -177,6 +177,23 @@ def lake_stream(spark: SparkSession, path: str, topic: str | None = None,
     return ex.select("topic", "batch_file", "source_file", "pos", "m.*")
 
 
+def lake_sink(path: str, p: PanelParams, clock: Callable[[], str] | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer flushing each micro-batch to the lake as envelopes.
+
+    Every micro-batch goes to ``path/batch=<id>/`` and that folder is replaced on
+    a replay, so a retried batch leaves no duplicates; ``clock`` gives the
+    ``written_at`` stamp (UTC now by default).
+    """
+    from datetime import datetime, timezone
+
+    from yardstick.sources.files import write_batches
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stamp = clock() if clock else datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        write_batches(batch, f"{path.rstrip('/')}/batch={batch_id}", stamp, p, mode="overwrite")
+    return write
+
+
 # ---- J8: stream upsert keyed by record id --------------------------------------------------------
 
 STREAM_UPDATE = ("value", "extracted_at")
