@@ -39,8 +39,32 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
     }
 
 
-def run(spark: SparkSession, sf_dir: str, out: str, gate_mode: str = "stop") -> dict:
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size under ``path`` from the file system's content summary (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def apply_scale_conf(spark: SparkSession, path: str) -> dict:
+    """Set the sizing of ``recommended_conf`` for the input under ``path``.
+
+    Only runtime SQL settings are touched, and only where the session does not
+    already carry an explicit value for them (``spark-submit --conf`` wins).
+    """
+    conf = recommended_conf(input_bytes(spark, path), spark.sparkContext.defaultParallelism)
+    applied = {}
+    for k, v in conf.items():
+        if spark.sparkContext.getConf().get(k, None) is None:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
+def run(spark: SparkSession, sf_dir: str, out: str, gate_mode: str = "stop", size: bool = False) -> dict:
     t0 = time.perf_counter()
+    sized = apply_scale_conf(spark, sf_dir) if size else {}
     panel = Panel(spark, sf_dir, DRIVER).materialize()  # raw tables, K5, K8 checkpointed once
     report = QC.gate_report(panel.raw_batch, panel.raw_stream, DRIVER, DRIVER.extra["as_of"])
     gate_rows = [r.asDict() for r in report.collect()]  # five rows
@@ -50,7 +74,8 @@ def run(spark: SparkSession, sf_dir: str, out: str, gate_mode: str = "stop") ->
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
     models = {m: getattr(panel, m) for m, _, _ in QC.COLUMN_TESTS}
     tests = [r.asDict() for r in QC.column_tests(models).collect()]  # 28 rows
-    return {"gate": gate_rows, "marts": counts, "column_tests": tests, "seconds": round(time.perf_counter() - t0, 2)}
+    return {"gate": gate_rows, "marts": counts, "column_tests": tests, "sized": sized,
+            "seconds": round(time.perf_counter() - t0, 2)}
 
 
 def main(argv=None) -> None:
@@ -59,13 +84,14 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--gate", choices=("stop", "report"), default="stop")
     ap.add_argument("--local", default=None, help="local[N] master for a single-machine run")
+    ap.add_argument("--size", action="store_true", help="size shuffle partitions and splits from the input")
     a = ap.parse_args(argv)
     if a.local:
         from yardstick.session import build_session
         spark = build_session(a.local)
     else:
         spark = SparkSession.builder.appName("yardstick-run").getOrCreate()
-    print(json.dumps(run(spark, a.sf_dir, a.out, a.gate), default=str))
+    print(json.dumps(run(spark, a.sf_dir, a.out, a.gate, a.size), default=str))
 
 
 if __name__ == "__main__":
