@@ -50,11 +50,10 @@ def anti_join_union(primary: DataFrame, secondary: DataFrame, keys: Sequence[str
     return primary.unionByName(secondary.join(primary.select(*keys), list(keys), "left_anti"))
 
 
-def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p: PanelParams) -> DataFrame:
-    """K5: country×indicator×year panel, batch preferred, enriched with the goal dimension.
+def merged_panel(batch_stg: DataFrame, stream_stg: DataFrame, p: PanelParams) -> DataFrame:
+    """Batch rows plus the stream rows whose key the batch lacks (14 columns).
 
-    Stream rows get a NULL goal (so the goal join can never fill them), a member
-    flag of true and no 'target' milestone.
+    Stream rows get a NULL goal, a member flag of true and no 'target' milestone.
     """
     batch = batch_stg.select(*COMBINED_BASE[:-1], F.lit("batch").alias("data_source"))
     stream = stream_stg.select(
@@ -68,7 +67,15 @@ def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p
     # per-series consumers (year over year, latest/baseline) key on (entity, metric):
     # cluster the merge by those so they need no further exchange; a series holds
     # at most one row per side and year, so partitions stay bounded under skew
-    merged = priority_union(batch, stream, cluster_by=("country_code", "indicator_code"))
+    return priority_union(batch, stream, cluster_by=("country_code", "indicator_code"))
+
+
+def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p: PanelParams) -> DataFrame:
+    """K5: the merged panel enriched with the goal dimension.
+
+    The join is on the goal, so it can never fill the NULL goal of stream rows.
+    """
+    merged = merged_panel(batch_stg, stream_stg, p)
     g = goals_stg.select(F.col("goal").alias("__g_goal"), "goal_title", "sdg_pillar")
     # few goal keys: a shuffle on goal would put whole goals in single tasks, so the
     # goal dimension is probed and broadcast when bounded

@@ -681,3 +681,11 @@ def q_stream_lake(spark, sf_dir):
         ST.lake_sink(lake, _P, clock=lambda: _AS_OF.replace(" ", "T"))).trigger(availableNow=True).start()
     ST.run_once(q)
     return FS.read_batches(spark, lake).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("priority_union", O.with_ctes("SELECT * FROM unioned"))
+def q_priority_union(spark, sf_dir):
+    """G2/H4 alone: batch ∪ (stream ▷ batch) on (country, indicator, year), before enrichment."""
+    from yardstick.operators.combine import merged_panel
+    pn = _panel(spark, sf_dir)
+    return merged_panel(pn.stg_batch, pn.stg_stream, _P)
