@@ -106,7 +106,8 @@ PEER_COLS = ("country_code", "country_name", "goal", "goal_title", "sdg_pillar",
              "indicators_achieved", "indicators_on_track", "indicators_off_track", "income_group", "data_as_of")
 
 
-def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams) -> DataFrame:
+def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams,
+                    cut_lineage: bool = False) -> DataFrame:
     """rank() within goal by score desc (E3) and difference from the goal average.
 
     A goal partition of a window would hold every peer entity of that goal in
@@ -116,11 +117,19 @@ def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams)
     score; the goal average is carried in the same table. It is broadcast and
     joined back on (goal, score), NULL-safe: the NULL-goal group is a
     partition of its own.
+
+    The peer rows feed both the histogram and the join-back, and the two
+    branches prune columns differently, so their upstream stages cannot be
+    shared; ``cut_lineage`` checkpoints the peer rows (reliably, in the
+    checkpoint folder) so the scores chain runs once. Not needed when the
+    scores are already a checkpoint (``Panel.materialize``).
     """
     east = in_set(scores, "country_code", peers, p.broadcast_max_rows)
     c = dim_c.select(F.col("country_code").alias("__c_code"), "region", "income_group")
     east = east.join(c, east["country_code"] == c["__c_code"], "inner")
     east = east.withColumn("__t", _tenths("avg_goal_score"))
+    if cut_lineage:
+        east = east.checkpoint(eager=True)
 
     # (goal, score) histogram: scores are tenths clamped to [0, 1000], so it has at
     # most 1001 rows per goal whatever the number of entities; windows over it are

@@ -134,10 +134,12 @@ class Panel:
 
     @_model
     def peer_comparison(self) -> DataFrame:
+        ensure_checkpoint_dir(self.spark)
         # dim_countries is the country table plus per-country score totals, one row
         # per country; the peer mart reads only region and income group, so it joins
         # the country table and skips the second aggregation over the scores
-        return M.peer_comparison(self.scores, self.stg_countries, self.peers, self.p)
+        return M.peer_comparison(self.scores, self.stg_countries, self.peers, self.p,
+                                 cut_lineage="scores" not in self._overrides)
 
     def materialize(self) -> "Panel":
         """Cut lineage where several outputs share work: the raw tables (physical
