@@ -13,7 +13,6 @@ from yardstick.operators import routing as R
 from yardstick.operators.upsert import duplicate_keys, upsert
 from yardstick.params import REFERENCE, TOPIC_FAILED, TOPIC_VALIDATED
 from yardstick.sources import files as FS
-from yardstick.sources import panel as src
 from yardstick.streaming import stream as ST
 
 

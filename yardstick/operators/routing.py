@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yardstick.functions import columns as C
 from yardstick.operators.dims import member_flag
 from yardstick.params import (
     REQUIRED_FIELDS,

@@ -161,7 +161,7 @@ def lake_stream(spark: SparkSession, path: str, topic: str | None = None,
     With a checkpoint, each envelope file is read exactly once whatever day it
     landed on (the reference only loads today's prefix and misses late flushes).
     """
-    from yardstick.sources.files import ENVELOPE_LINE, topic_prefix  # noqa: F401 (schema reuse)
+    from yardstick.sources.files import ENVELOPE_LINE
     reader = spark.readStream.schema(ENVELOPE_LINE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
