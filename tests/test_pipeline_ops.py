@@ -199,3 +199,22 @@ def test_lake_sink_replay_is_idempotent(spark, tmp_path):
     assert back.count() == 2 * routed.count()
     assert rows(back.groupBy("topic").count()) == rows(routed.groupBy("topic").count().select(
         "topic", (F.col("count") * 2).alias("count")))
+
+
+def test_stream_table_compaction(spark, tmp_path):
+    """Snapshot + newer log equals the fold of the whole log; reads after compaction skip old batches."""
+    log, snaps = str(tmp_path / "log"), str(tmp_path / "snap")
+    msg = ('{{"goal":1,"indicator_code":"X","indicator_name":"n","country_code":"KEN","country_name":"Kenya",'
+           '"year":2020,"value":{v},"record_id":"{r}","extracted_at":"e{v}"}}')
+    writer = ST.log_batches(log)
+    for batch_id, (r, v, off) in enumerate([("r1", 1, 0), ("r2", 2, 1), ("r1", 3, 2), ("r3", 4, 3)]):
+        writer(ST.decode(_transport(spark, [msg.format(r=r, v=v)], offset0=off)), batch_id)
+        if batch_id == 1:
+            assert ST.compact(spark, log, snaps) == 1
+    full = rows(ST.current_table(spark, log), "record_id", "value", "extracted_at", "batch_file")
+    assert full == [("r1", D("3.0000"), "e3", "batch_0"), ("r2", D("2.0000"), "e2", "batch_1"),
+                    ("r3", D("4.0000"), "e4", "batch_3")]
+    assert rows(ST.current_table(spark, log, snaps), "record_id", "value", "extracted_at", "batch_file") == full
+    assert ST.compact(spark, log, snaps) == 3
+    assert rows(ST.current_table(spark, log, snaps), "record_id", "value", "extracted_at", "batch_file") == full
+    assert ST.compact(spark, log, snaps) == 3  # nothing new

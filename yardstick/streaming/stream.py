@@ -213,18 +213,67 @@ def log_batches(log_path: str, topic: str = TOPIC_VALIDATED) -> Callable[[DataFr
     return write
 
 
-def current_table(spark: SparkSession, log_path: str) -> DataFrame:
-    """The upserted stream table over the log (H2): first arrival keeps every column
-    but value and extracted_at, which come from the last arrival in (partition,
-    offset) order; batch_file names the micro-batch of the first arrival."""
-    log = spark.read.parquet(log_path)
-    cols = ["record_id", "goal", "indicator_code", "indicator_name", "country_code", "country_name", "year",
-            "value", "unit", "obs_status", "source", "extracted_at", "published_at"]
-    rows = log.select(*[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in cols], F.concat(F.lit("batch_"), F.col("batch_id").cast("string")).alias("batch_file"),
-                      "batch_id", "partition", "offset")
+LOG_COLS = ("record_id", "goal", "indicator_code", "indicator_name", "country_code", "country_name", "year",
+            "value", "unit", "obs_status", "source", "extracted_at", "published_at")
+
+
+def _log_rows(log: DataFrame) -> DataFrame:
+    return log.select(*[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in LOG_COLS],
+                      F.concat(F.lit("batch_"), F.col("batch_id").cast("string")).alias("batch_file"),
+                      "partition", "offset")
+
+
+def _fold(snapshot: DataFrame | None, log: DataFrame) -> DataFrame:
     # Kafka keys by country, so a record id always lands in one partition and its
-    # offsets there are its arrival order; the batch id is not needed for order.
-    return upsert(None, rows.drop("batch_id"), ["record_id"], list(STREAM_UPDATE), ["partition", "offset"])
+    # offsets there are its arrival order; snapshot rows precede every log row.
+    return upsert(snapshot, _log_rows(log), ["record_id"], list(STREAM_UPDATE), ["partition", "offset"])
+
+
+def latest_snapshot(spark: SparkSession, snapshot_root: str | None) -> tuple[DataFrame | None, int]:
+    """The newest complete snapshot (folder ``upto=<batch id>`` with ``_SUCCESS``) and the id it covers."""
+    if not snapshot_root:
+        return None, -1
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(snapshot_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None, -1
+    done = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            done.append(int(name.split("=", 1)[1]))
+    if not done:
+        return None, -1
+    upto = max(done)
+    return spark.read.parquet(f"{snapshot_root.rstrip('/')}/upto={upto}"), upto
+
+
+def current_table(spark: SparkSession, log_path: str, snapshot_root: str | None = None) -> DataFrame:
+    """The upserted stream table (H2): the newest snapshot folded with the log
+    partitions after it. First arrival keeps every column but value and
+    extracted_at, which come from the last arrival in (partition, offset) order;
+    batch_file names the micro-batch of the first arrival."""
+    snapshot, upto = latest_snapshot(spark, snapshot_root)
+    log = spark.read.parquet(log_path).filter(F.col("batch_id") > upto)
+    return _fold(snapshot, log)
+
+
+def compact(spark: SparkSession, log_path: str, snapshot_root: str) -> int:
+    """Fold the log up to its newest batch into a new snapshot; returns the batch id covered.
+
+    Reads then stay bounded by the log written since the last compaction. A
+    snapshot without ``_SUCCESS`` (a failed compaction) is never read, and the
+    log is never modified, so a compaction can be retried at any time.
+    """
+    snapshot, upto = latest_snapshot(spark, snapshot_root)
+    log = spark.read.parquet(log_path).filter(F.col("batch_id") > upto)
+    newest = log.agg(F.max("batch_id")).first()[0]  # one scalar
+    if newest is None:
+        return upto
+    _fold(snapshot, log.filter(F.col("batch_id") <= newest)).write.mode("overwrite") \
+        .parquet(f"{snapshot_root.rstrip('/')}/upto={newest}")
+    return int(newest)
 
 
 def transport_rows(messages: DataFrame, topic: str = TOPIC_VALIDATED) -> DataFrame:
