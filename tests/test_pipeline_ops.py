@@ -182,8 +182,9 @@ def test_processing_time_trigger_and_landing_pruning(spark, tmp_path):
     base = str(tmp_path / "landing")
     FS.write_landing(obs, base, "2026-03-29 10:00:00")
     FS.write_landing(obs, base, "2026-03-30 10:00:00")
+    FS.write_landing(obs, base, "2026-03-30 18:00:00")  # same day again: replaced, not duplicated
     day = FS.read_landing(spark, base, "2026/03/30")
-    assert day.count() == 1
+    assert day.count() == 1 and FS.read_landing(spark, base).count() == 2
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "isnotnull(d" in plan
 

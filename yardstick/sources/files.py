@@ -47,10 +47,14 @@ def read_indicator_tree(spark: SparkSession, path: str) -> DataFrame:
 # ---- A4: date-partitioned landing -----------------------------------------------------------
 
 def write_landing(df: DataFrame, base: str, landed_at: str) -> None:
-    """Copy to ``base/y=YYYY/m=MM/d=DD`` for the landing day (A4)."""
+    """Copy to ``base/y=YYYY/m=MM/d=DD`` for the landing day (A4).
+
+    Only that day's folder is replaced (dynamic partition overwrite), so landing
+    the same day again is idempotent and other days are untouched.
+    """
     ts = F.lit(landed_at).cast("timestamp")
     df.withColumns({"y": F.date_format(ts, "yyyy"), "m": F.date_format(ts, "MM"), "d": F.date_format(ts, "dd")}) \
-        .write.mode("append").partitionBy("y", "m", "d").json(base)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("y", "m", "d").json(base)
 
 
 def read_landing(spark: SparkSession, base: str, day: str | None = None) -> DataFrame:
