@@ -89,14 +89,16 @@ def q_on_track(spark, sf_dir):
     return M.on_track_count(_panel(spark, sf_dir).tracker)
 
 
-SERIES_ENTITY, SERIES_METRIC = "C000000001", "1-URGENT"
-
-
-@register("series", O.with_ctes(
-    f"SELECT year, value, data_source FROM combined WHERE country_code = '{SERIES_ENTITY}' "
-    f"AND indicator_code = '{SERIES_METRIC}'"))
+@register("series", O.with_ctes("""
+SELECT c.country_code, c.indicator_code, c.year, c.value, c.data_source
+FROM combined c
+JOIN (SELECT country_code, indicator_code FROM combined WHERE value IS NOT NULL
+      GROUP BY country_code, indicator_code
+      ORDER BY count(*) DESC, country_code, indicator_code LIMIT 1) k
+  ON c.country_code = k.country_code AND c.indicator_code = k.indicator_code"""))
 def q_series(spark, sf_dir):
-    return M.series(_panel(spark, sf_dir).fct_progress, SERIES_ENTITY, SERIES_METRIC)
+    """The series with the most observed periods, over the years."""
+    return M.longest_series(_panel(spark, sf_dir).fct_progress)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
