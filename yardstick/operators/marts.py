@@ -188,13 +188,15 @@ def series(fct: DataFrame, entity: str, metric: str) -> DataFrame:
 def longest_series(fct: DataFrame) -> DataFrame:
     """K19 for the series with the most observed periods (ties: smallest entity, then metric).
 
-    The pick is one aggregate over every series (one row, broadcast); the series
-    itself is a semi join, ordered by period at the output edge.
+    One pass: per series, the number of non-NULL values and its rows (a group
+    bounded by the number of periods: one row per period after staging); one
+    ``min_by`` over all series picks the winner, whose rows are expanded and
+    ordered by period at the output edge.
     """
-    counts = fct.filter(F.col("value").isNotNull()).groupBy("country_code", "indicator_code") \
-        .agg(F.count(F.lit(1)).alias("__n"))
-    pick = counts.agg(F.min_by(F.struct("country_code", "indicator_code"),
-                               F.struct(-F.col("__n"), F.col("country_code"), F.col("indicator_code"))).alias("k")) \
-        .select(F.col("k.country_code").alias("country_code"), F.col("k.indicator_code").alias("indicator_code"))
-    one = fct.join(F.broadcast(pick), ["country_code", "indicator_code"], "left_semi")  # pick has one row
-    return one.select("country_code", "indicator_code", "year", "value", "data_source").orderBy("year")
+    per = fct.groupBy("country_code", "indicator_code").agg(
+        F.count("value").alias("__n"),
+        F.collect_list(F.struct("year", "value", "data_source")).alias("__rows"))
+    pick = per.agg(F.min_by(F.struct("country_code", "indicator_code", "__rows"),
+                            F.struct(-F.col("__n"), F.col("country_code"), F.col("indicator_code"))).alias("k"))
+    return pick.select(F.col("k.country_code").alias("country_code"), F.col("k.indicator_code").alias("indicator_code"),
+                       F.inline("k.__rows")).orderBy("year")
