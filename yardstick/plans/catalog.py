@@ -291,6 +291,7 @@ def _column_tests_sql() -> str:
 
 @register("column_tests", _column_tests_sql())
 def q_column_tests(spark, sf_dir):
+    # one plan over eleven models; the lifecycle run (plans/run.py) tests a materialised panel instead
     pn = _panel(spark, sf_dir)
     models = {m: getattr(pn, m) for m, _, _ in QC.COLUMN_TESTS}
     return QC.column_tests(models)

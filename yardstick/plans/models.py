@@ -126,7 +126,13 @@ class Panel:
 
     @_model
     def tracker(self) -> DataFrame:
-        return M.tracker(self.scores, self.dim_countries, self.p)
+        # the tracker reads the scores twice (rows and per-country totals of the
+        # country dimension): cut lineage there unless the scores are a checkpoint
+        if "scores" in self._overrides:
+            return M.tracker(self.scores, self.dim_countries, self.p)
+        ensure_checkpoint_dir(self.spark)
+        scores = self.scores.checkpoint(eager=True)
+        return M.tracker(scores, M.dim_countries(self.stg_countries, scores), self.p)
 
     @_model
     def goal_summary(self) -> DataFrame:
