@@ -219,3 +219,22 @@ def test_stream_table_compaction(spark, tmp_path):
     assert ST.compact(spark, log, snaps) == 3
     assert rows(ST.current_table(spark, log, snaps), "record_id", "value", "extracted_at", "batch_file") == full
     assert ST.compact(spark, log, snaps) == 3  # nothing new
+
+
+def test_indicator_tree_and_lake_provenance(spark, tmp_path):
+    obs = spark.createDataFrame([(1, "SI.POV.DDAY", "n", "KEN", "Kenya", "KE", 2020, 1.0, None, None, "s", "e"),
+                                 (3, "SH.DYN.MORT", "n", "KEN", "Kenya", "KE", 2020, 2.0, None, None, "s", "e")],
+                                schemas.OBSERVATION)
+    FS.write_observations(obs, str(tmp_path / "obs"))
+    folders = sorted(p.name for p in (tmp_path / "obs" / "by_indicator").iterdir() if p.is_dir())
+    assert folders == ["indicator_slug=SH_DYN_MORT", "indicator_slug=SI_POV_DDAY"]
+    assert FS.read_observations(spark, str(tmp_path / "obs" / "combined")).count() == 2
+
+    data = [{"country_code": "KEN", "record_id": "a"}, {"country_code": "FRA", "record_id": "b"}]
+    routed = R.fan_out(R.validate(msg_df(spark, data), REFERENCE), REFERENCE.members, REFERENCE)
+    FS.write_batches(routed, str(tmp_path / "lake"), "2026-03-30T12:00:00", REFERENCE)
+    back = FS.read_batches(spark, str(tmp_path / "lake"), TOPIC_VALIDATED)
+    got = back.select("record_id", "batch_file", "source_file", "pos").collect()
+    assert sorted(r.record_id for r in got) == ["a", "b"]
+    assert all(r.batch_file.startswith("streaming/kafka-batches/validated/2026/03/30/batch_20260330_120000_")
+               and r.source_file.endswith(".json") and r.pos >= 0 for r in got)
