@@ -95,12 +95,27 @@ def test_progress_score_cases(spark):
 
 def test_minutes_between_and_within_days(spark):
     df = spark.createDataFrame([("2026-03-30T12:00:00Z", "2026-03-30 12:30:00")], "e string, c string")
-    r = df.select(C.minutes_between(F.col("c").cast("timestamp"), C.parse_iso("e")).alias("m"),
-                  C.within_days(C.parse_iso("e"), 7, "2026-04-05 00:00:00").alias("w1"),
-                  C.within_days(C.parse_iso("e"), 7, "2026-04-07 00:00:00").alias("w2")).first()
+    r = df.select(C.minutes_between(F.col("c").cast("timestamp_ntz"), C.parse_iso_utc("e")).alias("m"),
+                  C.within_days(C.parse_iso_utc("e"), 7, "2026-04-05 00:00:00").alias("w1"),
+                  C.within_days(C.parse_iso_utc("e"), 7, "2026-04-07 00:00:00").alias("w2")).first()
     assert r.m == 30.0 and r.w1 is True and r.w2 is False
 
 
+def test_time_functions_do_not_depend_on_session_zone(spark):
+    df = spark.createDataFrame([("2026-03-30T23:30:00Z", "2026-03-31 00:15:00")], "e string, c string")
+    out = []
+    for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            r = df.select(C.minutes_between(F.col("c").cast("timestamp_ntz"), C.parse_iso_utc("e")).alias("m"),
+                          F.date_format(C.parse_iso_utc("e"), "yyyy-MM-dd HH:mm").alias("d"),
+                          C.within_days(C.parse_iso_utc("e"), 1, "2026-03-31 23:00:00").alias("w")).first()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        out.append(tuple(r))
+    assert out == [(45.0, "2026-03-30 23:30", True)] * 3
+
+
 def test_slug_and_date_path(spark):
     df = spark.createDataFrame([("SI.POV.DDAY", "2026-03-30 12:15:00")], "c string, t string")
     r = df.select(C.slug("c").alias("s"), C.date_path(F.col("t").cast("timestamp")).alias("p"),

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from yardstick.params import PILLARS, PROGRESS_CLASSES, PROGRESS_FLOOR_LABEL, PanelParams
 
@@ -192,15 +193,33 @@ def parse_iso(c) -> Column:
     return fixed.try_cast("timestamp")
 
 
+def utc_wall(c) -> Column:
+    """An instant (TIMESTAMP) as its UTC wall-clock time (TIMESTAMP_NTZ), whatever the session time zone.
+
+    Naive timestamps in this model are UTC wall-clock times; comparing or
+    subtracting in that form keeps results independent of the session zone.
+    """
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(c).cast("timestamp_ntz"))
+
+
+def as_utc_wall(c, dtype) -> Column:
+    """``c`` as UTC wall-clock TIMESTAMP_NTZ given its type (naive values are taken as UTC already)."""
+    return col(c) if isinstance(dtype, TimestampNTZType) else utc_wall(c)
+
+
+def parse_iso_utc(c) -> Column:
+    """``parse_iso`` as UTC wall-clock TIMESTAMP_NTZ."""
+    return utc_wall(parse_iso(c))
+
+
 def minutes_between(end, start) -> Column:
-    """(end - start) in minutes as double."""
-    diff = F.unix_micros(col(end).cast("timestamp")) - F.unix_micros(col(start).cast("timestamp"))
-    return diff.cast("double") / F.lit(60000000.0)
+    """(end - start) in minutes as double (B17); both UTC wall-clock TIMESTAMP_NTZ."""
+    return F.timestamp_diff("MICROSECOND", col(start), col(end)).cast("double") / F.lit(60000000.0)
 
 
 def within_days(ts, days: int, as_of: str) -> Column:
-    """ts > as_of - days (B18); ``as_of`` is passed in, so results are reproducible."""
-    return col(ts).cast("timestamp") > (F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS"))
+    """ts > as_of - days (B18) on UTC wall-clock times; ``as_of`` is passed in, so results are reproducible."""
+    return col(ts) > (F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
 def date_path(ts) -> Column:

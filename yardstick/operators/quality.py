@@ -34,10 +34,8 @@ def gate_report(raw_batch: DataFrame, raw_stream: DataFrame, p: PanelParams, as_
         F.count_if((F.col("year") < p.min_year) | (F.col("year") > p.max_year)).alias("bad_years"),
         F.count_if((F.col("value") < 0) & ~F.col("indicator_code").isin(*p.exempt_metrics)).alias("negatives"),
     )
-    s = raw_stream.agg(
-        F.count_if(C.parse_iso("extracted_at") > (F.lit(as_of).cast("timestamp")
-                                                 - F.make_dt_interval(F.lit(p.gate_recent_days))))
-        .alias("recent"))
+    s = raw_stream.agg(F.count_if(C.within_days(C.parse_iso_utc("extracted_at"), p.gate_recent_days, as_of))
+                       .alias("recent"))
     batch_rows = _rows(b, [
         ("min_rows", F.col("n"), F.col("n") >= p.gate_min_rows),
         ("no_null_codes", F.col("bad_codes"), F.col("bad_codes") == 0),

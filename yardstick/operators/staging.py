@@ -67,7 +67,8 @@ def stg_stream(raw: DataFrame, p: PanelParams) -> DataFrame:
         F.col("published_at"),
         F.col("batch_file"),
         F.col("created_at"),
-        C.minutes_between("created_at", C.parse_iso("extracted_at")).alias("pipeline_latency_minutes"),
+        C.minutes_between(C.as_utc_wall("created_at", raw.schema["created_at"].dataType),
+                          C.parse_iso_utc("extracted_at")).alias("pipeline_latency_minutes"),
     )
 
 

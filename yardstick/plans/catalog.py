@@ -538,7 +538,7 @@ def q_scalar_text_time(spark, sf_dir):
         F.format_string("%s:%d", "event_type", "event_id").alias("message"),
         C.slug(F.concat("event_type", F.lit(".a.b"))).alias("slug"),
         F.md5(F.concat_ws("_", "event_type", F.col("user_id").cast("string"))).alias("md5_key"),
-        F.date_format(C.parse_iso(iso), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+        F.date_format(C.parse_iso_utc(iso), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
         C.minutes_between(F.timestamp_add("SECOND", F.col("event_id"), F.col("ts")), "ts").alias("minutes"),
         C.within_days("ts", 7, _AS_OF).alias("recent"),
         C.date_path("ts").alias("date_path"),
