@@ -100,9 +100,13 @@ def test_api_replies_normalise(spark):
     ], "indicator_code string, reply string")
     dic = spark.createDataFrame([("SI.POV.DDAY", 1, "Poverty")], schemas.INDICATORS)
     out = FS.normalise_api_pages(replies, dic, "now")
-    assert rows(out, "goal", "indicator_code", "indicator_name", "country_code", "country_name", "year", "value") == \
-        sorted([(1, "SI.POV.DDAY", "Poverty", "KEN", "Kenya", 2019, 36.1),
-                (None, "XX.UNKNOWN", "", "KEN", "", 2018, 2.0)], key=repr)
+    assert rows(out, "goal", "indicator_code", "indicator_name", "country_code", "country_name", "country_id",
+                "year", "value", "unit", "obs_status") == \
+        sorted([(1, "SI.POV.DDAY", "Poverty", "KEN", "Kenya", "KE", 2019, 36.1, None, ""),   # JSON null kept
+                (None, "XX.UNKNOWN", "", "KEN", "", "", 2018, 2.0, "", "")], key=repr)        # missing -> ''
+    nodate = spark.createDataFrame([("SI.POV.DDAY", '[{},[{"countryiso3code":"KEN","value":1}]]')],
+                                   "indicator_code string, reply string")
+    assert FS.normalise_api_pages(nodate, dic, "now").first().year == 0  # int(raw.get("date", 0))
 
 
 def test_multiline_json_array_file(spark, tmp_path):

@@ -79,8 +79,16 @@ def api_reply_pages(rows: DataFrame, page_key: Column, per_page: int = 1000) ->
     g = rows.groupBy("indicator_code", page_key.alias("page")).agg(
         F.count(F.lit(1)).alias("total"), F.collect_list("api_row").alias("rows"))
     meta = F.to_json(F.struct(F.col("page"), F.lit(per_page).alias("per_page"), F.col("total")))
-    return g.select("indicator_code", F.concat(F.lit("["), meta, F.lit(","), F.to_json("rows"), F.lit("]"))
-                    .alias("reply"))
+    # explicit JSON nulls are kept (a missing field and a null field mean different things to the reader)
+    body = F.to_json("rows", {"ignoreNullFields": "false"})
+    return g.select("indicator_code", F.concat(F.lit("["), meta, F.lit(","), body, F.lit("]")).alias("reply"))
+
+
+def _field(obj: Column, keys: Column, name: str, default) -> Column:
+    """``obj.get(name, default)``: the field's value when the key is present (a JSON
+    null stays NULL), ``default`` when it is absent."""
+    present = F.coalesce(F.array_contains(keys, name), F.lit(False))
+    return F.when(present, F.get_json_object(obj, f"$.{name}")).otherwise(F.lit(default))
 
 
 def normalise_api_pages(raw: DataFrame, indicators: DataFrame, extracted_at: str) -> DataFrame:
@@ -89,26 +97,31 @@ def normalise_api_pages(raw: DataFrame, indicators: DataFrame, extracted_at: str
     ``raw``: (indicator_code, reply text). Error replies and empty pages have no
     second element and vanish in the explode; NULL rows and rows without a value
     are dropped. The goal and name come from the indicator dictionary (a
-    broadcast lookup with defaults, C8). Field defaults follow the extractor;
-    a JSON null and a missing field both read as NULL here.
+    broadcast lookup with defaults, C8). Each row is kept as JSON text so that a
+    missing field takes the extractor's default ('' or 0 for the date) while an
+    explicit JSON null stays NULL.
     """
-    rows = F.from_json(F.get_json_object("reply", "$[1]"), schemas.API_ROWS)
+    rows = F.from_json(F.get_json_object("reply", "$[1]"), "array<string>")
     ex = raw.select("indicator_code", F.explode(rows).alias("r")).filter(
-        F.col("r").isNotNull() & F.col("r.value").isNotNull())
+        F.col("r").isNotNull() & F.get_json_object("r", "$.value").isNotNull())
+    ex = ex.select("indicator_code", "r", F.json_object_keys("r").alias("k"),
+                   F.get_json_object("r", "$.country").alias("c"))
+    ex = ex.withColumn("ck", F.json_object_keys("c"))
     d = indicators.select(F.col("indicator_code").alias("__d_code"), F.col("goal").alias("__d_goal"),
                           F.col("indicator_name").alias("__d_name"))
     j = join_dimension(ex, d, ex["indicator_code"] == d["__d_code"], "left", checked=True)
+    r, k, c, ck = F.col("r"), F.col("k"), F.col("c"), F.col("ck")
     return j.select(
         F.col("__d_goal").alias("goal"),
         F.col("indicator_code"),
         C.field_or("__d_name", "").alias("indicator_name"),
-        C.field_or("r.countryiso3code", "").alias("country_code"),
-        C.field_or("r.country.value", "").alias("country_name"),
-        C.field_or("r.country.id", "").alias("country_id"),
-        F.col("r.date").try_cast("int").alias("year"),
-        F.col("r.value").cast("double").alias("value"),
-        F.col("r.unit").alias("unit"),
-        F.col("r.obs_status").alias("obs_status"),
+        _field(r, k, "countryiso3code", "").alias("country_code"),
+        _field(c, ck, "value", "").alias("country_name"),
+        _field(c, ck, "id", "").alias("country_id"),
+        _field(r, k, "date", "0").try_cast("int").alias("year"),
+        F.get_json_object(r, "$.value").try_cast("double").alias("value"),
+        _field(r, k, "unit", "").alias("unit"),
+        _field(r, k, "obs_status", "").alias("obs_status"),
         F.lit(SOURCE_NAME).alias("source"),
         F.lit(extracted_at).alias("extracted_at"),
     )
