@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from yardstick.functions.columns import is_member
+
 MAX_LITERAL_ROWS = 10_000
 
 
@@ -61,14 +63,6 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(side, on(fact, side) if callable(on) else on, how)
 
 
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def member_flag(df: DataFrame, code_col: str, members, out: str, max_rows: int = 100_000) -> DataFrame:
     """Add a boolean ``out``: is ``code_col`` (as is, untrimmed) in ``members``.
 
@@ -77,7 +71,7 @@ def member_flag(df: DataFrame, code_col: str, members, out: str, max_rows: int =
     broadcast only when bounded). Never NULL.
     """
     if not isinstance(members, DataFrame):
-        return df.withColumn(out, F.coalesce(F.col(code_col).isin(*list(members)), F.lit(False)))
+        return df.withColumn(out, is_member(code_col, members))
     m = members.select(F.col(members.columns[0]).alias("__member_code")).distinct()
     m = m.withColumn("__is_member", F.lit(True))
     joined = join_dimension(df, m, df[code_col] == m["__member_code"], "left", max_rows)

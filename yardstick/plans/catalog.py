@@ -401,6 +401,7 @@ def q_lake_topics(spark, sf_dir):
 # ---- streaming (J1-J9) over file streams, availableNow -----------------------------------------
 
 
+RAW_INPUT_TOPIC = "sdg-raw-input"  # the producer's input as a topic, for the routing streams
 STREAM_FILES = 4  # arrival folders landed before the stream starts; about one micro-batch each
 
 
@@ -456,13 +457,9 @@ def q_stream_route(spark, sf_dir):
     """Raw messages streamed through validation and fan-out into a topic-partitioned
     sink (exactly-once file sink), read back per topic."""
     src_dir, ckpt, out = _stream_dirs(spark, "stream-route")
-    msgs = src.stream_messages(spark, sf_dir)
-    payload = [c for c in R.MESSAGE_FIELDS if c in msgs.columns]
-    transport = msgs.select(F.lit("sdg-raw-input").alias("topic"), F.col("country_code").alias("key"),
-                            F.to_json(F.struct(*payload)).alias("value"), F.lit(0).alias("partition"),
-                            F.col("arrival_seq").cast("long").alias("offset"))
+    transport = ST.transport_rows(src.stream_messages(spark, sf_dir), RAW_INPUT_TOPIC)
     _write_arrivals(transport, src_dir)
-    decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {"format": "json", "path": src_dir}))
+    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir}))
     routed = ST.with_batch_metrics(ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P))
     q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
     ST.run_once(q)
@@ -670,14 +667,10 @@ def q_stream_lake(spark, sf_dir):
     """§3.2 consumer: raw messages streamed through validation and fan-out and flushed per
     micro-batch to the lake as envelopes (idempotent per batch id); the lake read back per topic."""
     src_dir, ckpt, lake = _stream_dirs(spark, "stream-lake")
-    msgs = src.stream_messages(spark, sf_dir)
-    payload = [c for c in R.MESSAGE_FIELDS if c in msgs.columns]
-    transport = msgs.select(F.lit("sdg-raw-input").alias("topic"), F.col("country_code").alias("key"),
-                            F.to_json(F.struct(*payload)).alias("value"), F.lit(0).alias("partition"),
-                            F.col("arrival_seq").cast("long").alias("offset"))
+    transport = ST.transport_rows(src.stream_messages(spark, sf_dir), RAW_INPUT_TOPIC)
     _write_arrivals(transport, src_dir)
     n_files = len(spark.read.schema(ST.TRANSPORT).json(src_dir).inputFiles())
-    decoded = ST.decode(ST.read_topics(spark, ["sdg-raw-input"], {
+    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {
         "format": "json", "path": src_dir, "maxFilesPerTrigger": max(1, -(-n_files // STREAM_FILES))}))
     routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
     q = routed.writeStream.option("checkpointLocation", ckpt).foreachBatch(
