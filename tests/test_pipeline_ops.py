@@ -242,3 +242,18 @@ def test_indicator_tree_and_lake_provenance(spark, tmp_path):
     assert sorted(r.record_id for r in got) == ["a", "b"]
     assert all(r.batch_file.startswith("streaming/kafka-batches/validated/2026/03/30/batch_20260330_120000_")
                and r.source_file.endswith(".json") and r.pos >= 0 for r in got)
+
+
+def test_versioned_table_upsert_and_failed_write(spark, tmp_path):
+    from yardstick.sources.tables import current_version, upsert_into
+    root = str(tmp_path / "t")
+    first = spark.createDataFrame([("k1", "a", D("1"), 0), ("k2", "b", D("2"), 1)],
+                                  "k string, name string, value decimal(18,4), seq int")
+    assert upsert_into(spark, root, first, ["k"], ["value"], ["seq"]) == 1
+    second = spark.createDataFrame([("k1", "z", D("5"), 0), ("k3", "c", D("3"), 1)],
+                                   "k string, name string, value decimal(18,4), seq int")
+    assert upsert_into(spark, root, second, ["k"], ["value"], ["seq"]) == 2
+    (tmp_path / "t" / "v=3").mkdir()  # an interrupted write: no _SUCCESS
+    table, version = current_version(spark, root)
+    assert version == 2
+    assert rows(table) == [("k1", "a", D("5.0000")), ("k2", "b", D("2.0000")), ("k3", "c", D("3.0000"))]

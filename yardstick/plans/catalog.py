@@ -685,3 +685,16 @@ def q_priority_union(spark, sf_dir):
     from yardstick.operators.combine import merged_panel
     pn = _panel(spark, sf_dir)
     return merged_panel(pn.stg_batch, pn.stg_stream, _P)
+
+
+@register("batch_table_versioned", ORACLE["batch_table_upsert"])
+def q_batch_table_versioned(spark, sf_dir):
+    """H1 "result to a new table version": the batch table written as version 1, the messages
+    upserted into it as version 2, the current version read back."""
+    from yardstick.sources.tables import current_version, upsert_into, write_version
+    root = scratch_path(spark, "batch-table")
+    write_version(_panel(spark, sf_dir).raw_batch, root, 1)
+    incoming = _validated(spark, sf_dir).filter("valid").select(*_BATCH_COLS, "arrival_ts", "arrival_seq")
+    upsert_into(spark, root, incoming, ["country_code", "indicator_code", "year"], ["value", "extracted_at"],
+                ["arrival_ts", "arrival_seq"])
+    return current_version(spark, root)[0]

@@ -233,16 +233,8 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str | None) -> tuple[Dat
     """The newest complete snapshot (folder ``upto=<batch id>`` with ``_SUCCESS``) and the id it covers."""
     if not snapshot_root:
         return None, -1
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(snapshot_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None, -1
-    done = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            done.append(int(name.split("=", 1)[1]))
+    from yardstick.sources.tables import completed_versions
+    done = completed_versions(spark, snapshot_root, prefix="upto=")
     if not done:
         return None, -1
     upto = max(done)
