@@ -185,11 +185,15 @@ def write_marts(panel: Panel, base: str, names=MART_NAMES) -> dict[str, str]:
     The raw tables, K5 and K8 are checkpointed once (reliably, in the shared
     checkpoint folder), so the seven marts do not each re-run the staging and
     merge plans. A panel that is already materialised is used as it is.
+    Each mart is published as a new version (``<base>/<mart>/v=<n>``): readers of
+    ``tables.current_version`` see the previous complete version until the new
+    one has been written completely.
     """
+    from yardstick.sources.tables import current_version, write_version
+
     m = panel if {"combined", "scores"} <= set(panel._overrides) else panel.materialize()
     paths = {}
     for name in names:
-        path = f"{base.rstrip('/')}/{name}"
-        getattr(m, name).write.mode("overwrite").parquet(path)
-        paths[name] = path
+        root = f"{base.rstrip('/')}/{name}"
+        paths[name] = write_version(getattr(m, name), root, current_version(m.spark, root)[1] + 1)
     return paths
