@@ -157,7 +157,8 @@ class Panel:
         ensure_checkpoint_dir(self.spark)
         m = Panel(self.spark, self.sf_dir, self.p)
         for name in ("raw_batch", "raw_stream"):
-            m._overrides[name] = getattr(self, name).checkpoint(eager=True)
+            given = self._overrides.get(name)  # already a table: read as it is
+            m._overrides[name] = given if given is not None else getattr(self, name).checkpoint(eager=True)
         m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
         m._overrides["combined"] = m.combined.checkpoint(eager=True)
         m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
