@@ -76,3 +76,42 @@ def test_priority_union_matches_not_exists(spark, batch, stream):
     b = spark.createDataFrame(batch, schema)
     s = spark.createDataFrame(stream, schema)
     assert rows(CB.priority_union(b, s)) == rows(CB.anti_join_union(b, s))
+
+
+def first_failure(r, p):
+    """The validation rules as plain Python, in their fixed order (None when valid)."""
+    for f in ("goal", "indicator_code", "country_code", "country_name", "year", "value"):
+        if r[f] is None:
+            return f"Missing required field: {f}"
+    if not p.min_goal <= r["goal"] <= p.max_goal:
+        return f"Invalid goal number: {r['goal']}"
+    if not p.min_year <= r["year"] <= p.max_year:
+        return f"Invalid year: {r['year']}"
+    if r["value"] < 0 and r["indicator_code"] not in p.exempt_metrics:
+        return f"Unexpected negative value: {float(r['value'])}"
+    if len(r["country_code"]) != p.code_length:
+        return f"Invalid country code: {r['country_code']}"
+    return None
+
+
+record = st.fixed_dictionaries({
+    "goal": st.one_of(st.none(), st.integers(-2, 20)),
+    "indicator_code": st.one_of(st.none(), st.sampled_from(["SI.POV.DDAY", "NY.GDP.MKTP.KD.ZG"])),
+    "country_code": st.one_of(st.none(), st.sampled_from(["KEN", "KENYA", "", "NG"])),
+    "country_name": st.one_of(st.none(), st.just("Kenya")),
+    "year": st.one_of(st.none(), st.integers(1995, 2035)),
+    "value": st.one_of(st.none(), st.sampled_from([-2.5, -1.0, 0.0, 3.25, 100.0])),
+})
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(record, min_size=1, max_size=40))
+def test_validation_matches_rule_list(spark, recs):
+    from yardstick.operators.routing import validate
+    from yardstick.params import REFERENCE as P
+    schema = ("goal int, indicator_code string, country_code string, country_name string, year int, "
+              "value double, i int")
+    df = spark.createDataFrame([(r["goal"], r["indicator_code"], r["country_code"], r["country_name"], r["year"],
+                                 r["value"], i) for i, r in enumerate(recs)], schema)
+    got = {row.i: row.failure_reason for row in validate(df, P).select("i", "failure_reason").collect()}
+    assert got == {i: first_failure(r, P) for i, r in enumerate(recs)}
