@@ -22,3 +22,17 @@ def test_recommended_conf_sizes_by_volume():
     assert small["spark.sql.shuffle.partitions"] == "16"            # at least two waves over the cores
     assert big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))   # 256 MB per partition
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_apply_scale_conf_keeps_explicit_settings(spark):
+    from yardstick.plans.run import apply_scale_conf, input_bytes
+    assert input_bytes(spark, SF001) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        applied = apply_scale_conf(spark, SF001)
+        assert "spark.sql.shuffle.partitions" not in applied            # set when the session was built
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert applied.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+    finally:
+        for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.unset(k)
