@@ -30,6 +30,8 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # per-call Python call-site capture for error contexts: ~8 extra driver
         # round trips per Column operation while plans are built; off for runs
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # remove checkpoint files once their DataFrames are garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if event_log_dir:
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
