@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from yardstick.llm.mixing import op8_pfair_mixing
+from yardstick.llm.neardup import op4_tensored_minhash
+from yardstick.llm.packing import op9_harmonic_packing
 from yardstick.llm.sharding import op10_external_shuffle
 
 QUERIES = {
+    "op4_tensored_minhash": op4_tensored_minhash,
+    "op8_pfair_mixing": op8_pfair_mixing,
+    "op9_harmonic_packing": op9_harmonic_packing,
     "op10_external_shuffle": op10_external_shuffle,
 }
 ORACLE_SQL: dict[str, str] = {}
