@@ -170,6 +170,21 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, half:
                       F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
+def kept_documents(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that near_duplicates keeps: one of each group, with their columns.
+
+    Rows that share a doc_id are one document, of which one row stays; every row with a null
+    doc_id and no identified near-duplicate stays.
+    """
+    verdict = near_duplicates(docs, n_words, percent)
+    gone = store(verdict.where(~F.col("kept")).select("doc_id").distinct(), "near-duplicates")
+    repeated = store(verdict.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                     .where("n > 1").select("doc_id"), "repeated-ids")
+    left = docs.join(gone, "doc_id", "left_anti")
+    once = left.join(repeated, "doc_id", "left_anti")
+    return once.unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
 def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on two-word shingles at 80 %."""
     return near_duplicates(table(spark, sf_dir, "documents"), n_words=2, percent=80)
