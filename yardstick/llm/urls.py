@@ -3,7 +3,7 @@
 Labelled page outcomes (blocked or allowed) are counted by host, registered domain (the last
 two labels) and suffix (the last). Each level has a beta prior: its mean is the posterior mean
 one level up, its strength comes from how much the level's rates differ from those means beyond
-binomial noise (method of moments). A host is blocked where the lower bound of its posterior
+binomial noise (method of moments), and is no more than what the level up is itself known with. A host is blocked where the lower bound of its posterior
 blocked rate is above one half.
 """
 
@@ -60,13 +60,16 @@ def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("ns"), F.sum("k").alias("ks"))
     suffixes = suffixes.withColumn("p0", F.coalesce(total, F.lit(0.5)))
     s1 = _strength(suffixes, "ns", "ks", "p0")
-    suffixes = store(suffixes.select("suffix", ((F.col("ks") + s1 * F.col("p0")) / (F.col("ns") + s1)).alias("ps")), "suffixes")
+    suffixes = store(suffixes.select("suffix", ((F.col("ks") + s1 * F.col("p0")) / (F.col("ns") + s1)).alias("ps"),
+                                     (F.col("ns") + s1).alias("es")), "suffixes")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("nd"), F.sum("k").alias("kd"))
     domains = store(salted_join(domains, suffixes, ["suffix"], ["domain"]), "domains")
-    s2 = _strength(domains, "nd", "kd", "ps")
-    domains = domains.select("domain", ((F.col("kd") + s2 * F.col("ps")) / (F.col("nd") + s2)).alias("pd"))
+    domains = domains.withColumn("s2", 1 / (1 / _strength(domains, "nd", "kd", "ps") + 1 / F.col("es")))
+    domains = domains.select("domain", ((F.col("kd") + F.col("s2") * F.col("ps")) / (F.col("nd") + F.col("s2"))).alias("pd"),
+                             (F.col("nd") + F.col("s2")).alias("ed"))
     hosts = store(salted_join(hosts, domains, ["domain"], ["host"]), "hosts")
-    s3 = _strength(hosts, "n", "k", "pd")
+    hosts = hosts.withColumn("s3", 1 / (1 / _strength(hosts, "n", "k", "pd") + 1 / F.col("ed")))
+    s3 = F.col("s3")
     hosts = hosts.withColumn("a", F.col("k") + s3 * F.col("pd")).withColumn("b", F.col("n") - F.col("k") + s3 * (1 - F.col("pd")))
     ab = F.col("a") + F.col("b")
     hosts = hosts.withColumn("mean", F.col("a") / ab)
@@ -123,14 +126,16 @@ h AS (SELECT host, n, k, regexp_extract(site, '([^.]*[.])?[^.]*$', 0) AS domain,
       regexp_extract(site, '[^.]*$', 0) AS suffix FROM h0),
 s0 AS (SELECT suffix, sum(n) AS ns, sum(k) AS ks, (SELECT (sum(k) + 1) / (sum(n) + 2) FROM h) AS p0 FROM h GROUP BY suffix),
 s1 AS ({strength('ns', 'ks', 'p0', 's0')}),
-sx AS (SELECT suffix, (ks + (SELECT s FROM s1) * p0) / (ns + (SELECT s FROM s1)) AS ps FROM s0),
+sx AS (SELECT suffix, (ks + (SELECT s FROM s1) * p0) / (ns + (SELECT s FROM s1)) AS ps, ns + (SELECT s FROM s1) AS es FROM s0),
 d0 AS (SELECT domain, suffix, sum(n) AS nd, sum(k) AS kd FROM h GROUP BY domain, suffix),
-d1 AS (SELECT d0.*, ps FROM d0 JOIN sx USING (suffix)),
+d1 AS (SELECT d0.*, ps, es FROM d0 JOIN sx USING (suffix)),
 s2 AS ({strength('nd', 'kd', 'ps', 'd1')}),
-dx AS (SELECT domain, (kd + (SELECT s FROM s2) * ps) / (nd + (SELECT s FROM s2)) AS pd FROM d1),
-h1 AS (SELECT h.*, pd FROM h JOIN dx USING (domain)),
+d2 AS (SELECT *, 1 / (1 / (SELECT s FROM s2) + 1 / es) AS t FROM d1),
+dx AS (SELECT domain, (kd + t * ps) / (nd + t) AS pd, nd + t AS ed FROM d2),
+h1 AS (SELECT h.*, pd, ed FROM h JOIN dx USING (domain)),
 s3 AS ({strength('n', 'k', 'pd', 'h1')}),
-hb AS (SELECT host, k + (SELECT s FROM s3) * pd AS a, n - k + (SELECT s FROM s3) * (1 - pd) AS b FROM h1),
+h2 AS (SELECT *, 1 / (1 / (SELECT s FROM s3) + 1 / ed) AS t FROM h1),
+hb AS (SELECT host, k + t * pd AS a, n - k + t * (1 - pd) AS b FROM h2),
 hx AS (SELECT host, a / (a + b) AS mean, a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM hb)
 SELECT page_id, host, path, rule, coalesce(says, CASE WHEN bound > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
        round(mean, 6) AS host_mean, round(bound, 6) AS host_bound
