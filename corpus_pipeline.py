@@ -23,7 +23,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less their repeated chunks; every row stays, n_chars follows the text."""
-    out = dedup_lines(docs).drop("n_lines", "n_removed")
+    out = dedup_lines(docs, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)

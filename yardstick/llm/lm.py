@@ -273,8 +273,10 @@ def _runs(keys_of, shard_of):
     """Count the keys of a partition's texts and send them as sorted, compressed runs by shard."""
     def flush(parts):
         keys, counts = unique(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+        if not len(keys):
+            return
         shard = shard_of(keys)
-        starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else []
+        starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
         cols: dict = {"shard": [], "keys": [], "counts": [], "n": []}
         for a, b in zip(starts, [*starts[1:], len(shard)], strict=True):
             k = keys[a:b]

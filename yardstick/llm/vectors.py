@@ -118,9 +118,7 @@ class CoverTree:
             if dist[self.centre[a], self.centre[b]] > radius[a] + radius[b] + tau + SLACK:
                 continue
             alive[a, b] = alive[b, a] = True
-            deeper = self.kids[b] if self.level[b] <= self.level[a] else []
-            frontier += [(a, k) for k in deeper]
-            frontier += [(k, b) for k in (self.kids[a] if self.level[a] <= self.level[b] else [])]
+            frontier += [(a, k) for k in self.kids[b]] + [(k, b) for k in self.kids[a]]
         return alive
 
 
