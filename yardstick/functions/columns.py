@@ -14,7 +14,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from yardstick.params import PILLARS, PROGRESS_CLASSES, PROGRESS_FLOOR_LABEL, PanelParams
 
-VALUE_TYPE = "decimal(18,4)"
+VALUE_TYPE = "decimal(24,4)"  # |value| < 1e20
 WIDE_INT = "decimal(38,0)"
 
 
@@ -45,8 +45,12 @@ def field_or(struct_field, default) -> Column:
 # ---- B4/B5/B30: numeric -----------------------------------------------------
 
 def to_value(c) -> Column:
-    """Cast an observation value to the engine's decimal, rounded to 4 places."""
-    return F.round(col(c).cast("decimal(38,10)"), 4).cast(VALUE_TYPE)
+    """Cast an observation value to the engine's decimal, rounded to 4 places.
+
+    A value that is not a number below 1e20 becomes NULL (under any ANSI setting)
+    and is dropped by the value rule; it never stops a job.
+    """
+    return F.round(col(c).try_cast("decimal(38,10)"), 4).try_cast(VALUE_TYPE)
 
 
 def clean_value(value, metric, exempt: Iterable[str]) -> Column:
@@ -70,7 +74,7 @@ def scaled(c, places: int = 4) -> Column:
 
 def _floor_div(x: Column, y: Column) -> Column:
     """floor(x / y) for x >= 0, y > 0, exact on wide integers."""
-    return ((x - F.pmod(x, y)) / y).cast("long")
+    return ((x - F.pmod(x, y)) / y).cast(WIDE_INT)
 
 
 def round_ratio(num, den, factor: int) -> Column:
@@ -79,18 +83,19 @@ def round_ratio(num, den, factor: int) -> Column:
     ``num`` and ``den`` are integral columns (see ``scaled``); NULL when either
     is NULL or den is 0. Engines disagree on decimal-division scale and double
     ties, so rates and scores are held as integer units (tenths, hundredths)
-    computed with this one rule.
+    computed with this one rule. The result is a wide integer: for observation
+    values (|value| < 1e20) and factors up to 10000 nothing in it overflows.
     """
     n, d = col(num).cast(WIDE_INT), col(den).cast(WIDE_INT)
     q = _floor_div(F.abs(n) * 2 * factor + F.abs(d), F.abs(d) * 2)
     neg = ((n < 0) & (d > 0)) | ((n > 0) & (d < 0))
-    return F.when(d == 0, F.lit(None).cast("long")).otherwise(F.when(neg, -q).otherwise(q))
+    return F.when(d == 0, F.lit(None).cast(WIDE_INT)).otherwise(F.when(neg, -q).otherwise(q))
 
 
 def round_mean(total, count) -> Column:
     """round(total / count) half up, for a non-negative integral total."""
     t, n = col(total).cast(WIDE_INT), col(count).cast(WIDE_INT)
-    return F.when(n == 0, F.lit(None).cast("long")).otherwise(_floor_div(t * 2 + n, n * 2))
+    return F.when(n == 0, F.lit(None).cast(WIDE_INT)).otherwise(_floor_div(t * 2 + n, n * 2))
 
 
 def units_to_decimal(units, scale: int, precision: int = 18) -> Column:
@@ -128,7 +133,7 @@ def pillar(goal) -> Column:
     g = col(goal)
     e = None
     for (lo, hi), name in PILLARS:
-        cond = g.isin(*range(lo, hi + 1))
+        cond = g.between(lo, hi)
         e = F.when(cond, name) if e is None else e.when(cond, name)
     return e.otherwise("Unknown")
 
@@ -169,18 +174,20 @@ def progress_score_tenths(status, latest, baseline, target, direction) -> Column
     """0-100 progress score in integer tenths.
 
     achieved -> 1000 before the NULL-baseline test; baseline already past the
-    target -> 1000; otherwise clamp(round(1000 * progress / needed), 0, 1000).
+    target -> 1000; no progress from the baseline -> 0, target reached -> 1000 (by
+    comparison, so an outlier needs no division); in between round(1000 * progress / needed).
     """
     s, l, b, t, d = col(status), col(latest), col(baseline), col(target), col(direction)
     L, B, T = scaled(l), scaled(b), scaled(t)
-    lower = round_ratio(B - L, B - T, 1000)
-    higher = round_ratio(L - B, T - B, 1000)
+    none, full, zero = F.lit(None).cast("long"), F.lit(1000).cast("long"), F.lit(0).cast("long")
+    lower = round_ratio(B - L, B - T, 1000).cast("long")
+    higher = round_ratio(L - B, T - B, 1000).cast("long")
     return (
-        F.when(s == "achieved", F.lit(1000).cast("long"))
-        .when(b.isNull(), F.lit(None).cast("long"))
-        .when(d == "lower", F.when(b <= t, F.lit(1000).cast("long")).otherwise(clamp(lower, 0, 1000)))
-        .when(d == "higher", F.when(b >= t, F.lit(1000).cast("long")).otherwise(clamp(higher, 0, 1000)))
-        .otherwise(F.lit(None).cast("long"))
+        F.when(s == "achieved", full)
+        .when(b.isNull(), none)
+        .when(d == "lower", F.when((b <= t) | (l <= t), full).when(l >= b, zero).otherwise(lower))
+        .when(d == "higher", F.when((b >= t) | (l >= t), full).when(l <= b, zero).otherwise(higher))
+        .otherwise(none)
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yardstick.functions import columns as C
-from yardstick.operators.dims import join_dimension
 from yardstick.params import PanelParams
 
 PANEL_KEYS = ("country_code", "indicator_code", "year")
@@ -50,11 +49,8 @@ def anti_join_union(primary: DataFrame, secondary: DataFrame, keys: Sequence[str
     return primary.unionByName(secondary.join(primary.select(*keys), list(keys), "left_anti"))
 
 
-def merged_panel(batch_stg: DataFrame, stream_stg: DataFrame, p: PanelParams) -> DataFrame:
-    """Batch rows plus the stream rows whose key the batch lacks (14 columns).
-
-    Stream rows get a NULL goal, a member flag of true and no 'target' milestone.
-    """
+def _sides(batch_stg: DataFrame, stream_stg: DataFrame, p: PanelParams) -> tuple[DataFrame, DataFrame]:
+    """Both sides in the 14 columns of the merge: stream rows get a NULL goal, a member flag of true and no 'target' milestone."""
     batch = batch_stg.select(*COMBINED_BASE[:-1], F.lit("batch").alias("data_source"))
     stream = stream_stg.select(
         "indicator_code", "country_code", "country_name",
@@ -64,26 +60,31 @@ def merged_panel(batch_stg: DataFrame, stream_stg: DataFrame, p: PanelParams) ->
         C.milestone("year", p, with_target=False).alias("sdg_milestone"),
         F.lit("streaming").alias("data_source"),
     )
-    # per-series consumers (year over year, latest/baseline) key on (entity, metric):
-    # cluster the merge by those so they need no further exchange; a series holds
-    # at most one row per side and year, so partitions stay bounded under skew
-    return priority_union(batch, stream, cluster_by=("country_code", "indicator_code"))
+    return batch, stream
+
+
+def merged_panel(batch_stg: DataFrame, stream_stg: DataFrame, p: PanelParams) -> DataFrame:
+    """Batch rows plus the stream rows whose key the batch lacks (14 columns).
+
+    Per-series consumers (year over year, latest/baseline) key on (entity, metric): the merge
+    is clustered by those so they need no further exchange; a series holds at most one row per
+    side and year, so partitions stay bounded under skew.
+    """
+    return priority_union(*_sides(batch_stg, stream_stg, p), cluster_by=("country_code", "indicator_code"))
 
 
 def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p: PanelParams) -> DataFrame:
     """K5: the merged panel enriched with the goal dimension.
 
-    The join is on the goal, so it can never fill the NULL goal of stream rows.
+    Stream rows have no goal, so the goal join can never match them: the batch side is enriched
+    before the union and stream rows take typed NULLs. No NULL key enters the join, and the
+    merge's partitioning by series is kept for its consumers.
     """
-    merged = merged_panel(batch_stg, stream_stg, p)
     g = goals_stg.select(F.col("goal").alias("__g_goal"), "goal_title", "sdg_pillar")
-    # few goal keys: a shuffle on goal would put whole goals in single tasks, so the
-    # goal dimension is probed and broadcast when bounded
-    enriched = join_dimension(merged, g, lambda f, d: f["goal"] == d["__g_goal"], "left", p.broadcast_max_rows,
-                              probe=True)
-    return enriched.select(
-        "indicator_code", "country_code", "country_name",
-        F.coalesce(F.col("goal"), F.col("__g_goal")).alias("goal"),
-        "goal_title", "sdg_pillar", "indicator_name", "year", "value", "unit", "obs_status", "source",
-        "extracted_at", "is_african_country", "sdg_milestone", "data_source",
+    batch, stream = _sides(batch_stg, stream_stg, p)
+    batch = batch.join(g, batch["goal"] == g["__g_goal"], "left").drop("__g_goal")
+    stream = stream.withColumns({c: F.lit(None).cast(goals_stg.schema[c].dataType) for c in ("goal_title", "sdg_pillar")})
+    return priority_union(batch, stream, cluster_by=("country_code", "indicator_code")).select(
+        "indicator_code", "country_code", "country_name", "goal", "goal_title", "sdg_pillar", "indicator_name", "year",
+        "value", "unit", "obs_status", "source", "extracted_at", "is_african_country", "sdg_milestone", "data_source",
     )

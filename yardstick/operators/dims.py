@@ -1,14 +1,8 @@
-"""Dimension joins with a checked broadcast.
+"""Dimensions: literal relations, member flags and set membership.
 
-Three cases. (1) A side built from a parameter list: its length is known on the
-driver, so it is broadcast. (2) A side whose size Catalyst can bound from file
-statistics (a scan, or an aggregate/join of scans): a plain join, so the
-planner broadcasts it under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-re-plans from the measured stage size otherwise. (3) A small derived side
-whose statistics are the size of a huge input (e.g. the distinct goals of the
-orders table) and whose shuffle would be skewed (few keys): ``probe=True``
-counts at most ``max_rows + 1`` of its rows and broadcasts only under the bound,
-else falls back to the shuffle join.
+Joins are plain: a scan is broadcast by the planner from its file statistics, a
+derived side by adaptive execution once its stage is measured. Only a literal
+relation carries a broadcast hint, because its length is known here.
 """
 
 from __future__ import annotations
@@ -21,66 +15,33 @@ from pyspark.sql.types import StructType
 
 from yardstick.functions.columns import is_member
 
-MAX_LITERAL_ROWS = 10_000
+BROADCAST_ROWS = 10_000
 
 
 def literal_dimension(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    """A small relation from parameter rows (A14/A15); broadcast, size known here."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"literal dimension has {len(rows)} rows; load it as a table instead")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A relation from parameter rows (A14/A15): broadcast if short, joined as the planner likes otherwise."""
+    df = spark.createDataFrame(list(rows), schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows, else return it unchanged.
-
-    The probe fetches at most ``max_rows + 1`` rows; when they are all the rows,
-    they are broadcast as they are (a broadcast passes through the driver
-    anyway), so the main plan does not compute the dimension a second time.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = 100_000, checked: bool = False, probe: bool = False) -> DataFrame:
-    """Join a fact to a dimension (see the module notes for the three cases).
-
-    ``checked=True``: the caller knows the side is small (``literal_dimension``).
-    ``probe=True``: count-probe the side and broadcast it only under ``max_rows``.
-    Otherwise the planner decides from statistics, and AQE at run time.
-    ``on`` may be a callable ``(fact, side) -> Column`` (needed with ``probe``,
-    whose broadcast side is a new relation).
-    """
-    side = maybe_broadcast(dim, max_rows) if (probe and not checked) else dim
-    return fact.join(side, on(fact, side) if callable(on) else on, how)
-
-
-def member_flag(df: DataFrame, code_col: str, members, out: str, max_rows: int = 100_000) -> DataFrame:
+def member_flag(df: DataFrame, code_col: str, members, out: str) -> DataFrame:
     """Add a boolean ``out``: is ``code_col`` (as is, untrimmed) in ``members``.
 
     ``members`` is either a list of codes (an ``isin`` test, for a fixed set)
-    or a one-column DataFrame of codes that grows with the data (a left join,
-    broadcast only when bounded). Never NULL.
+    or a one-column DataFrame of codes that grows with the data (a left join).
+    Never NULL.
     """
     if not isinstance(members, DataFrame):
         return df.withColumn(out, is_member(code_col, members))
     m = members.select(F.col(members.columns[0]).alias("__member_code")).distinct()
     m = m.withColumn("__is_member", F.lit(True))
-    joined = join_dimension(df, m, df[code_col] == m["__member_code"], "left", max_rows)
+    joined = df.join(m, df[code_col] == m["__member_code"], "left")
     return joined.withColumn(out, F.coalesce(F.col("__is_member"), F.lit(False))).drop("__member_code", "__is_member")
 
 
-def in_set(df: DataFrame, code_col: str, members, max_rows: int = 100_000) -> DataFrame:
+def in_set(df: DataFrame, code_col: str, members) -> DataFrame:
     """Keep rows whose code is in ``members`` (list -> isin, DataFrame -> semi join)."""
     if not isinstance(members, DataFrame):
         return df.filter(F.col(code_col).isin(*list(members)))
     m = members.select(F.col(members.columns[0]).alias("__member_code")).distinct()
-    return join_dimension(df, m, df[code_col] == m["__member_code"], "left_semi", max_rows)
+    return df.join(m, df[code_col] == m["__member_code"], "left_semi")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from yardstick.functions import columns as C
 from yardstick.operators.dims import in_set
-from yardstick.params import PanelParams
+from yardstick.params import PROGRESS_CLASSES, PROGRESS_FLOOR_LABEL, PanelParams
 
 
 def fct_progress(combined: DataFrame) -> DataFrame:
@@ -55,16 +55,24 @@ def dim_goals(goals_stg: DataFrame) -> DataFrame:
     return goals_stg.select("goal", "goal_title", "goal_description", "sdg_pillar", "target_year")
 
 
-def tracker(scores: DataFrame, dim_c: DataFrame, p: PanelParams) -> DataFrame:
-    """Scores + country context, progress class and periods remaining."""
-    c = dim_c.select(F.col("country_code").alias("__c_code"), "region", "income_group", "income_tier",
-                     "overall_sdg_score")
-    j = scores.join(c, scores["country_code"] == c["__c_code"], "left")
+def tracker(scores: DataFrame, countries_stg: DataFrame, p: PanelParams) -> DataFrame:
+    """Scores + country context, progress class and periods remaining.
+
+    The overall score is a window over the entity, which has at most one row per goal, so the
+    scores are read once; it is NULL for an entity that the country dimension lacks.
+    """
+    by_entity = Window.partitionBy("country_code")
+    t = _tenths("avg_goal_score")
+    overall = C.units_to_decimal(C.round_mean(F.sum(t).over(by_entity), F.count(t).over(by_entity)), 1, 5)
+    c = countries_stg.select(F.col("country_code").alias("__c_code"), "region", "income_group", "income_tier")
+    j = scores.withColumn("__overall", overall)
+    j = j.join(c, j["country_code"] == c["__c_code"], "left")
     return j.select(
         "country_code", "country_name", "goal", "goal_title", "sdg_pillar", "indicators_tracked",
         "avg_goal_score", "indicators_achieved", "indicators_on_track", "indicators_off_track", "data_as_of",
-        "region", "income_group", "income_tier", "overall_sdg_score",
-        C.progress_category(_tenths("avg_goal_score")).alias("progress_category"),
+        "region", "income_group", "income_tier",
+        F.when(F.col("__c_code").isNotNull(), F.col("__overall")).alias("overall_sdg_score"),
+        C.progress_category(t).alias("progress_category"),
         C.years_left("data_as_of", p.horizon_year).alias("years_remaining"),
     )
 
@@ -75,19 +83,26 @@ def goal_summary(scores: DataFrame, ordered: bool = True) -> DataFrame:
     ``ordered`` sorts by goal at the output edge (the mart's order); consumers
     that aggregate it further take the unordered relation."""
     t = _tenths("avg_goal_score")
-    agg = scores.groupBy("goal", "goal_title", "sdg_pillar").agg(
-        F.count_distinct("country_code").alias("countries_tracked"),
-        F.sum(t).alias("__sum"),
-        F.count(t).alias("__n"),
-        F.min("avg_goal_score").alias("lowest_country_score"),
-        F.max("avg_goal_score").alias("highest_country_score"),
-        F.sum("indicators_achieved").alias("total_achieved"),
-        F.sum("indicators_on_track").alias("total_on_track"),
-        F.sum("indicators_off_track").alias("total_off_track"),
+    group = ("goal", "goal_title", "sdg_pillar")
+    # per (goal, entity) first: the distinct count needs no set of entities in any task
+    per = scores.groupBy(*group, "country_code").agg(
+        F.sum(t).alias("__s"), F.count(t).alias("__c"), F.min("avg_goal_score").alias("__lo"), F.max("avg_goal_score").alias("__hi"),
+        F.sum("indicators_achieved").alias("__a"), F.sum("indicators_on_track").alias("__t"), F.sum("indicators_off_track").alias("__f"))
+    agg = per.groupBy(*group).agg(
+        F.count("country_code").alias("countries_tracked"),
+        F.sum("__s").alias("__sum"),
+        F.sum("__c").alias("__n"),
+        F.min("__lo").alias("lowest_country_score"),
+        F.max("__hi").alias("highest_country_score"),
+        F.sum("__a").alias("total_achieved"),
+        F.sum("__t").alias("total_on_track"),
+        F.sum("__f").alias("total_off_track"),
     )
     s, n = F.col("__sum"), F.col("__n")
-    status = (F.when(s >= n * 750, "On track").when(s >= n * 500, "Moderate progress")
-              .when(s >= n * 250, "Limited progress").otherwise("Off track"))
+    status = None  # the classes of B36 on the unrounded mean
+    for lo, label in PROGRESS_CLASSES:
+        status = F.when(s >= n * lo * 10, label) if status is None else status.when(s >= n * lo * 10, label)
+    status = status.otherwise(PROGRESS_FLOOR_LABEL)
     out = agg.select(
         "goal", "goal_title", "sdg_pillar", "countries_tracked",
         C.units_to_decimal(C.round_mean(s, n), 1, 5).alias("africa_avg_score"),
@@ -97,40 +112,30 @@ def goal_summary(scores: DataFrame, ordered: bool = True) -> DataFrame:
     )
     if not ordered:
         return out
-    # at most one row per goal: order it in one task (the final merge of the per-goal
-    # partial aggregates), without the sampling job and range shuffle of a global sort
-    return out.coalesce(1).sortWithinPartitions(F.asc_nulls_last("goal"))
+    return out.orderBy(F.asc_nulls_last("goal"))  # one row per goal
 
 
 PEER_COLS = ("country_code", "country_name", "goal", "goal_title", "sdg_pillar", "avg_goal_score",
              "indicators_achieved", "indicators_on_track", "indicators_off_track", "income_group", "data_as_of")
 
 
-def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams,
-                    cut_lineage: bool = False) -> DataFrame:
+def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams) -> DataFrame:
     """rank() within goal by score desc (E3) and difference from the goal average.
 
     A goal partition of a window would hold every peer entity of that goal in
     one task (there are ~17 goals), so neither is computed as a window over the
     rows. The rank is read from a per-goal score histogram (scores are tenths
     in [0, 100], so <= 1001 rows per goal): rank = 1 + rows with a higher
-    score; the goal average is carried in the same table. It is broadcast and
-    joined back on (goal, score), NULL-safe: the NULL-goal group is a
-    partition of its own.
-
-    The peer rows feed both the histogram and the join-back, and the two
-    branches prune columns differently, so their upstream stages cannot be
-    shared; ``cut_lineage`` checkpoints the peer rows (reliably, in the
-    checkpoint folder) so the scores chain runs once. Not needed when the
-    scores are already a checkpoint (``Panel.materialize``).
+    score; the goal average is carried in the same table. It is joined back on
+    (goal, score), NULL-safe: the NULL-goal group is a partition of its own.
+
+    The peer rows feed both the histogram and the join-back: give it scores
+    read from a table (``Panel.materialize``) where that should run once.
     """
-    east = in_set(scores, "country_code", peers, p.broadcast_max_rows)
+    east = in_set(scores, "country_code", peers)
     c = dim_c.select(F.col("country_code").alias("__c_code"), "region", "income_group")
     east = east.join(c, east["country_code"] == c["__c_code"], "inner")
     east = east.withColumn("__t", _tenths("avg_goal_score"))
-    if cut_lineage:
-        east = east.checkpoint(eager=True)
-
     # (goal, score) histogram: scores are tenths clamped to [0, 1000], so it has at
     # most 1001 rows per goal whatever the number of entities; windows over it are
     # per goal but tiny, and the goal's sum/count ride along for the average.
@@ -144,9 +149,7 @@ def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams,
         F.sum(F.col("__t") * F.col("__cnt")).over(by_goal).alias("__gsum"),
         F.sum("__cnt").over(by_goal).alias("__gn"),
     )
-    # bounded by construction (<= 1001 rows per goal): broadcast, so the peer rows
-    # are never shuffled on the few goal keys
-    j = east.join(F.broadcast(ranks),
+    j = east.join(ranks,
                   east["goal"].eqNullSafe(ranks["__h_goal"]) & east["__t"].eqNullSafe(ranks["__h_t"]), "left")
     diff = C.round_ratio(F.col("__t") * F.col("__gn") - F.col("__gsum"), F.col("__gn"), 1)
     return j.select(*PEER_COLS, F.col("ea_rank").cast("long").alias("ea_rank"),
@@ -179,8 +182,8 @@ def on_track_count(tracker_df: DataFrame) -> DataFrame:
     return tracker_df.agg(F.count_if(F.col("progress_category") == "On track").alias("on_track_combinations"))
 
 
-def series(fct: DataFrame, entity: str, metric: str) -> DataFrame:
-    """One series over the periods (ordered at the output edge)."""
+def series(fct: DataFrame, entity, metric) -> DataFrame:
+    """One series over the periods (ordered at the output edge); entity and metric: values or columns."""
     return fct.filter((F.col("country_code") == entity) & (F.col("indicator_code") == metric)) \
         .select("year", "value", "data_source").orderBy("year")
 
@@ -188,15 +191,12 @@ def series(fct: DataFrame, entity: str, metric: str) -> DataFrame:
 def longest_series(fct: DataFrame) -> DataFrame:
     """K19 for the series with the most observed periods (ties: smallest entity, then metric).
 
-    One pass: per series, the number of non-NULL values and its rows (a group
-    bounded by the number of periods: one row per period after staging); one
-    ``min_by`` over all series picks the winner, whose rows are expanded and
-    ordered by period at the output edge.
+    Counts per series, one ``min_by`` over them picks the winner, and a semi join with
+    that one row keeps its periods, ordered at the output edge.
     """
-    per = fct.groupBy("country_code", "indicator_code").agg(
-        F.count("value").alias("__n"),
-        F.collect_list(F.struct("year", "value", "data_source")).alias("__rows"))
-    pick = per.agg(F.min_by(F.struct("country_code", "indicator_code", "__rows"),
+    per = fct.groupBy("country_code", "indicator_code").agg(F.count("value").alias("__n"))
+    pick = per.agg(F.min_by(F.struct("country_code", "indicator_code"),
                             F.struct(-F.col("__n"), F.col("country_code"), F.col("indicator_code"))).alias("k"))
-    return pick.select(F.col("k.country_code").alias("country_code"), F.col("k.indicator_code").alias("indicator_code"),
-                       F.inline("k.__rows")).orderBy("year")
+    pick = F.broadcast(pick.select("k.country_code", "k.indicator_code"))  # one row
+    return fct.join(pick, ["country_code", "indicator_code"], "left_semi").select(
+        "country_code", "indicator_code", "year", "value", "data_source").orderBy("year")

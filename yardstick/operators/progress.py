@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yardstick.functions import columns as C
-from yardstick.operators.dims import join_dimension
 from yardstick.params import PanelParams
 
 SERIES = ("country_code", "indicator_code")
@@ -44,9 +43,9 @@ def year_over_year(combined: DataFrame) -> DataFrame:
         "country_code", "country_name", "indicator_code", "indicator_name", "goal", "goal_title",
         "year", "value", "previous_year_value", "previous_year", "is_african_country",
         (F.col("value") - F.col("previous_year_value")).cast(C.VALUE_TYPE).alias("absolute_change"),
-        F.when(zero_prev, None).otherwise(C.units_to_decimal(pct, 2)).alias("pct_change"),
+        F.when(zero_prev, None).otherwise(C.units_to_decimal(pct, 2, 38)).alias("pct_change"),
         elapsed.alias("years_elapsed"),
-        F.when(zero_prev | (elapsed == 0), None).otherwise(C.units_to_decimal(ann, 2))
+        F.when(zero_prev | (elapsed == 0), None).otherwise(C.units_to_decimal(ann, 2, 38))
         .alias("annualised_pct_change"),
     )
 
@@ -102,7 +101,7 @@ def target_gaps(combined: DataFrame, targets: DataFrame, p: PanelParams) -> Data
         F.when(F.col("baseline_value").isNotNull(), F.lit(p.baseline_year)).alias("baseline_year"),
     )
     t = targets.select(F.col("indicator_code").alias("__t_code"), "target_value", "direction")
-    j = join_dimension(agg, t, agg["indicator_code"] == t["__t_code"], "left", checked=True)
+    j = agg.join(t, agg["indicator_code"] == t["__t_code"], "left")
     lv, bv, tv = F.col("latest_value"), F.col("baseline_value"), F.col("target_value")
     return j.select(
         "country_code", "country_name", "indicator_code", "indicator_name", "goal", "goal_title",

@@ -46,33 +46,23 @@ def gate_report(raw_batch: DataFrame, raw_stream: DataFrame, p: PanelParams, as_
     return batch_rows.unionByName(stream_rows)
 
 
-def gate(report: DataFrame) -> dict:
-    """Raise when any check failed; the report has five rows, so collecting it is bounded."""
-    rows = report.collect()  # five rows
+def gate_verdict(report: DataFrame) -> DataFrame:
+    """I9 as a relation, one row: checks passed and failed, the failed names, and whether to stop."""
+    failed = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("check_name"))))
+    return report.agg(
+        F.count_if("passed").alias("checks_passed"), F.count_if(~F.col("passed")).alias("checks_failed"),
+        F.array_join(failed, ",").alias("failed_checks"), (F.count_if(~F.col("passed")) > 0).alias("stop"))
+
+
+def gate(report) -> dict:
+    """Raise when any check failed. ``report``: the relation or its five collected rows."""
+    rows = report.collect() if isinstance(report, DataFrame) else report
     failed = [f"{r['check_name']} (observed {r['observed']})" for r in rows if not r["passed"]]
     if failed:
         raise GateFailed(f"Data quality checks failed: {failed}")
     return {"passed": len(rows), "failed": 0}
 
 
-def not_null(df: DataFrame, cols: Iterable[str], model: str) -> DataFrame:
-    """I10 for several columns in one pass: (model, column_name, test, failures)."""
-    cols = list(cols)
-    a = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__nn{i}") for i, c in enumerate(cols)])
-    return a.select(F.inline(F.array(*[
-        F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit("not_null").alias("test"),
-                 F.col(f"__nn{i}").alias("failures"))
-        for i, c in enumerate(cols)
-    ])))
-
-
-def unique(df: DataFrame, col: str, model: str) -> DataFrame:
-    """Number of non-NULL values that occur more than once."""
-    dup = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(col).alias("column_name"), F.lit("unique").alias("test"), "failures")
-
-
 # (model, not_null columns, unique columns)
 COLUMN_TESTS = (
     ("raw_batch", ("indicator_code", "country_code", "year"), ()),
@@ -89,12 +79,33 @@ COLUMN_TESTS = (
 )
 
 
+def model_tests(df: DataFrame, not_null: Iterable[str], unique: Iterable[str], model: str) -> DataFrame:
+    """I10 and I11 of one model as rows (model, column_name, test, failures), in one pass.
+
+    not_null counts NULLs; unique counts non-NULL values that occur more than once. With a unique
+    column the rows are grouped by it and the groups carry the NULL counts.
+    """
+    not_null, unique = list(not_null), list(unique)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"__nn{i}") for i, c in enumerate(not_null)]
+    if len(unique) > 1:
+        raise ValueError("one unique column per model")
+    if unique:
+        key = F.col(unique[0])
+        per = df.groupBy(key.alias("__key")).agg(F.count(F.lit(1)).alias("__n"), *nulls)
+        a = per.agg(F.count_if(F.col("__key").isNotNull() & (F.col("__n") > 1)).alias("__uq"),
+                    *[F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).alias(f"__nn{i}") for i in range(len(not_null))])
+    else:
+        a = df.agg(*nulls)
+    row = lambda c, test, n: F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                                      F.lit(test).alias("test"), F.col(n).alias("failures"))
+    return a.select(F.inline(F.array(*[row(c, "not_null", f"__nn{i}") for i, c in enumerate(not_null)],
+                                     *[row(c, "unique", "__uq") for c in unique])))
+
+
 def column_tests(models: dict[str, DataFrame], tests=COLUMN_TESTS) -> DataFrame:
     """All 28 column tests as rows (model, column_name, test, failures)."""
     out = None
     for model, nn, uq in tests:
-        df = models[model]
-        parts = [not_null(df, nn, model)] + [unique(df, c, model) for c in uq]
-        for part in parts:
-            out = part if out is None else out.unionByName(part)
+        part = model_tests(models[model], nn, uq, model)
+        out = part if out is None else out.unionByName(part)
     return out

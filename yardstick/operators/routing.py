@@ -68,7 +68,7 @@ def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_
     topic when the code is a member; invalid ones only to the dead-letter topic
     with ``failure_reason`` added to the payload.
     """
-    flagged = member_flag(validated, "country_code", members, "__member", p.broadcast_max_rows)
+    flagged = member_flag(validated, "country_code", members, "__member")
     payload = [c for c in payload_cols if c in validated.columns]
     topics = F.when(
         F.col("valid"),
@@ -76,16 +76,10 @@ def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_
             F.lit(TOPIC_ALL), F.lit(TOPIC_WORLD_BANK),
             F.when(F.col("__member"), F.lit(TOPIC_AFRICA)), F.lit(TOPIC_VALIDATED))),
     ).otherwise(F.array(F.lit(TOPIC_FAILED)))
-    good = F.to_json(F.struct(*payload))
-    bad = F.to_json(F.struct(*payload, "failure_reason"))
-    return flagged.select(
-        F.explode(topics).alias("topic"),
-        F.col("country_code").alias("key"),
-        F.when(F.col("valid"), good).otherwise(bad).alias("value"),
-        "record_id",
-        "valid",
-        *carry,
-    )
+    # a valid message has no failure reason, and a NULL field is left out of the JSON; encoded once, before the explode
+    coded = flagged.select(topics.alias("__topics"), F.col("country_code").alias("key"),
+                           F.to_json(F.struct(*payload, "failure_reason")).alias("value"), "record_id", "valid", *carry)
+    return coded.select(F.explode("__topics").alias("topic"), "key", "value", "record_id", "valid", *carry)
 
 
 def publish_stats(routed: DataFrame) -> DataFrame:

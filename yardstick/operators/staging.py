@@ -24,7 +24,7 @@ def stg_batch(raw: DataFrame, p: PanelParams, members=None) -> DataFrame:
         & F.col("year").between(p.min_year, p.max_year)
         & F.col("value").isNotNull()
     )
-    flagged = member_flag(src, "country_code", members, "__member", p.broadcast_max_rows)
+    flagged = member_flag(src, "country_code", members, "__member")
     return flagged.select(
         F.col("indicator_code"),
         C.clean_code("country_code").alias("country_code"),

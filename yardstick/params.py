@@ -150,10 +150,8 @@ class PanelParams:
     # data-quality gate
     gate_min_rows: int = 100
     gate_recent_days: int = 7
-    # envelope sink: records per lake object (bounds the size of one object)
+    # envelope sink: consecutive offsets of a topic partition per lake object
     max_records_per_object: int = 10000
-    # dimensions joined by broadcast only when their row count is at most this
-    broadcast_max_rows: int = 100_000
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "PanelParams":

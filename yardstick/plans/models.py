@@ -4,8 +4,8 @@
 first use), so one query pulls in only the models it needs and Catalyst
 optimises the whole chain at once (CTE collapse, column pruning, pushdown).
 ``materialize`` cuts lineage at the shared intermediates (K5 and K8) when
-several marts are produced in one run, using reliable ``checkpoint()`` in the
-cluster's checkpoint folder.
+several marts are produced in one run, by tables in the cluster's shared
+scratch folder. Building a model starts no job.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from yardstick.operators import marts as M
 from yardstick.operators import progress as P
 from yardstick.operators import staging as S
 from yardstick.params import DRIVER, PanelParams
-from yardstick.session import ensure_checkpoint_dir
+from yardstick.session import drop_stored, stored
 from yardstick.sources import panel as src
 
 
@@ -126,13 +126,7 @@ class Panel:
 
     @_model
     def tracker(self) -> DataFrame:
-        # the tracker reads the scores twice (rows and per-country totals of the
-        # country dimension): cut lineage there unless the scores are a checkpoint
-        if "scores" in self._overrides:
-            return M.tracker(self.scores, self.dim_countries, self.p)
-        ensure_checkpoint_dir(self.spark)
-        scores = self.scores.checkpoint(eager=True)
-        return M.tracker(scores, M.dim_countries(self.stg_countries, scores), self.p)
+        return M.tracker(self.scores, self.stg_countries, self.p)
 
     @_model
     def goal_summary(self) -> DataFrame:
@@ -140,30 +134,30 @@ class Panel:
 
     @_model
     def peer_comparison(self) -> DataFrame:
-        ensure_checkpoint_dir(self.spark)
         # dim_countries is the country table plus per-country score totals, one row
         # per country; the peer mart reads only region and income group, so it joins
         # the country table and skips the second aggregation over the scores
-        return M.peer_comparison(self.scores, self.stg_countries, self.peers, self.p,
-                                 cut_lineage="scores" not in self._overrides)
+        return M.peer_comparison(self.scores, self.stg_countries, self.peers, self.p)
 
     def materialize(self) -> "Panel":
         """Cut lineage where several outputs share work: the raw tables (physical
         tables in the reference), the merged panel K5 and the scores K8.
 
-        Reliable ``checkpoint()`` into the cluster's checkpoint folder: a lost
-        executor re-reads the checkpoint instead of re-running the lineage.
+        Each is written once as a parquet table in the shared scratch folder, so
+        consumers prune columns and a lost executor re-reads it. The only jobs of
+        this module run here and in ``write_marts``: building a model runs none.
         """
-        ensure_checkpoint_dir(self.spark)
-        m = Panel(self.spark, self.sf_dir, self.p)
-        for name in ("raw_batch", "raw_stream"):
-            given = self._overrides.get(name)  # already a table: read as it is
-            m._overrides[name] = given if given is not None else getattr(self, name).checkpoint(eager=True)
-        m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
-        m._overrides["combined"] = m.combined.checkpoint(eager=True)
-        m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
-        m._overrides["scores"] = m.scores.checkpoint(eager=True)
-        return Panel(self.spark, self.sf_dir, self.p, m._overrides)
+        m = Panel(self.spark, self.sf_dir, self.p, dict(self._overrides))
+        for name in ("raw_batch", "raw_stream", "combined", "scores"):
+            if name not in m._overrides:  # else already a table: read as it is
+                m._overrides[name] = stored(getattr(m, name), name)
+                m = Panel(self.spark, self.sf_dir, self.p, m._overrides)
+        return m
+
+    def release(self) -> None:
+        """Delete the scratch tables of ``materialize``."""
+        for df in self._overrides.values():
+            drop_stored(df)
 
 
 MART_NAMES = ("fct_progress", "fct_target_achievement", "dim_countries", "dim_goals", "tracker", "goal_summary",
@@ -183,9 +177,8 @@ def register_views(panel: Panel, prefix: str = "") -> list[str]:
 def write_marts(panel: Panel, base: str, names=MART_NAMES) -> dict[str, str]:
     """Full rebuild of the mart tables (A13) from one materialised panel.
 
-    The raw tables, K5 and K8 are checkpointed once (reliably, in the shared
-    checkpoint folder), so the seven marts do not each re-run the staging and
-    merge plans. A panel that is already materialised is used as it is.
+    The raw tables, K5 and K8 are written once (``Panel.materialize``), so the seven
+    marts do not each re-run the staging and merge plans. A panel that is already materialised is used as it is.
     Each mart is published as a new version (``<base>/<mart>/v=<n>``): readers of
     ``tables.current_version`` see the previous complete version until the new
     one has been written completely.
@@ -197,4 +190,6 @@ def write_marts(panel: Panel, base: str, names=MART_NAMES) -> dict[str, str]:
     for name in names:
         root = f"{base.rstrip('/')}/{name}"
         paths[name] = write_version(getattr(m, name), root, current_version(m.spark, root)[1] + 1)
+    if m is not panel:
+        m.release()
     return paths

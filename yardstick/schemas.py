@@ -15,7 +15,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-VALUE = DecimalType(18, 4)
+VALUE = DecimalType(24, 4)
 
 
 def _s(*fields):

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "yardstick",
@@ -53,16 +53,44 @@ def checkpoint_base(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set a local one only where none is set (tests)."""
+    """The checkpoint folder; on a local master without one, a temporary folder is set (tests)."""
     base = checkpoint_base(spark)
     if base:
         return base
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = tempfile.mkdtemp(prefix="yardstick-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(base)
     return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
+    """A fresh, unique folder under the shared checkpoint location, removed when the application ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/yardstick-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/yardstick-{name}-{uuid.uuid4().hex}"
+    _hadoop(spark, path, "deleteOnExit")
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str, call: str, *args):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return getattr(p.getFileSystem(spark._jsc.hadoopConfiguration()), call)(p, *args)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write df as a scratch table and read it back: cuts lineage, and later reads prune columns.
+
+    A lost executor costs a re-read of the table, not a recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_stored(df: DataFrame | None) -> None:
+    """Delete a table made by `stored` that no later plan reads."""
+    path = getattr(df, "_scratch", None)
+    if path:
+        _hadoop(df.sparkSession, path, "delete", True)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from yardstick import schemas
 from yardstick.functions import columns as C
-from yardstick.operators.dims import join_dimension
 from yardstick.operators.routing import validate
 from yardstick.operators.upsert import upsert
 from yardstick.params import DRIVER, DRIVER_EVENT_PRIORITY, TOPIC_PREFIX, TOPIC_VALIDATED, PanelParams
@@ -148,10 +147,9 @@ def raw_countries(spark: SparkSession, sf_dir: str, p: PanelParams = DRIVER) ->
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    geo = join_dimension(nation, region, nation["n_regionkey"] == region["r_regionkey"], "inner",
-                         p.broadcast_max_rows)
+    geo = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
     members = set(p.members)
-    j = join_dimension(cust, geo, cust["c_nationkey"] == geo["n_nationkey"], "left", p.broadcast_max_rows)
+    j = cust.join(geo, cust["c_nationkey"] == geo["n_nationkey"], "left")
     return j.select(
         entity_code("c_custkey").alias("country_code"),
         F.col("c_name").alias("country_name"),
@@ -171,8 +169,7 @@ def peers(spark: SparkSession, sf_dir: str, p: PanelParams = DRIVER) -> DataFram
     """Codes of the peer group (entities of the peer nations)."""
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation").filter(F.col("n_name").isin(*p.peers))
-    j = join_dimension(cust, nation, cust["c_nationkey"] == nation["n_nationkey"], "left_semi",
-                       p.broadcast_max_rows)
+    j = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"], "left_semi")
     return j.select(entity_code("c_custkey").alias("country_code"))
 
 

@@ -45,7 +45,10 @@ def current_version(spark: SparkSession, root: str) -> tuple[DataFrame | None, i
 
 
 def write_version(df: DataFrame, root: str, version: int) -> str:
+    """Write one version. A completed one is never replaced (a second writer fails); an interrupted one is."""
     path = f"{root.rstrip('/')}/v={version}"
+    if version in completed_versions(df.sparkSession, root):
+        raise FileExistsError(f"{path} is already written")
     df.write.mode("overwrite").parquet(path)
     return path
 
