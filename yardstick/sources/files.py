@@ -9,17 +9,13 @@ only meant for small landed inputs.
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from yardstick import schemas
 from yardstick.functions import columns as C
-from yardstick.operators.dims import join_dimension
+from yardstick.operators.upsert import upsert
 from yardstick.params import SOURCE_NAME, TOPIC_PREFIX, UNKNOWN_TOPIC_PREFIX, PanelParams
 
 OBS_COLS = [f.name for f in schemas.OBSERVATION.fields]
@@ -47,20 +43,23 @@ def read_indicator_tree(spark: SparkSession, path: str) -> DataFrame:
 # ---- A4: date-partitioned landing -----------------------------------------------------------
 
 def write_landing(df: DataFrame, base: str, landed_at: str) -> None:
-    """Copy to ``base/y=YYYY/m=MM/d=DD`` for the landing day (A4).
+    """Copy to ``base/y=YYYY/m=MM/d=DD/indicator_slug=...`` for the landing day (A4).
 
-    Only that day's folder is replaced (dynamic partition overwrite), so landing
-    the same day again is idempotent and other days are untouched.
+    A day has one folder per indicator, as the landing area has one file per indicator; only
+    the folders of the indicators that land are replaced (dynamic partition overwrite). So landing an
+    indicator again on a day is idempotent, and other indicators and days are untouched.
     """
     ts = F.lit(landed_at).cast("timestamp")
-    df.withColumns({"y": F.date_format(ts, "yyyy"), "m": F.date_format(ts, "MM"), "d": F.date_format(ts, "dd")}) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("y", "m", "d").json(base)
+    df.withColumns({"y": F.date_format(ts, "yyyy"), "m": F.date_format(ts, "MM"), "d": F.date_format(ts, "dd"),
+                    "indicator_slug": C.slug("indicator_code")}) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("y", "m", "d", "indicator_slug").json(base)
 
 
 def read_landing(spark: SparkSession, base: str, day: str | None = None) -> DataFrame:
     """Read the landing area; ``day='YYYY/MM/DD'`` prunes to one partition."""
     schema = schemas.extend(schemas.OBSERVATION, ("y", StringType()), ("m", StringType()), ("d", StringType()))
-    df = spark.read.schema(schema).json(base)
+    df = spark.read.schema(schemas.extend(schema, ("indicator_slug", StringType()))).json(base).drop("indicator_slug")
     if day:
         y, m, d = day.split("/")
         df = df.filter((F.col("y") == y) & (F.col("m") == m) & (F.col("d") == d))
@@ -84,11 +83,10 @@ def api_reply_pages(rows: DataFrame, page_key: Column, per_page: int = 1000) ->
     return g.select("indicator_code", F.concat(F.lit("["), meta, F.lit(","), body, F.lit("]")).alias("reply"))
 
 
-def _field(obj: Column, keys: Column, name: str, default) -> Column:
+def _field(parsed: Column, name: str, default) -> Column:
     """``obj.get(name, default)``: the field's value when the key is present (a JSON
     null stays NULL), ``default`` when it is absent."""
-    present = F.coalesce(F.array_contains(keys, name), F.lit(False))
-    return F.when(present, F.get_json_object(obj, f"$.{name}")).otherwise(F.lit(default))
+    return F.when(F.map_contains_key(parsed, name), F.try_element_at(parsed, F.lit(name))).otherwise(F.lit(default))
 
 
 def normalise_api_pages(raw: DataFrame, indicators: DataFrame, extracted_at: str) -> DataFrame:
@@ -97,36 +95,40 @@ def normalise_api_pages(raw: DataFrame, indicators: DataFrame, extracted_at: str
     ``raw``: (indicator_code, reply text). Error replies and empty pages have no
     second element and vanish in the explode; NULL rows and rows without a value
     are dropped. The goal and name come from the indicator dictionary (a
-    broadcast lookup with defaults, C8). Each row is kept as JSON text so that a
+    broadcast lookup with defaults, C8). Each row is parsed once, as a map, so that a
     missing field takes the extractor's default ('' or 0 for the date) while an
     explicit JSON null stays NULL.
     """
     rows = F.from_json(F.get_json_object("reply", "$[1]"), "array<string>")
-    ex = raw.select("indicator_code", F.explode(rows).alias("r")).filter(
-        F.col("r").isNotNull() & F.get_json_object("r", "$.value").isNotNull())
-    ex = ex.select("indicator_code", "r", F.json_object_keys("r").alias("k"),
-                   F.get_json_object("r", "$.country").alias("c"))
-    ex = ex.withColumn("ck", F.json_object_keys("c"))
+    ex = raw.select("indicator_code", F.explode(rows).alias("r"))
+    ex = ex.select("indicator_code", F.from_json("r", "map<string,string>").alias("m"))
+    ex = ex.filter(F.try_element_at("m", F.lit("value")).isNotNull())
+    ex = ex.withColumn("c", F.from_json(F.try_element_at("m", F.lit("country")), "map<string,string>"))
     d = indicators.select(F.col("indicator_code").alias("__d_code"), F.col("goal").alias("__d_goal"),
                           F.col("indicator_name").alias("__d_name"))
-    j = join_dimension(ex, d, ex["indicator_code"] == d["__d_code"], "left", checked=True)
-    r, k, c, ck = F.col("r"), F.col("k"), F.col("c"), F.col("ck")
+    j = ex.join(d, ex["indicator_code"] == d["__d_code"], "left")
+    m, c = F.col("m"), F.col("c")
     return j.select(
         F.col("__d_goal").alias("goal"),
         F.col("indicator_code"),
         C.field_or("__d_name", "").alias("indicator_name"),
-        _field(r, k, "countryiso3code", "").alias("country_code"),
-        _field(c, ck, "value", "").alias("country_name"),
-        _field(c, ck, "id", "").alias("country_id"),
-        _field(r, k, "date", "0").try_cast("int").alias("year"),
-        F.get_json_object(r, "$.value").try_cast("double").alias("value"),
-        _field(r, k, "unit", "").alias("unit"),
-        _field(r, k, "obs_status", "").alias("obs_status"),
+        _field(m, "countryiso3code", "").alias("country_code"),
+        _field(c, "value", "").alias("country_name"),
+        _field(c, "id", "").alias("country_id"),
+        _field(m, "date", "0").try_cast("int").alias("year"),
+        F.try_element_at(m, F.lit("value")).try_cast("double").alias("value"),
+        _field(m, "unit", "").alias("unit"),
+        _field(m, "obs_status", "").alias("obs_status"),
         F.lit(SOURCE_NAME).alias("source"),
         F.lit(extracted_at).alias("extracted_at"),
     )
 
 
+def recent_window(observations: DataFrame, years: int, as_of_year: int) -> DataFrame:
+    """The last ``years`` calendar years up to ``as_of_year`` (the incremental extraction)."""
+    return observations.filter(F.col("year").between(as_of_year - years + 1, as_of_year))
+
+
 # ---- A7/A8: micro-batch envelopes in the lake ----------------------------------------------------
 
 def topic_prefix(topic: Column) -> Column:
@@ -139,41 +141,30 @@ def topic_prefix(topic: Column) -> Column:
 ENVELOPE_LINE = schemas.extend(schemas.ENVELOPE, ("lake_prefix", StringType()), ("lake_day", StringType()))
 
 
-def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams, mode: str = "append") -> int:
-    """Write one envelope per topic and chunk: ``{batch_metadata{...}, records[...]}``.
+def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams, mode: str = "append",
+                  batch_id: int = 0) -> None:
+    """Write one envelope per topic, partition and chunk: ``{batch_metadata{...}, records[...]}``.
 
-    ``routed`` has ``topic`` and a JSON ``value`` per message. Records are
-    spread over ceil(n / max_records_per_object) chunks by a hash of the
-    message salted with the row id, so no envelope (one collect_list) exceeds
-    the bound on average, even when many messages are byte-identical, and no
-    task holds a whole topic. Returns the number of messages written.
+    ``routed`` has ``topic``, a JSON ``value`` and its consumption order, ``partition`` and
+    ``offset``. A chunk is a run of max_records_per_object consecutive offsets of one partition, so an
+    object has at most that many records, in offset order, the same on every attempt, and no
+    task holds a whole topic. Stamp, batch id, partition and chunk make up the object's key: keys never
+    repeat, and (key, position) orders the records of a partition as they arrived.
     """
-    routed = routed.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then written: compute once
-    try:
-        n = routed.count()
-        if n == 0:
-            return 0
-        _write_envelopes(routed, path, written_at, max(1, math.ceil(n / p.max_records_per_object)), mode)
-        return n
-    finally:
-        routed.unpersist()
-
-
-def _write_envelopes(routed: DataFrame, path: str, written_at: str, chunks: int, mode: str = "append") -> None:
-    msg = F.from_json("value", schemas.DEAD_LETTER)
+    missing = {"topic", "value", "partition", "offset"} - set(routed.columns)
+    if missing:
+        raise ValueError(f"envelopes need the columns {sorted(missing)}")
     ts = F.lit(written_at).cast("timestamp")
-    with_chunk = routed.select(
-        "topic", msg.alias("m"),
-        F.pmod(F.xxhash64("topic", "value", F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"))
-    env = with_chunk.groupBy("topic", "chunk").agg(
-        F.count(F.lit(1)).alias("record_count"), F.collect_list("m").alias("records"))
+    record = F.struct(F.col("offset").alias("o"), F.from_json("value", schemas.DEAD_LETTER).alias("m"))
+    chunk = F.floor(F.col("offset") / F.lit(p.max_records_per_object)).cast("long")
+    env = routed.groupBy("topic", "partition", chunk.alias("chunk")).agg(F.sort_array(F.collect_list(record)).alias("r"))
     prefix = topic_prefix(F.col("topic"))
-    key = F.concat(prefix, F.lit("/"), C.date_path(ts), F.lit("/batch_"), C.stamp(ts), F.lit("_"),
-                   F.lpad(F.col("chunk").cast("string"), 5, "0"), F.lit(".json"))
+    key = F.concat(prefix, F.lit("/"), C.date_path(ts), F.lit("/batch_"), C.stamp(ts),
+                   F.format_string("_%06d_%05d_%012d.json", F.lit(batch_id), F.col("partition").cast("int"), "chunk"))
     out = env.select(
-        F.struct(F.col("topic"), F.col("record_count"), F.lit(written_at).alias("written_at"), key.alias("s3_key"))
-        .alias("batch_metadata"),
-        F.col("records"),
+        F.struct(F.col("topic"), F.size("r").cast("long").alias("record_count"), F.lit(written_at).alias("written_at"),
+                 key.alias("s3_key")).alias("batch_metadata"),
+        F.transform("r", lambda x: x["m"]).alias("records"),
         prefix.alias("lake_prefix"),
         F.date_format(ts, "yyyy-MM-dd").alias("lake_day"),
     )
@@ -185,7 +176,8 @@ def read_batches(spark: SparkSession, path: str, topic: str | None = None, days:
 
     Returns the message columns plus ``batch_file`` (logical object key),
     ``source_file`` (physical file), ``pos`` (position in the envelope) and
-    ``topic``; (batch_file, pos) is a total arrival order for the upsert (H2).
+    ``topic``; (batch_file, pos) orders the records of a key as they arrived (H2): a key's
+    messages share a partition, whose offsets run on from batch to batch.
     Prefix and day filters prune partitions.
     """
     df = spark.read.schema(ENVELOPE_LINE).json(path)
@@ -201,3 +193,25 @@ def read_batches(spark: SparkSession, path: str, topic: str | None = None, days:
         F.posexplode("records").alias("pos", "m"),
     )
     return ex.select("topic", "batch_file", "source_file", "pos", "m.*")
+
+
+def batch_stats(records: DataFrame) -> DataFrame:
+    """D9 over read-back envelopes: files and records written per topic."""
+    return records.groupBy("topic").agg(F.count_distinct("batch_file").alias("files_written"),
+                                        F.count(F.lit(1)).alias("records_written"))
+
+
+LOAD_COLS = ("record_id", "goal", "indicator_code", "indicator_name", "country_code", "country_name", "year",
+             "value", "unit", "obs_status", "source", "extracted_at", "published_at", "batch_file")
+
+
+def load_records(records: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """Lake -> raw stream table (A10): validated records upserted on record_id in (batch_file, pos) order.
+
+    A new record keeps its first arrival's columns, batch_file among them; value and extracted_at
+    come from the last arrival.
+    """
+    rows = records.filter(F.col("record_id").isNotNull()).select(
+        *[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in LOAD_COLS],
+        F.col("batch_file").alias("__file"), F.col("pos").alias("__pos"))
+    return upsert(current, rows, ["record_id"], ["value", "extracted_at"], ["__file", "__pos"])

@@ -9,7 +9,7 @@ are stateless column expressions.
 Upsert state lives in the table, not in the state store: each micro-batch's
 valid records are appended to a log partition named by its batch id
 (overwritten on retry, so a replayed batch is idempotent), and the current
-table is the H2 upsert over the log, ordered by (partition, offset).
+table is the H2 upsert over the log, ordered by (batch id, partition, offset).
 Checkpoints make the source offsets and the sink commit atomic, so nothing is
 lost when a write fails or an executor dies (the reference's consumer could
 drop a buffer on a failed flush).
@@ -27,10 +27,9 @@ from yardstick import schemas
 from yardstick.functions import columns as C
 from yardstick.operators import routing as R
 from yardstick.operators.upsert import upsert
-from yardstick.params import TOPIC_VALIDATED, PanelParams
+from yardstick.params import TOPIC_PREFIX, TOPIC_VALIDATED, UNKNOWN_TOPIC_PREFIX, PanelParams
 
 TRANSPORT = "topic string, key string, value string, partition int, offset long"
-DECODED_FIELDS = [f.name for f in schemas.DEAD_LETTER.fields]
 
 
 def read_topics(spark: SparkSession, topics: Sequence[str], source: dict) -> DataFrame:
@@ -60,14 +59,13 @@ def read_topics(spark: SparkSession, topics: Sequence[str], source: dict) -> Dat
 def decode(stream: DataFrame) -> DataFrame:
     """JSON value -> message columns plus the raw ``payload`` and ``decodable``.
 
-    A value that is not a JSON object is kept with ``decodable = false`` (to be
+    Each value is parsed once, as a map; a field that is missing or of another type is NULL. A value that is not a JSON object is kept with ``decodable = false`` (to be
     routed to the dead-letter output) instead of being dropped.
     """
-    ok = F.from_json("value", "map<string,string>").isNotNull()
-    msg = F.from_json("value", schemas.DEAD_LETTER)
-    return stream.select("topic", "key", "partition", "offset", F.col("value").alias("payload"),
-                         ok.alias("decodable"), msg.alias("m")).select(
-        "topic", "key", "partition", "offset", "payload", "decodable", *[F.col(f"m.{c}") for c in DECODED_FIELDS])
+    parsed = stream.select("topic", "key", "partition", "offset", F.col("value").alias("payload"),
+                           F.from_json("value", "map<string,string>").alias("m"))
+    fields = [F.try_element_at("m", F.lit(f.name)).try_cast(f.dataType).alias(f.name) for f in schemas.DEAD_LETTER.fields]
+    return parsed.select("topic", "key", "partition", "offset", "payload", F.col("m").isNotNull().alias("decodable"), *fields)
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
@@ -82,11 +80,11 @@ def route_stream(decoded: DataFrame, members, p: PanelParams) -> DataFrame:
     Undecodable messages go to the dead-letter topic with their raw value.
     """
     good = R.validate(decoded.filter("decodable"), p)
-    routed = R.fan_out(good, members, p)
+    routed = R.fan_out(good, members, p, carry=("partition", "offset"))
     bad = undecodable(decoded).select(
         F.lit(R.TOPIC_FAILED).alias("topic"), "key",
         F.to_json(F.struct(F.col("payload").alias("raw"), "failure_reason")).alias("value"),
-        F.lit(None).cast("string").alias("record_id"), F.lit(False).alias("valid"))
+        F.lit(None).cast("string").alias("record_id"), F.lit(False).alias("valid"), "partition", "offset")
     return routed.unionByName(bad)
 
 
@@ -135,8 +133,11 @@ def run_stream(df: DataFrame, sink: dict, checkpoint: str, interval: str = "300
 
 
 def run_once(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Bounded run (J3): wait for an availableNow query to drain and stop."""
-    query.awaitTermination(timeout_s)
+    """Bounded run (J3): wait for an availableNow query to drain; after ``timeout_s`` it is stopped."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
     if query.exception():
         raise query.exception()
 
@@ -166,8 +167,9 @@ def lake_stream(spark: SparkSession, path: str, topic: str | None = None,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.json(path)
-    if topic is not None:
-        df = df.filter(F.col("batch_metadata.topic") == topic)
+    if topic is not None:  # the folder prunes files, the envelope decides (prefixes of unknown topics are shared)
+        prefix = dict(TOPIC_PREFIX).get(topic, UNKNOWN_TOPIC_PREFIX)
+        df = df.filter((F.col("lake_prefix") == prefix) & (F.col("batch_metadata.topic") == topic))
     ex = df.select(
         F.col("batch_metadata.topic").alias("topic"),
         F.col("batch_metadata.s3_key").alias("batch_file"),
@@ -190,7 +192,7 @@ def lake_sink(path: str, p: PanelParams, clock: Callable[[], str] | None = None)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = clock() if clock else datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-        write_batches(batch, f"{path.rstrip('/')}/batch={batch_id}", stamp, p, mode="overwrite")
+        write_batches(batch, f"{path.rstrip('/')}/batch={batch_id}", stamp, p, mode="overwrite", batch_id=batch_id)
     return write
 
 
@@ -220,13 +222,14 @@ LOG_COLS = ("record_id", "goal", "indicator_code", "indicator_name", "country_co
 def _log_rows(log: DataFrame) -> DataFrame:
     return log.select(*[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in LOG_COLS],
                       F.concat(F.lit("batch_"), F.col("batch_id").cast("string")).alias("batch_file"),
-                      "partition", "offset")
+                      F.col("batch_id").alias("__batch"), "partition", "offset")
 
 
 def _fold(snapshot: DataFrame | None, log: DataFrame) -> DataFrame:
-    # Kafka keys by country, so a record id always lands in one partition and its
-    # offsets there are its arrival order; snapshot rows precede every log row.
-    return upsert(snapshot, _log_rows(log), ["record_id"], list(STREAM_UPDATE), ["partition", "offset"])
+    # within a micro-batch a key's messages are in one partition, in offset order; across micro-batches the
+    # batch id orders them, also when the topic has gained partitions and the key has moved.
+    # Snapshot rows precede every log row.
+    return upsert(snapshot, _log_rows(log), ["record_id"], list(STREAM_UPDATE), ["__batch", "partition", "offset"])
 
 
 def latest_snapshot(spark: SparkSession, snapshot_root: str | None) -> tuple[DataFrame | None, int]:
@@ -244,7 +247,7 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str | None) -> tuple[Dat
 def current_table(spark: SparkSession, log_path: str, snapshot_root: str | None = None) -> DataFrame:
     """The upserted stream table (H2): the newest snapshot folded with the log
     partitions after it. First arrival keeps every column but value and
-    extracted_at, which come from the last arrival in (partition, offset) order;
+    extracted_at, which come from the last arrival in (batch, partition, offset) order;
     batch_file names the micro-batch of the first arrival."""
     snapshot, upto = latest_snapshot(spark, snapshot_root)
     log = spark.read.parquet(log_path).filter(F.col("batch_id") > upto)
@@ -269,9 +272,8 @@ def compact(spark: SparkSession, log_path: str, snapshot_root: str) -> int:
 
 
 def transport_rows(messages: DataFrame, topic: str = TOPIC_VALIDATED) -> DataFrame:
-    """Messages -> transport rows (topic, key = country code, JSON value, partition, offset)."""
+    """Messages with a partition and an offset -> transport rows (topic, key = country code, JSON value, both)."""
     payload = [c for c in R.MESSAGE_FIELDS if c in messages.columns]
     return messages.select(
         F.lit(topic).alias("topic"), F.col("country_code").alias("key"),
-        F.to_json(F.struct(*payload)).alias("value"),
-        F.lit(0).alias("partition"), F.col("arrival_seq").cast("long").alias("offset"))
+        F.to_json(F.struct(*payload)).alias("value"), "partition", "offset")
