@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from yardstick import schemas
+
 from yardstick.functions import columns as C
 from yardstick.operators import marts as M
 from yardstick.operators import progress as PG
@@ -17,7 +19,7 @@ from yardstick.operators.upsert import upsert
 from yardstick.params import DRIVER, DRIVER_PRIORITIES, TOPIC_ALL, TOPIC_VALIDATED
 from yardstick.plans import oracle as O
 from yardstick.plans.models import MART_NAMES, Panel, register_views, write_marts
-from yardstick.session import scratch_path
+from yardstick.session import scratch_path, stored
 from yardstick.sources import files as FS
 from yardstick.sources import panel as src
 from yardstick.streaming import stream as ST
@@ -135,13 +137,14 @@ def q_dead_letter(spark, sf_dir):
 
 _FAN_OUT_SQL = f"""
 , routed AS (
-  SELECT '{R.TOPIC_ALL}' AS topic, country_code AS key, record_id, valid, CAST(NULL AS VARCHAR) AS payload_reason
+  SELECT '{R.TOPIC_ALL}' AS topic, country_code AS key, record_id, valid, CAST(NULL AS VARCHAR) AS payload_reason, year, value
     FROM validated WHERE valid
-  UNION ALL SELECT '{R.TOPIC_WORLD_BANK}', country_code, record_id, valid, NULL FROM validated WHERE valid
-  UNION ALL SELECT '{R.TOPIC_AFRICA}', country_code, record_id, valid, NULL FROM validated
+  UNION ALL SELECT '{R.TOPIC_WORLD_BANK}', country_code, record_id, valid, NULL, year, value FROM validated WHERE valid
+  UNION ALL SELECT '{R.TOPIC_AFRICA}', country_code, record_id, valid, NULL, year, value FROM validated
     WHERE valid AND country_code IN (SELECT country_code FROM member_codes)
-  UNION ALL SELECT '{R.TOPIC_VALIDATED}', country_code, record_id, valid, NULL FROM validated WHERE valid
-  UNION ALL SELECT '{R.TOPIC_FAILED}', country_code, record_id, valid, failure_reason FROM validated WHERE NOT valid)
+  UNION ALL SELECT '{R.TOPIC_VALIDATED}', country_code, record_id, valid, NULL, year, value FROM validated WHERE valid
+  UNION ALL SELECT '{R.TOPIC_FAILED}', country_code, record_id, valid, failure_reason, year, value
+    FROM validated WHERE NOT valid)
 """
 
 
@@ -155,6 +158,37 @@ def _routed(spark, sf_dir):
     return R.fan_out(_validated(spark, sf_dir), members, _P)
 
 
+PARTITIONS = 3  # of the fixture's topics, keyed by entity
+_PART = f"coalesce(TRY_CAST(substr(country_code, 2) AS BIGINT) % {PARTITIONS}, 0)"
+_ARRIVALS_SQL = f"""
+, arrivals AS (
+  SELECT *, CAST({_PART} AS INTEGER) AS part,
+         row_number() OVER (PARTITION BY {_PART} ORDER BY arrival_ts NULLS FIRST, arrival_seq NULLS FIRST) - 1 AS off
+  FROM validated)
+"""
+
+
+def _arrivals(spark, sf_dir):
+    """Validated messages as consumed: partition by entity, offset in arrival order."""
+    part = F.coalesce(F.pmod(F.substring("country_code", 2, 9).try_cast("long"), F.lit(PARTITIONS)), F.lit(0)).cast("int")
+    order = Window.partitionBy("partition").orderBy("arrival_ts", "arrival_seq")
+    return _validated(spark, sf_dir).withColumn("partition", part).withColumn(
+        "offset", (F.row_number().over(order) - 1).cast("long"))
+
+
+def _routed_arrivals(spark, sf_dir):
+    return R.fan_out(_arrivals(spark, sf_dir), src.members(spark, sf_dir, _P), _P, carry=("partition", "offset"))
+
+
+_PAYLOAD = "topic, record_id, key AS country_code, year, CAST(value AS DOUBLE) AS value, payload_reason AS failure_reason"
+PAYLOAD_COLS = ("topic", "record_id", "country_code", "year", "value", "failure_reason")
+
+
+def _payload(messages):
+    """The payload of each topic's messages."""
+    return messages.select("topic", F.from_json("value", schemas.DEAD_LETTER).alias("m")).select("topic", "m.*").select(*PAYLOAD_COLS)
+
+
 @register("fan_out", _fan_out_oracle(
     "SELECT topic, key, record_id, valid, record_id AS payload_record_id, payload_reason FROM routed"))
 def q_fan_out(spark, sf_dir):
@@ -180,6 +214,39 @@ def q_failures(spark, sf_dir):
     return R.failures_by_reason(_validated(spark, sf_dir))
 
 
+# every tenth kind of fault, dealt over the messages by their sequence number
+FAULTS = 23
+_FAULTY_SQL = f"""
+, faulty AS (SELECT * REPLACE (
+  CASE arrival_seq % {FAULTS} WHEN 1 THEN NULL WHEN 7 THEN 99 WHEN 8 THEN 0 ELSE goal END AS goal,
+  CASE WHEN arrival_seq % {FAULTS} = 2 THEN NULL ELSE indicator_code END AS indicator_code,
+  CASE arrival_seq % {FAULTS} WHEN 3 THEN NULL WHEN 10 THEN 'X' ELSE country_code END AS country_code,
+  CASE WHEN arrival_seq % {FAULTS} = 4 THEN NULL ELSE country_name END AS country_name,
+  CASE arrival_seq % {FAULTS} WHEN 5 THEN NULL WHEN 11 THEN 1900 ELSE year END AS year,
+  CASE arrival_seq % {FAULTS} WHEN 6 THEN NULL WHEN 9 THEN -1.5 ELSE value END AS value) FROM messages)
+"""
+
+
+@register("failures_all_reasons", O.with_ctes("SELECT 1")[: O.with_ctes("SELECT 1").rindex("\nSELECT 1")] + _FAULTY_SQL + f"""
+SELECT reason AS failure_reason, count(*) AS records FROM (SELECT {O.failure_reason(_P)} AS reason FROM faulty)
+WHERE reason IS NOT NULL GROUP BY reason""")
+def q_failures_all(spark, sf_dir):
+    """Every rule of the validator fails on some messages; the first failing one is reported."""
+    k = F.pmod("arrival_seq", F.lit(FAULTS))
+
+    def fault(c, faults):
+        out = None
+        for n, v in faults.items():
+            out = (F if out is None else out).when(k == n, F.lit(v))
+        return out.otherwise(F.col(c))
+
+    faults = {"goal": {1: None, 7: 99, 8: 0}, "indicator_code": {2: None}, "country_code": {3: None, 10: "X"},
+              "country_name": {4: None}, "year": {5: None, 11: 1900}, "value": {6: None, 9: -1.5}}
+    m = src.stream_messages(spark, sf_dir)
+    m = m.withColumns({c: fault(c, f).cast(m.schema[c].dataType) for c, f in faults.items()})
+    return R.failures_by_reason(R.validate(m, _P))
+
+
 @register("topic_counts", _fan_out_oracle("SELECT topic, count(*) AS record_count FROM routed GROUP BY topic"))
 def q_topic_counts(spark, sf_dir):
     return R.topic_counts(_routed(spark, sf_dir))
@@ -211,7 +278,7 @@ WHERE f.rn = 1""")
 def q_upsert_two_loads(spark, sf_dir):
     """H1: a first load, then a second load upserted into it (partial-column update)."""
     li = src.read_table(spark, sf_dir, "lineitem")
-    early = F.col("l_shipdate") < F.lit(LI_SPLIT).cast("timestamp_ntz")
+    early = F.coalesce(F.col("l_shipdate") < F.lit(LI_SPLIT).cast("timestamp_ntz"), F.lit(False))  # no date: second load
     load1 = li.filter(early).withColumns({f"__ord_{c}": F.col(c) for c in LI_ORDER})
     load2 = li.filter(~early).withColumns({f"__ord_{c}": F.col(c) for c in LI_ORDER})
     order = [f"__ord_{c}" for c in LI_ORDER]
@@ -236,7 +303,8 @@ def q_extraction_by_goal(spark, sf_dir):
         .groupBy("goal").agg(F.count(F.lit(1)).alias("records"))
 
 
-_DICT_SQL = ", ".join(f"('{c}', {int(c[0])})" for c in DRIVER_PRIORITIES)
+DICTIONARY = (*DRIVER_PRIORITIES, "6-RESERVED")  # the last is in no table
+_DICT_SQL = ", ".join(f"('{c}', {int(c[0])})" for c in DICTIONARY)
 
 
 @register("indicators_without_data", O.with_ctes(
@@ -245,12 +313,27 @@ _DICT_SQL = ", ".join(f"('{c}', {int(c[0])})" for c in DRIVER_PRIORITIES)
     "AND b.value IS NOT NULL)"))
 def q_indicators_without_data(spark, sf_dir):
     """Dictionary entries with no observation (dictionary ▷ observations)."""
-    from yardstick.operators.dims import literal_dimension
-    d = literal_dimension(spark, [(c, int(c[0])) for c in DRIVER_PRIORITIES], "indicator_code string, goal int")
+    d = literal_dimension(spark, [(c, int(c[0])) for c in DICTIONARY], "indicator_code string, goal int")
     seen = _panel(spark, sf_dir).raw_batch.filter(F.col("value").isNotNull()).select("indicator_code")
     return d.join(seen, "indicator_code", "left_anti")
 
 
+@register("extraction_summary", O.with_ctes(f"""
+SELECT 'total' AS section, CAST(NULL AS VARCHAR) AS item, count(*) AS records FROM raw_batch WHERE value IS NOT NULL
+UNION ALL SELECT 'goal', CAST(goal AS VARCHAR), count(*) FROM raw_batch WHERE value IS NOT NULL GROUP BY goal
+UNION ALL SELECT 'no data', d.indicator_code, 0 FROM (VALUES {_DICT_SQL}) AS d(indicator_code, goal)
+WHERE NOT EXISTS (SELECT 1 FROM raw_batch b WHERE b.indicator_code = d.indicator_code AND b.value IS NOT NULL)"""))
+def q_extraction_summary(spark, sf_dir):
+    """Total, records per goal and the dictionary entries without data, from one count per indicator."""
+    rows = _panel(spark, sf_dir).raw_batch.filter(F.col("value").isNotNull())
+    per = rows.groupBy("goal", "indicator_code").agg(F.count(F.lit(1)).alias("n"))
+    d = literal_dimension(spark, [(c,) for c in DICTIONARY], "indicator_code string")
+    total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records")).select(F.lit("total").alias("section"), F.lit(None).cast("string").alias("item"), "records")
+    goals = per.groupBy("goal").agg(F.sum("n").alias("records")).select(F.lit("goal").alias("section"), F.col("goal").cast("string").alias("item"), "records")
+    none = d.join(per, "indicator_code", "left_anti").select(F.lit("no data").alias("section"), F.col("indicator_code").alias("item"), F.lit(0).cast("long").alias("records"))
+    return total.unionByName(goals).unionByName(none)
+
+
 # ---- data quality (I4-I11) -----------------------------------------------------------
 
 _AS_OF = _P.extra["as_of"]
@@ -275,6 +358,16 @@ def q_gate_report(spark, sf_dir):
     return QC.gate_report(pn.raw_batch, pn.raw_stream, _P, _AS_OF)
 
 
+@register("gate_verdict", ORACLE["gate_report"].replace("\nSELECT 'min_rows'", ",\nreport AS (SELECT 'min_rows'", 1) + """)
+SELECT count(*) FILTER (WHERE passed) AS checks_passed, count(*) FILTER (WHERE NOT passed) AS checks_failed,
+       coalesce(string_agg(check_name, ',' ORDER BY check_name) FILTER (WHERE NOT passed), '') AS failed_checks,
+       count(*) FILTER (WHERE NOT passed) > 0 AS stop
+FROM report""")
+def q_gate_verdict(spark, sf_dir):
+    """The verdict on which the lifecycle stops before the transform."""
+    return QC.gate_verdict(q_gate_report(spark, sf_dir))
+
+
 def _column_tests_sql() -> str:
     parts = []
     alias = {"fct_progress": "combined", "dim_goals": "stg_goals"}
@@ -374,8 +467,11 @@ def q_landing_day(spark, sf_dir):
     """A4: two landings on different days; one day read back with partition pruning."""
     base = scratch_path(spark, "landing")
     obs = _observations(spark, sf_dir)
-    for ts in LANDING_DAYS:
-        FS.write_landing(obs, base, ts)
+    first = F.coalesce(F.col("indicator_code") < "3", F.lit(False))
+    FS.write_landing(obs, base, LANDING_DAYS[0])
+    FS.write_landing(obs.filter(first), base, LANDING_DAYS[1])  # two landings on the second day: both stay
+    FS.write_landing(obs.filter(~first), base, LANDING_DAYS[1])
+    FS.write_landing(obs.filter(first), base, LANDING_DAYS[1])  # landed again: replaced
     return FS.read_landing(spark, base, "2024/01/31")
 
 
@@ -385,33 +481,86 @@ def q_landing_day(spark, sf_dir):
 def q_lake_validated(spark, sf_dir):
     """A7 then A8: envelopes per topic written to the lake, validated prefix read back and exploded."""
     path = scratch_path(spark, "lake")
-    FS.write_batches(_routed(spark, sf_dir), path, _AS_OF, _P)
+    FS.write_batches(_routed_arrivals(spark, sf_dir), path, _AS_OF, _P)
     got = FS.read_batches(spark, path, TOPIC_VALIDATED)
     return got.select("record_id", "country_code", "indicator_code", "year", "value", "published_at", "topic")
 
 
-@register("lake_topic_records", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+_LAKE_P = _P.with_(max_records_per_object=500)  # small objects: several chunks even in small tables
+
+
+@register("lake_topic_records", _fan_out_oracle(f"SELECT {_PAYLOAD} FROM routed"))
 def q_lake_topics(spark, sf_dir):
-    """D9 over the lake: records per topic as read back from the envelopes."""
+    """Every topic's payload as read back from the envelopes."""
     path = scratch_path(spark, "lake")
-    FS.write_batches(_routed(spark, sf_dir), path, _AS_OF, _P)
-    return FS.read_batches(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+    FS.write_batches(_routed_arrivals(spark, sf_dir), path, _AS_OF, _LAKE_P)
+    return FS.read_batches(spark, path).select(*PAYLOAD_COLS)
+
+
+def _arrivals_oracle(final: str) -> str:
+    base = O.with_ctes("SELECT 1")
+    return base[: base.rindex("\nSELECT 1")] + _ARRIVALS_SQL + final
+
+
+_CHUNK = f"off // {_LAKE_P.max_records_per_object}"
+
+
+@register("lake_batch_stats", _arrivals_oracle(f"""
+SELECT topic, count(DISTINCT part * 1000000 + {_CHUNK}) AS files_written, count(*) AS records_written FROM (
+  SELECT CASE WHEN valid THEN '{TOPIC_VALIDATED}' ELSE '{R.TOPIC_FAILED}' END AS topic, part, off FROM arrivals
+  UNION ALL SELECT '{TOPIC_ALL}', part, off FROM arrivals WHERE valid
+  UNION ALL SELECT '{R.TOPIC_WORLD_BANK}', part, off FROM arrivals WHERE valid
+  UNION ALL SELECT '{R.TOPIC_AFRICA}', part, off FROM arrivals
+    WHERE valid AND country_code IN (SELECT country_code FROM member_codes))
+GROUP BY topic"""))
+def q_lake_batch_stats(spark, sf_dir):
+    """Files and records written per topic."""
+    path = scratch_path(spark, "lake")
+    FS.write_batches(_routed_arrivals(spark, sf_dir), path, _AS_OF, _LAKE_P)
+    return FS.batch_stats(FS.read_batches(spark, path))
+
+
+_DAY = _AS_OF[:10].replace("-", "")
+_FLUSH = "CASE WHEN off * 2 < n THEN 0 ELSE 1 END"
+
+
+@register("lake_stream_upsert", _arrivals_oracle(f"""
+, counted AS (SELECT *, count(*) OVER (PARTITION BY part) AS n FROM arrivals),
+loaded AS (SELECT *, '{dict(src.TOPIC_PREFIX)[TOPIC_VALIDATED]}/{_AS_OF[:10].replace("-", "/")}/batch_{_DAY}_'
+  || printf('000000_%06d_%05d_%012d.json', {_FLUSH}, part, CAST({_CHUNK} AS BIGINT)) AS object_key
+  FROM counted WHERE valid),
+f AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY part, off) AS rn FROM loaded),
+l AS (SELECT record_id, value, extracted_at, row_number() OVER (PARTITION BY record_id ORDER BY part DESC, off DESC) AS rn FROM loaded)
+SELECT f.record_id, f.goal, f.indicator_code, f.indicator_name, f.country_code, f.country_name, f.year, l.value, f.unit,
+       f.obs_status, f.source, l.extracted_at, f.published_at, f.object_key AS batch_file
+FROM f JOIN l ON f.record_id = l.record_id AND l.rn = 1 WHERE f.rn = 1"""))
+def q_lake_stream_upsert(spark, sf_dir):
+    """A7, A8, A10, H2 end to end: messages flushed twice to the lake as envelopes of several chunks, the validated
+    prefix read and upserted into the raw stream table on record_id in (object key, position) order."""
+    lake = scratch_path(spark, "lake-load")
+    routed = stored(_routed_arrivals(spark, sf_dir).filter(F.col("topic").isin(TOPIC_VALIDATED, R.TOPIC_FAILED)), "routed")
+    half = routed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("partition")))
+    early = F.col("offset") * 2 < F.col("n")
+    for batch_id, part in enumerate((half.filter(early), half.filter(~early))):
+        FS.write_batches(part.drop("n"), lake, _AS_OF, _LAKE_P, batch_id=batch_id)
+    return FS.load_records(FS.read_batches(spark, lake, TOPIC_VALIDATED))
 
 
 # ---- streaming (J1-J9) over file streams, availableNow -----------------------------------------
 
 
 RAW_INPUT_TOPIC = "sdg-raw-input"  # the producer's input as a topic, for the routing streams
-STREAM_FILES = 4  # arrival folders landed before the stream starts; about one micro-batch each
-
+FILES_PER_TRIGGER = 8  # bounds a micro-batch, whatever the input
+ARRIVALS = 3  # writes of the fixture, one after the other in offset order
 
-def _write_arrivals(df: DataFrame, path: str, files: int = STREAM_FILES) -> None:
-    """Land transport rows as ``files`` arrival folders in one write (hash of the offset).
 
-    Arrival order does not matter to the result: the upsert orders by (partition, offset).
-    """
-    df.withColumn("arrival", F.pmod(F.xxhash64("offset"), F.lit(files))) \
-        .write.mode("append").partitionBy("arrival").json(path)
+def _write_arrivals(df: DataFrame, path: str) -> None:
+    """Land transport rows in offset order: each write holds the next stretch of every partition."""
+    by_part = Window.partitionBy("partition")
+    turn = F.floor((F.col("offset") - F.min("offset").over(by_part)) * ARRIVALS / (F.max("offset").over(by_part) - F.min("offset").over(by_part) + 1))
+    rows = stored(df.withColumn("turn", turn.cast("int")), "transport")
+    for i in range(ARRIVALS):
+        rows.filter(F.col("turn") == i).drop("turn").write.mode("append").json(f"{path}/arrival={i}")
 
 
 def _stream_dirs(spark, name):
@@ -422,48 +571,68 @@ def _stream_dirs(spark, name):
 _STREAM_UPSERT_SQL = O.with_ctes("""
 SELECT f.record_id, f.goal, f.indicator_code, f.indicator_name, f.country_code, f.country_name, f.year,
        l.value, f.unit, f.obs_status, f.source, l.extracted_at, f.published_at
-FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY arrival_seq) AS rn FROM validated WHERE valid) f
+FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY arrival_ts, arrival_seq) AS rn FROM validated WHERE valid) f
 JOIN (SELECT record_id, value, extracted_at,
-             row_number() OVER (PARTITION BY record_id ORDER BY arrival_seq DESC) AS rn
+             row_number() OVER (PARTITION BY record_id ORDER BY arrival_ts DESC, arrival_seq DESC) AS rn
       FROM validated WHERE valid) l ON f.record_id = l.record_id AND l.rn = 1
 WHERE f.rn = 1""")
 
 
 @register("stream_upsert", _STREAM_UPSERT_SQL)
 def q_stream_upsert(spark, sf_dir):
-    """Routed messages land as several arrivals; a checkpointed availableNow
-    stream subscribes to all topics, decodes, logs the validated topic per micro-batch,
+    """Valid and failed messages land as several arrivals over three partitions; a checkpointed
+    availableNow stream subscribes to both topics, decodes, logs the validated one per micro-batch,
     and the upserted table is read over the log."""
     src_dir, ckpt, log = _stream_dirs(spark, "stream-upsert")
-    members = src.members(spark, sf_dir, _P)
-    routed = R.fan_out(_validated(spark, sf_dir), members, _P, carry=("arrival_seq",))
-    transport = routed.select("topic", "key", "value", F.lit(0).alias("partition"),
-                              F.col("arrival_seq").cast("long").alias("offset"))
-    _write_arrivals(transport, src_dir)
-    topics = [TOPIC_ALL, R.TOPIC_WORLD_BANK, R.TOPIC_AFRICA, TOPIC_VALIDATED, R.TOPIC_FAILED]
-    # bound a micro-batch by files (file listing only, no data read): ~STREAM_FILES batches
-    n_files = len(spark.read.schema(ST.TRANSPORT).json(src_dir).inputFiles())
-    per_trigger = max(1, -(-n_files // STREAM_FILES))
+    topics = [TOPIC_VALIDATED, R.TOPIC_FAILED]
+    routed = _arrivals(spark, sf_dir).select(
+        F.when(F.col("valid"), TOPIC_VALIDATED).otherwise(R.TOPIC_FAILED).alias("topic"), F.col("country_code").alias("key"),
+        F.to_json(F.struct(*R.MESSAGE_FIELDS, "failure_reason")).alias("value"), "partition", "offset")
+    _write_arrivals(routed, src_dir)
     decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir,
-                                                       "maxFilesPerTrigger": per_trigger}))
+                                                       "maxFilesPerTrigger": FILES_PER_TRIGGER}))
     q = decoded.writeStream.option("checkpointLocation", ckpt).foreachBatch(ST.log_batches(log)) \
         .trigger(availableNow=True).start()
     ST.run_once(q)
     return ST.current_table(spark, log).drop("batch_file")
 
 
-@register("stream_route", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+@register("stream_route", _fan_out_oracle(f"SELECT {_PAYLOAD} FROM routed"))
 def q_stream_route(spark, sf_dir):
     """Raw messages streamed through validation and fan-out into a topic-partitioned
-    sink (exactly-once file sink), read back per topic."""
+    sink (exactly-once file sink); every topic's payload read back."""
     src_dir, ckpt, out = _stream_dirs(spark, "stream-route")
-    transport = ST.transport_rows(src.stream_messages(spark, sf_dir), RAW_INPUT_TOPIC)
-    _write_arrivals(transport, src_dir)
-    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir}))
+    _write_arrivals(ST.transport_rows(_arrivals(spark, sf_dir), RAW_INPUT_TOPIC), src_dir)
+    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
+                                                                  "maxFilesPerTrigger": FILES_PER_TRIGGER}))
     routed = ST.with_batch_metrics(ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P))
     q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
     ST.run_once(q)
-    return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+    return _payload(spark.read.parquet(out))
+
+
+_BROKEN = "CASE arrival_seq % 10 WHEN 0 THEN indicator_code WHEN 1 THEN '[1,2]' END"
+
+
+@register("stream_undecodable", O.with_ctes(
+    f"SELECT country_code AS key, {_BROKEN} AS raw, 'Undecodable message' AS failure_reason FROM messages "
+    "WHERE arrival_seq % 10 < 2"))
+def q_stream_undecodable(spark, sf_dir):
+    """Values that are not JSON objects reach the dead-letter topic with their raw text; none is lost."""
+    src_dir, ckpt, out = _stream_dirs(spark, "stream-undecodable")
+    k = F.pmod("arrival_seq", F.lit(10))
+    rows = _arrivals(spark, sf_dir)
+    good = ST.transport_rows(rows.filter(k >= 2), RAW_INPUT_TOPIC)
+    bad = rows.filter(k < 2).select(F.lit(RAW_INPUT_TOPIC).alias("topic"), F.col("country_code").alias("key"),
+                                    F.when(k == 0, F.col("indicator_code")).otherwise("[1,2]").alias("value"), "partition", "offset")
+    _write_arrivals(good.unionByName(bad), src_dir)
+    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
+                                                                  "maxFilesPerTrigger": FILES_PER_TRIGGER}))
+    routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+    ST.run_once(ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt))
+    dead = spark.read.parquet(out).filter(F.col("topic") == R.TOPIC_FAILED)
+    return dead.select("key", F.get_json_object("value", "$.raw").alias("raw"),
+                       F.get_json_object("value", "$.failure_reason").alias("failure_reason")).filter("raw IS NOT NULL")
 
 
 # ---- materialised marts (A12, A13), latest-per definition (E5/F3), scalar families (B1-B27) ----
@@ -474,32 +643,89 @@ _MART_REL = {"fct_progress": "combined", "fct_target_achievement": "gaps", "dim_
              "peer_comparison": "peer_comparison"}
 
 
+# mart -> four columns that tell its rows apart or carry their main measure
+_MART_COLS = {
+    "fct_progress": ("country_code", "indicator_code", "year", "value"),
+    "fct_target_achievement": ("country_code", "indicator_code", "latest_value", "target_status"),
+    "dim_countries": ("country_code", "region", "income_tier", "overall_sdg_score"),
+    "dim_goals": ("goal", "goal_title", "sdg_pillar", "target_year"),
+    "tracker": ("country_code", "goal", "avg_goal_score", "progress_category"),
+    "goal_summary": ("goal", "countries_tracked", "africa_avg_score", "goal_status"),
+    "peer_comparison": ("country_code", "goal", "ea_rank", "vs_ea_average"),
+}
+
+
 @register("mart_tables", O.with_ctes("\nUNION ALL ".join(
-    f"SELECT '{m}' AS mart, count(*) AS row_count FROM {_MART_REL[m]}" for m in MART_NAMES)))
+    f"SELECT '{m}' AS mart, " + ", ".join(f"CAST({c} AS VARCHAR) AS c{i}" for i, c in enumerate(cols)) + f" FROM {_MART_REL[m]}"
+    for m, cols in _MART_COLS.items())))
 def q_mart_tables(spark, sf_dir):
-    """All seven marts rebuilt as tables from a checkpointed panel, read back and counted."""
+    """All seven marts rebuilt as tables from a materialised panel; every row read back."""
     base = scratch_path(spark, "marts")
     paths = write_marts(_panel(spark, sf_dir), base)
     out = None
     for name in MART_NAMES:
-        part = spark.read.parquet(paths[name]).agg(F.count(F.lit(1)).alias("row_count")) \
-            .select(F.lit(name).alias("mart"), "row_count")
+        part = spark.read.parquet(paths[name]).select(
+            F.lit(name).alias("mart"), *[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(_MART_COLS[name])])
         out = part if out is None else out.unionByName(part)
     return out
 
 
-@register("staging_views", O.with_ctes(
-    "SELECT count(*) AS row_count, count(DISTINCT country_code) AS entities FROM stg_batch"))
+@register("staging_views", O.with_ctes("SELECT country_code, indicator_code, year, value, sdg_milestone FROM stg_batch"))
 def q_staging_views(spark, sf_dir):
     """Models registered as temporary views and queried with SQL."""
     prefix = f"v{abs(hash(sf_dir)) % 10**8}_"
     register_views(_panel(spark, sf_dir), prefix)
-    return spark.sql(f"SELECT count(*) AS row_count, count(DISTINCT country_code) AS entities "
-                     f"FROM {prefix}stg_batch")
+    return spark.sql(f"SELECT country_code, indicator_code, year, value, sdg_milestone FROM {prefix}stg_batch")
+
+
+@register("series_by_key", O.with_ctes("""
+SELECT year, value, data_source FROM combined
+WHERE (country_code, indicator_code) = (SELECT (country_code, indicator_code) FROM combined
+                                        ORDER BY country_code, indicator_code LIMIT 1)"""))
+def q_series_by_key(spark, sf_dir):
+    """K19 as specified, one series by entity and metric: those of the smallest key."""
+    fct = _panel(spark, sf_dir).fct_progress
+    key = fct.agg(F.min(F.struct("country_code", "indicator_code")).alias("k"))
+    return M.series(fct, key.select("k.country_code").scalar(), key.select("k.indicator_code").scalar())
+
+
+@register("classifiers", f"""
+SELECT l_orderkey, l_linenumber, {O.pillar('goal')} AS pillar, {O.milestone(_P)} AS milestone
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey % 19 AS INTEGER) AS goal,
+             CAST({_P.baseline_year} + l_suppkey % 12 AS INTEGER) AS year FROM lineitem)""")
+def q_classifiers(spark, sf_dir):
+    """B31, B33 over their whole range: every pillar, goals outside all, and all four milestones."""
+    li = src.read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.pmod("l_partkey", F.lit(19)).cast("int").alias("goal"),
+        (F.lit(_P.baseline_year) + F.pmod("l_suppkey", F.lit(12))).cast("int").alias("year"))
+    return li.select("l_orderkey", "l_linenumber", C.pillar("goal").alias("pillar"), C.milestone("year", _P).alias("milestone"))
+
+
+_XV, _XP = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS HUGEINT) * 10000000000000", "CAST(CAST(l_tax AS DECIMAL(18,2)) * 100 AS HUGEINT)"
+
+
+@register("extreme_rates", f"""
+SELECT l_orderkey, l_linenumber, CAST({O.ratio(f'({_XV} - {_XP})', _XP, 10000)} AS VARCHAR) AS pct_units,
+       CAST({O.ratio(f'({_XP} - {_XV})', f'({_XV} * 3)', 10000)} AS VARCHAR) AS fall_units,
+       CAST(CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE 1000 END AS BIGINT) AS score_tenths
+FROM lineitem""")
+def q_extreme_rates(spark, sf_dir):
+    """B5, B37, K6 on outliers: values up to 1e16 against predecessors down to 0.0001 (or 0), exact in integer units;
+    scores of a value far past the baseline, for the wrong or the right direction."""
+    li = src.read_table(spark, sf_dir, "lineitem")
+    v = (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(10 ** 11)).cast(C.VALUE_TYPE)
+    p = (F.col("l_tax").cast("decimal(18,2)") / 100).cast(C.VALUE_TYPE)
+    sv, sp = C.scaled(v), C.scaled(p)
+    base, target = F.lit("25.0001").cast(C.VALUE_TYPE), F.lit("25").cast(C.VALUE_TYPE)
+    wrong = C.progress_score_tenths(F.lit("off track"), v, base, target, F.lit("lower"))
+    right = C.progress_score_tenths(F.lit("on track"), v, F.lit("24.9999").cast(C.VALUE_TYPE), target, F.lit("higher"))
+    return li.select("l_orderkey", "l_linenumber", C.round_ratio(sv - sp, sp, 10000).cast("string").alias("pct_units"),
+                     C.round_ratio(sp - sv, sv * 3, 10000).cast("string").alias("fall_units"),
+                     F.when(F.col("l_linenumber") % 2 == 0, wrong).otherwise(right).alias("score_tenths"))
 
 
 @register("latest_per_series", O.with_ctes(
-    "SELECT country_code, indicator_code, latest_year AS year, latest_value AS value FROM latest"))
+    "SELECT country_code, indicator_code, newest.year AS year, newest.value AS value FROM ends"))
 def q_latest_per(spark, sf_dir):
     """E5/F3 by definition (row_number = 1 per series, WindowGroupLimit)."""
     c = _panel(spark, sf_dir).combined.filter(F.col("value").isNotNull())
@@ -579,13 +805,12 @@ def q_scalar_numeric(spark, sf_dir):
     )
 
 
-@register("topic_sink", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+@register("topic_sink", _fan_out_oracle(f"SELECT {_PAYLOAD} FROM routed"))
 def q_topic_sink(spark, sf_dir):
-    """A6 batch sink: messages written per topic (files partitioned by topic), read back per topic."""
+    """A6 batch sink: messages written per topic (files partitioned by topic); every payload read back."""
     path = scratch_path(spark, "topics")
     ST.write_topics(_routed(spark, sf_dir), {"format": "json", "path": path})
-    back = spark.read.schema("key string, value string, topic string").json(path)
-    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+    return _payload(spark.read.schema("key string, value string, topic string").json(path))
 
 
 @register("lake_incremental_load", O.with_ctes(
@@ -595,10 +820,10 @@ def q_lake_incremental(spark, sf_dir):
     unprocessed envelope of the validated topic once (restarting it loads nothing twice)."""
     base = scratch_path(spark, "lake-inc")
     lake, ckpt, out = f"{base}/lake", f"{base}/ckpt", f"{base}/loaded"
-    routed = _routed(spark, sf_dir)
-    early = F.col("key") < F.lit("C000000500")  # two flushes, split by key range
+    routed = _routed_arrivals(spark, sf_dir)
+    early = F.coalesce(F.col("key") < F.lit("C000000500"), F.lit(False))  # two flushes, split by key range
     FS.write_batches(routed.filter(early), lake, "2024-01-30T23:59:00", _P)
-    FS.write_batches(routed.filter(~early), lake, "2024-01-31T00:01:00", _P)
+    FS.write_batches(routed.filter(~early), lake, "2024-01-31T00:01:00", _P, batch_id=1)
     rows = ST.lake_stream(spark, lake, TOPIC_VALIDATED).select("record_id", "country_code", "year", "value")
     for _ in range(2):  # second run: nothing new
         ST.run_once(rows.writeStream.option("checkpointLocation", ckpt).format("parquet").option("path", out)
@@ -627,7 +852,7 @@ def q_api_extraction_by_goal(spark, sf_dir):
     f"WHERE NOT EXISTS (SELECT 1 FROM {_API_OBS} o WHERE o.m = d.indicator_code)"))
 def q_api_indicators_without_data(spark, sf_dir):
     """Dictionary entries the API returned no values for (dictionary ▷ observations)."""
-    d = literal_dimension(spark, [(c, int(c[0])) for c in DRIVER_PRIORITIES], "indicator_code string, goal int")
+    d = literal_dimension(spark, [(c, int(c[0])) for c in DICTIONARY], "indicator_code string, goal int")
     seen = _api_observations(spark, sf_dir).select("indicator_code")
     return d.join(seen, "indicator_code", "left_anti")
 
@@ -662,21 +887,25 @@ def q_batch_table_upsert(spark, sf_dir):
                   ["arrival_ts", "arrival_seq"])
 
 
-@register("stream_lake", _fan_out_oracle("SELECT topic, count(*) AS records FROM routed GROUP BY topic"))
+@register("stream_lake", _fan_out_oracle(f"SELECT {_PAYLOAD} FROM routed"))
 def q_stream_lake(spark, sf_dir):
     """§3.2 consumer: raw messages streamed through validation and fan-out and flushed per
-    micro-batch to the lake as envelopes (idempotent per batch id); the lake read back per topic."""
+    micro-batch to the lake as envelopes (idempotent per batch id); every payload read back."""
     src_dir, ckpt, lake = _stream_dirs(spark, "stream-lake")
-    transport = ST.transport_rows(src.stream_messages(spark, sf_dir), RAW_INPUT_TOPIC)
-    _write_arrivals(transport, src_dir)
-    n_files = len(spark.read.schema(ST.TRANSPORT).json(src_dir).inputFiles())
-    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {
-        "format": "json", "path": src_dir, "maxFilesPerTrigger": max(1, -(-n_files // STREAM_FILES))}))
+    _write_arrivals(ST.transport_rows(_arrivals(spark, sf_dir), RAW_INPUT_TOPIC), src_dir)
+    decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
+                                                                  "maxFilesPerTrigger": FILES_PER_TRIGGER}))
     routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
     q = routed.writeStream.option("checkpointLocation", ckpt).foreachBatch(
         ST.lake_sink(lake, _P, clock=lambda: _AS_OF.replace(" ", "T"))).trigger(availableNow=True).start()
     ST.run_once(q)
-    return FS.read_batches(spark, lake).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+    return FS.read_batches(spark, lake).select(*PAYLOAD_COLS)
+
+
+@register("recent_extraction", _API_OBS_SQL + " AND 1996 + event_id % 7 BETWEEN 2001 AND 2002")
+def q_recent_extraction(spark, sf_dir):
+    """The incremental extraction: the last two calendar years of the normalised API pages."""
+    return FS.recent_window(_api_observations(spark, sf_dir), 2, 2002)
 
 
 @register("priority_union", O.with_ctes("SELECT * FROM unioned"))

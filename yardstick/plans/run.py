@@ -2,8 +2,8 @@
 
     python -m yardstick.plans.run --sf-dir /root/testdata/sf0.1 --out <shared folder> [--gate report|stop]
 
-On a cluster, pass an ``--out`` in shared storage; lineage is cut with reliable
-checkpoints in the folder named by ``spark.checkpoint.dir``.
+On a cluster, pass an ``--out`` in shared storage; lineage is cut with tables in the
+folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -21,14 +21,19 @@ from yardstick.params import DRIVER
 from yardstick.plans.models import Panel, write_marts
 
 
+MAX_PARTITIONS = 32_768
+READ_TABLES = ("orders", "events", "customer", "nation", "region")
+
+
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizing for a given input volume.
 
-    Scan splits of 256 MB; shuffle partitions so that each holds about the same
-    (at least 2 waves of tasks over the cores); AQE coalesces small ones and
-    splits skewed ones at run time.
+    Scan splits of 256 MB. ``input_bytes`` is the size of the tables that are read;
+    staging, partial aggregation and column pruning leave about an eighth of it to shuffle.
+    At least 2 waves of tasks over the cores, at most MAX_PARTITIONS: map and reduce tasks
+    multiply into shuffle blocks; AQE coalesces small partitions and splits large ones.
     """
-    parts = max(2 * total_cores, math.ceil(input_bytes / target_partition_bytes))
+    parts = min(MAX_PARTITIONS, max(2 * total_cores, math.ceil(input_bytes / 8 / target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -51,12 +56,14 @@ def apply_scale_conf(spark: SparkSession, path: str) -> dict:
     """Set the sizing of ``recommended_conf`` for the input under ``path``.
 
     Only runtime SQL settings are touched, and only where the session does not
-    already carry an explicit value for them (``spark-submit --conf`` wins).
+    already carry an explicit value (``spark-submit --conf`` and ``spark.conf.set`` win).
     """
-    conf = recommended_conf(input_bytes(spark, path), spark.sparkContext.defaultParallelism)
+    size = sum(input_bytes(spark, f"{path.rstrip('/')}/{t}.parquet") for t in READ_TABLES)
+    conf = recommended_conf(size, spark.sparkContext.defaultParallelism)
+    explicit = spark._jsparkSession.sessionState().conf().settings()  # set at submission or by spark.conf.set
     applied = {}
     for k, v in conf.items():
-        if spark.sparkContext.getConf().get(k, None) is None:
+        if not explicit.containsKey(k):
             spark.conf.set(k, v)
             applied[k] = v
     return applied
@@ -90,20 +97,23 @@ def run(spark: SparkSession, sf_dir: str, out: str, gate_mode: str = "stop", siz
     raw_root = f"{out.rstrip('/')}/raw"
     versions = load_raw_tables(spark, sf_dir, raw_root)
     raw = {name: current_version(spark, f"{raw_root}/{name.split('_')[1]}")[0] for name in versions}
-    panel = Panel(spark, sf_dir, DRIVER, overrides=raw).materialize()  # K5, K8 checkpointed once
-    report = QC.gate_report(panel.raw_batch, panel.raw_stream, DRIVER, DRIVER.extra["as_of"])
-    gate_rows = [r.asDict() for r in report.collect()]  # five rows
+    # the gate reads the raw tables alone and stops the run before anything is transformed
+    report = QC.gate_report(raw["raw_batch"], raw["raw_stream"], DRIVER, DRIVER.extra["as_of"]).collect()  # five rows
     if gate_mode == "stop":
         QC.gate(report)
+    panel = Panel(spark, sf_dir, DRIVER, overrides=raw).materialize()  # K5, K8 written once
     paths = write_marts(panel, f"{out.rstrip('/')}/marts")
-    counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
-    models = {m: getattr(panel, m) for m, _, _ in QC.COLUMN_TESTS}
+    published = {name: spark.read.parquet(path) for name, path in paths.items()}
+    counts = {name: df.count() for name, df in published.items()}
+    models = {m: published.get(m) if m in published else getattr(panel, m) for m, _, _ in QC.COLUMN_TESTS}
     tests = [r.asDict() for r in QC.column_tests(models).collect()]  # 28 rows
-    return {"raw_versions": versions, "gate": gate_rows, "marts": counts, "column_tests": tests, "sized": sized,
-            "seconds": round(time.perf_counter() - t0, 2)}
+    panel.release()
+    return {"raw_versions": versions, "gate": [r.asDict() for r in report], "marts": counts, "column_tests": tests,
+            "failed_tests": sum(t["failures"] > 0 for t in tests), "sized": sized, "seconds": round(time.perf_counter() - t0, 2)}
 
 
-def main(argv=None) -> None:
+def main(argv=None) -> int:
+    """Exit code 1 if a column test failed; a failed gate raises before the transform."""
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
@@ -116,7 +126,9 @@ def main(argv=None) -> None:
         spark = build_session(a.local)
     else:
         spark = SparkSession.builder.appName("yardstick-run").getOrCreate()
-    print(json.dumps(run(spark, a.sf_dir, a.out, a.gate, a.size), default=str))
+    result = run(spark, a.sf_dir, a.out, a.gate, a.size)
+    print(json.dumps(result, default=str))
+    return int(result["failed_tests"] > 0)
 
 
 if __name__ == "__main__":
