@@ -20,7 +20,9 @@ def test_recommended_conf_sizes_by_volume():
     small = recommended_conf(10 << 20, total_cores=8)
     big = recommended_conf(100 << 40, total_cores=8000)
     assert small["spark.sql.shuffle.partitions"] == "16"            # at least two waves over the cores
-    assert big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))   # 256 MB per partition
+    assert big["spark.sql.shuffle.partitions"] == "32768"           # bounded: AQE splits the rest
+    mid = recommended_conf(4 << 40, total_cores=800)
+    assert mid["spark.sql.shuffle.partitions"] == str((4 << 40) // 8 // (256 << 20))
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
 
 
@@ -36,3 +38,18 @@ def test_apply_scale_conf_keeps_explicit_settings(spark):
     finally:
         for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
             spark.conf.unset(k)
+
+
+def test_failed_gate_stops_before_the_transform(spark, tmp_path):
+    import pytest
+
+    from yardstick.operators.quality import GateFailed
+    out = str(tmp_path / "out")
+    with pytest.raises(GateFailed):
+        run(spark, SF001, out, gate_mode="stop")  # two checks fail on the driver tables
+    assert (tmp_path / "out" / "raw").exists() and not (tmp_path / "out" / "marts").exists()
+
+
+def test_failed_column_tests_are_counted(spark, tmp_path):
+    result = run(spark, SF001, str(tmp_path / "out"), gate_mode="report")
+    assert result["failed_tests"] == sum(t["failures"] > 0 for t in result["column_tests"]) > 0

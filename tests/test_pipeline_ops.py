@@ -4,6 +4,7 @@ import time
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001, rows
@@ -187,15 +188,90 @@ def test_processing_time_trigger_and_landing_pruning(spark, tmp_path):
     FS.write_landing(obs, base, "2026-03-29 10:00:00")
     FS.write_landing(obs, base, "2026-03-30 10:00:00")
     FS.write_landing(obs, base, "2026-03-30 18:00:00")  # same day again: replaced, not duplicated
+    FS.write_landing(obs.withColumn("indicator_code", F.lit("Y.1")), base, "2026-03-30 19:00:00")  # another indicator: added
     day = FS.read_landing(spark, base, "2026/03/30")
-    assert day.count() == 1 and FS.read_landing(spark, base).count() == 2
+    assert rows(day, "indicator_code") == [("X",), ("Y.1",)] and FS.read_landing(spark, base).count() == 3
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "isnotnull(d" in plan
 
 
+def _consumed(routed, partition=0):
+    """Routed messages with a consumption order."""
+    w = Window.partitionBy("topic").orderBy("key", "value")
+    return routed.withColumn("partition", F.lit(partition)).withColumn("offset", F.row_number().over(w).cast("long") - 1)
+
+
+def test_envelopes_keep_order_and_bound(spark, tmp_path):
+    """200 updates of one record over several chunks and two flushes in the same second: the last one wins."""
+    p = REFERENCE.with_(max_records_per_object=20)
+    msg = spark.range(200).select(
+        F.lit(TOPIC_VALIDATED).alias("topic"), F.lit("KEN").alias("key"),
+        F.to_json(F.struct(F.lit("r1").alias("record_id"), F.col("id").cast("double").alias("value"),
+                           F.concat(F.lit("e"), F.col("id")).alias("extracted_at"))).alias("value"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset")).repartition(7)
+    lake = str(tmp_path / "lake")
+    FS.write_batches(msg.filter("offset < 110"), lake, "2026-03-30T12:00:00", p, batch_id=3)
+    FS.write_batches(msg.filter("offset >= 110"), lake, "2026-03-30T12:00:00", p, batch_id=4)
+    back = FS.read_batches(spark, lake, TOPIC_VALIDATED)
+    assert back.select("batch_file", "pos").distinct().count() == 200
+    assert max(r["count"] for r in back.groupBy("batch_file").count().collect()) <= 20
+    got = FS.load_records(back).collect()
+    assert [(r.value, r.extracted_at) for r in got] == [(D("199.0000"), "e199")]
+    assert got[0].batch_file.endswith("_000003_00000_000000000000.json")
+    assert rows(FS.batch_stats(back), "files_written", "records_written") == [(11, 200)]
+    with pytest.raises(ValueError):
+        FS.write_batches(msg.drop("offset"), lake, "2026-03-30T12:00:00", p)
+    stream = ST.lake_stream(spark, lake, TOPIC_VALIDATED)
+    assert "lake_prefix" in stream._jdf.queryExecution().analyzed().toString()
+
+
+def test_partition_growth_keeps_the_newer_value(spark, tmp_path):
+    """A key moves to a lower partition when the topic gains partitions: the later batch still wins."""
+    log = str(tmp_path / "log")
+    msg = '{{"country_code":"KEN","year":2020,"value":{v},"record_id":"r1","extracted_at":"e{v}"}}'
+    writer = ST.log_batches(log)
+    for batch_id, (part, off, v) in enumerate([(2, 50, 1), (0, 0, 2)]):
+        rows_ = spark.createDataFrame([(TOPIC_VALIDATED, "KEN", msg.format(v=v), part, off)], ST.TRANSPORT)
+        writer(ST.decode(rows_), batch_id)
+    assert rows(ST.current_table(spark, log), "value", "extracted_at") == [(D("2.0000"), "e2")]
+
+
+def test_null_dates_stay_in_two_loads(spark, tmp_path):
+    import __spark_entry__ as E
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    holes = li.withColumn("l_shipdate", F.when(F.col("l_orderkey") % 10 == 0, None).otherwise(F.col("l_shipdate")))
+    holes.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = E.queries()["upsert_two_loads"](spark, str(tmp_path))
+    assert got.count() == li.select("l_orderkey", "l_linenumber").distinct().count()
+
+
+def test_building_models_starts_no_job(spark):
+    from yardstick.plans.models import Panel
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "plans only")
+    try:
+        p = Panel(spark, SF001)
+        for name in ("combined", "tracker", "peer_comparison", "goal_summary"):
+            getattr(p, name)
+        assert len(tracker.getJobIdsForGroup("build")) == 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_completed_versions_are_never_replaced(spark, tmp_path):
+    from yardstick.sources.tables import write_version
+    df = spark.range(3)
+    write_version(df, str(tmp_path / "t"), 1)
+    with pytest.raises(FileExistsError):
+        write_version(df, str(tmp_path / "t"), 1)
+    (tmp_path / "t" / "v=2").mkdir()  # interrupted
+    write_version(df, str(tmp_path / "t"), 2)
+
+
 def test_lake_sink_replay_is_idempotent(spark, tmp_path):
     data = [{"country_code": "KEN"}, {"country_code": "FRA"}, {"year": 1990}]
     routed = R.fan_out(R.validate(msg_df(spark, data), REFERENCE), REFERENCE.members, REFERENCE)
+    routed = _consumed(routed)
     sink = ST.lake_sink(str(tmp_path / "lake"), REFERENCE, clock=lambda: "2026-03-30T12:00:00")
     sink(routed, 7)
     sink(routed, 7)  # the same micro-batch replayed after a failure
@@ -235,7 +311,7 @@ def test_indicator_tree_and_lake_provenance(spark, tmp_path):
     assert FS.read_observations(spark, str(tmp_path / "obs" / "combined")).count() == 2
 
     data = [{"country_code": "KEN", "record_id": "a"}, {"country_code": "FRA", "record_id": "b"}]
-    routed = R.fan_out(R.validate(msg_df(spark, data), REFERENCE), REFERENCE.members, REFERENCE)
+    routed = _consumed(R.fan_out(R.validate(msg_df(spark, data), REFERENCE), REFERENCE.members, REFERENCE))
     FS.write_batches(routed, str(tmp_path / "lake"), "2026-03-30T12:00:00", REFERENCE)
     back = FS.read_batches(spark, str(tmp_path / "lake"), TOPIC_VALIDATED)
     got = back.select("record_id", "batch_file", "source_file", "pos").collect()
