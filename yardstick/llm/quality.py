@@ -18,6 +18,7 @@ SYMBOLS = r"[#*$%&|<>]"
 BUCKETS = 1 << 18
 PRIOR = 16.0  # pseudo-counts of every feature, in target features: rare features say little
 MIN_LLR = -0.1
+MEMBER_BITS = 1 << 22
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -55,13 +56,30 @@ def _features(docs: DataFrame) -> DataFrame:
     return out.withColumn("__g", _chain(F.col("__h"), F.col("__h"), 1))
 
 
+def _may_be_in(ids: DataFrame) -> Column:
+    """Whether a row's doc_id may be one of ids (distinct): a hashed bitmap of fixed size, as a scalar subquery.
+
+    It only saves moving texts: false positives are joined, and more ids only mean more of them.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(MEMBER_BITS))
+    one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MEMBER_BITS}) % 64 as int))")
+    words = ids.groupBy(F.floor(bit / 64).cast("int").alias("i")).agg(F.bit_or(one).alias("w"))
+    every = ids.sparkSession.range(MEMBER_BITS // 64).select(F.col("id").cast("int").alias("i"))
+    laid = every.join(words, "i", "left").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0)).alias("w")))).alias("a"))
+    bitmap = laid.select(F.transform("a", lambda r: r["w"])).scalar()
+    return F.coalesce(F.get(bitmap, F.floor(bit / 64).cast("int")).bitwiseAND(one) != 0, F.lit(False))
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
     """One row: the array of every bucket's log ratio, target to corpus, counted over all texts.
 
-    docs has doc_id and text, trusted distinct doc_ids. The counts are partial sums by bucket:
-    the one task that lays them out reads `buckets` rows at most, whatever the input.
+    docs has doc_id and text, trusted distinct doc_ids. Only texts that may be trusted move to meet
+    their id. The counts are partial sums by bucket: the one task that lays them out reads
+    `buckets` rows at most, whatever the input.
     """
-    marked = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(1).alias("__t")), "doc_id", "left")
+    texts, may = docs.select("doc_id", "text"), _may_be_in(trusted)
+    marked = (texts.where(may).join(trusted.select("doc_id", F.lit(1).alias("__t")).hint("merge"), "doc_id", "left")
+              .unionByName(texts.where(~may).withColumn("__t", F.lit(None).cast("int"))))
     features = _features(marked).select(F.explode(F.concat("__h", "__g")).alias("x"), "__t")
     counts = (features.groupBy(F.pmod("x", F.lit(buckets)).cast("int").alias("b"))
               .agg(F.count(F.lit(1)).cast("double").alias("raw"), F.count("__t").cast("double").alias("target")))
