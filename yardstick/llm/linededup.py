@@ -1,10 +1,11 @@
 """Line dedup by content-defined chunks, DataFrame functions only.
 
-A rolling hash over the hashes of WINDOW lines chooses the boundaries: a chunk ends where the
-hash is a multiple of DIVISOR, so boundaries depend on nearby lines alone and survive shifts. A
-line of LONG_LINE words or more is a chunk of its own. Chunks of MIN_WORDS words or more that
-repeat anywhere are compared byte by byte (grouped and joined on their text); the first
-occurrence (smallest doc_id, then place) stays and the others are removed.
+A rolling hash over the hashes of two lines chooses the boundaries: a chunk ends where the rolling
+hash is smaller than at the lines before and after. So a boundary depends on four lines alone and
+survives shifts, and a chunk has two lines or more (but for the ends of a text). A line of
+LONG_LINE words or more is a chunk of its own. Chunks of several lines with MIN_WORDS words or more,
+and long lines, that repeat anywhere are compared byte by byte (grouped and joined on their
+text); the first occurrence (smallest doc_id, then place) stays and the others are removed.
 """
 
 from __future__ import annotations
@@ -14,25 +15,25 @@ from pyspark.sql import functions as F
 
 from yardstick.llm.common import drop_stored, let, salted_join, store, table
 
-DIVISOR = 2
 LONG_LINE = 20
-MIN_WORDS = 20
+MIN_WORDS = 10
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
-def chunks(text: Column, divisor: int = DIVISOR, long_line: int = LONG_LINE) -> Column:
+def chunks(text: Column, long_line: int = LONG_LINE) -> Column:
     """Array of (text, words, lines) of a text's chunks in order; joined by newlines they are the text."""
     def cut(lines: Column) -> Column:
-        marks = F.transform(lines, lambda x: F.struct(
-            F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
-        return let(marks, lambda m: parts(lines, m))
+        def rolling(hashes: Column) -> Column:
+            return F.transform(lines, lambda x, i: F.struct(
+                F.xxhash64(F.get(hashes, i - 1), F.get(hashes, i)).alias("r"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
+
+        return let(let(F.transform(lines, lambda x: F.xxhash64(x)), rolling), lambda m: parts(lines, m))
 
     def parts(lines: Column, m: Column) -> Column:
         def ends(e: Column, i: Column) -> Column:
             after = F.get(m, i + 1)
-            rolling = F.xxhash64(F.get(m, i - 1)["h"], e["h"])
-            return (after.isNull() | (e["w"] >= long_line) | (after["w"] >= long_line)
-                    | (F.pmod(rolling, F.lit(divisor)) == 0))
+            low = (e["r"] < F.get(m, i - 1)["r"]) & (e["r"] < after["r"])
+            return after.isNull() | (e["w"] >= long_line) | (after["w"] >= long_line) | F.coalesce(low, F.lit(False))
 
         last = F.filter(F.transform(m, lambda e, i: F.when(ends(e, i), i)), lambda i: i.isNotNull())
         return let(last, lambda stop: F.transform(stop, lambda e, j: let(
@@ -44,27 +45,32 @@ def chunks(text: Column, divisor: int = DIVISOR, long_line: int = LONG_LINE) ->
     return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), cut)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, divisor: int = DIVISOR, long_line: int = LONG_LINE) -> DataFrame:
-    """docs with text less its repeated chunks, plus n_lines and n_removed (long).
+def eligible(lines: Column, n_words: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
+    """Whether a chunk is removed when it repeats."""
+    return ((lines > 1) & (n_words >= min_words)) | (n_words >= long_line)
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, counts: bool = True) -> DataFrame:
+    """docs with text less its repeated chunks, plus n_lines and n_removed (long) if `counts`.
 
     Every row stays; a text all of whose chunks occurred before becomes empty. A null text stays null.
     Texts without a removed chunk are unchanged to the byte. Chunks are found by hash first:
     only texts of chunks whose hash repeats move, once for the comparison. Rows alike in doc_id
-    and text are one occurrence; a null doc_id comes last. Input columns n_lines and n_removed are
-    replaced, all others are returned.
+    and text are one occurrence; a null doc_id comes last. All columns are returned; with `counts`
+    those named n_lines and n_removed are replaced.
     """
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    cut = lambda c: chunks(c, divisor, long_line)
+    keep = [c for c in docs.columns if not counts or c not in ("n_lines", "n_removed")]
+    cut = lambda c: chunks(c, long_line)
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text"))
     light = rows.select("__rid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("__doc"), "text").where("text is not null")
     keys = (light.select("__rid", "__doc", F.posexplode(F.transform(cut(F.col("text")), lambda c: F.struct(
-                F.xxhash64(c["text"]).alias("h"), c["words"].alias("w")))).alias("no", "c"))
-            .where(F.col("c.w") >= min_words).select("__rid", "__doc", "no", F.col("c.h").alias("h")))
+                F.xxhash64(c["text"]).alias("h"), c["words"].alias("w"), c["lines"].alias("n")))).alias("no", "c"))
+            .where(eligible(F.col("c.n"), F.col("c.w"), min_words, long_line)).select("__rid", "__doc", "no", F.col("c.h").alias("h")))
     keys = store(keys, "chunk-keys")
     twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     found = salted_join(keys, twice, ["h"], ["__rid", "no"]).groupBy("__rid", "__doc").agg(F.collect_set("no").alias("nos"))
-    # byte comparison of the chunks whose hash repeats
-    candidates = light.join(found, ["__rid", "__doc"]).select("__rid", "__doc", "nos", cut(F.col("text")).alias("cs"))
+    # byte comparison of the chunks whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
+    candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select("__rid", "__doc", "nos", cut(F.col("text")).alias("cs"))
     candidates = candidates.select("__rid", "__doc", F.explode("nos").alias("no"), "cs").select(
         "__rid", "__doc", "no", F.get("cs", F.col("no"))["text"].alias("chunk"))
     place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("no")).cast("decimal(33,0)")
@@ -76,15 +82,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, divisor: int = DIVI
     gone = store(gone, "chunks-gone")
     for t in (keys, candidates, first):
         drop_stored(t)
-    out = rows.withColumn("__doc", F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long")).join(gone, ["__rid", "__doc"], "left")
+    out = rows.withColumn("__doc", F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long")).join(gone.hint("merge"), ["__rid", "__doc"], "left")
     left = let(cut(F.col("text")), lambda cs: F.filter(cs, lambda c, i: ~F.array_contains("__gone", i)))
     out = out.withColumn("__left", F.when(F.col("__gone").isNotNull(), left))
-    n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
-    n_left = F.aggregate("__left", F.lit(0), lambda a, c: a + c["lines"])
     text = F.when(F.col("__left").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__left", lambda c: c["text"]), "\n"))
-    out = out.withColumn("n_lines", n_lines).withColumn(
-        "n_removed", F.when(F.col("__left").isNull(), F.lit(0)).otherwise(F.col("n_lines") - n_left).cast("long"))
-    return out.withColumn("text", text).select(*keep, "n_lines", "n_removed")
+    made = []
+    if counts:
+        n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
+        n_left = F.aggregate("__left", F.lit(0), lambda a, c: a + c["lines"])
+        made = [n_lines.alias("n_lines"), F.when(F.col("__left").isNull(), F.lit(0)).otherwise(n_lines - n_left).cast("long").alias("n_removed")]
+    return out.select(*(text.alias("text") if c == "text" else c for c in keep), *made)
 
 
 def op2_content_defined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
