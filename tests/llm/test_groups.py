@@ -71,6 +71,23 @@ def test_large_near_copy_group_is_one_component(spark, docs_of):
     assert sum(r.kept for r in got) == len(set(component.values()))
 
 
+def test_unlinked_family_is_compared_in_blocks(spark, docs_of, monkeypatch):
+    """Copies of one text that mostly fall just short of the threshold among themselves."""
+    monkeypatch.setattr(neardup, "BLOCK", 15)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(90):
+        t = list(base)
+        for at in rng.sample(range(120), rng.choice([4, 6, 7, 8])):
+            t[at] = f"c{i}x{at}"
+        texts.append(" ".join(t))
+    component, _ = brute.near_duplicates(dict(enumerate(texts)), 2)
+    assert 5 < len(set(component.values())) < 85
+    got = neardup.near_duplicates(docs_of(texts), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == component
+
+
 def test_near_duplicates_on_the_driver_table(spark):
     docs = table(spark, SF, "documents")
     component, _ = brute.near_duplicates({r.doc_id: r.text for r in docs.collect()}, 5)

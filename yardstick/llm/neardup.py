@@ -21,6 +21,8 @@ from yardstick.llm.components import components
 from yardstick.llm.textvec import by_bytes, shingles, words
 
 HALF, M = 3, 12
+TRIALS = 6  # partners tried one by one before all the pairs that are left
+BLOCK = 200  # members of a block of such pairs
 SEED = 7
 
 
@@ -78,6 +80,12 @@ def shingle_sets(docs: DataFrame, n_words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, set binary")
 
 
+def _similar(u: np.ndarray, v: np.ndarray, percent: int) -> bool:
+    """Exact test of two sorted non-empty sets."""
+    common = int(np.count_nonzero(u[np.minimum(np.searchsorted(u, v), len(u) - 1)] == v))
+    return 100 * common >= percent * (len(u) + len(v) - common)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The stored pairs (a, b) with 100 |A and B| >= percent |A or B| on the full sets."""
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
@@ -85,29 +93,91 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                u = np.frombuffer(x.as_buffer(), np.uint64)
-                v = np.frombuffer(y.as_buffer(), np.uint64)
-                place = np.searchsorted(u, v)
-                common = int(np.count_nonzero(u[np.minimum(place, len(u) - 1)] == v))
-                ok.append(100 * common >= percent * (len(u) + len(v) - common))
-            mask = pa.array(ok, pa.bool_())
+            mask = pa.array([_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)})
 
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _pairs_to_check(x: dict, y: dict, same: bool, table: int, percent: int, m: int) -> np.ndarray:
+    """Row numbers (of x, of y) of a block pair's pairs: in other components, of sizes that can link, with a common hash in
+    either collection, and met here first (in their first common hash of the first collection)."""
+    common = x["small"][:, None, :m] == y["small"][None, :, :m]
+    ok = common.any(2) & (common.argmax(2) == table)
+    ok &= (x["small"][:, None, m:] == y["small"][None, :, m:]).any(2)
+    ok &= x["component"][:, None] != y["component"][None, :]
+    nx, ny = x["n_shingles"][:, None], y["n_shingles"][None, :]
+    ok &= 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
+    if same:
+        ok = np.triu(ok, 1)
+    return np.argwhere(ok)
+
+
+def _block(members, m: int) -> dict:
+    """A block's members (a list of structs) as arrays."""
+    out = {c: np.asarray(members.field(c)) for c in ("rep", "component", "n_shingles")}
+    out["small"] = np.asarray(members.field("small").flatten()).reshape(len(members), 2 * m)
+    return out
+
+
+def across(docs: DataFrame, sets: DataFrame, percent: int, m: int) -> DataFrame:
+    """Links between components among docs (rep, component, n_shingles, small): every pair that shares a table is compared.
+
+    Groups are the hashes of the first collection, cut into blocks of about BLOCK members.
+    Pairs of blocks meet, and their pairs are compared inside the task: no row is made for a
+    pair that is not a link. Full sets move only for blocks that have a pair to compare.
+    """
+    hashes = docs.select("*", F.posexplode(F.slice("small", 1, m)).alias("table", "key"))
+    stats = hashes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    placed = salted_join(hashes, stats.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), ["key"], ["rep"])
+    placed = store(placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).drop("blocks"), "blocks")
+    member = ("rep", "component", "n_shingles", "small")
+
+    def pairs(blocks: DataFrame) -> DataFrame:
+        sides = [blocks.select("key", "table", F.col("block").alias(k), F.col("members").alias("m" + k)) for k in "ab"]
+        return sides[0].join(sides[1].drop("table"), "key").where("a <= b")
+
+    def any_pair(batches):
+        for batch in batches:
+            keep = []
+            for key, table, a, b, ma, mb in zip(*(batch.column(c) for c in ("key", "table", "a", "b", "ma", "mb")), strict=True):
+                x, y = _block(ma.values, m), _block(mb.values, m)
+                keep.append(len(_pairs_to_check(x, y, a.as_py() == b.as_py(), table.as_py(), percent, m)) > 0)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(mask) for c in ("key", "a", "b")})
+
+    light = placed.groupBy("key", "table", "block").agg(F.collect_list(F.struct(*member)).alias("members"))
+    met = store(pairs(light).mapInArrow(any_pair, "key long, a long, b long"), "block-pairs")
+    needed = met.select("key", F.col("a").alias("block")).unionByName(met.select("key", F.col("b").alias("block"))).distinct()
+    full = placed.join(needed, ["key", "block"], "left_semi").join(sets.withColumnRenamed("id", "rep"), "rep")
+    full = store(full.groupBy("key", "table", "block").agg(F.collect_list(F.struct(*member, "set")).alias("members")), "set-blocks")
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                x, y = _block(row["ma"].values, m), _block(row["mb"].values, m)
+                sx, sy = ([np.frombuffer(v.as_buffer(), np.uint64) for v in row[c].values.field("set")] for c in ("ma", "mb"))
+                found = [(x["rep"][p], y["rep"][q]) for p, q in _pairs_to_check(
+                    x, y, row["a"].as_py() == row["b"].as_py(), row["table"].as_py(), percent, m) if _similar(sx[p], sy[q], percent)]
+                if found:
+                    a, b = np.sort(np.array(found, np.int64), axis=1).T
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+    return store(pairs(full).join(met, ["key", "a", "b"], "left_semi").mapInArrow(compare, "a long, b long"), "links")
+
+
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, half: int = HALF, m: int = M) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
     Links: 100 |intersection| >= percent |union| of the distinct n-word shingles (A-Z
     lower-cased; fewer words are one shingle). A null, empty or blank text has no shingles and
     links with nothing. Texts with equal sets are one class, named by its smallest doc_id, so
-    copies never meet pair by pair. Per table key the members are tried against the smallest
-    member and their neighbour; first each class's most frequent partner, then partners that are
-    still in another component, then every pair of a key's members whose components still
-    differ: no link between different texts is lost to the order of trials. Repeated rows of a
+    copies never meet pair by pair. Members of a table key are tried against its smallest member
+    and their neighbour: each class's most frequent partner first, then TRIALS - 1 more
+    where the components still differ. Then every pair that shares a key and whose components
+    still differ is compared, block by block: no link between different texts is lost to the order of trials. Repeated rows of a
     doc_id get the same result. A null doc_id has a null component unless its text equals or
     nears that of a document with an id; it is kept if its component is null.
     """
@@ -125,44 +195,37 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, half:
         F.slice("small", m + 1, m), lambda y: F.xxhash64(x, y))))
     keys = members.where("small is not null").select("rep", "n_shingles", F.explode(tables).alias("key"))
     by_key = Window.partitionBy("key").orderBy("rep")
-    whole = Window.partitionBy("key")
     buckets = store(keys.select(
         "key", "rep", "n_shingles", F.first("rep").over(by_key).alias("first"), F.first("n_shingles").over(by_key).alias("n_first"),
         F.lag("rep").over(by_key).alias("before"), F.lag("n_shingles").over(by_key).alias("n_before"),
-        F.lead("rep").over(by_key).alias("after")).where("before is not null or after is not null"), "buckets")
+        F.lead("rep").over(by_key).alias("after")).where("before is not null or after is not null").drop("after"), "buckets")
     near = lambda n: (100 * F.least("n_shingles", n) >= percent * F.greatest("n_shingles", n))  # noqa: E731  sizes alone rule the rest out
     tried = (buckets.where((F.col("first") < F.col("rep")) & near("n_first")).select(F.col("first").alias("a"), F.col("rep").alias("b"))
              .unionByName(buckets.where((F.col("before") < F.col("rep")) & near("n_before")).select(F.col("before").alias("a"), F.col("rep").alias("b"))))
-    pairs = store(tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    best = Window.partitionBy("b").orderBy(F.desc("n"), "a")
+    trials = store(tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).withColumn("turn", F.row_number().over(best))
+                   .where(F.col("turn") <= TRIALS), "trials")
     involved = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(involved, "doc_id", "left_semi")
     sets = store(shingle_sets(texts, n_words).dropDuplicates(["id"]), "sets")
 
-    best = store(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    links = store(confirmed(best, sets, percent), "links")
+    links = store(confirmed(trials.where("turn = 1").select("a", "b"), sets, percent), "links")
+    labels = components(links)
+    la = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    lb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    rest = (trials.where("turn > 1").select("a", "b").join(la, "a", "left").join(lb, "b", "left")
+            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    links = links.unionByName(store(confirmed(store(rest, "rest"), sets, percent), "links"))
+    labels = components(links)
+    # keys whose members are still in several components
+    marked = (buckets.select("key", "rep", "n_shingles").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    mixed = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    open_ = marked.join(mixed, "key", "left_semi").groupBy("rep").agg(
+        F.first("component").alias("component"), F.first("n_shingles").alias("n_shingles"))
+    small = members.where("small is not null").groupBy("rep").agg(F.first("small").alias("small"))
+    links = links.unionByName(across(store(open_.join(small, "rep"), "open"), sets, percent, m))
     labels = components(links)
-
-    def apart(df: DataFrame) -> DataFrame:
-        la = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        lb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        return (df.join(la, "a", "left").join(lb, "b", "left")
-                .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-
-    rest = store(apart(pairs.select("a", "b")).join(best, ["a", "b"], "left_anti"), "rest")
-    links2 = store(confirmed(rest, sets, percent), "links")
-    labels = components(links.unionByName(links2))
-    # keys whose members are still in several components: every pair across them that has not been tried
-    marked = buckets.select("key", "rep", "n_shingles").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep"))
-    mixed = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("n")).where("lo < hi and n > 2").select("key")
-    open_ = store(marked.join(mixed, "key", "left_semi"), "open")
-    x = open_.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), "n_shingles")
-    y = open_.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("n2"))
-    across = (x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near("n2"))
-              .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    links3 = store(confirmed(store(across, "across"), sets, percent), "links")
-    labels = components(links.unionByName(links2).unionByName(links3))
     out = members.select("doc_id", "n_shingles", "rep").join(
         labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.coalesce("component", "rep")
