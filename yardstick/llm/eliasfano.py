@@ -82,8 +82,13 @@ class EliasFano:
         at = _select_bit(np.asarray(self.bits[word]), i - self.ones[word] + 1) + word * 64
         return ((at - i).astype(U) << U(self.width) | unpack_at(self.low, self.width, i)) + self.first
 
+    def _zero(self, r: np.ndarray) -> np.ndarray:
+        """Place of the r-th (from 1) zero of the high bits."""
+        word = np.maximum(np.searchsorted(self.zeros, r, "left") - 1, 0)
+        return _select_bit(~np.asarray(self.bits[word]), r - self.zeros[word]) + word * 64
+
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Place of every x, or -1: the bucket of its high bits is found by select, then searched for its successor."""
+        """Place of every x, or -1: select finds the bucket of its high bits, binary search its successor there."""
         out = np.full(len(x), -1, np.int64)
         if not self.n:
             return out
@@ -91,18 +96,20 @@ class EliasFano:
         todo = np.flatnonzero((x >= self.first) & (y <= self.top))
         y = y[todo]
         high = (y >> U(self.width)).astype(np.int64)
-        low = y & U((1 << self.width) - 1)
-        word = np.searchsorted(self.zeros, high, "left") - 1  # of the zero that ends the bucket before
-        word = np.maximum(word, 0)
-        at = _select_bit(~np.asarray(self.bits[word]), np.maximum(high - self.zeros[word], 1)) + word * 64 + 1
-        at = np.where(high > 0, at, 0)
-        place = at - high
-        while len(todo):
-            one = (self.bits[at >> 6] >> (at & 63).astype(U)) & U(1) == U(1)
-            got = unpack_at(self.low, self.width, np.minimum(place, self.n - 1))
-            out[todo[one & (got == low)]] = place[one & (got == low)]
-            on = one & (got < low)
-            todo, at, place, low = todo[on], at[on] + 1, place[on] + 1, low[on]
+        want = y & U((1 << self.width) - 1)
+        lo = np.where(high > 0, self._zero(np.maximum(high, 1)) + 1 - high, 0)
+        end = self._zero(high + 1) - high
+        hi = end.copy()
+        active = np.flatnonzero(lo < hi)
+        while len(active):
+            mid = (lo[active] + hi[active]) >> 1
+            less = unpack_at(self.low, self.width, mid) < want[active]
+            lo[active] = np.where(less, mid + 1, lo[active])
+            hi[active] = np.where(less, hi[active], mid)
+            active = active[lo[active] < hi[active]]
+        some = np.flatnonzero(lo < end)
+        some = some[unpack_at(self.low, self.width, lo[some]) == want[some]]
+        out[todo[some]] = lo[some]
         return out
 
 

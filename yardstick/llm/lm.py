@@ -45,6 +45,7 @@ SAMPLE_KEYS = 128  # of each sampled text
 CODES = 4096  # steps of a code per power of ten
 END = np.uint64(0x8F1BBCDC5A827999)
 U = np.uint64
+NONE = ~U(0)  # a key that no level holds
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -202,9 +203,8 @@ class Model:
         return ids, counts, back
 
     def pairs(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Key of (previous token, token) at every token; the largest key where there is none."""
-        none = ~U(0)
-        keys = np.full(len(ids), none, U)
+        """Key of (previous token, token) at every token; NONE where a text starts or either is unknown."""
+        keys = np.full(len(ids), NONE, U)
         ok = np.zeros(len(ids), bool)
         ok[1:] = (ids[1:] >= 0) & (ids[:-1] >= 0)
         ok[at[:-1]] = False
@@ -212,58 +212,64 @@ class Model:
         keys[i] = ids[i - 1].astype(U) * U(self.fan[2]) + ids[i].astype(U)
         return keys
 
-    def place(self, level: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys' places in a level, and every token's place among them (-1: not kept), both ways."""
+    def place(self, level: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys' places in a level (-1: not kept), and every token's place among the distinct ones."""
         distinct, back = np.unique(keys, return_inverse=True)
-        places = self.levels[level].find(distinct) if level in self.levels else np.full(len(distinct), -1, np.int64)
-        if len(distinct) and distinct[-1] == ~U(0):
+        places = self.levels[level].find(distinct)
+        if len(distinct) and distinct[-1] == NONE:
             places[-1] = -1
-        return places, back, places[back]
+        return places, back
 
-    def triples(self, ids: np.ndarray, place2: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Key of (pair before, rank of the token among the successors of the token before) at every token."""
-        keys = np.full(len(ids), ~U(0), U)
-        ok = np.zeros(len(ids), bool)
+    def contexts(self, level: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Successor mass and first successor of ascending places of the level below (-1 among them: no context)."""
+        mass, start = np.zeros(len(places)), np.full(len(places), -1, np.int64)
+        known = places >= 0
+        mass[known], start[known] = self.levels[level].context(places[known].astype(U), self.fan[level])
+        return mass, start
+
+    def triples(self, place2: np.ndarray, start: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Key of (pair before, rank of the token among the successors of the token before) at every token.
+
+        place2: place of the pair that each token closes; start: first successor of each token.
+        """
+        keys = np.full(len(place2), NONE, U)
+        ok = np.zeros(len(place2), bool)
         ok[1:] = (place2[1:] >= 0) & (place2[:-1] >= 0)
         ok[at[:-1]] = False
         i = np.flatnonzero(ok)
-        if len(i):
-            ctx, back = np.unique(ids[i - 1].astype(U), return_inverse=True)
-            _, start = self.levels[2].context(ctx, self.fan[2])
-            keys[i] = place2[i - 1].astype(U) * U(self.fan[3]) + (place2[i] - start[back]).astype(U)
+        keys[i] = place2[i - 1].astype(U) * U(self.fan[3]) + (place2[i] - start[i - 1]).astype(U)
         return keys
 
     def logs(self, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 p of every token: smoothed alone, in context; and whether it is known."""
-        number, count, back = self.words(h)
-        alone = (count + 0.5) / (self.tokens + 0.5 * (self.levels[1].n + 1))
-        p1, ids = alone[back], number[back]
-        p = p1
+        number, count, word = self.words(h)
+        alone = ((count + 0.5) / (self.tokens + 0.5 * (self.levels[1].n + 1)))[word]
+        p = alone
         if 2 in self.levels:
-            p = self._interpolate(2, p, ids, at, count[back], self.pairs(ids, at))
+            inner = np.ones(len(h), bool)
+            inner[at[:-1]] = False
+            inner = np.flatnonzero(inner)  # tokens with a token before them in their text
+            mass, start = self.contexts(2, number)
+            keys = self.pairs(number[word], at)
+            places, pair = self.place(2, keys)
+            p = self._interpolate(2, p, inner, mass, start, count, word, places, pair)
             if 3 in self.levels:
-                places, where, place2 = self.place(2, self.pairs(ids, at))
-                counts2 = np.zeros(len(places), np.int64)
-                counts2[places >= 0] = self.levels[2].at("count", places[places >= 0])
-                p = self._interpolate(3, p, place2, at, counts2[where], self.triples(ids, place2, at))
-        return np.log10(p1), np.log10(p), count[back] > 0
-
-    def _interpolate(self, level: int, lower: np.ndarray, contexts: np.ndarray, at: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """contexts and counts at token i are those of the context that token i closes (used by i + 1)."""
-        ok = np.zeros(len(lower), bool)
-        ok[1:] = contexts[:-1] >= 0
-        ok[at[:-1]] = False
-        i = np.flatnonzero(ok)
-        ctx, first, back = np.unique(contexts[i - 1].astype(U), return_index=True, return_inverse=True)
-        mass, start = self.levels[level].context(ctx, self.fan[level])
-        n = counts[i[first] - 1] if len(i) else np.zeros(0)
-        left = np.where(start >= 0, 1 - mass / np.maximum(n, 1), 1.0)
+                keys = self.triples(places[pair], start[word], at)
+                mass, start = self.contexts(3, places)
+                count = np.zeros(len(places), np.int64)
+                count[places >= 0] = self.levels[2].at("count", places[places >= 0])
+                p = self._interpolate(3, p, inner, mass, start, count, pair, *self.place(3, keys))
+        return np.log10(alone), np.log10(p), (number >= 0)[word]
+
+    def _interpolate(self, level: int, lower: np.ndarray, inner, mass, start, count, context, places, back) -> np.ndarray:
+        """lambda(context) * lower + the kept part. mass, start and count are by distinct context; `context` is the place
+        among them of the one that each token closes; places and back are of the tokens' own keys."""
+        left = np.where(start >= 0, 1 - mass / np.maximum(count, 1), 1.0)
         out = lower.copy()
-        out[i] = lower[i] * left[back]
-        places, where, _ = self.place(level, keys)
+        out[inner] *= left[context[inner - 1]]
         own = np.zeros(len(places))
         own[places >= 0] = _value(self.levels[level].at("p", places[places >= 0]))
-        return out + own[where]
+        return out + own[back]
 
 
 # ---- building ------------------------------------------------------------------------
@@ -377,14 +383,14 @@ def train(texts: DataFrame, folder: str) -> Model:
     def pair_keys(h, at):
         number, _, back = model.words(h)
         keys = model.pairs(number[back], at)
-        return keys[keys != ~U(0)]
+        return keys[keys != NONE]
 
     def triple_keys(h, at):
-        number, _, back = model.words(h)
-        ids = number[back]
-        _, _, place2 = model.place(2, model.pairs(ids, at))
-        keys = model.triples(ids, place2, at)
-        return keys[keys != ~U(0)]
+        number, _, word = model.words(h)
+        _, start = model.contexts(2, number)
+        places, pair = model.place(2, model.pairs(number[word], at))
+        keys = model.triples(places[pair], start[word], at)
+        return keys[keys != NONE]
 
     def grow(level, keys_of, count_of):
         limits = _limits(texts, keys_of, shards)
@@ -430,6 +436,4 @@ def op7_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored by a model of those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = scratch_path(spark, "trie")
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return score(docs, train(docs.where(~held_out()), folder))
