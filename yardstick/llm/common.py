@@ -1,11 +1,11 @@
-"""Helpers shared by the corpus operators: scratch tables, salted joins, distributed numbering."""
+"""Helpers shared by the corpus operators: salted joins, distributed numbering, scratch tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from yardstick.session import scratch_path
+from yardstick.session import drop_stored, stored as store  # noqa: F401  scratch tables, for the operators
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,31 +17,6 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared scratch folder and read it back.
-
-    Cuts lineage so that a lost executor costs a re-read and not a recomputation. The
-    folder is registered for removal when the application ends.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    return out
-
-
-def drop_stored(df: DataFrame | None) -> None:
-    """Delete a table made by `store` that no later plan reads."""
-    path = getattr(df, "_scratch", None)
-    if path:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
-
-
 def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: list[str], salts: int = 16,
                 how: str = "inner") -> DataFrame:
     """Join `many` with `one` (at most one row per key) so that a hot key meets in `salts` tasks, not in one.
