@@ -38,6 +38,6 @@ def empty(docs_of):
 def clash(odd):
     """The same with extra columns whose names an operator might use itself."""
     from pyspark.sql import functions as F
-    for c in ("shard", "slot", "block", "rank", "n", "h", "key", "score", "kept", "length", "start", "k", "id", "component", "n_lines", "label", "total"):
+    for c in ("shard", "slot", "block", "rank", "n", "h", "key", "score", "kept", "length", "start", "k", "id", "component", "n_lines", "n_pieces", "label", "total"):
         odd = odd.withColumn(c, F.lit(7))
     return odd

@@ -71,24 +71,42 @@ def test_llr_separates_and_is_neutral_without_target(spark, docs_of, empty):
 
 
 def _pieces(spark, texts):
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select(linededup.chunks(F.col("t")).alias("c"))
-    return [[(c.text, c.words, c.lines) for c in r.c] for r in df.collect()]
+    cut = linededup.chunks(F.col("t"), ("raw", "key", "words", "n"))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", cut.alias("c"))
+    return [[(c.key, c.words, c.n, c.raw) for c in r.c] for r in sorted(df.collect())]
 
 
 def test_chunks_join_to_the_text_and_survive_shifts(spark):
     lines = [f"line {i * i % 17} of {i}" for i in range(60)]
     a, b = "\n".join(lines), "\n".join(["something new", "and more", *lines])
     ca, cb = _pieces(spark, [a, b])
-    assert "\n".join(c[0] for c in ca) == a and "\n".join(c[0] for c in cb) == b
+    assert "".join(c[3] for c in ca) == a and "".join(c[3] for c in cb) == b
     assert sum(c[2] for c in ca) == 60
     assert {c[0] for c in ca[2:]} <= {c[0] for c in cb}  # all but the first chunks come back
     assert all(c[2] > 1 for c in ca[1:-1])
-    for t in ("", "\n", "a\n\n", "\n\nb"):
-        assert "\n".join(c[0] for c in _pieces(spark, [t])[0]) == t
+    odd = ["", "\n", "a\n\n", "\n\nb", "No end", "One. Two! Three?  Four.\nFive. ", "v1.2. é. 😀. z"]
+    for t, cs in zip(odd, _pieces(spark, odd), strict=True):
+        assert "".join(c[3] for c in cs) == t
+
+
+def test_passage_inside_lines_is_found(spark, docs_of):
+    """A passage set into the middle of other lines: all but its ends goes from the later documents."""
+    rng = np.random.default_rng(6)
+    say = lambda n, k, m=12: ". ".join(" ".join(f"w{x}" for x in rng.integers(k, k + 500, n)) for _ in range(m)) + ". "
+    passage = say(7, 0, 40)
+    texts = [say(8, 1000 * (i + 1)) + "start " + passage + "end " + say(6, 1000 * (i + 20)) for i in range(4)]
+    left = {r.doc_id: r for r in linededup.dedup_lines(docs_of(texts)).collect()}
+    assert left[0].text == texts[0]
+    inside = set(passage.split())
+    for i in (1, 2, 3):
+        kept = [w for w in left[i].text.split() if w in inside]
+        assert len(kept) < 0.35 * len(passage.split())
+        own = [w for w in texts[i].split() if w not in inside]
+        assert [w for w in left[i].text.split() if w not in inside] == own  # and nothing else
 
 
 def _repeats_count(c):
-    return (c[2] > 1 and c[1] >= linededup.MIN_WORDS) or c[1] >= linededup.LONG_LINE
+    return (c[2] > 1 and c[1] >= linededup.MIN_WORDS) or c[1] >= linededup.LONG_PIECE
 
 
 def _brute_dedup(spark, docs):
@@ -99,7 +117,7 @@ def _brute_dedup(spark, docs):
         for no, c in enumerate(cs):
             if _repeats_count(c):
                 first[c[0]] = min(first.get(c[0], (d, no)), (d, no))
-    return {d: "\n".join(c[0] for no, c in enumerate(cs) if not _repeats_count(c) or first[c[0]] == (d, no))
+    return {d: "".join(c[3] for no, c in enumerate(cs) if not _repeats_count(c) or first[c[0]] == (d, no))
             for (d, _), cs in zip(docs, cut, strict=True)}
 
 
@@ -120,7 +138,7 @@ def test_line_dedup_against_brute_force(spark, docs_of):
 
 def test_line_dedup_odd_rows(spark, odd, clash, empty):
     got = linededup.dedup_lines(clash)
-    assert set(got.columns) == {*clash.columns, "n_removed"}
+    assert set(got.columns) == {*clash.columns, "n_pieces", "n_removed"}
     before, after = odd.collect(), got.collect()
     assert len(before) == len(after)
     assert sum(r.text is None for r in after) == sum(r.text is None for r in before)

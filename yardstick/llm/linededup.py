@@ -1,11 +1,13 @@
 """Line dedup by content-defined chunks, DataFrame functions only.
 
-A rolling hash over the hashes of two lines chooses the boundaries: a chunk ends where the rolling
-hash is smaller than at the lines before and after. So a boundary depends on four lines alone and
-survives shifts, and a chunk has two lines or more (but for the ends of a text). A line of
-LONG_LINE words or more is a chunk of its own. Chunks of several lines with MIN_WORDS words or more,
-and long lines, that repeat anywhere are compared byte by byte (grouped and joined on their
-text); the first occurrence (smallest doc_id, then place) stays and the others are removed.
+Lines are cut after sentence ends as well, so that a passage set into a longer line is found. A
+rolling hash over the hashes of two such pieces chooses the boundaries: a chunk ends where the
+rolling hash is smaller than at the pieces before and after. So a boundary depends on four pieces
+alone and survives shifts, and a chunk has two pieces or more (but for the ends of a text). A
+piece of LONG_PIECE words or more is a chunk of its own. Chunks of several pieces with MIN_WORDS
+words or more, and long pieces, that repeat anywhere are compared byte by byte (grouped and
+joined on the bytes of their pieces, without the white space after each); the first occurrence (smallest
+doc_id, then place) stays and the others are removed.
 """
 
 from __future__ import annotations
@@ -15,66 +17,81 @@ from pyspark.sql import functions as F
 
 from yardstick.llm.common import drop_stored, let, salted_join, store, table
 
-LONG_LINE = 20
+LONG_PIECE = 12
 MIN_WORDS = 10
 WORDS = r"[^\x20\x09-\x0D]+"
+PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
 
 
-def chunks(text: Column, long_line: int = LONG_LINE) -> Column:
-    """Array of (text, words, lines) of a text's chunks in order; joined by newlines they are the text."""
-    def cut(lines: Column) -> Column:
-        def rolling(hashes: Column) -> Column:
-            return F.transform(lines, lambda x, i: F.struct(
-                F.xxhash64(F.get(hashes, i - 1), F.get(hashes, i)).alias("r"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
+def pieces(text: Column) -> Column:
+    """A text's pieces in order; end to end they are the text."""
+    return F.split(F.coalesce(text, F.lit("")), PIECES, -1)
 
-        return let(let(F.transform(lines, lambda x: F.xxhash64(x)), rolling), lambda m: parts(lines, m))
 
-    def parts(lines: Column, m: Column) -> Column:
+def chunks(text: Column, fields: tuple[str, ...], long_piece: int = LONG_PIECE) -> Column:
+    """A text's chunks in order, as structs of some of: raw (the chunk's text; end to end they are the text), key (its
+    pieces without the white space after them, by lines), h (hash of the pieces), words, n (pieces)."""
+    def cut(p: Column) -> Column:
+        return let(F.transform(p, lambda x: F.xxhash64(F.rtrim(x, F.lit(" \n")))), lambda h: marked(p, h))
+
+    def marked(p: Column, h: Column) -> Column:
+        marks = F.transform(p, lambda x, i: F.struct(
+            F.xxhash64(F.get(h, i - 1), F.get(h, i)).alias("r"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
+        return let(marks, lambda m: ended(p, h, m))
+
+    def ended(p: Column, h: Column, m: Column) -> Column:
         def ends(e: Column, i: Column) -> Column:
             after = F.get(m, i + 1)
             low = (e["r"] < F.get(m, i - 1)["r"]) & (e["r"] < after["r"])
-            return after.isNull() | (e["w"] >= long_line) | (after["w"] >= long_line) | F.coalesce(low, F.lit(False))
+            return after.isNull() | (e["w"] >= long_piece) | (after["w"] >= long_piece) | F.coalesce(low, F.lit(False))
 
         last = F.filter(F.transform(m, lambda e, i: F.when(ends(e, i), i)), lambda i: i.isNotNull())
         return let(last, lambda stop: F.transform(stop, lambda e, j: let(
-            F.coalesce(F.get(stop, j - 1) + 1, F.lit(0)), lambda s: F.struct(
-                F.array_join(F.slice(lines, s + 1, e - s + 1), "\n").alias("text"),
-                F.aggregate(F.slice(m, s + 1, e - s + 1), F.lit(0), lambda a, x: a + x["w"]).alias("words"),
-                (e - s + 1).alias("lines")))))
+            F.coalesce(F.get(stop, j - 1) + 1, F.lit(0)), lambda s: chunk(p, h, m, s, e))))
+
+    def chunk(p: Column, h: Column, m: Column, s: Column, e: Column) -> Column:
+        own = lambda a: F.slice(a, s + 1, e - s + 1)
+        made = {"raw": lambda: F.array_join(own(p), ""),
+                "key": lambda: F.array_join(F.transform(own(p), lambda x: F.rtrim(x, F.lit(" \n"))), "\n"),
+                "h": lambda: F.xxhash64(own(h)), "words": lambda: F.aggregate(own(m), F.lit(0), lambda a, x: a + x["w"]),
+                "n": lambda: e - s + 1}
+        return F.struct(*[made[f]().alias(f) for f in fields])
 
-    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), cut)
+    return let(pieces(text), cut)
 
 
-def eligible(lines: Column, n_words: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
+def eligible(n: Column, n_words: Column, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE) -> Column:
     """Whether a chunk is removed when it repeats."""
-    return ((lines > 1) & (n_words >= min_words)) | (n_words >= long_line)
+    return ((n > 1) & (n_words >= min_words)) | (n_words >= long_piece)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, counts: bool = True) -> DataFrame:
-    """docs with text less its repeated chunks, plus n_lines and n_removed (long) if `counts`.
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, counts: bool = True) -> DataFrame:
+    """docs with text less its repeated chunks, plus n_pieces and n_removed (long) if `counts`.
 
     Every row stays; a text all of whose chunks occurred before becomes empty. A null text stays null.
     Texts without a removed chunk are unchanged to the byte. Chunks are found by hash first:
     only texts of chunks whose hash repeats move, once for the comparison. Rows alike in doc_id
     and text are one occurrence; a null doc_id comes last. All columns are returned; with `counts`
-    those named n_lines and n_removed are replaced.
+    those named n_pieces and n_removed are replaced.
     """
-    keep = [c for c in docs.columns if not counts or c not in ("n_lines", "n_removed")]
-    cut = lambda c: chunks(c, long_line)
-    rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text"))
-    light = rows.select("__rid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("__doc"), "text").where("text is not null")
-    keys = (light.select("__rid", "__doc", F.posexplode(F.transform(cut(F.col("text")), lambda c: F.struct(
-                F.xxhash64(c["text"]).alias("h"), c["words"].alias("w"), c["lines"].alias("n")))).alias("no", "c"))
-            .where(eligible(F.col("c.n"), F.col("c.w"), min_words, long_line)).select("__rid", "__doc", "no", F.col("c.h").alias("h")))
+    keep = [c for c in docs.columns if not counts or c not in ("n_pieces", "n_removed")]
+    last = F.lit((1 << 63) - 1)
+    rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
+        "__doc", F.coalesce("doc_id", last).cast("long"))
+    light = rows.select("__rid", "__doc", "text").where("text is not null")
+    keys = (light.select("__rid", "__doc", F.posexplode(chunks(F.col("text"), ("h", "words", "n"), long_piece)).alias("no", "c"))
+            .where(eligible(F.col("c.n"), F.col("c.words"), min_words, long_piece))
+            .select("__rid", "__doc", "no", F.col("c.h").alias("h")))
     keys = store(keys, "chunk-keys")
     twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     found = salted_join(keys, twice, ["h"], ["__rid", "no"]).groupBy("__rid", "__doc").agg(F.collect_set("no").alias("nos"))
     # byte comparison of the chunks whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
-    candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select("__rid", "__doc", "nos", cut(F.col("text")).alias("cs"))
+    candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
+        "__rid", "__doc", "nos", chunks(F.col("text"), ("key", "h"), long_piece).alias("cs"))
     candidates = candidates.select("__rid", "__doc", F.explode("nos").alias("no"), "cs").select(
-        "__rid", "__doc", "no", F.get("cs", F.col("no"))["text"].alias("chunk"))
+        "__rid", "__doc", "no", F.get("cs", F.col("no")).alias("c")).select("__rid", "__doc", "no", "c.h", F.col("c.key").alias("chunk"))
     place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("no")).cast("decimal(33,0)")
-    candidates = store(candidates.select("__rid", "__doc", "no", F.xxhash64("chunk").alias("h"), "chunk", place.alias("place")), "chunks")
+    candidates = store(candidates.withColumn("place", place), "chunks")
     first = store(candidates.groupBy("h", "chunk").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                   .where("first < last").select("h", "chunk", "first"), "chunk-firsts")
     gone = (candidates.join(first, ["h", "chunk"]).where("place > first")
@@ -82,18 +99,19 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     gone = store(gone, "chunks-gone")
     for t in (keys, candidates, first):
         drop_stored(t)
-    out = rows.withColumn("__doc", F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long")).join(gone.hint("merge"), ["__rid", "__doc"], "left")
-    left = let(cut(F.col("text")), lambda cs: F.filter(cs, lambda c, i: ~F.array_contains("__gone", i)))
+    out = rows.join(gone.hint("merge"), ["__rid", "__doc"], "left")
+    left = let(chunks(F.col("text"), ("raw", "n") if counts else ("raw",), long_piece),
+               lambda cs: F.filter(cs, lambda c, i: ~F.array_contains("__gone", i)))
     out = out.withColumn("__left", F.when(F.col("__gone").isNotNull(), left))
-    text = F.when(F.col("__left").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__left", lambda c: c["text"]), "\n"))
+    text = F.when(F.col("__left").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__left", lambda c: c["raw"]), ""))
     made = []
     if counts:
-        n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
-        n_left = F.aggregate("__left", F.lit(0), lambda a, c: a + c["lines"])
-        made = [n_lines.alias("n_lines"), F.when(F.col("__left").isNull(), F.lit(0)).otherwise(n_lines - n_left).cast("long").alias("n_removed")]
+        total = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(pieces(F.col("text")))).cast("long")
+        n_left = F.aggregate("__left", F.lit(0), lambda a, c: a + c["n"])
+        made = [total.alias("n_pieces"), F.when(F.col("__left").isNull(), F.lit(0)).otherwise(total - n_left).cast("long").alias("n_removed")]
     return out.select(*(text.alias("text") if c == "text" else c for c in keep), *made)
 
 
 def op2_content_defined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents: doc_id, the text that is left, n_lines, n_removed."""
+    """All documents: doc_id, the text that is left, n_pieces, n_removed."""
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
