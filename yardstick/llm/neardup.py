@@ -251,3 +251,18 @@ def kept_documents(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Data
 def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on two-word shingles at 80 %."""
     return near_duplicates(table(spark, sf_dir, "documents"), n_words=2, percent=80)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS x FROM d),
+e AS (SELECT doc_id, len(x) AS n, unnest(x) AS x FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS id, doc_id AS low FROM s
+          UNION SELECT links.b, reach.low FROM reach JOIN links ON links.a = reach.id WHERE reach.low < links.b)
+SELECT doc_id, CAST(len(x) AS BIGINT) AS n_shingles, min(low) AS component_id, doc_id = min(low) AS kept
+FROM s JOIN reach ON reach.id = doc_id GROUP BY doc_id, len(x)"""
