@@ -84,9 +84,11 @@ def test_chunks_join_to_the_text_and_survive_shifts(spark):
     assert sum(c[2] for c in ca) == 60
     assert {c[0] for c in ca[2:]} <= {c[0] for c in cb}  # all but the first chunks come back
     assert all(c[2] > 1 for c in ca[1:-1])
-    odd = ["", "\n", "a\n\n", "\n\nb", "No end", "One. Two! Three?  Four.\nFive. ", "v1.2. é. 😀. z"]
+    odd = ["a. b\x01. c\nd! e", "a. b. c\nd! e", "", "\n", "a\n\n", "\n\nb", "No end", "One. Two! Three?  Four.\nFive. ", "v1.2. é. 😀. z"]
     for t, cs in zip(odd, _pieces(spark, odd), strict=True):
         assert "".join(c[3] for c in cs) == t
+    both = spark.createDataFrame([(t,) for t in odd], "t string").select(linededup.pieces(F.col("t")).alias("a"), F.split("t", linededup.PIECES, -1).alias("b"))
+    assert all(r.a == r.b for r in both.collect())
 
 
 def test_passage_inside_lines_is_found(spark, docs_of):
@@ -138,7 +140,7 @@ def test_line_dedup_against_brute_force(spark, docs_of):
 
 def test_line_dedup_odd_rows(spark, odd, clash, empty):
     got = linededup.dedup_lines(clash)
-    assert set(got.columns) == {*clash.columns, "n_pieces", "n_removed"}
+    assert set(got.columns) == {*clash.columns, "n_removed"}
     before, after = odd.collect(), got.collect()
     assert len(before) == len(after)
     assert sum(r.text is None for r in after) == sum(r.text is None for r in before)

@@ -21,43 +21,61 @@ LONG_PIECE = 12
 MIN_WORDS = 10
 WORDS = r"[^\x20\x09-\x0D]+"
 PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
+MARK = "\x01"
 
 
 def pieces(text: Column) -> Column:
-    """A text's pieces in order; end to end they are the text."""
-    return F.split(F.coalesce(text, F.lit("")), PIECES, -1)
+    """A text's pieces in order; end to end they are the text.
 
+    A mark is set after each end and split at, which is faster than the pattern; a text that holds the mark takes the pattern.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    marked = whole
+    for end in ("\n", ". ", "! ", "? "):
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    return F.when(F.instr(whole, MARK) == 0, F.split(marked, MARK, -1)).otherwise(F.split(whole, PIECES, -1))
+
+
+def _cut(text: Column, long_piece: int, body) -> Column:
+    """body(p, t, h, w, stop): a text's pieces, the pieces without the white space after them, the hashes and words of
+    those (spaces and one more), and the last piece of every chunk. Each is computed once."""
+    def words(x: Column) -> Column:
+        return F.when(x == "", 0).otherwise(F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
+
+    def stops(w: Column, r: Column) -> Column:
+        def ends(i: Column) -> Column:
+            after, own = F.get(w, i + 1), F.get(r, i)
+            low = (own < F.get(r, i - 1)) & (own < F.get(r, i + 1))
+            return after.isNull() | (F.get(w, i) >= long_piece) | (after >= long_piece) | F.coalesce(low, F.lit(False))
+
+        return F.filter(F.sequence(F.lit(0), F.size(w) - 1), ends)
+
+    def rolled(p: Column, t: Column, h: Column) -> Column:
+        r = F.transform(h, lambda x, i: F.xxhash64(F.get(h, i - 1), x))
+        return let(F.transform(t, words), lambda w: let(r, lambda rr: let(stops(w, rr), lambda stop: body(p, t, h, w, stop))))
 
-def chunks(text: Column, fields: tuple[str, ...], long_piece: int = LONG_PIECE) -> Column:
-    """A text's chunks in order, as structs of some of: raw (the chunk's text; end to end they are the text), key (its
-    pieces without the white space after them, by lines), h (hash of the pieces), words, n (pieces)."""
-    def cut(p: Column) -> Column:
-        return let(F.transform(p, lambda x: F.xxhash64(F.rtrim(x, F.lit(" \n")))), lambda h: marked(p, h))
+    return let(pieces(text), lambda p: let(F.transform(p, lambda x: F.rtrim(x, F.lit(" \n"))), lambda t: let(
+        F.transform(t, lambda x: F.xxhash64(x)), lambda h: rolled(p, t, h))))
 
-    def marked(p: Column, h: Column) -> Column:
-        marks = F.transform(p, lambda x, i: F.struct(
-            F.xxhash64(F.get(h, i - 1), F.get(h, i)).alias("r"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
-        return let(marks, lambda m: ended(p, h, m))
 
-    def ended(p: Column, h: Column, m: Column) -> Column:
-        def ends(e: Column, i: Column) -> Column:
-            after = F.get(m, i + 1)
-            low = (e["r"] < F.get(m, i - 1)["r"]) & (e["r"] < after["r"])
-            return after.isNull() | (e["w"] >= long_piece) | (after["w"] >= long_piece) | F.coalesce(low, F.lit(False))
+def chunks(text: Column, fields: tuple[str, ...], only: Column | None = None, long_piece: int = LONG_PIECE) -> Column:
+    """A text's chunks in order, or those whose numbers are in `only`, as structs of no and some of: raw (the chunk's text;
+    end to end they are the text), key (its pieces without the white space after them, by lines), h (hash of the
+    pieces), words, n (pieces)."""
+    def made(p, t, h, w, stop):
+        def chunk(no: Column) -> Column:
+            def span(s: Column, e: Column) -> Column:
+                own = lambda a: F.slice(a, s + 1, e - s + 1)
+                value = {"raw": lambda: F.array_join(own(p), ""), "key": lambda: F.array_join(own(t), "\n"),
+                         "h": lambda: F.xxhash64(own(h)), "n": lambda: e - s + 1,
+                         "words": lambda: F.aggregate(own(w), F.lit(0), lambda a, x: a + x)}
+                return F.struct(no.alias("no"), *[value[f]().alias(f) for f in fields])
 
-        last = F.filter(F.transform(m, lambda e, i: F.when(ends(e, i), i)), lambda i: i.isNotNull())
-        return let(last, lambda stop: F.transform(stop, lambda e, j: let(
-            F.coalesce(F.get(stop, j - 1) + 1, F.lit(0)), lambda s: chunk(p, h, m, s, e))))
+            return let(F.coalesce(F.get(stop, no - 1) + 1, F.lit(0)), lambda s: span(s, F.get(stop, no)))
 
-    def chunk(p: Column, h: Column, m: Column, s: Column, e: Column) -> Column:
-        own = lambda a: F.slice(a, s + 1, e - s + 1)
-        made = {"raw": lambda: F.array_join(own(p), ""),
-                "key": lambda: F.array_join(F.transform(own(p), lambda x: F.rtrim(x, F.lit(" \n"))), "\n"),
-                "h": lambda: F.xxhash64(own(h)), "words": lambda: F.aggregate(own(m), F.lit(0), lambda a, x: a + x["w"]),
-                "n": lambda: e - s + 1}
-        return F.struct(*[made[f]().alias(f) for f in fields])
+        return F.transform(F.sequence(F.lit(0), F.size(stop) - 1) if only is None else only, chunk)
 
-    return let(pieces(text), cut)
+    return _cut(text, long_piece, made)
 
 
 def eligible(n: Column, n_words: Column, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE) -> Column:
@@ -66,30 +84,29 @@ def eligible(n: Column, n_words: Column, min_words: int = MIN_WORDS, long_piece:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, counts: bool = True) -> DataFrame:
-    """docs with text less its repeated chunks, plus n_pieces and n_removed (long) if `counts`.
+    """docs with text less its repeated chunks, plus n_removed (long, pieces) if `counts`.
 
     Every row stays; a text all of whose chunks occurred before becomes empty. A null text stays null.
     Texts without a removed chunk are unchanged to the byte. Chunks are found by hash first:
     only texts of chunks whose hash repeats move, once for the comparison. Rows alike in doc_id
     and text are one occurrence; a null doc_id comes last. All columns are returned; with `counts`
-    those named n_pieces and n_removed are replaced.
+    one named n_removed is replaced.
     """
-    keep = [c for c in docs.columns if not counts or c not in ("n_pieces", "n_removed")]
+    keep = [c for c in docs.columns if not counts or c != "n_removed"]
     last = F.lit((1 << 63) - 1)
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
-    keys = (light.select("__rid", "__doc", F.posexplode(chunks(F.col("text"), ("h", "words", "n"), long_piece)).alias("no", "c"))
-            .where(eligible(F.col("c.n"), F.col("c.words"), min_words, long_piece))
-            .select("__rid", "__doc", "no", F.col("c.h").alias("h")))
+    found = F.filter(chunks(F.col("text"), ("h", "words", "n"), long_piece=long_piece),
+                     lambda c: eligible(c["n"], c["words"], min_words, long_piece))
+    keys = light.select("__rid", "__doc", F.explode(found).alias("c")).select("__rid", "__doc", "c.no", "c.h")
     keys = store(keys, "chunk-keys")
     twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     found = salted_join(keys, twice, ["h"], ["__rid", "no"]).groupBy("__rid", "__doc").agg(F.collect_set("no").alias("nos"))
     # byte comparison of the chunks whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
     candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
-        "__rid", "__doc", "nos", chunks(F.col("text"), ("key", "h"), long_piece).alias("cs"))
-    candidates = candidates.select("__rid", "__doc", F.explode("nos").alias("no"), "cs").select(
-        "__rid", "__doc", "no", F.get("cs", F.col("no")).alias("c")).select("__rid", "__doc", "no", "c.h", F.col("c.key").alias("chunk"))
+        "__rid", "__doc", F.explode(chunks(F.col("text"), ("key", "h"), F.col("nos"), long_piece)).alias("c"))
+    candidates = candidates.select("__rid", "__doc", "c.no", "c.h", F.col("c.key").alias("chunk"))
     place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("no")).cast("decimal(33,0)")
     candidates = store(candidates.withColumn("place", place), "chunks")
     first = store(candidates.groupBy("h", "chunk").agg(F.min("place").alias("first"), F.max("place").alias("last"))
@@ -100,18 +117,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = L
     for t in (keys, candidates, first):
         drop_stored(t)
     out = rows.join(gone.hint("merge"), ["__rid", "__doc"], "left")
-    left = let(chunks(F.col("text"), ("raw", "n") if counts else ("raw",), long_piece),
-               lambda cs: F.filter(cs, lambda c, i: ~F.array_contains("__gone", i)))
-    out = out.withColumn("__left", F.when(F.col("__gone").isNotNull(), left))
-    text = F.when(F.col("__left").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__left", lambda c: c["raw"]), ""))
-    made = []
-    if counts:
-        total = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(pieces(F.col("text")))).cast("long")
-        n_left = F.aggregate("__left", F.lit(0), lambda a, c: a + c["n"])
-        made = [total.alias("n_pieces"), F.when(F.col("__left").isNull(), F.lit(0)).otherwise(total - n_left).cast("long").alias("n_removed")]
-    return out.select(*(text.alias("text") if c == "text" else c for c in keep), *made)
+    stays = lambda c: ~F.array_contains("__gone", c["no"])
+    cut = let(chunks(F.col("text"), ("raw", "n") if counts else ("raw",), long_piece=long_piece), lambda cs: F.struct(
+        F.array_join(F.transform(F.filter(cs, stays), lambda c: c["raw"]), "").alias("text"),
+        *([F.aggregate(F.filter(cs, lambda c: ~stays(c)), F.lit(0), lambda a, c: a + c["n"]).alias("n")] if counts else [])))
+    out = out.withColumn("__cut", F.when(F.col("__gone").isNotNull(), cut))  # only texts that lose a chunk are cut again
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.col("__cut.text")).alias("text")
+    made = [F.coalesce("__cut.n", F.lit(0)).cast("long").alias("n_removed")] if counts else []
+    return out.select(*(text if c == "text" else c for c in keep), *made)
 
 
 def op2_content_defined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents: doc_id, the text that is left, n_pieces, n_removed."""
+    """All documents: doc_id, the text that is left, n_removed (pieces)."""
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
