@@ -22,6 +22,7 @@ FIT_ROWS = 8192
 EPOCHS = 10
 COST = 1.0
 STEEPNESS = 2.0
+SLICE = 1 << 20  # bytes of text that are worked on at once (a longer text alone): bounds a task's memory
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +75,7 @@ def fit(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """Ratios, weights and bias from labelled (doc_id, text, quality 0 or 1), a bounded number of texts, in one task."""
     def indices(batches):
         for batch in batches:
-            for part in by_bytes(batch, "text"):
+            for part in by_bytes(batch, "text", SLICE):
                 f, at = features(part.column("text"))
                 yield pa.RecordBatch.from_pydict({
                     "h": part.column("h"), "y": part.column("y"),
@@ -120,7 +121,7 @@ def score_quality(docs: DataFrame, all_docs: DataFrame, labels: DataFrame, fit_r
 
     def run(batches):
         for batch in batches:
-            for part in by_bytes(batch, "text"):
+            for part in by_bytes(batch, "text", SLICE):
                 f, at = features(part.column("text"))
                 length = np.sqrt(sums(np.square(ratio)[f], at))
                 margin = sums(w[f], at) / np.where(length > 0, length, 1.0) + bias
