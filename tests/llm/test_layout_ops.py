@@ -273,6 +273,43 @@ def test_trie_scores_against_brute_force(spark, docs_of, monkeypatch, shard):
         assert r.score == pytest.approx(score, abs=4e-4 * n)
 
 
+def _brute_whole_scores(train, texts):
+    """log10 p of each text by a model that drops no pair or triple."""
+    tok = lambda t: [*brute.words(t), None]
+    counts, mass = collections.Counter(), collections.Counter()
+    for t in map(tok, train):
+        counts.update(tuple(t[i:i + n]) for n in (1, 2, 3) for i in range(len(t) - n + 1))
+    for k, c in counts.items():
+        mass[k[:-1]] += c - lm.DISCOUNT
+    total, v = sum(c for k, c in counts.items() if len(k) == 1), sum(len(k) == 1 for k in counts)
+    out = []
+    for t in map(tok, texts):
+        score = 0.0
+        for i, w in enumerate(t):
+            p = (counts[w,] + 0.5) / (total + 0.5 * (v + 1))
+            for context in (tuple(t[i - n:i]) for n in (1, 2) if i >= n):
+                if counts[context]:
+                    own = counts[(*context, w)]
+                    p = (1 - mass[context] / counts[context]) * p + max(own - lm.DISCOUNT, 0) / counts[context]
+            score += np.log10(p)
+        out.append((len(t), score))
+    return out
+
+
+@pytest.mark.parametrize("shard", [2_000_000, 40])
+def test_trie_query_keeps_pairs_and_triples_seen_once(spark, docs_of, monkeypatch, tmp_path, shard):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", shard)
+    monkeypatch.setattr(lm, "RUN_KEYS", 50)
+    rng = random.Random(shard)
+    texts = [" ".join(f"w{int(rng.random() ** 3 * 40)}" for _ in range(rng.randrange(0, 40))) for _ in range(50)] + [None, "", "unseen words"]
+    docs_of(texts).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in lm.op7_elias_fano_trie(spark, str(tmp_path)).collect()}
+    train = [t for i, t in enumerate(texts) if not got[i].held_out]
+    assert 0 < len(train) < len(texts)
+    for i, (n, score) in enumerate(_brute_whole_scores(train, texts)):
+        assert got[i].score == pytest.approx(score, abs=4e-4 * n)
+
+
 def test_trie_odd_rows(spark, odd, clash, empty):
     model = lm.train(clash, scratch_path(spark, "trie"))
     assert lm.score(clash, model).count() == clash.count()

@@ -4,9 +4,11 @@ Three levels, each counted over all training texts and cut into shards by ranges
 sorted keys, one file a shard in the shared folder, memory-mapped by the tasks that read it:
 
 1. words: Elias-Fano coded word hashes; a word's place is its number; exact counts;
-2. pairs seen twice or more: (number of the first word, number of the second);
-3. triples seen twice or more: (place of the pair in level 2, rank of the third word among the
-   successors of the second) - the context-relative number, found by successor search in level 2.
+2. pairs: (number of the first word, number of the second);
+3. triples: (place of the pair in level 2, rank of the third word among the successors of the
+   second) - the context-relative number, found by successor search in level 2.
+
+The query keeps every pair and triple that it counts; `train` alone can drop the rare ones (min_count).
 
 Levels 2 and 3 also hold, for every context, a monotone pointer to its first successor and the
 probability mass of its successors. Probabilities are interpolated absolute discounting:
@@ -37,7 +39,7 @@ from yardstick.llm.textvec import by_bytes, words
 from yardstick.session import scratch_path
 
 DISCOUNT = 0.75
-MIN_COUNT = 2  # of pairs and triples that are kept; the mass of the others goes to the shorter context
+MIN_COUNT = 2  # of pairs and triples that `train` keeps unless told; the mass of the others goes to the shorter context
 SHARD_TOKENS = 2_000_000
 RUN_KEYS = 3_000_000  # keys that a task gathers before it sends a run
 SAMPLE_TEXTS = 512
@@ -335,10 +337,10 @@ def _level(texts: DataFrame, folder: str, level: int, keys_of, shard_of, make) -
     return metas, sum(r["total"] for r in rows), max([0, *(r["most"] for r in rows)])
 
 
-def _kept(contexts_count, fan: int):
-    """Keep keys seen MIN_COUNT times; contexts_count(sorted contexts) gives their own counts."""
+def _kept(contexts_count, fan: int, min_count: int):
+    """Keep keys seen min_count times; contexts_count(sorted contexts) gives their own counts."""
     def make(keys, counts):
-        keep = counts >= MIN_COUNT
+        keep = counts >= min_count
         keys, counts = keys[keep], counts[keep]
         if not len(keys):
             return keys, {}, 0
@@ -368,8 +370,11 @@ def _limits(texts: DataFrame, keys_of, shards: int) -> np.ndarray:
     return np.unique(keys[np.arange(1, shards) * len(keys) // shards])
 
 
-def train(texts: DataFrame, folder: str) -> Model:
-    """Build the trie of texts (doc_id, text) in folder, which all executors must share. Empty input gives an empty model."""
+def train(texts: DataFrame, folder: str, min_count: int = MIN_COUNT) -> Model:
+    """Build the trie of texts (doc_id, text) in folder, which all executors must share. Empty input gives an empty model.
+
+    Pairs and triples seen min_count times are kept; 1 keeps all.
+    """
     p = partitions(texts.sparkSession)
 
     def words_made(keys, counts):
@@ -395,7 +400,7 @@ def train(texts: DataFrame, folder: str) -> Model:
     def grow(level, keys_of, count_of):
         limits = _limits(texts, keys_of, shards)
         shard_of = lambda keys: np.searchsorted(limits, keys, "right")
-        return _level(texts, folder, level, keys_of, shard_of, _kept(count_of, model.fan[level]))
+        return _level(texts, folder, level, keys_of, shard_of, _kept(count_of, model.fan[level], min_count))
 
     metas, _, most = grow(2, pair_keys, lambda c: model.levels[1].at("count", c.astype(np.int64)).astype(np.int64))
     if metas:
@@ -433,7 +438,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op7_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, scored by a model of those that are not held out."""
+    """All documents, scored by a model of all words, pairs and triples of those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = scratch_path(spark, "trie")
-    return score(docs, train(docs.where(~held_out()), folder))
+    return score(docs, train(docs.where(~held_out()), folder, min_count=1))
