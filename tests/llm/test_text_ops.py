@@ -138,6 +138,17 @@ def test_line_dedup_against_brute_force(spark, docs_of):
     assert all(r.text == texts[r.doc_id] for r in left if r.doc_id < 40 and r.doc_id % 2 == 0)
 
 
+def test_words_of_pieces_are_counted_by_separators(spark, docs_of):
+    texts = ["a  b\tc\n   d e. f\x0bg\x0ch\r\ni", " lead", "x y. z", "\t\n\n a", "a\tb \t\n" * 3, "one two\n three"]
+    for t, cs in zip(texts, _pieces(spark, texts), strict=True):
+        assert sum(c[1] for c in cs) == len(brute.words(t))
+    tabs = "\n".join("\t".join(f"v{i}x{j}" for j in range(14)) for i in range(3))
+    deep = [f"def f{i}():\n    if a{i}:\n" + " " * 20 + f"return None\n    b{i}\n" for i in range(3)]
+    left = {r.doc_id: r.text for r in linededup.dedup_lines(docs_of([f"{tabs}\nfirst end", f"{tabs}\nother end", *deep])).collect()}
+    assert left[0] == f"{tabs}\nfirst end" and left[1] == "other end"
+    assert [left[i] for i in (2, 3, 4)] == deep
+
+
 def test_line_dedup_odd_rows(spark, odd, clash, empty):
     got = linededup.dedup_lines(clash)
     assert set(got.columns) == {*clash.columns, "n_removed"}

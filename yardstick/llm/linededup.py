@@ -38,9 +38,15 @@ def pieces(text: Column) -> Column:
 
 def _cut(text: Column, long_piece: int, body) -> Column:
     """body(p, t, h, w, stop): a text's pieces, the pieces without the white space after them, the hashes and words of
-    those (spaces and one more), and the last piece of every chunk. Each is computed once."""
-    def words(x: Column) -> Column:
-        return F.when(x == "", 0).otherwise(F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
+    those, and the last piece of every chunk. Each is computed once."""
+    whole = F.coalesce(text, F.lit(""))
+    plain = ~whole.startswith(" ")  # words are apart by single spaces or lines: spaces and one more are the words
+    for odd in ("  ", "\n ", "\t", "\x0b", "\x0c", "\r"):
+        plain = plain & (F.instr(whole, odd) == 0)
+
+    def words(x: Column, simple: Column) -> Column:
+        spaces = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
+        return F.when(x == "", 0).when(simple, spaces + 1).otherwise(F.regexp_count(x, F.lit(WORDS)))
 
     def stops(w: Column, r: Column) -> Column:
         def ends(i: Column) -> Column:
@@ -52,7 +58,7 @@ def _cut(text: Column, long_piece: int, body) -> Column:
 
     def rolled(p: Column, t: Column, h: Column) -> Column:
         r = F.transform(h, lambda x, i: F.xxhash64(F.get(h, i - 1), x))
-        return let(F.transform(t, words), lambda w: let(r, lambda rr: let(stops(w, rr), lambda stop: body(p, t, h, w, stop))))
+        return let(let(plain, lambda simple: F.transform(t, lambda x: words(x, simple))), lambda w: let(r, lambda rr: let(stops(w, rr), lambda stop: body(p, t, h, w, stop))))
 
     return let(pieces(text), lambda p: let(F.transform(p, lambda x: F.rtrim(x, F.lit(" \n"))), lambda t: let(
         F.transform(t, lambda x: F.xxhash64(x)), lambda h: rolled(p, t, h))))
