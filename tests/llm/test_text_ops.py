@@ -138,6 +138,35 @@ def test_line_dedup_against_brute_force(spark, docs_of):
     assert all(r.text == texts[r.doc_id] for r in left if r.doc_id < 40 and r.doc_id % 2 == 0)
 
 
+def _repeated_words(docs, words):
+    """Per document, which words lie in a run of `words` or more that an earlier document holds, by brute force."""
+    seen, out = set(), []
+    for t in docs:
+        w = brute.words(t, lower=False)
+        runs = [tuple(w[i:i + words]) for i in range(len(w) - words + 1)]
+        hit = {j for i, r in enumerate(runs) if r in seen for j in range(i, i + words)}
+        out.append([j in hit for j in range(len(w))])
+        seen |= set(runs)
+    return out
+
+
+def test_short_pieces_between_other_neighbours_are_found(spark, docs_of, tmp_path):
+    """Passages of 50 to 80 words in pieces under 12 words, whatever lies around them: every word goes, and no other."""
+    rng = np.random.default_rng(8)
+    fresh = iter(range(10 ** 6))
+    say = lambda n: " ".join(f"w{next(fresh)}" for _ in range(n))
+    texts = []
+    for n, words in ((5, 11), (6, 9), (8, 7), (7, 11), (11, 5)) * 6:
+        end = ("\n", ". ", "\n\n")[rng.integers(3)]
+        passage = "".join(say(words) + end for _ in range(n))
+        texts += ["".join(say(int(rng.integers(1, 12))) + ". " for _ in range(rng.integers(0, 4))) + passage
+                  + "\n".join(say(int(rng.integers(1, 12))) for _ in range(rng.integers(0, 4))) for _ in range(3)]
+    docs_of(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    left = {r.doc_id: r.text for r in linededup.op2_content_defined_lines(spark, str(tmp_path)).collect()}
+    for i, (t, repeated) in enumerate(zip(texts, _repeated_words(texts, 50), strict=True)):
+        assert brute.words(left[i], lower=False) == [w for w, r in zip(brute.words(t, lower=False), repeated, strict=True) if not r]
+
+
 def test_words_of_pieces_are_counted_by_separators(spark, docs_of):
     texts = ["a  b\tc\n   d e. f\x0bg\x0ch\r\ni", " lead", "x y. z", "\t\n\n a", "a\tb \t\n" * 3, "one two\n three"]
     for t, cs in zip(texts, _pieces(spark, texts), strict=True):

@@ -8,6 +8,12 @@ piece of LONG_PIECE words or more is a chunk of its own. Chunks of several piece
 words or more, and long pieces, that repeat anywhere are compared byte by byte (grouped and
 joined on the bytes of their pieces, without the white space after each); the first occurrence (smallest
 doc_id, then place) stays and the others are removed.
+
+Boundaries need equal neighbours, so with `passage` runs of pieces are compared as well: from each piece
+with words on, the shortest run of `passage` words or more, and each longer run up to where the next piece's
+begins to be long enough. These cover every piece of any run of `passage` words that occurred before,
+wherever it starts and ends. PASSAGE is 25: of 50 words in pieces under 12 words that many are left when the
+pieces at both ends have run together with their neighbours.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from yardstick.llm.common import drop_stored, let, salted_join, store, table
 
 LONG_PIECE = 12
 MIN_WORDS = 10
+PASSAGE = 25
 WORDS = r"[^\x20\x09-\x0D]+"
 PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
 MARK = "\x01"
@@ -89,12 +96,70 @@ def eligible(n: Column, n_words: Column, min_words: int = MIN_WORDS, long_piece:
     return ((n > 1) & (n_words >= min_words)) | (n_words >= long_piece)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, counts: bool = True) -> DataFrame:
-    """docs with text less its repeated chunks, plus n_removed (long, pieces) if `counts`.
+def _runs(t: Column, h: Column, w: Column, passage: int) -> Column:
+    """Runs of pieces of `passage` words or more (see above): structs s (first piece), e (-1 less the last piece and the
+    blank ones after it; chunks have e of 0 or more) and h."""
+    def reach(v: Column, i: Column) -> Column:
+        def far(k: int) -> Column:  # pieces in the upper, words in the lower half
+            add = lambda a, x: F.when(F.pmod(a, F.lit(1 << 32)) >= passage, a).otherwise(a + x + F.lit(1 << 32))
+            return F.aggregate(F.slice(v, i + 1, F.lit(k)), F.lit(0).cast("long"), add)
+
+        last = lambda a: F.when(F.pmod(a, F.lit(1 << 32)) >= passage, (i + F.shiftright(a, 32) - 1).cast("int"))
+        return F.coalesce(last(far(4)), last(far(passage)))
+
+    def made(at: Column, v: Column, hs: Column, ends: Column) -> Column:
+        def own(f: Column, i: Column) -> Column:
+            until = F.greatest(f, F.coalesce(F.get(ends, i + 1), F.size(v)) - 1)
+            run = lambda e: F.struct(F.get(at, i).alias("s"), (-F.coalesce(F.get(at, e + 1), F.size(w))).alias("e"),
+                                     F.xxhash64(F.lit(1), F.slice(hs, i + 1, e - i + 1)).alias("h"))
+            return F.transform(F.sequence(f, until), run)
+
+        return F.flatten(F.transform(F.filter(F.transform(ends, lambda f, i: F.struct(f.alias("f"), i.alias("i"))), lambda x: x["f"].isNotNull()),
+                                     lambda x: own(x["f"], x["i"])))
+
+    at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i) > 0)
+    return let(at, lambda at: let(F.transform(at, lambda i: F.get(w, i).cast("long")), lambda v: let(
+        F.transform(at, lambda i: F.get(h, i)), lambda hs: let(F.transform(v, lambda _, i: reach(v, i)), lambda ends: made(at, v, hs, ends)))))
+
+
+def spans(text: Column, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, passage: int | None = None) -> Column:
+    """What is removed from a text when it repeats: structs of s, e (first and last piece; of a run see _runs) and h."""
+    def made(p, t, h, w, stop):
+        def chunk(e: Column, no: Column) -> Column:
+            return let(F.coalesce(F.get(stop, no - 1) + 1, F.lit(0)), lambda s: F.struct(
+                s.alias("s"), e.alias("e"), F.xxhash64(F.slice(h, s + 1, e - s + 1)).alias("h"),
+                F.aggregate(F.slice(w, s + 1, e - s + 1), F.lit(0), lambda a, x: a + x).alias("words")))
+
+        found = F.filter(F.transform(stop, chunk), lambda c: eligible(c["e"] - c["s"] + 1, c["words"], min_words, long_piece))
+        found = F.transform(found, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["h"].alias("h")))
+        return found if passage is None else F.concat(found, _runs(t, h, w, passage))
+
+    return _cut(text, long_piece, made)
+
+
+def _keys(text: Column, only: Column) -> Column:
+    """The spans `only` of a text, each with its key: its pieces without the white space after them (of a run those
+    with words), by lines. A run's key is told from a chunk's by its first character."""
+    blank = lambda x: F.trim(x, F.lit(" \t\n\x0b\x0c\r")) == ""
+
+    def key(t: Column, x: Column) -> Column:
+        last = F.when(x["e"] < 0, -x["e"] - 1).otherwise(x["e"])
+        own = F.slice(t, x["s"] + 1, last - x["s"] + 1)
+        return F.when(x["e"] < 0, F.concat(F.lit("r"), F.array_join(F.filter(own, lambda y: ~blank(y)), "\n"))).otherwise(
+            F.concat(F.lit("c"), F.array_join(own, "\n")))
+
+    return let(F.transform(pieces(text), lambda x: F.rtrim(x, F.lit(" \n"))), lambda t: F.transform(
+        only, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["h"].alias("h"), key(t, x).alias("key"))))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, counts: bool = True,
+                passage: int | None = None) -> DataFrame:
+    """docs with text less its repeated chunks, and repeated runs of `passage` words or more if that is given, plus
+    n_removed (long, pieces) if `counts`.
 
-    Every row stays; a text all of whose chunks occurred before becomes empty. A null text stays null.
-    Texts without a removed chunk are unchanged to the byte. Chunks are found by hash first:
-    only texts of chunks whose hash repeats move, once for the comparison. Rows alike in doc_id
+    Every row stays; a text all of which occurred before becomes empty. A null text stays null.
+    Texts of which nothing is removed are unchanged to the byte. Repeats are found by hash first:
+    only texts with a hash that repeats move, once for the comparison. Rows alike in doc_id
     and text are one occurrence; a null doc_id comes last. All columns are returned; with `counts`
     one named n_removed is replaced.
     """
@@ -103,31 +168,31 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = L
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
-    found = F.filter(chunks(F.col("text"), ("h", "words", "n"), long_piece=long_piece),
-                     lambda c: eligible(c["n"], c["words"], min_words, long_piece))
-    keys = light.select("__rid", "__doc", F.explode(found).alias("c")).select("__rid", "__doc", "c.no", "c.h")
+    keys = light.select("__rid", "__doc", F.explode(spans(F.col("text"), min_words, long_piece, passage)).alias("c")).select(
+        "__rid", "__doc", "c.s", "c.e", "c.h")
     keys = store(keys, "chunk-keys")
     twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    found = salted_join(keys, twice, ["h"], ["__rid", "no"]).groupBy("__rid", "__doc").agg(F.collect_set("no").alias("nos"))
-    # byte comparison of the chunks whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
+    found = salted_join(keys, twice, ["h"], ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(
+        F.collect_set(F.struct("s", "e", "h")).alias("spans"))
+    # byte comparison of the spans whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
     candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
-        "__rid", "__doc", F.explode(chunks(F.col("text"), ("key", "h"), F.col("nos"), long_piece)).alias("c"))
-    candidates = candidates.select("__rid", "__doc", "c.no", "c.h", F.col("c.key").alias("chunk"))
-    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("no")).cast("decimal(33,0)")
+        "__rid", "__doc", F.explode(_keys(F.col("text"), F.col("spans"))).alias("c"))
+    candidates = candidates.select("__rid", "__doc", "c.s", "c.e", "c.h", F.col("c.key").alias("chunk"))
+    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("s")).cast("decimal(33,0)")
     candidates = store(candidates.withColumn("place", place), "chunks")
     first = store(candidates.groupBy("h", "chunk").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                   .where("first < last").select("h", "chunk", "first"), "chunk-firsts")
     gone = (candidates.join(first, ["h", "chunk"]).where("place > first")
-            .groupBy("__rid", "__doc").agg(F.collect_set("no").alias("__gone")))
+            .groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e")).alias("__gone")))
     gone = store(gone, "chunks-gone")
     for t in (keys, candidates, first):
         drop_stored(t)
     out = rows.join(gone.hint("merge"), ["__rid", "__doc"], "left")
-    stays = lambda c: ~F.array_contains("__gone", c["no"])
-    cut = let(chunks(F.col("text"), ("raw", "n") if counts else ("raw",), long_piece=long_piece), lambda cs: F.struct(
-        F.array_join(F.transform(F.filter(cs, stays), lambda c: c["raw"]), "").alias("text"),
-        *([F.aggregate(F.filter(cs, lambda c: ~stays(c)), F.lit(0), lambda a, c: a + c["n"]).alias("n")] if counts else [])))
-    out = out.withColumn("__cut", F.when(F.col("__gone").isNotNull(), cut))  # only texts that lose a chunk are cut again
+    inside = F.flatten(F.transform("__gone", lambda g: F.sequence(g["s"], F.when(g["e"] < 0, -g["e"] - 1).otherwise(g["e"]))))
+    cut = let(pieces(F.col("text")), lambda p: let(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), inside), lambda left: F.struct(
+        F.array_join(F.transform(left, lambda i: F.get(p, i)), "").alias("text"),
+        *([(F.size(p) - F.size(left)).alias("n")] if counts else []))))
+    out = out.withColumn("__cut", F.when(F.col("__gone").isNotNull(), cut))  # only texts that lose a span are cut again
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.col("__cut.text")).alias("text")
     made = [F.coalesce("__cut.n", F.lit(0)).cast("long").alias("n_removed")] if counts else []
     return out.select(*(text if c == "text" else c for c in keep), *made)
@@ -135,4 +200,4 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = L
 
 def op2_content_defined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: doc_id, the text that is left, n_removed (pieces)."""
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=PASSAGE)
