@@ -13,7 +13,7 @@ from yardstick.llm.common import store, table
 from yardstick.llm.linededup import PASSAGE, dedup_lines
 from yardstick.llm.mixing import SHARES, mixed
 from yardstick.llm.neardup import kept_documents
-from yardstick.llm.packing import pack_documents
+from yardstick.llm.packing import pack_stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
-    return pack_documents(docs)
+    """The pieces of all documents in sequences of at most 2048 tokens, in the order of the mix."""
+    return pack_stored(docs)
 
 
 STAGES = [("quality_classifier", quality_classifier), ("line_dedup", line_dedup), ("near_dedup", near_dedup),

@@ -336,6 +336,28 @@ def test_pipeline_stages(spark):
     assert docs.agg(F.count_distinct("doc_id")).collect()[0][0] == before.count()
 
 
+def test_the_mix_reaches_the_sequences(spark, docs_of):
+    """Any stretch of the packed sequences has the target shares while the sources last, though src0 has most rows."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("alpha beta gamma delta epsilon".split()) for _ in range(rng.randrange(330, 370))) for _ in range(4000)]
+    source = {i: "src0" if i % 10 else "src1" for i in range(len(texts))}
+    docs = docs_of(texts, sources=list(source.values())).repartition(5)
+    mix = store(corpus_pipeline.source_mixing(spark, docs, SF), "t")
+    shares = {}
+    for name, rows in (("with", mix), ("without", store(docs, "t"))):
+        by_sequence = collections.defaultdict(collections.Counter)
+        for r in corpus_pipeline.packing(spark, rows, SF).collect():
+            by_sequence[r.sequence_id][source[r.doc_id]] += r.length
+        assert sorted(by_sequence) == list(range(len(by_sequence)))  # no gap
+        lasting = 400 * 5 * 350 // 2048 - 130  # src1 has 400 rows of every fifth
+        shares[name] = []
+        for a in range(0, lasting - 100, 20):
+            own = sum((by_sequence[s] for s in range(a, a + 100)), collections.Counter())
+            shares[name].append(own["src1"] / own.total())
+    assert all(abs(x - 0.2) < 0.06 for x in shares["with"])
+    assert all(abs(x - 0.2) > 0.06 for x in shares["without"])
+
+
 def test_pipeline_odd_rows(spark, clash, tmp_path):
     labels = spark.createDataFrame([(0, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")

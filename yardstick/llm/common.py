@@ -28,22 +28,26 @@ def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: list[s
     return left.join(right, [*keys, "__salt"], how).drop("__salt")
 
 
-def numbered(df: DataFrame, key: str, order: list[str], out: str, per_key: DataFrame | None = None) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: list[str], out: str, per_key: DataFrame | None = None,
+             bucket: Column | None = None) -> DataFrame:
     """Number the rows of each key from 0 without gaps, in hash order, a hot key in many tasks.
 
+    With `bucket` (long, rising with `order`, few rows each) rows are numbered by `order` itself.
+
     Rows fall into 4 x shuffle partitions buckets by a hash of `order`; a row's number is the
     count of its key's earlier buckets plus its place in its own bucket. `per_key` (one row per
     key) adds its columns; it joins the small bucket table, so the rows move once. `key` must
     not be null. Rows alike in `order` are numbered in any order.
     """
     k = 4 * partitions(df.sparkSession)
-    rows = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(k)).cast("int"))
+    rows = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(k)).cast("int") if bucket is None else bucket)
+    by = [F.xxhash64(*order), *order] if bucket is None else order
     per = rows.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select(key, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
     if per_key is not None:
         offsets = offsets.join(per_key, key)
-    place = F.row_number().over(Window.partitionBy(key, "__b").orderBy(F.xxhash64(*order), *order)) - 1
+    place = F.row_number().over(Window.partitionBy(key, "__b").orderBy(*by)) - 1
     return (rows.withColumn("__p", place).join(offsets, [key, "__b"])
             .withColumn(out, (F.col("__o") + F.col("__p")).cast("long")).drop("__b", "__p", "__o"))
 

@@ -6,6 +6,8 @@ class alone, so workers fill bins independently. Documents may be cut, which kee
 a document gives whole sequences, then the rest r is taken as it is if k such pieces leave at
 most `max_waste` of the sequence empty, or else gives a piece of exactly floor(L / (k + 1)).
 What is left of each class (fewer than k pieces) fills common sequences, longest first.
+Documents with a position (the mix) are taken in its order: a class's sequences hold pieces that
+follow each other, and sequences are numbered by their first piece, those of the left-overs last.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from yardstick.llm.textvec import by_bytes
 LENGTH = 2048
 MAX_WASTE = 0.02
 END_ID = 1
+RUN_ROWS = 8192  # positions whose pieces are numbered in one task
 
 # Texts on which the fast encoder must agree with the tokenizer before it is used.
 PROBES = ("It's we'll  they've\n\n 12,345 x", " a\t b\r\n", "\u00e9\u00e8 \u00fc\u00df\u3000\u4e2d\u6587 \U0001f600!?  ", "a" * 300, "\x85 \x1c \xa0z", "<|endoftext|> <|endoftext|>")
@@ -86,13 +89,13 @@ def cut(n: int, length: int, max_waste: float) -> list[int]:
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, max_waste: float = MAX_WASTE, end_id: int = END_ID,
-           keep_ids: bool = False) -> DataFrame:
-    """Tokenise and cut every document (doc_id, text): one row per piece.
+           keep_ids: bool = False, position: bool = False) -> DataFrame:
+    """Tokenise and cut every document (doc_id, text, and position if it is asked for): one row per piece.
 
     A null text counts as empty: its only token is end_id. With keep_ids the pieces carry their
     ids (array of int); otherwise only their checksum.
     """
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int" + ", ids array<int>" * keep_ids
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int" + ", position long" * position + ", ids array<int>" * keep_ids
 
     def run(batches):
         if path not in _encoders:
@@ -100,13 +103,14 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, max_waste: float =
         encode, end = _encoders[path].encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in by_bytes(batch, "text"):
-                doc, start, size, crc, total, ids = [], [], [], [], [], []
-                for d, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                doc, start, size, crc, total, ids, rows = [], [], [], [], [], [], []
+                for row, (d, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)):
                     raw = encode(text or "") + end
                     n, at = len(raw) // 4, 0
                     for m in cut(n, length, max_waste):
                         own = raw[4 * at:4 * (at + m)]
                         doc.append(d)
+                        rows.append(row)
                         start.append(at)
                         size.append(m)
                         crc.append(zlib.crc32(own))
@@ -118,11 +122,14 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, max_waste: float =
                         "length": pa.array(size, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
                         "doc_tokens": pa.array(total, pa.int64()),
                         "k": pa.array([length // m for m in size], pa.int32())}
+                if position:
+                    cols["position"] = part.column("position").take(pa.array(rows, pa.int64()))
                 if keep_ids:
                     cols["ids"] = pa.array(ids, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(cols)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                       *([F.col("position").cast("long")] if position else [])).mapInArrow(run, schema)
 
 
 def _first_fit(length: int):
@@ -148,19 +155,27 @@ def pack(piece_rows: DataFrame, length: int = LENGTH) -> DataFrame:
     most `length`, so their counts are a table of bounded size; the left-over pieces of all
     classes are fewer than the sum of k over the distinct floor(length / r), bounded alike
     (some 16,000 pieces for 2048), whatever the input. A sequence's pieces lie without gaps
-    from offset 0; the rest of it is padding. Repeated documents are packed each.
+    from offset 0; the rest of it is padding. Repeated documents are packed each. Pieces with
+    a column position (long) are taken in its order, others in hash order.
     """
+    placed = "position" in piece_rows.columns
+    run = F.col("position").bitwiseAND(~(RUN_ROWS - 1))
     cols = piece_rows.columns
     classes = (piece_rows.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
                .withColumn("__full", F.expr("__n div k"))
                .select("k", "__full", F.coalesce(F.sum("__full").over(
                    Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first")))
-    ranked = numbered(piece_rows, "k", ["doc_id", "start", "ids_crc32"], "__i").join(F.broadcast(classes), "k")
+    ranked = numbered(piece_rows, "k", ["position"] * placed + ["doc_id", "start", "ids_crc32"], "__i",
+                      bucket=run if placed else None).join(F.broadcast(classes), "k")
     whole = F.col("__i") < F.col("__full") * F.col("k")
     inside = Window.partitionBy("sequence_id").orderBy("__i").rowsBetween(Window.unboundedPreceding, -1)
     full = (ranked.where(whole).withColumn("sequence_id", F.expr("__first + __i div k"))
             .withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)))
             .select(*cols, "sequence_id", "offset"))
+    if placed:  # whole sequences by the position of their first piece
+        own = full.groupBy("sequence_id").agg(F.min("position").alias("position")).withColumn("__g", F.lit(0))
+        ids = numbered(own, "__g", ["position", "sequence_id"], "__id", bucket=run).select("sequence_id", "__id")
+        full = full.join(ids, "sequence_id").select(*cols, F.col("__id").alias("sequence_id"), "offset")
     left = ranked.where(~whole).select(*cols)
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema) + ", __bin long, offset long"
     rest = left.groupBy(F.lit(0).alias("__g")).applyInArrow(_first_fit(length), out)
@@ -174,5 +189,15 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack_documents(docs: DataFrame) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens; a null text is empty (one token)."""
-    stored = store(pieces(docs, tokenizer_path()), "pieces")
-    return pack(stored).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return _packed(pieces(docs, tokenizer_path()))
+
+
+def pack_stored(docs: DataFrame) -> DataFrame:
+    """The same for documents read from Parquet files: sequences follow the rows' order across and within the files."""
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    position = F.shiftleft(F.coalesce(part, F.lit(0)), 40) + F.col("_metadata.row_index")
+    return _packed(pieces(docs.select("doc_id", "text", position.alias("position")), tokenizer_path(), position=True))
+
+
+def _packed(piece_rows: DataFrame) -> DataFrame:
+    return pack(store(piece_rows, "pieces")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
