@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from yardstick.llm.classifier import score_quality
 from yardstick.llm.common import store, table
-from yardstick.llm.linededup import PASSAGE, dedup_lines
+from yardstick.llm.linededup import dedup_lines
 from yardstick.llm.mixing import SHARES, mixed
 from yardstick.llm.neardup import kept_documents
 from yardstick.llm.packing import pack_stored
@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less their repeated chunks and passages; every row stays, n_chars follows the text."""
-    out = dedup_lines(docs, counts=False, passage=PASSAGE)
+    """Documents less their repeated lines and passages; every row stays, n_chars follows the text."""
+    out = dedup_lines(docs, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)
