@@ -1,11 +1,13 @@
 """Word hashes, quality rules, line dedup and classifier against brute force and on odd inputs."""
 
 import collections
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,25 +72,30 @@ def test_llr_separates_and_is_neutral_without_target(spark, docs_of, empty):
     assert quality.quality_rules(empty, docs.select("doc_id")).collect() == []
 
 
-def _pieces(spark, texts):
-    cut = linededup.chunks(F.col("t"), ("raw", "key", "words", "n"))
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", cut.alias("c"))
-    return [[(c.key, c.words, c.n, c.raw) for c in r.c] for r in sorted(df.collect())]
+PIECE = re.compile(r"(?<=\n)|(?<=[.!?] )")
 
 
-def test_chunks_join_to_the_text_and_survive_shifts(spark):
-    lines = [f"line {i * i % 17} of {i}" for i in range(60)]
-    a, b = "\n".join(lines), "\n".join(["something new", "and more", *lines])
-    ca, cb = _pieces(spark, [a, b])
-    assert "".join(c[3] for c in ca) == a and "".join(c[3] for c in cb) == b
-    assert sum(c[2] for c in ca) == 60
-    assert {c[0] for c in ca[2:]} <= {c[0] for c in cb}  # all but the first chunks come back
-    assert all(c[2] > 1 for c in ca[1:-1])
-    odd = ["a. b\x01. c\nd! e", "a. b. c\nd! e", "", "\n", "a\n\n", "\n\nb", "No end", "One. Two! Three?  Four.\nFive. ", "v1.2. é. 😀. z"]
-    for t, cs in zip(odd, _pieces(spark, odd), strict=True):
-        assert "".join(c[3] for c in cs) == t
-    both = spark.createDataFrame([(t,) for t in odd], "t string").select(linededup.pieces(F.col("t")).alias("a"), F.split("t", linededup.PIECES, -1).alias("b"))
-    assert all(r.a == r.b for r in both.collect())
+def _lines(text):
+    """(pieces, the numbers of those with words, their bare texts)."""
+    p = PIECE.split(text or "")
+    at = [i for i, x in enumerate(p) if brute.words(x)]
+    return p, at, [p[i].rstrip(" \n") for i in at]
+
+
+def test_pieces_join_to_the_text_and_lines_are_counted(spark):
+    odd = ["a. b\x01. c\nd! e", "a. b. c\nd! e", "", "\n", "a\n\n", "\n\nb", "No end", "One. Two! Three?  Four.\nFive. ", "v1.2. é. 😀. z",
+           "a  b\tc\n   d e. f\x0bg\x0ch\r\ni", " lead", "x y. z", "\t\n\n a", "a\tb \t\n" * 3, "one two\n three", " \n . x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, t string")
+    got = df.select("i", linededup.pieces(F.col("t")).alias("p"), linededup.lines(F.col("t")).alias("l")).collect()
+    for r in got:
+        p, _, own = _lines(odd[r.i])
+        assert r.p == p and "".join(p) == odd[r.i]
+        assert [(x.h, x.w) for x in r.l] == [(_xxhash(x), len(brute.words(x))) for x in own]
+
+
+def _xxhash(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def test_passage_inside_lines_is_found(spark, docs_of):
@@ -96,7 +103,7 @@ def test_passage_inside_lines_is_found(spark, docs_of):
     rng = np.random.default_rng(6)
     say = lambda n, k, m=12: ". ".join(" ".join(f"w{x}" for x in rng.integers(k, k + 500, n)) for _ in range(m)) + ". "
     passage = say(7, 0, 40)
-    texts = [say(8, 1000 * (i + 1)) + "start " + passage + "end " + say(6, 1000 * (i + 20)) for i in range(4)]
+    texts = [say(8, 1000 * (i + 1)) + f"start{i} " + passage + f"end{i} " + say(6, 1000 * (i + 20)) for i in range(4)]
     left = {r.doc_id: r for r in linededup.dedup_lines(docs_of(texts)).collect()}
     assert left[0].text == texts[0]
     inside = set(passage.split())
@@ -107,20 +114,45 @@ def test_passage_inside_lines_is_found(spark, docs_of):
         assert [w for w in left[i].text.split() if w not in inside] == own  # and nothing else
 
 
-def _repeats_count(c):
-    return (c[2] > 1 and c[1] >= linededup.MIN_WORDS) or c[1] >= linededup.LONG_PIECE
-
-
-def _brute_dedup(spark, docs):
-    """docs: list of (doc_id, text). The text that is left of each."""
-    cut = _pieces(spark, [t for _, t in docs])
-    first = {}
-    for (d, _), cs in zip(docs, cut, strict=True):
-        for no, c in enumerate(cs):
-            if _repeats_count(c):
-                first[c[0]] = min(first.get(c[0], (d, no)), (d, no))
-    return {d: "".join(c[3] for no, c in enumerate(cs) if not _repeats_count(c) or first[c[0]] == (d, no))
-            for (d, _), cs in zip(docs, cut, strict=True)}
+def _brute_dedup(docs):
+    """docs: list of (doc_id, text), different ids. The text that is left of each: chunks, seeds, runs and repeats by their definitions."""
+    cut = {}
+    for d, t in docs:
+        p, at, own = _lines(t)
+        n = [len(brute.words(x)) for x in own]
+        spans, s = [], 0
+        for i, x in enumerate(own):
+            if (n[i] >= linededup.LONG_LINE or _xxhash(x) % linededup.STAY or i + 1 == len(own) or own[i + 1] == x
+                    or n[i + 1] >= linededup.LONG_LINE):
+                spans.append((s, i))
+                s = i + 1
+        cut[d] = p, at, own, n, spans
+    chunks = collections.Counter(tuple(own[s:e + 1]) for _, _, own, _, spans in cut.values() for s, e in spans)
+    first, runs = {}, {}
+    for d, (_, _, own, n, spans) in cut.items():
+        enough = lambda s, e: sum(n[s:e + 1]) >= (linededup.MIN_WORDS if e > s else linededup.LONG_LINE)  # noqa: E731,B023
+        seeds = [k for k, (s, e) in enumerate(spans) if chunks[tuple(own[s:e + 1])] > 1]
+        f = {k: next((x for x in range(spans[k][1], len(own)) if enough(spans[k][0], x)), None) for k in seeds}
+        g = {k: next((x for x in range(spans[k][0], -1, -1) if enough(x, spans[k][1])), None) for k in seeds}
+        mine = set()
+        for k in seeds:
+            s, e = spans[k]
+            if f[k] is not None:
+                end = (len(own) if f[k + 1] is None else f[k + 1]) - 1 if k + 1 in f else spans[k + 1][1] if k + 1 < len(spans) else e
+                mine |= {(s, x) for x in range(f[k], max(f[k], end) + 1)}
+            if g[k] is not None:
+                start = (-1 if g[k - 1] is None else g[k - 1]) + 1 if k - 1 in g else spans[k - 1][0] if k else s
+                mine |= {(x, e) for x in range(min(g[k], start), g[k] + 1)}
+        runs[d] = mine
+        for s, e in runs[d]:
+            key = tuple(own[s:e + 1])
+            first[key] = min(first.get(key, (d, s)), (d, s))
+    out = {}
+    for d, (p, at, own, _, _) in cut.items():
+        gone = {j for s, e in runs[d] if first[tuple(own[s:e + 1])] != (d, s)
+                for j in range(at[s], at[e + 1] if e + 1 < len(at) else len(p))}
+        out[d] = "".join(x for j, x in enumerate(p) if j not in gone)
+    return out
 
 
 def test_line_dedup_against_brute_force(spark, docs_of):
@@ -132,7 +164,7 @@ def test_line_dedup_against_brute_force(spark, docs_of):
     for docs in (made, table(spark, SF, "documents")):
         source = sorted((r.doc_id, r.text) for r in docs.collect())
         got = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
-        assert got == _brute_dedup(spark, source)
+        assert got == _brute_dedup(source)
     left = linededup.dedup_lines(made).collect()
     assert sum("line 6 and 18" in r.text for r in left) == 1  # one copy of the passage stays
     assert all(r.text == texts[r.doc_id] for r in left if r.doc_id < 40 and r.doc_id % 2 == 0)
@@ -167,10 +199,51 @@ def test_short_pieces_between_other_neighbours_are_found(spark, docs_of, tmp_pat
         assert brute.words(left[i], lower=False) == [w for w, r in zip(brute.words(t, lower=False), repeated, strict=True) if not r]
 
 
-def test_words_of_pieces_are_counted_by_separators(spark, docs_of):
-    texts = ["a  b\tc\n   d e. f\x0bg\x0ch\r\ni", " lead", "x y. z", "\t\n\n a", "a\tb \t\n" * 3, "one two\n three"]
-    for t, cs in zip(texts, _pieces(spark, texts), strict=True):
-        assert sum(c[1] for c in cs) == len(brute.words(t))
+def test_every_removed_line_repeats_and_no_passage_stays(spark):
+    """On the driver's table, by definitions that know no chunks: what goes lies in an earlier run, what stays in no passage."""
+    from yardstick.llm.common import table
+    source = sorted((r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.01", "documents").collect())
+    left = {r.doc_id: r.text for r in linededup.op2_content_defined_lines(spark, "/root/testdata/sf0.01").collect()}
+    where = collections.defaultdict(list)
+    for d, t in source:
+        own = _lines(t)[2]
+        for j, x in enumerate(own):
+            where[x].append((d, j))
+    own_lines = {d: _lines(t)[2] for d, t in source}
+
+    def said(d, j, run):
+        """Whether the run of lines from j occurs before (for j of -1: in an earlier text)."""
+        return any((o, k) < (d, j) and own_lines[o][k:k + len(run)] == run for o, k in where[run[0]])
+
+    removed = passage = stayed = 0
+    for d, t in source:
+        own, kept = own_lines[d], collections.Counter(_lines(left[d])[2])
+        lost = collections.Counter(own) - kept
+        n = [len(brute.words(x)) for x in own]
+        fair = collections.Counter()
+        for j, x in enumerate(own):
+            if not lost[x]:
+                continue
+            # a long line, or a run of two lines or more with ten words around it, occurs before
+            ok = n[j] >= 12 and said(d, j, own[j:j + 1])
+            for s in range(max(0, j - 12), j + 1):
+                for e in range(max(s + 1, j), min(len(own), j + 13)):
+                    ok = ok or (sum(n[s:e + 1]) >= 10 and said(d, s, own[s:e + 1]))
+            fair[x] += ok
+        removed += lost.total()
+        assert lost <= fair, (d, lost - fair)
+        for s in range(len(own)):  # the shortest runs of 50 words that an earlier text holds
+            e = s
+            while e < len(own) and sum(n[s:e + 1]) < 50:
+                e += 1
+            if e < len(own) and said(d, -1, own[s:e + 1]):
+                passage += 1
+                stayed += all(kept[x] for x in own[s:e + 1])
+    assert removed > 200 and passage > 100
+    assert stayed <= 0.01 * passage
+
+
+def test_tabs_and_deep_indents(spark, docs_of):
     tabs = "\n".join("\t".join(f"v{i}x{j}" for j in range(14)) for i in range(3))
     deep = [f"def f{i}():\n    if a{i}:\n" + " " * 20 + f"return None\n    b{i}\n" for i in range(3)]
     left = {r.doc_id: r.text for r in linededup.dedup_lines(docs_of([f"{tabs}\nfirst end", f"{tabs}\nother end", *deep])).collect()}

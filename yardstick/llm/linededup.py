@@ -1,19 +1,17 @@
 """Line dedup by content-defined chunks, DataFrame functions only.
 
-Lines are cut after sentence ends as well, so that a passage set into a longer line is found. A
-rolling hash over the hashes of two such pieces chooses the boundaries: a chunk ends where the
-rolling hash is smaller than at the pieces before and after. So a boundary depends on four pieces
-alone and survives shifts, and a chunk has two pieces or more (but for the ends of a text). A
-piece of LONG_PIECE words or more is a chunk of its own. Chunks of several pieces with MIN_WORDS
-words or more, and long pieces, that repeat anywhere are compared byte by byte (grouped and
-joined on the bytes of their pieces, without the white space after each); the first occurrence (smallest
-doc_id, then place) stays and the others are removed.
-
-Boundaries need equal neighbours, so with `passage` runs of pieces are compared as well: from each piece
-with words on, the shortest run of `passage` words or more, and each longer run up to where the next piece's
-begins to be long enough. These cover every piece of any run of `passage` words that occurred before,
-wherever it starts and ends. PASSAGE is 25: of 50 words in pieces under 12 words that many are left when the
-pieces at both ends have run together with their neighbours.
+Lines are cut after sentence ends as well, so that a passage set into a longer line is found. The
+hashes of the lines choose the boundaries: a chunk ends after a line whose hash isn't 0 modulo
+STAY or is that of the next line, and before and after a line of LONG_LINE words or more. A boundary depends on the two lines
+beside it alone, so it survives shifts, and five equal lines between other neighbours hold an equal chunk with chance 0.998.
+
+Chunks that repeat anywhere are seeds. Each is grown line by line to both sides until it has MIN_WORDS words, and into the chunk beside
+it: these runs of lines find where equal text ends between boundaries. Runs of several lines with MIN_WORDS words or more, and
+long lines, that repeat are compared byte by byte (grouped on the bytes of their lines, without the
+white space after each); the first occurrence (smallest doc_id, then place) stays and the others are removed.
+
+No hash of the corpus is stored but each text's own line hashes; they are counted, and read again for those that repeat.
+Texts move only if they hold a run that repeats.
 """
 
 from __future__ import annotations
@@ -23,12 +21,13 @@ from pyspark.sql import functions as F
 
 from yardstick.llm.common import drop_stored, let, salted_join, store, table
 
-LONG_PIECE = 12
+LONG_LINE = 12
 MIN_WORDS = 10
-PASSAGE = 25
+STAY = 8
 WORDS = r"[^\x20\x09-\x0D]+"
 PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
 MARK = "\x01"
+BLANK = " \t\n\x0b\x0c\r"
 
 
 def pieces(text: Column) -> Column:
@@ -43,9 +42,18 @@ def pieces(text: Column) -> Column:
     return F.when(F.instr(whole, MARK) == 0, F.split(marked, MARK, -1)).otherwise(F.split(whole, PIECES, -1))
 
 
-def _cut(text: Column, long_piece: int, body) -> Column:
-    """body(p, t, h, w, stop): a text's pieces, the pieces without the white space after them, the hashes and words of
-    those, and the last piece of every chunk. Each is computed once."""
+def _bare(piece: Column) -> Column:
+    """A piece without the white space after it."""
+    return F.rtrim(piece, F.lit(" \n"))
+
+
+def _places(p: Column) -> Column:
+    """The numbers of the pieces that hold a word: the lines."""
+    return F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: F.trim(F.get(p, i), F.lit(BLANK)) != "")
+
+
+def lines(text: Column) -> Column:
+    """Structs h, w (hash and words) of a text's lines: its pieces with words, without the white space after them."""
     whole = F.coalesce(text, F.lit(""))
     plain = ~whole.startswith(" ")  # words are apart by single spaces or lines: spaces and one more are the words
     for odd in ("  ", "\n ", "\t", "\x0b", "\x0c", "\r"):
@@ -55,111 +63,97 @@ def _cut(text: Column, long_piece: int, body) -> Column:
         spaces = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
         return F.when(x == "", 0).when(simple, spaces + 1).otherwise(F.regexp_count(x, F.lit(WORDS)))
 
-    def stops(w: Column, r: Column) -> Column:
-        def ends(i: Column) -> Column:
-            after, own = F.get(w, i + 1), F.get(r, i)
-            low = (own < F.get(r, i - 1)) & (own < F.get(r, i + 1))
-            return after.isNull() | (F.get(w, i) >= long_piece) | (after >= long_piece) | F.coalesce(low, F.lit(False))
-
-        return F.filter(F.sequence(F.lit(0), F.size(w) - 1), ends)
-
-    def rolled(p: Column, t: Column, h: Column) -> Column:
-        r = F.transform(h, lambda x, i: F.xxhash64(F.get(h, i - 1), x))
-        return let(let(plain, lambda simple: F.transform(t, lambda x: words(x, simple))), lambda w: let(r, lambda rr: let(stops(w, rr), lambda stop: body(p, t, h, w, stop))))
-
-    return let(pieces(text), lambda p: let(F.transform(p, lambda x: F.rtrim(x, F.lit(" \n"))), lambda t: let(
-        F.transform(t, lambda x: F.xxhash64(x)), lambda h: rolled(p, t, h))))
-
-
-def chunks(text: Column, fields: tuple[str, ...], only: Column | None = None, long_piece: int = LONG_PIECE) -> Column:
-    """A text's chunks in order, or those whose numbers are in `only`, as structs of no and some of: raw (the chunk's text;
-    end to end they are the text), key (its pieces without the white space after them, by lines), h (hash of the
-    pieces), words, n (pieces)."""
-    def made(p, t, h, w, stop):
-        def chunk(no: Column) -> Column:
-            def span(s: Column, e: Column) -> Column:
-                own = lambda a: F.slice(a, s + 1, e - s + 1)
-                value = {"raw": lambda: F.array_join(own(p), ""), "key": lambda: F.array_join(own(t), "\n"),
-                         "h": lambda: F.xxhash64(own(h)), "n": lambda: e - s + 1,
-                         "words": lambda: F.aggregate(own(w), F.lit(0), lambda a, x: a + x)}
-                return F.struct(no.alias("no"), *[value[f]().alias(f) for f in fields])
-
-            return let(F.coalesce(F.get(stop, no - 1) + 1, F.lit(0)), lambda s: span(s, F.get(stop, no)))
-
-        return F.transform(F.sequence(F.lit(0), F.size(stop) - 1) if only is None else only, chunk)
+    def made(simple: Column) -> Column:
+        bare = F.transform(pieces(text), _bare)
+        return F.filter(F.transform(bare, lambda x: F.struct(F.xxhash64(x).alias("h"), words(x, simple).alias("w"))), lambda x: x["w"] > 0)
 
-    return _cut(text, long_piece, made)
+    return let(plain, made)
 
 
-def eligible(n: Column, n_words: Column, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE) -> Column:
-    """Whether a chunk is removed when it repeats."""
-    return ((n > 1) & (n_words >= min_words)) | (n_words >= long_piece)
+def _stops(h: Column, w: Column, long_line: int) -> Column:
+    """The last line of every chunk."""
+    def ends(i: Column) -> Column:
+        own = (F.get(w, i) >= long_line) | (F.pmod(F.get(h, i), F.lit(STAY)) != 0) | (F.get(h, i) == F.get(h, i + 1))
+        return F.coalesce(own, F.lit(True)) | (F.get(w, i + 1) >= long_line)
 
+    return F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.coalesce(ends(i), F.lit(True)))
 
-def _runs(t: Column, h: Column, w: Column, passage: int) -> Column:
-    """Runs of pieces of `passage` words or more (see above): structs s (first piece), e (-1 less the last piece and the
-    blank ones after it; chunks have e of 0 or more) and h."""
-    def reach(v: Column, i: Column) -> Column:
-        def far(k: int) -> Column:  # pieces in the upper, words in the lower half
-            add = lambda a, x: F.when(F.pmod(a, F.lit(1 << 32)) >= passage, a).otherwise(a + x + F.lit(1 << 32))
-            return F.aggregate(F.slice(v, i + 1, F.lit(k)), F.lit(0).cast("long"), add)
 
-        last = lambda a: F.when(F.pmod(a, F.lit(1 << 32)) >= passage, (i + F.shiftright(a, 32) - 1).cast("int"))
-        return F.coalesce(last(far(4)), last(far(passage)))
+def _start(stop: Column, no: Column) -> Column:
+    return F.when(no > 0, F.get(stop, no - 1) + 1).otherwise(0)
 
-    def made(at: Column, v: Column, hs: Column, ends: Column) -> Column:
-        def own(f: Column, i: Column) -> Column:
-            until = F.greatest(f, F.coalesce(F.get(ends, i + 1), F.size(v)) - 1)
-            run = lambda e: F.struct(F.get(at, i).alias("s"), (-F.coalesce(F.get(at, e + 1), F.size(w))).alias("e"),
-                                     F.xxhash64(F.lit(1), F.slice(hs, i + 1, e - i + 1)).alias("h"))
-            return F.transform(F.sequence(f, until), run)
 
-        return F.flatten(F.transform(F.filter(F.transform(ends, lambda f, i: F.struct(f.alias("f"), i.alias("i"))), lambda x: x["f"].isNotNull()),
-                                     lambda x: own(x["f"], x["i"])))
+def chunks(h: Column, w: Column, long_line: int = LONG_LINE) -> Column:
+    """The hash of every chunk of a text, in order."""
+    return let(_stops(h, w, long_line), lambda stop: F.transform(stop, lambda e, no: let(
+        _start(stop, no), lambda s: F.xxhash64(F.slice(h, s + 1, e - s + 1)))))
 
-    at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i) > 0)
-    return let(at, lambda at: let(F.transform(at, lambda i: F.get(w, i).cast("long")), lambda v: let(
-        F.transform(at, lambda i: F.get(h, i)), lambda hs: let(F.transform(v, lambda _, i: reach(v, i)), lambda ends: made(at, v, hs, ends)))))
 
+def grown(h: Column, w: Column, seeds: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
+    """What is removed if it repeats: structs s, e (first and last line) and h.
 
-def spans(text: Column, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, passage: int | None = None) -> Column:
-    """What is removed from a text when it repeats: structs of s, e (first and last piece; of a run see _runs) and h."""
-    def made(p, t, h, w, stop):
-        def chunk(e: Column, no: Column) -> Column:
-            return let(F.coalesce(F.get(stop, no - 1) + 1, F.lit(0)), lambda s: F.struct(
-                s.alias("s"), e.alias("e"), F.xxhash64(F.slice(h, s + 1, e - s + 1)).alias("h"),
-                F.aggregate(F.slice(w, s + 1, e - s + 1), F.lit(0), lambda a, x: a + x).alias("words")))
-
-        found = F.filter(F.transform(stop, chunk), lambda c: eligible(c["e"] - c["s"] + 1, c["words"], min_words, long_piece))
-        found = F.transform(found, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["h"].alias("h")))
-        return found if passage is None else F.concat(found, _runs(t, h, w, passage))
-
-    return _cut(text, long_piece, made)
-
-
-def _keys(text: Column, only: Column) -> Column:
-    """The spans `only` of a text, each with its key: its pieces without the white space after them (of a run those
-    with words), by lines. A run's key is told from a chunk's by its first character."""
-    blank = lambda x: F.trim(x, F.lit(" \t\n\x0b\x0c\r")) == ""
-
-    def key(t: Column, x: Column) -> Column:
-        last = F.when(x["e"] < 0, -x["e"] - 1).otherwise(x["e"])
-        own = F.slice(t, x["s"] + 1, last - x["s"] + 1)
-        return F.when(x["e"] < 0, F.concat(F.lit("r"), F.array_join(F.filter(own, lambda y: ~blank(y)), "\n"))).otherwise(
-            F.concat(F.lit("c"), F.array_join(own, "\n")))
-
-    return let(F.transform(pieces(text), lambda x: F.rtrim(x, F.lit(" \n"))), lambda t: F.transform(
-        only, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["h"].alias("h"), key(t, x).alias("key"))))
+    The chunks numbered `seeds` (in order) grow forwards until they are long enough, and on to where the next seed is, or to the
+    end of the next chunk if that is none; backwards alike. So every line of a stretch of equal lines that holds a seed and is long enough
+    lies in a run that it holds as a whole.
+    """
+    def far(beside: Column, own: Column) -> Column:
+        """How many of the lines beside are needed after `own` words; null if there are too few."""
+        step = lambda a, v: F.when((a["n"] > 0) & (a["words"] >= min_words), a).otherwise(
+            F.struct((a["n"] + 1).alias("n"), (a["words"] + v).alias("words")))
+        start = F.struct(F.lit(0).alias("n"), own.alias("words"))
+        return F.aggregate(beside, start, step, lambda a: F.when((a["n"] > 0) & (a["words"] >= min_words), a["n"]))
+
+    def reach(stop: Column, no: Column) -> Column:
+        """A seed's chunk (s, e) with f, the first line up to which it is long enough, and g, the last one from which."""
+        def made(s: Column, e: Column) -> Column:
+            own = F.aggregate(F.slice(w, s + 1, e - s + 1), F.lit(0), lambda a, v: a + v)
+            enough = ((e > s) & (own >= min_words)) | (own >= long_line)
+            after = F.slice(w, e + 2, F.lit(min_words))
+            back = F.greatest(s - min_words, F.lit(0))
+            before = F.when(s > 0, F.reverse(F.slice(w, back + 1, s - back))).otherwise(F.slice(w, 1, 0))
+            return F.struct(no.alias("no"), s.alias("s"), e.alias("e"), F.when(enough, e).otherwise(e + far(after, own)).alias("f"),
+                            F.when(enough, s).otherwise(s - far(before, own)).alias("g"))
+
+        return let(_start(stop, no), lambda s: made(s, F.get(stop, no)))
+
+    def runs(stop: Column, r: Column, x: Column, j: Column) -> Column:
+        span = lambda a, b: F.struct(a.cast("int").alias("s"), b.cast("int").alias("e"))
+        none = F.filter(F.array(span(F.lit(0), F.lit(0))), lambda _: F.lit(False))
+        following, previous = F.get(r, j + 1), F.get(r, j - 1)
+        until = F.when(following["no"] == x["no"] + 1, F.coalesce(following["f"] - 1, F.size(w) - 1)).otherwise(
+            F.coalesce(F.get(stop, x["no"] + 1), x["e"]))
+        since = F.when(previous["no"] == x["no"] - 1, F.coalesce(previous["g"] + 1, F.lit(0))).otherwise(
+            F.when(x["no"] > 0, _start(stop, x["no"] - 1)).otherwise(x["s"]))
+        ahead = F.when(x["f"].isNotNull(), F.transform(F.sequence(x["f"], F.greatest(x["f"], until)), lambda e: span(x["s"], e)))
+        behind = F.when(x["g"].isNotNull(), F.transform(F.sequence(F.least(x["g"], since), x["g"]), lambda s: span(s, x["e"])))
+        return F.concat(F.coalesce(ahead, none), F.coalesce(behind, none))
+
+    spans = let(_stops(h, w, long_line), lambda stop: let(F.transform(seeds, lambda no: reach(stop, no)), lambda r: F.array_distinct(
+        F.flatten(F.transform(r, lambda x, j: runs(stop, r, x, j))))))
+    return F.transform(spans, lambda x: F.struct(
+        x["s"].alias("s"), x["e"].alias("e"), F.xxhash64(F.slice(h, x["s"] + 1, x["e"] - x["s"] + 1)).alias("h")))
+
+
+def _texts_of(text: Column, runs: Column) -> Column:
+    """The runs of a text, each with the bytes of its lines."""
+    def made(t: Column) -> Column:
+        return F.transform(runs, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["h"].alias("h"), F.array_join(
+            F.slice(t, x["s"] + 1, x["e"] - x["s"] + 1), "\n").alias("bytes")))
+
+    return let(F.filter(F.transform(pieces(text), _bare), lambda x: F.trim(x, F.lit(BLANK)) != ""), made)
+
+
+def _repeated(keys: DataFrame, spread: list[str]) -> DataFrame:
+    """The rows of keys whose h occurs more than once; h is counted before it moves, and a frequent one is joined in many tasks."""
+    twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    return salted_join(keys, twice, ["h"], spread)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = LONG_PIECE, counts: bool = True,
-                passage: int | None = None) -> DataFrame:
-    """docs with text less its repeated chunks, and repeated runs of `passage` words or more if that is given, plus
-    n_removed (long, pieces) if `counts`.
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, counts: bool = True) -> DataFrame:
+    """docs with text less its repeated runs of lines (see above), plus n_removed (long, pieces) if `counts`.
 
     Every row stays; a text all of which occurred before becomes empty. A null text stays null.
-    Texts of which nothing is removed are unchanged to the byte. Repeats are found by hash first:
-    only texts with a hash that repeats move, once for the comparison. Rows alike in doc_id
+    Texts of which nothing is removed are unchanged to the byte; blank pieces go with the line before them. Rows alike in doc_id
     and text are one occurrence; a null doc_id comes last. All columns are returned; with `counts`
     one named n_removed is replaced.
     """
@@ -168,31 +162,39 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = L
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
-    keys = light.select("__rid", "__doc", F.explode(spans(F.col("text"), min_words, long_piece, passage)).alias("c")).select(
-        "__rid", "__doc", "c.s", "c.e", "c.h")
-    keys = store(keys, "chunk-keys")
-    twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    found = salted_join(keys, twice, ["h"], ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(
-        F.collect_set(F.struct("s", "e", "h")).alias("spans"))
-    # byte comparison of the spans whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
+    own = light.select("__rid", "__doc", lines(F.col("text")).alias("l")).where(F.size("l") > 0)
+    own = store(own.select("__rid", "__doc", F.transform("l", lambda x: x["h"]).alias("hs"), F.transform("l", lambda x: x["w"]).alias("ws")),
+                "line-hashes")
+    h, w = F.col("hs"), F.col("ws")
+    seeds = _repeated(own.select("__rid", F.posexplode(chunks(h, w, long_line)).alias("no", "h")), ["__rid", "no"])
+    seeds = seeds.groupBy("__rid").agg(F.sort_array(F.collect_set("no")).alias("seeds"))
+    runs = own.join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
+        grown(h, w, F.col("seeds"), min_words, long_line)).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
+    runs = store(runs, "runs")
+    found = _repeated(runs, ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e", "h")).alias("runs"))
+    # byte comparison of the runs whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
+    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("r.s")).cast("decimal(33,0)")
     candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
-        "__rid", "__doc", F.explode(_keys(F.col("text"), F.col("spans"))).alias("c"))
-    candidates = candidates.select("__rid", "__doc", "c.s", "c.e", "c.h", F.col("c.key").alias("chunk"))
-    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("s")).cast("decimal(33,0)")
-    candidates = store(candidates.withColumn("place", place), "chunks")
-    first = store(candidates.groupBy("h", "chunk").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-                  .where("first < last").select("h", "chunk", "first"), "chunk-firsts")
-    gone = (candidates.join(first, ["h", "chunk"]).where("place > first")
+        "__rid", "__doc", F.explode(_texts_of(F.col("text"), F.col("runs"))).alias("r"))
+    candidates = store(candidates.select("__rid", "__doc", "r.s", "r.e", "r.h", "r.bytes", F.md5(F.col("r.bytes").cast("binary")).alias("digest"),
+                                         place.alias("place")), "candidates")
+    first = candidates.groupBy("h", "digest", "bytes").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    first = first.where("first < last").select("h", "digest", "first")
+    gone = (salted_join(candidates.drop("bytes"), first, ["h", "digest"], ["__rid", "s", "e"]).where("place > first")
             .groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e")).alias("__gone")))
-    gone = store(gone, "chunks-gone")
-    for t in (keys, candidates, first):
+    gone = store(gone, "runs-gone")
+    for t in (own, runs, candidates):
         drop_stored(t)
     out = rows.join(gone.hint("merge"), ["__rid", "__doc"], "left")
-    inside = F.flatten(F.transform("__gone", lambda g: F.sequence(g["s"], F.when(g["e"] < 0, -g["e"] - 1).otherwise(g["e"]))))
-    cut = let(pieces(F.col("text")), lambda p: let(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), inside), lambda left: F.struct(
-        F.array_join(F.transform(left, lambda i: F.get(p, i)), "").alias("text"),
-        *([(F.size(p) - F.size(left)).alias("n")] if counts else []))))
-    out = out.withColumn("__cut", F.when(F.col("__gone").isNotNull(), cut))  # only texts that lose a span are cut again
+
+    def cut(p: Column, at: Column) -> Column:
+        inside = F.flatten(F.transform("__gone", lambda g: F.sequence(F.get(at, g["s"]), F.coalesce(F.get(at, g["e"] + 1), F.size(p)) - 1)))
+        return let(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), inside), lambda left: F.struct(
+            F.array_join(F.transform(left, lambda i: F.get(p, i)), "").alias("text"),
+            *([(F.size(p) - F.size(left)).alias("n")] if counts else [])))
+
+    # only texts that lose a run are cut again
+    out = out.withColumn("__cut", F.when(F.col("__gone").isNotNull(), let(pieces(F.col("text")), lambda p: let(_places(p), lambda at: cut(p, at)))))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.col("__cut.text")).alias("text")
     made = [F.coalesce("__cut.n", F.lit(0)).cast("long").alias("n_removed")] if counts else []
     return out.select(*(text if c == "text" else c for c in keep), *made)
@@ -200,4 +202,4 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_piece: int = L
 
 def op2_content_defined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: doc_id, the text that is left, n_removed (pieces)."""
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=PASSAGE)
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
