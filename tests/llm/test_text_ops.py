@@ -116,39 +116,31 @@ def test_passage_inside_lines_is_found(spark, docs_of):
 
 def _brute_dedup(docs):
     """docs: list of (doc_id, text), different ids. The text that is left of each: chunks, seeds, runs and repeats by their definitions."""
+    long = linededup.LONG_LINE
     cut = {}
     for d, t in docs:
         p, at, own = _lines(t)
         n = [len(brute.words(x)) for x in own]
-        spans, s = [], 0
-        for i, x in enumerate(own):
-            if (n[i] >= linededup.LONG_LINE or _xxhash(x) % linededup.STAY or i + 1 == len(own) or own[i + 1] == x
-                    or n[i + 1] >= linededup.LONG_LINE):
-                spans.append((s, i))
-                s = i + 1
-        cut[d] = p, at, own, n, spans
-    chunks = collections.Counter(tuple(own[s:e + 1]) for _, _, own, _, spans in cut.values() for s, e in spans)
+        starts = [i for i in range(len(own)) if i == 0 or _xxhash(own[i - 1]) % linededup.STAY or own[i - 1] == own[i] or n[i - 1] >= long or n[i] >= long]
+        enough = lambda s, e: n[s] >= long if e == s else sum(n[s:e + 1]) >= linededup.MIN_WORDS  # noqa: E731,B023
+        cut[d] = p, at, own, [(s, next((e for e in range(s, len(own)) if enough(s, e)), None)) for s in starts]  # noqa: B023
+    count = collections.Counter(tuple(own[s:e + 1]) for _, _, own, spans in cut.values() for s, e in spans if e is not None)
     first, runs = {}, {}
-    for d, (_, _, own, n, spans) in cut.items():
-        enough = lambda s, e: sum(n[s:e + 1]) >= (linededup.MIN_WORDS if e > s else linededup.LONG_LINE)  # noqa: E731,B023
-        seeds = [k for k, (s, e) in enumerate(spans) if chunks[tuple(own[s:e + 1])] > 1]
-        f = {k: next((x for x in range(spans[k][1], len(own)) if enough(spans[k][0], x)), None) for k in seeds}
-        g = {k: next((x for x in range(spans[k][0], -1, -1) if enough(x, spans[k][1])), None) for k in seeds}
+    for d, (_, _, own, spans) in cut.items():
+        seeds = [k for k, (s, e) in enumerate(spans) if e is not None and count[tuple(own[s:e + 1])] > 1]
         mine = set()
         for k in seeds:
             s, e = spans[k]
-            if f[k] is not None:
-                end = (len(own) if f[k + 1] is None else f[k + 1]) - 1 if k + 1 in f else spans[k + 1][1] if k + 1 < len(spans) else e
-                mine |= {(s, x) for x in range(f[k], max(f[k], end) + 1)}
-            if g[k] is not None:
-                start = (-1 if g[k - 1] is None else g[k - 1]) + 1 if k - 1 in g else spans[k - 1][0] if k else s
-                mine |= {(x, e) for x in range(min(g[k], start), g[k] + 1)}
+            until = len(own) if k + 1 == len(spans) or spans[k + 1][1] is None else spans[k + 1][1]
+            mine |= {(s, x) for x in range(e, max(e + 1, until))}
+            if k:
+                mine |= {(x, e) for x in range(spans[k - 1][0], s)}
         runs[d] = mine
         for s, e in runs[d]:
             key = tuple(own[s:e + 1])
             first[key] = min(first.get(key, (d, s)), (d, s))
     out = {}
-    for d, (p, at, own, _, _) in cut.items():
+    for d, (p, at, own, _) in cut.items():
         gone = {j for s, e in runs[d] if first[tuple(own[s:e + 1])] != (d, s)
                 for j in range(at[s], at[e + 1] if e + 1 < len(at) else len(p))}
         out[d] = "".join(x for j, x in enumerate(p) if j not in gone)

@@ -1,13 +1,13 @@
 """Line dedup by content-defined chunks, DataFrame functions only.
 
 Lines are cut after sentence ends as well, so that a passage set into a longer line is found. The
-hashes of the lines choose the boundaries: a chunk ends after a line whose hash isn't 0 modulo
-STAY or is that of the next line, and before and after a line of LONG_LINE words or more. A boundary depends on the two lines
-beside it alone, so it survives shifts, and five equal lines between other neighbours hold an equal chunk with chance 0.998.
+hashes of the lines choose the boundaries: one lies after a line whose hash isn't 0 modulo
+STAY or is that of the next line, and before and after a line of LONG_LINE words or more. It depends on the two lines
+beside it alone, so it survives shifts. A chunk begins at a boundary and is the shortest run of several lines with MIN_WORDS words or more, or
+one long line. Five equal lines of such length between other neighbours hold an equal chunk with chance 0.998.
 
-Chunks that repeat anywhere are seeds. Each is grown line by line to both sides until it has MIN_WORDS words, and into the chunk beside
-it: these runs of lines find where equal text ends between boundaries. Runs of several lines with MIN_WORDS words or more, and
-long lines, that repeat are compared byte by byte (grouped on the bytes of their lines, without the
+Chunks that repeat anywhere are seeds, and are grown line by line to both sides: these runs find where equal text
+ends between boundaries. Runs that repeat are compared byte by byte (grouped on the bytes of their lines, without the
 white space after each); the first occurrence (smallest doc_id, then place) stays and the others are removed.
 
 No hash of the corpus is stored but each text's own line hashes; they are counted, and read again for those that repeat.
@@ -70,68 +70,46 @@ def lines(text: Column) -> Column:
     return let(plain, made)
 
 
-def _stops(h: Column, w: Column, long_line: int) -> Column:
-    """The last line of every chunk."""
-    def ends(i: Column) -> Column:
-        own = (F.get(w, i) >= long_line) | (F.pmod(F.get(h, i), F.lit(STAY)) != 0) | (F.get(h, i) == F.get(h, i + 1))
-        return F.coalesce(own, F.lit(True)) | (F.get(w, i + 1) >= long_line)
+def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
+    """Structs s, e (first and last line) of a text's chunks: from each boundary, the shortest run that is long enough; e is null
+    where the text ends before that."""
+    def boundary(i: Column) -> Column:
+        before = F.get(h, i - 1)
+        cut = (F.pmod(before, F.lit(STAY)) != 0) | (before == F.get(h, i)) | (F.get(w, i - 1) >= long_line) | (F.get(w, i) >= long_line)
+        return F.coalesce(cut, F.lit(True))
 
-    return F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.coalesce(ends(i), F.lit(True)))
+    def end(i: Column) -> Column:
+        """The lines from i on, at most min_words of them as each has a word: lines in the upper half of a long, words in the lower."""
+        step = lambda a, v: F.when((a >= 2 << 32) & (F.pmod(a, F.lit(1 << 32)) >= min_words), a).otherwise(a + v + F.lit(1 << 32))
+        last = lambda a: F.when((a >= 2 << 32) & (F.pmod(a, F.lit(1 << 32)) >= min_words), (i + F.shiftright(a, 32) - 1).cast("int"))
+        return F.when(F.get(w, i) >= long_line, i).otherwise(F.aggregate(
+            F.slice(w, i + 1, F.lit(max(2, min_words))), F.lit(0).cast("long"), step, last))
 
+    starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), boundary)
+    return F.transform(starts, lambda i: F.struct(i.alias("s"), end(i).alias("e")))
 
-def _start(stop: Column, no: Column) -> Column:
-    return F.when(no > 0, F.get(stop, no - 1) + 1).otherwise(0)
 
-
-def chunks(h: Column, w: Column, long_line: int = LONG_LINE) -> Column:
-    """The hash of every chunk of a text, in order."""
-    return let(_stops(h, w, long_line), lambda stop: F.transform(stop, lambda e, no: let(
-        _start(stop, no), lambda s: F.xxhash64(F.slice(h, s + 1, e - s + 1)))))
+def _span_hash(h: Column, s: Column, e: Column) -> Column:
+    return F.xxhash64(F.slice(h, s + 1, e - s + 1))
 
 
 def grown(h: Column, w: Column, seeds: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
-    """What is removed if it repeats: structs s, e (first and last line) and h.
+    """What is removed if it repeats: structs s, e and h of the chunks numbered `seeds`, and of those grown by lines.
 
-    The chunks numbered `seeds` (in order) grow forwards until they are long enough, and on to where the next seed is, or to the
-    end of the next chunk if that is none; backwards alike. So every line of a stretch of equal lines that holds a seed and is long enough
-    lies in a run that it holds as a whole.
+    A chunk grows forwards up to where the next one ends, and backwards to the boundary before it (the first line of an equal
+    stretch may lie at a boundary in one text and not in the other). So a
+    stretch of equal lines that holds a seed is covered by runs that it holds as a whole.
     """
-    def far(beside: Column, own: Column) -> Column:
-        """How many of the lines beside are needed after `own` words; null if there are too few."""
-        step = lambda a, v: F.when((a["n"] > 0) & (a["words"] >= min_words), a).otherwise(
-            F.struct((a["n"] + 1).alias("n"), (a["words"] + v).alias("words")))
-        start = F.struct(F.lit(0).alias("n"), own.alias("words"))
-        return F.aggregate(beside, start, step, lambda a: F.when((a["n"] > 0) & (a["words"] >= min_words), a["n"]))
-
-    def reach(stop: Column, no: Column) -> Column:
-        """A seed's chunk (s, e) with f, the first line up to which it is long enough, and g, the last one from which."""
-        def made(s: Column, e: Column) -> Column:
-            own = F.aggregate(F.slice(w, s + 1, e - s + 1), F.lit(0), lambda a, v: a + v)
-            enough = ((e > s) & (own >= min_words)) | (own >= long_line)
-            after = F.slice(w, e + 2, F.lit(min_words))
-            back = F.greatest(s - min_words, F.lit(0))
-            before = F.when(s > 0, F.reverse(F.slice(w, back + 1, s - back))).otherwise(F.slice(w, 1, 0))
-            return F.struct(no.alias("no"), s.alias("s"), e.alias("e"), F.when(enough, e).otherwise(e + far(after, own)).alias("f"),
-                            F.when(enough, s).otherwise(s - far(before, own)).alias("g"))
-
-        return let(_start(stop, no), lambda s: made(s, F.get(stop, no)))
-
-    def runs(stop: Column, r: Column, x: Column, j: Column) -> Column:
-        span = lambda a, b: F.struct(a.cast("int").alias("s"), b.cast("int").alias("e"))
-        none = F.filter(F.array(span(F.lit(0), F.lit(0))), lambda _: F.lit(False))
-        following, previous = F.get(r, j + 1), F.get(r, j - 1)
-        until = F.when(following["no"] == x["no"] + 1, F.coalesce(following["f"] - 1, F.size(w) - 1)).otherwise(
-            F.coalesce(F.get(stop, x["no"] + 1), x["e"]))
-        since = F.when(previous["no"] == x["no"] - 1, F.coalesce(previous["g"] + 1, F.lit(0))).otherwise(
-            F.when(x["no"] > 0, _start(stop, x["no"] - 1)).otherwise(x["s"]))
-        ahead = F.when(x["f"].isNotNull(), F.transform(F.sequence(x["f"], F.greatest(x["f"], until)), lambda e: span(x["s"], e)))
-        behind = F.when(x["g"].isNotNull(), F.transform(F.sequence(F.least(x["g"], since), x["g"]), lambda s: span(s, x["e"])))
-        return F.concat(F.coalesce(ahead, none), F.coalesce(behind, none))
-
-    spans = let(_stops(h, w, long_line), lambda stop: let(F.transform(seeds, lambda no: reach(stop, no)), lambda r: F.array_distinct(
-        F.flatten(F.transform(r, lambda x, j: runs(stop, r, x, j))))))
-    return F.transform(spans, lambda x: F.struct(
-        x["s"].alias("s"), x["e"].alias("e"), F.xxhash64(F.slice(h, x["s"] + 1, x["e"] - x["s"] + 1)).alias("h")))
+    span = lambda a, b: F.struct(a.cast("int").alias("s"), b.cast("int").alias("e"))
+
+    def runs(all_: Column, no: Column) -> Column:
+        own, following, previous = F.get(all_, no), F.get(all_, no + 1), F.get(all_, no - 1)
+        until = F.when(following["s"].isNotNull(), F.coalesce(following["e"] - 1, F.size(w) - 1)).otherwise(F.size(w) - 1)
+        ahead = F.transform(F.sequence(own["e"], F.greatest(own["e"], until)), lambda e: span(own["s"], e))
+        return F.when(no > 0, F.concat(ahead, F.transform(F.sequence(previous["s"], own["s"] - 1), lambda s: span(s, own["e"])))).otherwise(ahead)
+
+    spans = let(chunks(h, w, min_words, long_line), lambda all_: F.array_distinct(F.flatten(F.transform(seeds, lambda no: runs(all_, no)))))
+    return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _span_hash(h, x["s"], x["e"]).alias("h")))
 
 
 def _texts_of(text: Column, runs: Column) -> Column:
@@ -162,12 +140,13 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
-    own = light.select("__rid", "__doc", lines(F.col("text")).alias("l")).where(F.size("l") > 0)
-    own = store(own.select("__rid", "__doc", F.transform("l", lambda x: x["h"]).alias("hs"), F.transform("l", lambda x: x["w"]).alias("ws")),
-                "line-hashes")
-    h, w = F.col("hs"), F.col("ws")
-    seeds = _repeated(own.select("__rid", F.posexplode(chunks(h, w, long_line)).alias("no", "h")), ["__rid", "no"])
-    seeds = seeds.groupBy("__rid").agg(F.sort_array(F.collect_set("no")).alias("seeds"))
+    own = store(light.select("__rid", "__doc", lines(F.col("text")).alias("l")), "line-hashes").where(F.size("l") > 0)
+    h, w = F.col("l.h"), F.col("l.w")
+    starts = F.filter(F.transform(chunks(h, w, min_words, long_line), lambda c, no: F.struct(
+        no.alias("no"), F.when(c["e"].isNotNull(), _span_hash(h, c["s"], c["e"])).alias("h"))), lambda c: c["h"].isNotNull())
+    seeds = own.select("__rid", F.explode(starts).alias("c")).select("__rid", "c.no", "c.h")
+    seeds = _repeated(seeds, ["__rid", "no"])
+    seeds = seeds.groupBy("__rid").agg(F.collect_set("no").alias("seeds"))
     runs = own.join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
         grown(h, w, F.col("seeds"), min_words, long_line)).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
     runs = store(runs, "runs")
