@@ -141,14 +141,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
     own = store(light.select("__rid", "__doc", lines(F.col("text")).alias("l")), "line-hashes").where(F.size("l") > 0)
-    h, w = F.col("l.h"), F.col("l.w")
-    starts = F.filter(F.transform(chunks(h, w, min_words, long_line), lambda c, no: F.struct(
-        no.alias("no"), F.when(c["e"].isNotNull(), _span_hash(h, c["s"], c["e"])).alias("h"))), lambda c: c["h"].isNotNull())
+
+    def bound(body) -> Column:  # a field of an array of structs is an array made anew wherever it is read: once a text here
+        return let(F.col("l.h"), lambda h: let(F.col("l.w"), lambda w: body(h, w)))
+
+    starts = bound(lambda h, w: F.filter(F.transform(chunks(h, w, min_words, long_line), lambda c, no: F.struct(
+        no.alias("no"), F.when(c["e"].isNotNull(), _span_hash(h, c["s"], c["e"])).alias("h"))), lambda c: c["h"].isNotNull()))
     seeds = own.select("__rid", F.explode(starts).alias("c")).select("__rid", "c.no", "c.h")
     seeds = _repeated(seeds, ["__rid", "no"])
     seeds = seeds.groupBy("__rid").agg(F.collect_set("no").alias("seeds"))
     runs = own.join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
-        grown(h, w, F.col("seeds"), min_words, long_line)).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
+        bound(lambda h, w: grown(h, w, F.col("seeds"), min_words, long_line))).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
     runs = store(runs, "runs")
     found = _repeated(runs, ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e", "h")).alias("runs"))
     # byte comparison of the runs whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
