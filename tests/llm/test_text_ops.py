@@ -121,7 +121,7 @@ def _brute_dedup(docs):
     for d, t in docs:
         p, at, own = _lines(t)
         n = [len(brute.words(x)) for x in own]
-        starts = [i for i in range(len(own)) if i == 0 or _xxhash(own[i - 1]) % linededup.STAY or own[i - 1] == own[i] or n[i - 1] >= long or n[i] >= long]
+        starts = [i for i in range(len(own)) if _xxhash(own[i]) % linededup.FEW < n[i] or n[i] >= long or (i and own[i - 1] == own[i])]
         enough = lambda s, e: n[s] >= long if e == s else sum(n[s:e + 1]) >= linededup.MIN_WORDS  # noqa: E731,B023
         cut[d] = p, at, own, [(s, next((e for e in range(s, len(own)) if enough(s, e)), None)) for s in starts]  # noqa: B023
     count = collections.Counter(tuple(own[s:e + 1]) for _, _, own, spans in cut.values() for s, e in spans if e is not None)
@@ -131,10 +131,9 @@ def _brute_dedup(docs):
         mine = set()
         for k in seeds:
             s, e = spans[k]
-            until = len(own) if k + 1 == len(spans) or spans[k + 1][1] is None else spans[k + 1][1]
-            mine |= {(s, x) for x in range(e, max(e + 1, until))}
-            if k:
-                mine |= {(x, e) for x in range(spans[k - 1][0], s)}
+            until = spans[k + 1][0] if k + 1 in seeds else len(own) if k + 1 == len(spans) or spans[k + 1][1] is None else spans[k + 1][1]
+            since = spans[k - 1][1] + 1 if k - 1 in seeds else spans[k - 1][0] if k else 0
+            mine |= {(s, x) for x in range(e, max(e + 1, until))} | {(x, e) for x in range(since, s)}
         runs[d] = mine
         for s, e in runs[d]:
             key = tuple(own[s:e + 1])

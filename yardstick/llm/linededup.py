@@ -1,10 +1,10 @@
 """Line dedup by content-defined chunks, DataFrame functions only.
 
 Lines are cut after sentence ends as well, so that a passage set into a longer line is found. The
-hashes of the lines choose the boundaries: one lies after a line whose hash isn't 0 modulo
-STAY or is that of the next line, and before and after a line of LONG_LINE words or more. It depends on the two lines
-beside it alone, so it survives shifts. A chunk begins at a boundary and is the shortest run of several lines with MIN_WORDS words or more, or
-one long line. Five equal lines of such length between other neighbours hold an equal chunk with chance 0.998.
+hashes of the lines choose the boundaries: a chunk begins at a line of w words whose hash modulo FEW is under w (so at every line of
+FEW words, and at every FEWth word of shorter ones), and at one that is like the line before it. That depends on the line
+itself, so it survives shifts. A chunk is the shortest run from there of several lines with MIN_WORDS words or more, or
+one line of LONG_LINE words or more. Equal stretches of 50 words between other neighbours hold an equal chunk with chance 0.99 or more.
 
 Chunks that repeat anywhere are seeds, and are grown line by line to both sides: these runs find where equal text
 ends between boundaries. Runs that repeat are compared byte by byte (grouped on the bytes of their lines, without the
@@ -23,7 +23,7 @@ from yardstick.llm.common import drop_stored, let, salted_join, store, table
 
 LONG_LINE = 12
 MIN_WORDS = 10
-STAY = 8
+FEW = 8
 WORDS = r"[^\x20\x09-\x0D]+"
 PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
 MARK = "\x01"
@@ -71,12 +71,11 @@ def lines(text: Column) -> Column:
 
 
 def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
-    """Structs s, e (first and last line) of a text's chunks: from each boundary, the shortest run that is long enough; e is null
-    where the text ends before that."""
-    def boundary(i: Column) -> Column:
-        before = F.get(h, i - 1)
-        cut = (F.pmod(before, F.lit(STAY)) != 0) | (before == F.get(h, i)) | (F.get(w, i - 1) >= long_line) | (F.get(w, i) >= long_line)
-        return F.coalesce(cut, F.lit(True))
+    """Structs s, e (first and last line) of a text's chunks: from each line that begins one, the shortest run that is long enough;
+    e is null where the text ends before that."""
+    def begins(i: Column) -> Column:
+        own = (F.pmod(F.get(h, i), F.lit(FEW)) < F.get(w, i)) | (F.get(w, i) >= long_line)
+        return own | F.coalesce(F.get(h, i - 1) == F.get(h, i), F.lit(False))
 
     def end(i: Column) -> Column:
         """The lines from i on, at most min_words of them as each has a word: lines in the upper half of a long, words in the lower."""
@@ -85,7 +84,7 @@ def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LO
         return F.when(F.get(w, i) >= long_line, i).otherwise(F.aggregate(
             F.slice(w, i + 1, F.lit(max(2, min_words))), F.lit(0).cast("long"), step, last))
 
-    starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), boundary)
+    starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), begins)
     return F.transform(starts, lambda i: F.struct(i.alias("s"), end(i).alias("e")))
 
 
@@ -94,21 +93,25 @@ def _span_hash(h: Column, s: Column, e: Column) -> Column:
 
 
 def grown(h: Column, w: Column, seeds: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
-    """What is removed if it repeats: structs s, e and h of the chunks numbered `seeds`, and of those grown by lines.
+    """What is removed if it repeats: structs s, e and h of the chunks numbered `seeds` (in order), and of those grown by lines.
 
-    A chunk grows forwards up to where the next one ends, and backwards to the boundary before it (the first line of an equal
-    stretch may lie at a boundary in one text and not in the other). So a
-    stretch of equal lines that holds a seed is covered by runs that it holds as a whole.
+    A chunk grows forwards up to where the next one ends, or to the line before the next seed, and backwards to where the
+    one before it begins, or to the line after the seed before. So a stretch of equal lines that holds a seed is
+    covered by runs that it holds as a whole.
     """
     span = lambda a, b: F.struct(a.cast("int").alias("s"), b.cast("int").alias("e"))
+    none = lambda x: F.filter(F.array(span(x, x)), lambda _: F.lit(False))
 
-    def runs(all_: Column, no: Column) -> Column:
+    def runs(all_: Column, no: Column, k: Column) -> Column:
         own, following, previous = F.get(all_, no), F.get(all_, no + 1), F.get(all_, no - 1)
-        until = F.when(following["s"].isNotNull(), F.coalesce(following["e"] - 1, F.size(w) - 1)).otherwise(F.size(w) - 1)
+        end, start = F.size(w) - 1, F.lit(0)
+        until = F.when(F.get(seeds, k + 1) == no + 1, following["s"] - 1).otherwise(F.coalesce(following["e"] - 1, end))
+        since = F.when(F.get(seeds, k - 1) == no - 1, previous["e"] + 1).otherwise(F.coalesce(previous["s"], start))
         ahead = F.transform(F.sequence(own["e"], F.greatest(own["e"], until)), lambda e: span(own["s"], e))
-        return F.when(no > 0, F.concat(ahead, F.transform(F.sequence(previous["s"], own["s"] - 1), lambda s: span(s, own["e"])))).otherwise(ahead)
+        behind = F.when(since < own["s"], F.transform(F.sequence(F.least(since, own["s"] - 1), own["s"] - 1), lambda s: span(s, own["e"])))
+        return F.concat(ahead, F.coalesce(behind, none(own["s"])))
 
-    spans = let(chunks(h, w, min_words, long_line), lambda all_: F.array_distinct(F.flatten(F.transform(seeds, lambda no: runs(all_, no)))))
+    spans = let(chunks(h, w, min_words, long_line), lambda all_: F.array_distinct(F.flatten(F.transform(seeds, lambda no, k: runs(all_, no, k)))))
     return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _span_hash(h, x["s"], x["e"]).alias("h")))
 
 
@@ -149,7 +152,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
         no.alias("no"), F.when(c["e"].isNotNull(), _span_hash(h, c["s"], c["e"])).alias("h"))), lambda c: c["h"].isNotNull()))
     seeds = own.select("__rid", F.explode(starts).alias("c")).select("__rid", "c.no", "c.h")
     seeds = _repeated(seeds, ["__rid", "no"])
-    seeds = seeds.groupBy("__rid").agg(F.collect_set("no").alias("seeds"))
+    seeds = seeds.groupBy("__rid").agg(F.sort_array(F.collect_set("no")).alias("seeds"))
     runs = own.join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
         bound(lambda h, w: grown(h, w, F.col("seeds"), min_words, long_line))).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
     runs = store(runs, "runs")
