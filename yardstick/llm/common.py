@@ -28,6 +28,24 @@ def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: list[s
     return left.join(right, [*keys, "__salt"], how).drop("__salt")
 
 
+HEAVY = 256  # a key with 1 / HEAVY of all rows is heavy: there are at most HEAVY of them
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], n: str, spread: list[str], salts: int = 16) -> DataFrame:
+    """`many` joined with the stored table `one` (one row per key, `n` rows of `many` each): only heavy keys are salted.
+
+    A heavy key has 1 / HEAVY of all rows or more; the list of them is broadcast, at most HEAVY rows. Its rows meet in
+    `salts` tasks, told apart by the columns `spread`; `one` is copied for heavy keys alone.
+    """
+    total = one.agg(F.sum(n)).scalar()
+    big = F.col(n) * HEAVY >= total
+    heavy = F.broadcast(one.where(big).select(*keys, F.lit(True).alias("__heavy")))
+    salt = F.when(F.col("__heavy"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
+    left = many.join(heavy, keys, "left").withColumn("__salt", salt).drop("__heavy")
+    copies = F.when(big, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(one.withColumn("__salt", F.explode(copies)).drop(n), [*keys, "__salt"]).drop("__salt")
+
+
 def numbered(df: DataFrame, key: str, order: list[str], out: str, per_key: DataFrame | None = None,
              bucket: Column | None = None) -> DataFrame:
     """Number the rows of each key from 0 without gaps, in hash order, a hot key in many tasks.

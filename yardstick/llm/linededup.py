@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yardstick.llm.common import drop_stored, let, salted_join, store, table
+from yardstick.llm.common import drop_stored, let, spread_join, store, table
 
 LONG_LINE = 12
 MIN_WORDS = 10
@@ -111,7 +111,7 @@ def grown(h: Column, w: Column, seeds: Column, min_words: int = MIN_WORDS, long_
         behind = F.when(since < own["s"], F.transform(F.sequence(F.least(since, own["s"] - 1), own["s"] - 1), lambda s: span(s, own["e"])))
         return F.concat(ahead, F.coalesce(behind, none(own["s"])))
 
-    spans = let(chunks(h, w, min_words, long_line), lambda all_: F.array_distinct(F.flatten(F.transform(seeds, lambda no, k: runs(all_, no, k)))))
+    spans = let(chunks(h, w, min_words, long_line), lambda all_: F.flatten(F.transform(seeds, lambda no, k: runs(all_, no, k))))
     return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _span_hash(h, x["s"], x["e"]).alias("h")))
 
 
@@ -126,8 +126,8 @@ def _texts_of(text: Column, runs: Column) -> Column:
 
 def _repeated(keys: DataFrame, spread: list[str]) -> DataFrame:
     """The rows of keys whose h occurs more than once; h is counted before it moves, and a frequent one is joined in many tasks."""
-    twice = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    return salted_join(keys, twice, ["h"], spread)
+    twice = store(keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    return spread_join(keys, twice, ["h"], "n", spread)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, counts: bool = True) -> DataFrame:
@@ -143,7 +143,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
-    own = store(light.select("__rid", "__doc", lines(F.col("text")).alias("l")), "line-hashes").where(F.size("l") > 0)
+    stored_lines = store(light.select("__rid", "__doc", lines(F.col("text")).alias("l")), "line-hashes")
+    own = stored_lines.where(F.size("l") > 0)
 
     def bound(body) -> Column:  # a field of an array of structs is an array made anew wherever it is read: once a text here
         return let(F.col("l.h"), lambda h: let(F.col("l.w"), lambda w: body(h, w)))
@@ -158,17 +159,18 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     runs = store(runs, "runs")
     found = _repeated(runs, ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e", "h")).alias("runs"))
     # byte comparison of the runs whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
-    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("r.s")).cast("decimal(33,0)")
     candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
         "__rid", "__doc", F.explode(_texts_of(F.col("text"), F.col("runs"))).alias("r"))
-    candidates = store(candidates.select("__rid", "__doc", "r.s", "r.e", "r.h", "r.bytes", F.md5(F.col("r.bytes").cast("binary")).alias("digest"),
-                                         place.alias("place")), "candidates")
-    first = candidates.groupBy("h", "digest", "bytes").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    first = first.where("first < last").select("h", "digest", "first")
-    gone = (salted_join(candidates.drop("bytes"), first, ["h", "digest"], ["__rid", "s", "e"]).where("place > first")
+    candidates = store(candidates.select("__rid", "__doc", "r.s", "r.e", "r.h", "r.bytes"), "candidates")
+    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("s")).cast("decimal(33,0)")
+    same = candidates.groupBy("h", "bytes").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
+    # rows find their bytes' first place again by two hashes, 128 bits, of the lines and of the bytes
+    first = store(same.where("first < last").select("h", F.xxhash64("bytes").alias("b"), "first", "n"), "firsts")
+    light_runs = candidates.select("__rid", "__doc", "s", "e", "h", F.xxhash64("bytes").alias("b"))
+    gone = (spread_join(light_runs, first, ["h", "b"], "n", ["__rid", "s", "e"]).where(place > F.col("first"))
             .groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e")).alias("__gone")))
     gone = store(gone, "runs-gone")
-    for t in (own, runs, candidates):
+    for t in (stored_lines, runs, candidates, first):
         drop_stored(t)
     out = rows.join(gone.hint("merge"), ["__rid", "__doc"], "left")
 
