@@ -42,14 +42,24 @@ def pieces(text: Column) -> Column:
     return F.when(F.instr(whole, MARK) == 0, F.split(marked, MARK, -1)).otherwise(F.split(whole, PIECES, -1))
 
 
-def _bare(piece: Column) -> Column:
-    """A piece without the white space after it."""
-    return F.rtrim(piece, F.lit(" \n"))
+def bare_pieces(text: Column) -> Column:
+    """The pieces without the white space after them (spaces and line ends), which is cut off by the split itself where it can be."""
+    whole = F.coalesce(text, F.lit(""))
+    marked = F.replace(whole, F.lit("\n"), F.lit(MARK))
+    for end in (".", "!", "?"):
+        marked = F.replace(marked, F.lit(end + " "), F.lit(end + MARK))
+    fast = F.transform(F.split(marked, MARK, -1), F.rtrim)
+    return F.when(F.instr(whole, MARK) == 0, fast).otherwise(F.transform(F.split(whole, PIECES, -1), lambda x: F.rtrim(x, F.lit(" \n"))))
+
+
+def _says(piece: Column) -> Column:
+    """Whether a piece holds a word: it begins with one, or something is left of it without white space."""
+    return (F.ascii(piece) > 32) | (F.trim(piece, F.lit(BLANK)) != "")
 
 
 def _places(p: Column) -> Column:
     """The numbers of the pieces that hold a word: the lines."""
-    return F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: F.trim(F.get(p, i), F.lit(BLANK)) != "")
+    return F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: _says(F.get(p, i)))
 
 
 def lines(text: Column) -> Column:
@@ -64,8 +74,7 @@ def lines(text: Column) -> Column:
         return F.when(x == "", 0).when(simple, spaces + 1).otherwise(F.regexp_count(x, F.lit(WORDS)))
 
     def made(simple: Column) -> Column:
-        bare = F.transform(pieces(text), _bare)
-        return F.filter(F.transform(bare, lambda x: F.struct(F.xxhash64(x).alias("h"), words(x, simple).alias("w"))), lambda x: x["w"] > 0)
+        return F.filter(F.transform(bare_pieces(text), lambda x: F.struct(F.xxhash64(x).alias("h"), words(x, simple).alias("w"))), lambda x: x["w"] > 0)
 
     return let(plain, made)
 
@@ -121,7 +130,7 @@ def _texts_of(text: Column, runs: Column) -> Column:
         return F.transform(runs, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["h"].alias("h"), F.array_join(
             F.slice(t, x["s"] + 1, x["e"] - x["s"] + 1), "\n").alias("bytes")))
 
-    return let(F.filter(F.transform(pieces(text), _bare), lambda x: F.trim(x, F.lit(BLANK)) != ""), made)
+    return let(F.filter(bare_pieces(text), _says), made)
 
 
 def _repeated(keys: DataFrame, spread: list[str]) -> DataFrame:
