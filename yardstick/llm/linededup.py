@@ -48,7 +48,7 @@ def bare_pieces(text: Column) -> Column:
     marked = F.replace(whole, F.lit("\n"), F.lit(MARK))
     for end in (".", "!", "?"):
         marked = F.replace(marked, F.lit(end + " "), F.lit(end + MARK))
-    fast = F.transform(F.split(marked, MARK, -1), F.rtrim)
+    fast = F.transform(F.split(marked, MARK, -1), lambda x: F.rtrim(x))
     return F.when(F.instr(whole, MARK) == 0, fast).otherwise(F.transform(F.split(whole, PIECES, -1), lambda x: F.rtrim(x, F.lit(" \n"))))
 
 
