@@ -15,6 +15,7 @@ from pyspark.sql.types import TimestampNTZType
 from yardstick.params import PILLARS, PROGRESS_CLASSES, PROGRESS_FLOOR_LABEL, PanelParams
 
 VALUE_TYPE = "decimal(24,4)"  # |value| < 1e20
+CHANGE_TYPE = "decimal(26,4)"  # the difference of two values always fits
 WIDE_INT = "decimal(38,0)"
 
 
@@ -47,12 +48,22 @@ def field_or(struct_field, default) -> Column:
 def to_value(c) -> Column:
     """Cast an observation value to the engine's decimal, rounded to 4 places.
 
-    A value that is not a number below 1e20 becomes NULL (under any ANSI setting)
-    and is dropped by the value rule; it never stops a job.
+    A value that is not a number below 1e20 becomes NULL (under any ANSI setting); it never stops a
+    job. Validation sends such a record to dead letter (see ``out_of_range``).
     """
     return F.round(col(c).try_cast("decimal(38,10)"), 4).try_cast(VALUE_TYPE)
 
 
+def out_of_range(c) -> Column:
+    """Whether a value is given that the engine's decimal can't hold (1e20 or more in size, or not finite)."""
+    return col(c).isNotNull() & to_value(c).isNull()
+
+
+def change(new, old) -> Column:
+    """new - old of two values; NULL where either is."""
+    return (col(new) - col(old)).cast(CHANGE_TYPE)
+
+
 def clean_value(value, metric, exempt: Iterable[str]) -> Column:
     """Negative -> NULL unless the metric is exempt; else round to 4 places.
 

@@ -36,6 +36,11 @@ def priority_union(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]
     rows = primary.withColumn("__primary", F.lit(1)).unionByName(secondary.withColumn("__primary", F.lit(0)))
     if cluster_by:
         rows = rows.repartition(*cluster_by)
+    return _preferred(rows, keys)
+
+
+def _preferred(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows less those without ``__primary`` whose whole key a primary row has."""
     rows = rows.withColumn("__has_primary", F.max("__primary").over(Window.partitionBy(*keys)))
     complete_key = F.lit(True)
     for k in keys:
@@ -73,6 +78,28 @@ def merged_panel(batch_stg: DataFrame, stream_stg: DataFrame, p: PanelParams) ->
     return priority_union(*_sides(batch_stg, stream_stg, p), cluster_by=("country_code", "indicator_code"))
 
 
+MERGED = ("indicator_code", "country_code", "country_name", "goal", "goal_title", "sdg_pillar", "indicator_name", "year", "value", "unit",
+          "obs_status", "source", "extracted_at", "is_african_country", "sdg_milestone", "data_source")
+
+
+def enriched_sides(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p: PanelParams) -> tuple[DataFrame, DataFrame]:
+    """Both sides of K5 in its 16 columns, the batch side with its goals."""
+    g = goals_stg.select(F.col("goal").alias("__g_goal"), "goal_title", "sdg_pillar")
+    batch, stream = _sides(batch_stg, stream_stg, p)
+    batch = batch.join(g, batch["goal"] == g["__g_goal"], "left").drop("__g_goal")
+    stream = stream.withColumns({c: F.lit(None).cast(goals_stg.schema[c].dataType) for c in ("goal_title", "sdg_pillar")})
+    return batch.select(*MERGED), stream.select(*MERGED)
+
+
+def merge_stored(rows: DataFrame) -> DataFrame:
+    """K5 from one stored table that holds the rows of both sides (``enriched_sides``): batch first, by key.
+
+    Where the table lies in buckets of the series key (``session.stored_buckets``), neither the merge nor what is
+    computed by series after it exchanges anything.
+    """
+    return _preferred(rows.withColumn("__primary", F.when(F.col("data_source") == "batch", 1).otherwise(0)), PANEL_KEYS).select(*MERGED)
+
+
 def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p: PanelParams) -> DataFrame:
     """K5: the merged panel enriched with the goal dimension.
 
@@ -80,11 +107,5 @@ def combine(batch_stg: DataFrame, stream_stg: DataFrame, goals_stg: DataFrame, p
     before the union and stream rows take typed NULLs. No NULL key enters the join, and the
     merge's partitioning by series is kept for its consumers.
     """
-    g = goals_stg.select(F.col("goal").alias("__g_goal"), "goal_title", "sdg_pillar")
-    batch, stream = _sides(batch_stg, stream_stg, p)
-    batch = batch.join(g, batch["goal"] == g["__g_goal"], "left").drop("__g_goal")
-    stream = stream.withColumns({c: F.lit(None).cast(goals_stg.schema[c].dataType) for c in ("goal_title", "sdg_pillar")})
-    return priority_union(batch, stream, cluster_by=("country_code", "indicator_code")).select(
-        "indicator_code", "country_code", "country_name", "goal", "goal_title", "sdg_pillar", "indicator_name", "year",
-        "value", "unit", "obs_status", "source", "extracted_at", "is_african_country", "sdg_milestone", "data_source",
-    )
+    batch, stream = enriched_sides(batch_stg, stream_stg, goals_stg, p)
+    return priority_union(batch, stream, cluster_by=("country_code", "indicator_code"))

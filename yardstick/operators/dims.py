@@ -24,19 +24,26 @@ def literal_dimension(spark: SparkSession, rows: Sequence[tuple], schema: Struct
     return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
 
 
-def member_flag(df: DataFrame, code_col: str, members, out: str) -> DataFrame:
+def member_flag(df: DataFrame, code_col: str, members, out: str, salts: int = 1) -> DataFrame:
     """Add a boolean ``out``: is ``code_col`` (as is, untrimmed) in ``members``.
 
     ``members`` is either a list of codes (an ``isin`` test, for a fixed set)
     or a one-column DataFrame of codes that grows with the data (a left join).
-    Never NULL.
+    Never NULL. With ``salts`` above 1 each code has that many copies and the rows of one code are dealt to them by
+    a hash of the whole row: for rows that aren't aggregated, where one code may hold a large share, and for
+    streams, where adaptive execution splits nothing.
     """
     if not isinstance(members, DataFrame):
         return df.withColumn(out, is_member(code_col, members))
     m = members.select(F.col(members.columns[0]).alias("__member_code")).distinct()
     m = m.withColumn("__is_member", F.lit(True))
-    joined = df.join(m, df[code_col] == m["__member_code"], "left")
-    return joined.withColumn(out, F.coalesce(F.col("__is_member"), F.lit(False))).drop("__member_code", "__is_member")
+    if salts == 1:
+        joined = df.join(m, df[code_col] == m["__member_code"], "left")
+    else:
+        m = m.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        joined = dealt.join(m, (dealt[code_col] == m["__member_code"]) & (dealt["__salt"] == m["__copy"]), "left")
+    return joined.withColumn(out, F.coalesce(F.col("__is_member"), F.lit(False))).drop("__member_code", "__is_member", "__copy", "__salt")
 
 
 def in_set(df: DataFrame, code_col: str, members) -> DataFrame:

@@ -119,7 +119,19 @@ PEER_COLS = ("country_code", "country_name", "goal", "goal_title", "sdg_pillar",
              "indicators_achieved", "indicators_on_track", "indicators_off_track", "income_group", "data_as_of")
 
 
+def peer_rows(scores: DataFrame, dim_c: DataFrame, peers) -> DataFrame:
+    """K15's input: the scores of the peer entities with their income group."""
+    east = in_set(scores, "country_code", peers)
+    c = dim_c.select(F.col("country_code").alias("__c_code"), "region", "income_group")
+    return east.join(c, east["country_code"] == c["__c_code"], "inner").drop("__c_code")
+
+
 def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams) -> DataFrame:
+    """K15 from the scores; see ``peer_ranks``."""
+    return peer_ranks(peer_rows(scores, dim_c, peers))
+
+
+def peer_ranks(east: DataFrame) -> DataFrame:
     """rank() within goal by score desc (E3) and difference from the goal average.
 
     A goal partition of a window would hold every peer entity of that goal in
@@ -129,12 +141,9 @@ def peer_comparison(scores: DataFrame, dim_c: DataFrame, peers, p: PanelParams)
     score; the goal average is carried in the same table. It is joined back on
     (goal, score), NULL-safe: the NULL-goal group is a partition of its own.
 
-    The peer rows feed both the histogram and the join-back: give it scores
-    read from a table (``Panel.materialize``) where that should run once.
+    The peer rows feed both the histogram and the join-back: give it rows
+    read from a table where what makes them should run once. For a measure without bounds see ``ranking.rank_within``.
     """
-    east = in_set(scores, "country_code", peers)
-    c = dim_c.select(F.col("country_code").alias("__c_code"), "region", "income_group")
-    east = east.join(c, east["country_code"] == c["__c_code"], "inner")
     east = east.withColumn("__t", _tenths("avg_goal_score"))
     # (goal, score) histogram: scores are tenths clamped to [0, 1000], so it has at
     # most 1001 rows per goal whatever the number of entities; windows over it are

@@ -42,7 +42,7 @@ def year_over_year(combined: DataFrame) -> DataFrame:
     return lagged.select(
         "country_code", "country_name", "indicator_code", "indicator_name", "goal", "goal_title",
         "year", "value", "previous_year_value", "previous_year", "is_african_country",
-        (F.col("value") - F.col("previous_year_value")).cast(C.VALUE_TYPE).alias("absolute_change"),
+        C.change("value", "previous_year_value").alias("absolute_change"),
         F.when(zero_prev, None).otherwise(C.units_to_decimal(pct, 2, 38)).alias("pct_change"),
         elapsed.alias("years_elapsed"),
         F.when(zero_prev | (elapsed == 0), None).otherwise(C.units_to_decimal(ann, 2, 38))
@@ -108,8 +108,8 @@ def target_gaps(combined: DataFrame, targets: DataFrame, p: PanelParams) -> Data
         "sdg_pillar", "is_african_country", "latest_year", "latest_value", "baseline_value",
         F.col("baseline_year").cast("int").alias("baseline_year"),
         "target_value", "direction",
-        F.when(tv.isNull(), None).otherwise((lv - tv).cast(C.VALUE_TYPE)).alias("gap_to_target"),
-        F.when(bv.isNull(), None).otherwise((lv - bv).cast(C.VALUE_TYPE)).alias("progress_since_2015"),
+        C.change(lv, tv).alias("gap_to_target"),
+        C.change(lv, bv).alias("progress_since_2015"),
         C.target_status(lv, bv, tv, "direction").alias("target_status"),
         C.years_left("latest_year", p.horizon_year).alias("years_to_2030"),
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yardstick.functions import columns as C
 from yardstick.operators.dims import member_flag
 from yardstick.params import (
     REQUIRED_FIELDS,
@@ -25,6 +26,9 @@ MESSAGE_FIELDS = (
     "year", "value", "unit", "obs_status", "source", "extracted_at", "record_id", "published_at",
 )
 
+OUT_OF_RANGE = "Value out of range"
+SALTS = 64
+
 
 def _num_text(c: Column) -> Column:
     return c.cast("double").cast("string")
@@ -34,7 +38,7 @@ def failure_reason(p: PanelParams) -> Column:
     """First failing rule in fixed order, or NULL when the record is valid.
 
     Order: required fields in list order, goal range, year range, negative value
-    unless exempt metric, code length.
+    unless exempt metric, code length, and last a value that the engine's decimal can't hold.
     """
     rules = [F.when(F.col(f).isNull(), F.lit(f"Missing required field: {f}")) for f in REQUIRED_FIELDS]
     goal, year, value = F.col("goal"), F.col("year"), F.col("value")
@@ -45,6 +49,7 @@ def failure_reason(p: PanelParams) -> Column:
         F.when((value < 0) & ~metric.isin(*p.exempt_metrics),
                F.concat(F.lit("Unexpected negative value: "), _num_text(value))),
         F.when(F.length(code) != p.code_length, F.concat(F.lit("Invalid country code: "), code)),
+        F.when(C.out_of_range(value), F.lit(OUT_OF_RANGE)),
     ]
     return F.coalesce(*rules)
 
@@ -60,6 +65,14 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.filter("valid").drop("failure_reason"), validated.filter("not valid")
 
 
+def out_of_range(rows: DataFrame) -> DataFrame:
+    """Dead-letter rows of a load that doesn't go through validation: those whose value can't be held, with the reason.
+
+    Staging drops them (their value is NULL there); this keeps them, with all columns.
+    """
+    return rows.filter(C.out_of_range("value")).withColumn("failure_reason", F.lit(OUT_OF_RANGE))
+
+
 def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_FIELDS,
             carry: tuple = ()) -> DataFrame:
     """One output row per (record, topic) with key = country code and a JSON value.
@@ -68,7 +81,7 @@ def fan_out(validated: DataFrame, members, p: PanelParams, payload_cols=MESSAGE_
     topic when the code is a member; invalid ones only to the dead-letter topic
     with ``failure_reason`` added to the payload.
     """
-    flagged = member_flag(validated, "country_code", members, "__member")
+    flagged = member_flag(validated, "country_code", members, "__member", salts=SALTS)  # messages: a country may hold half of them
     payload = [c for c in payload_cols if c in validated.columns]
     topics = F.when(
         F.col("valid"),

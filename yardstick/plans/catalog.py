@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardstick import schemas
@@ -15,6 +15,7 @@ from yardstick.operators import progress as PG
 from yardstick.operators import quality as QC
 from yardstick.operators import routing as R
 from yardstick.operators.dims import literal_dimension
+from yardstick.operators.ranking import numbered_by_time
 from yardstick.operators.upsert import upsert
 from yardstick.params import DRIVER, DRIVER_PRIORITIES, TOPIC_ALL, TOPIC_VALIDATED
 from yardstick.plans import oracle as O
@@ -66,7 +67,13 @@ _model("dim_countries")
 _model("dim_goals", final="SELECT goal, goal_title, goal_description, sdg_pillar, target_year FROM stg_goals")
 _model("tracker")
 _model("goal_summary")
-_model("peer_comparison")
+
+
+@register("peer_comparison", O.with_ctes("SELECT * FROM peer_comparison"))
+def q_peer_comparison(spark, sf_dir):
+    """The peer rows are stored once, as histogram and join-back both read them."""
+    pn = _panel(spark, sf_dir)
+    return M.peer_ranks(stored(M.peer_rows(pn.scores, pn.stg_countries, pn.peers), "peer-rows"))
 
 
 @register("best_worst_goal", O.with_ctes("""
@@ -82,7 +89,7 @@ def q_best_worst(spark, sf_dir):
 @register("peer_leaders", O.with_ctes(
     "SELECT goal, goal_title, country_code, country_name, avg_goal_score FROM peer_comparison WHERE ea_rank = 1"))
 def q_peer_leaders(spark, sf_dir):
-    return M.peer_leaders(_panel(spark, sf_dir).peer_comparison)
+    return M.peer_leaders(q_peer_comparison(spark, sf_dir))
 
 
 @register("on_track_count", O.with_ctes(
@@ -169,15 +176,14 @@ _ARRIVALS_SQL = f"""
 
 
 def _arrivals(spark, sf_dir):
-    """Validated messages as consumed: partition by entity, offset in arrival order."""
+    """Validated messages as consumed: partition by entity, offset and broker time in arrival order."""
     part = F.coalesce(F.pmod(F.substring("country_code", 2, 9).try_cast("long"), F.lit(PARTITIONS)), F.lit(0)).cast("int")
-    order = Window.partitionBy("partition").orderBy("arrival_ts", "arrival_seq")
-    return _validated(spark, sf_dir).withColumn("partition", part).withColumn(
-        "offset", (F.row_number().over(order) - 1).cast("long"))
+    rows = _validated(spark, sf_dir).withColumns({"partition": part, "timestamp": F.col("arrival_ts").cast("timestamp")})
+    return numbered_by_time(rows, "partition", "arrival_ts", "arrival_seq", "offset")
 
 
 def _routed_arrivals(spark, sf_dir):
-    return R.fan_out(_arrivals(spark, sf_dir), src.members(spark, sf_dir, _P), _P, carry=("partition", "offset"))
+    return R.fan_out(_arrivals(spark, sf_dir), src.members(spark, sf_dir, _P), _P, carry=("partition", "offset", "timestamp"))
 
 
 _PAYLOAD = "topic, record_id, key AS country_code, year, CAST(value AS DOUBLE) AS value, payload_reason AS failure_reason"
@@ -223,12 +229,14 @@ _FAULTY_SQL = f"""
   CASE arrival_seq % {FAULTS} WHEN 3 THEN NULL WHEN 10 THEN 'X' ELSE country_code END AS country_code,
   CASE WHEN arrival_seq % {FAULTS} = 4 THEN NULL ELSE country_name END AS country_name,
   CASE arrival_seq % {FAULTS} WHEN 5 THEN NULL WHEN 11 THEN 1900 ELSE year END AS year,
-  CASE arrival_seq % {FAULTS} WHEN 6 THEN NULL WHEN 9 THEN -1.5 ELSE value END AS value) FROM messages)
+  CASE arrival_seq % {FAULTS} WHEN 6 THEN NULL WHEN 9 THEN -1.5 WHEN 12 THEN 1e20
+    WHEN 14 THEN 99999999999999983222.0 ELSE CAST(value AS DOUBLE) END AS value) FROM messages)
 """
+_RANGED = f"CASE WHEN ({O.failure_reason(_P)}) IS NULL AND abs(value) >= 1e20 THEN '{R.OUT_OF_RANGE}' ELSE {O.failure_reason(_P)} END"
 
 
 @register("failures_all_reasons", O.with_ctes("SELECT 1")[: O.with_ctes("SELECT 1").rindex("\nSELECT 1")] + _FAULTY_SQL + f"""
-SELECT reason AS failure_reason, count(*) AS records FROM (SELECT {O.failure_reason(_P)} AS reason FROM faulty)
+SELECT reason AS failure_reason, count(*) AS records FROM (SELECT {_RANGED} AS reason FROM faulty)
 WHERE reason IS NOT NULL GROUP BY reason""")
 def q_failures_all(spark, sf_dir):
     """Every rule of the validator fails on some messages; the first failing one is reported."""
@@ -241,8 +249,9 @@ def q_failures_all(spark, sf_dir):
         return out.otherwise(F.col(c))
 
     faults = {"goal": {1: None, 7: 99, 8: 0}, "indicator_code": {2: None}, "country_code": {3: None, 10: "X"},
-              "country_name": {4: None}, "year": {5: None, 11: 1900}, "value": {6: None, 9: -1.5}}
-    m = src.stream_messages(spark, sf_dir)
+              "country_name": {4: None}, "year": {5: None, 11: 1900},
+              "value": {6: None, 9: -1.5, 12: 1e20, 14: 99999999999999983222.0}}
+    m = src.stream_messages(spark, sf_dir).withColumn("value", F.col("value").cast("double"))
     m = m.withColumns({c: fault(c, f).cast(m.schema[c].dataType) for c, f in faults.items()})
     return R.failures_by_reason(R.validate(m, _P))
 
@@ -314,7 +323,7 @@ _DICT_SQL = ", ".join(f"('{c}', {int(c[0])})" for c in DICTIONARY)
 def q_indicators_without_data(spark, sf_dir):
     """Dictionary entries with no observation (dictionary ▷ observations)."""
     d = literal_dimension(spark, [(c, int(c[0])) for c in DICTIONARY], "indicator_code string, goal int")
-    seen = _panel(spark, sf_dir).raw_batch.filter(F.col("value").isNotNull()).select("indicator_code")
+    seen = _panel(spark, sf_dir).raw_batch.filter(F.col("value").isNotNull()).select("indicator_code").distinct()
     return d.join(seen, "indicator_code", "left_anti")
 
 
@@ -384,8 +393,7 @@ def _column_tests_sql() -> str:
 
 @register("column_tests", _column_tests_sql())
 def q_column_tests(spark, sf_dir):
-    # one plan over eleven models; the lifecycle run (plans/run.py) tests a materialised panel instead
-    pn = _panel(spark, sf_dir)
+    pn = _panel(spark, sf_dir).materialize()  # eleven models over four tables that are written once, as in plans/run.py
     models = {m: getattr(pn, m) for m, _, _ in QC.COLUMN_TESTS}
     return QC.column_tests(models)
 
@@ -539,7 +547,8 @@ def q_lake_stream_upsert(spark, sf_dir):
     prefix read and upserted into the raw stream table on record_id in (object key, position) order."""
     lake = scratch_path(spark, "lake-load")
     routed = stored(_routed_arrivals(spark, sf_dir).filter(F.col("topic").isin(TOPIC_VALIDATED, R.TOPIC_FAILED)), "routed")
-    half = routed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("partition")))
+    sizes = routed.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))  # one row a partition
+    half = routed.join(F.broadcast(sizes), "partition")
     early = F.col("offset") * 2 < F.col("n")
     for batch_id, part in enumerate((half.filter(early), half.filter(~early))):
         FS.write_batches(part.drop("n"), lake, _AS_OF, _LAKE_P, batch_id=batch_id)
@@ -556,11 +565,20 @@ ARRIVALS = 3  # writes of the fixture, one after the other in offset order
 
 def _write_arrivals(df: DataFrame, path: str) -> None:
     """Land transport rows in offset order: each write holds the next stretch of every partition."""
-    by_part = Window.partitionBy("partition")
-    turn = F.floor((F.col("offset") - F.min("offset").over(by_part)) * ARRIVALS / (F.max("offset").over(by_part) - F.min("offset").over(by_part) + 1))
-    rows = stored(df.withColumn("turn", turn.cast("int")), "transport")
+    rows = stored(_in_turns(df), "transport")
     for i in range(ARRIVALS):
-        rows.filter(F.col("turn") == i).drop("turn").write.mode("append").json(f"{path}/arrival={i}")
+        _land(rows, i, path)
+
+
+def _in_turns(df: DataFrame) -> DataFrame:
+    """Transport rows with the arrival they belong to, from the first and last offset of each partition."""
+    ends = df.groupBy("partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))  # one row a partition
+    turn = F.floor((F.col("offset") - F.col("lo")) * ARRIVALS / (F.col("hi") - F.col("lo") + 1))
+    return df.join(F.broadcast(ends), "partition").withColumn("turn", turn.cast("int")).drop("lo", "hi")
+
+
+def _land(rows: DataFrame, turn: int, path: str) -> None:
+    rows.filter(F.col("turn") == turn).drop("turn").write.mode("append").json(f"{path}/arrival={turn}")
 
 
 def _stream_dirs(spark, name):
@@ -587,7 +605,7 @@ def q_stream_upsert(spark, sf_dir):
     topics = [TOPIC_VALIDATED, R.TOPIC_FAILED]
     routed = _arrivals(spark, sf_dir).select(
         F.when(F.col("valid"), TOPIC_VALIDATED).otherwise(R.TOPIC_FAILED).alias("topic"), F.col("country_code").alias("key"),
-        F.to_json(F.struct(*R.MESSAGE_FIELDS, "failure_reason")).alias("value"), "partition", "offset")
+        F.to_json(F.struct(*R.MESSAGE_FIELDS, "failure_reason")).alias("value"), "partition", "offset", "timestamp")
     _write_arrivals(routed, src_dir)
     decoded = ST.decode(ST.read_topics(spark, topics, {"format": "json", "path": src_dir,
                                                        "maxFilesPerTrigger": FILES_PER_TRIGGER}))
@@ -624,7 +642,7 @@ def q_stream_undecodable(spark, sf_dir):
     rows = _arrivals(spark, sf_dir)
     good = ST.transport_rows(rows.filter(k >= 2), RAW_INPUT_TOPIC)
     bad = rows.filter(k < 2).select(F.lit(RAW_INPUT_TOPIC).alias("topic"), F.col("country_code").alias("key"),
-                                    F.when(k == 0, F.col("indicator_code")).otherwise("[1,2]").alias("value"), "partition", "offset")
+                                    F.when(k == 0, F.col("indicator_code")).otherwise("[1,2]").alias("value"), "partition", "offset", "timestamp")
     _write_arrivals(good.unionByName(bad), src_dir)
     decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
                                                                   "maxFilesPerTrigger": FILES_PER_TRIGGER}))
@@ -707,21 +725,26 @@ _XV, _XP = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS HUGEINT) * 1000
 @register("extreme_rates", f"""
 SELECT l_orderkey, l_linenumber, CAST({O.ratio(f'({_XV} - {_XP})', _XP, 10000)} AS VARCHAR) AS pct_units,
        CAST({O.ratio(f'({_XP} - {_XV})', f'({_XV} * 3)', 10000)} AS VARCHAR) AS fall_units,
-       CAST(CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE 1000 END AS BIGINT) AS score_tenths
+       CAST(CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE 1000 END AS BIGINT) AS score_tenths,
+       CAST({_XV} * 18000 * (CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE 1 END) AS VARCHAR) AS swing_units
 FROM lineitem""")
 def q_extreme_rates(spark, sf_dir):
-    """B5, B37, K6 on outliers: values up to 1e16 against predecessors down to 0.0001 (or 0), exact in integer units;
-    scores of a value far past the baseline, for the wrong or the right direction."""
+    """B5, B37, K6, K7 on outliers: values up to 1e16 against predecessors down to 0.0001 (or 0), exact in integer units;
+    scores of a value far past the baseline, for the wrong or the right direction; swings between values up to
+    9e19 of both signs, which no value can hold but a change can."""
     li = src.read_table(spark, sf_dir, "lineitem")
     v = (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(10 ** 11)).cast(C.VALUE_TYPE)
     p = (F.col("l_tax").cast("decimal(18,2)") / 100).cast(C.VALUE_TYPE)
     sv, sp = C.scaled(v), C.scaled(p)
     base, target = F.lit("25.0001").cast(C.VALUE_TYPE), F.lit("25").cast(C.VALUE_TYPE)
+    sign = F.when(F.col("l_linenumber") % 3 == 0, -1).otherwise(1)
+    big = (v.cast("decimal(38,4)") * 9000 * sign).cast(C.VALUE_TYPE)
     wrong = C.progress_score_tenths(F.lit("off track"), v, base, target, F.lit("lower"))
     right = C.progress_score_tenths(F.lit("on track"), v, F.lit("24.9999").cast(C.VALUE_TYPE), target, F.lit("higher"))
     return li.select("l_orderkey", "l_linenumber", C.round_ratio(sv - sp, sp, 10000).cast("string").alias("pct_units"),
                      C.round_ratio(sp - sv, sv * 3, 10000).cast("string").alias("fall_units"),
-                     F.when(F.col("l_linenumber") % 2 == 0, wrong).otherwise(right).alias("score_tenths"))
+                     F.when(F.col("l_linenumber") % 2 == 0, wrong).otherwise(right).alias("score_tenths"),
+                     C.scaled(C.change(big, -big)).cast("string").alias("swing_units"))
 
 
 @register("latest_per_series", O.with_ctes(
@@ -853,7 +876,7 @@ def q_api_extraction_by_goal(spark, sf_dir):
 def q_api_indicators_without_data(spark, sf_dir):
     """Dictionary entries the API returned no values for (dictionary ▷ observations)."""
     d = literal_dimension(spark, [(c, int(c[0])) for c in DICTIONARY], "indicator_code string, goal int")
-    seen = _api_observations(spark, sf_dir).select("indicator_code")
+    seen = _api_observations(spark, sf_dir).select("indicator_code").distinct()
     return d.join(seen, "indicator_code", "left_anti")
 
 
@@ -927,3 +950,6 @@ def q_batch_table_versioned(spark, sf_dir):
     upsert_into(spark, root, incoming, ["country_code", "indicator_code", "year"], ["value", "extracted_at"],
                 ["arrival_ts", "arrival_seq"])
     return current_version(spark, root)[0]
+
+
+from yardstick.plans import catalog_stored  # noqa: E402,F401  registers its queries on top of these

@@ -53,8 +53,9 @@ BATCH_METADATA = _s(
     ("written_at", StringType()),
     ("s3_key", StringType()),
 )
-# records carry dead-letter messages' failure_reason too (NULL for valid messages)
-ENVELOPE = _s(("batch_metadata", BATCH_METADATA), ("records", ArrayType(DEAD_LETTER)))
+# records carry dead-letter messages' failure_reason too (NULL for valid messages), and the broker's time if there is one
+ENVELOPE_RECORD = StructType(DEAD_LETTER.fields + [StructField("broker_micros", LongType(), True)])
+ENVELOPE = _s(("batch_metadata", BATCH_METADATA), ("records", ArrayType(ENVELOPE_RECORD)))
 
 
 def extend(schema: StructType, *fields) -> StructType:

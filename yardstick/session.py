@@ -68,11 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location, removed when the application ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/yardstick-{name}-{uuid.uuid4().hex}"
-    _hadoop(spark, path, "deleteOnExit")
+    on_path(spark, path, "deleteOnExit")
     return path
 
 
-def _hadoop(spark: SparkSession, path: str, call: str, *args):
+def on_path(spark: SparkSession, path: str, call: str, *args):
+    """A call of the path's file system: on_path(spark, path, "exists"), on_path(spark, path, "delete", True)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return getattr(p.getFileSystem(spark._jsc.hadoopConfiguration()), call)(p, *args)
 
@@ -89,8 +90,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_buckets(parts: list[DataFrame], name: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write DataFrames of one schema, one after the other, to a scratch table in buckets of ``keys``, and read it back.
+
+    Joins, windows and aggregates by ``keys`` (or by more columns than those) need no exchange over it. The table's entry
+    in the session's catalogue is what tells Spark of the buckets.
+    """
+    spark, path = parts[0].sparkSession, scratch_path(parts[0].sparkSession, name)
+    table = f"yardstick_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    for df in parts:
+        df.write.mode("append").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out._scratch, out._table = path, table
+    return out
+
+
 def drop_stored(df: DataFrame | None) -> None:
     """Delete a table made by `stored` that no later plan reads."""
-    path = getattr(df, "_scratch", None)
+    path, table = getattr(df, "_scratch", None), getattr(df, "_table", None)
+    if table:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     if path:
-        _hadoop(df.sparkSession, path, "delete", True)
+        on_path(df.sparkSession, path, "delete", True)

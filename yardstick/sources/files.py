@@ -9,14 +9,24 @@ only meant for small landed inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from yardstick import schemas
 from yardstick.functions import columns as C
 from yardstick.operators.upsert import upsert
-from yardstick.params import SOURCE_NAME, TOPIC_PREFIX, UNKNOWN_TOPIC_PREFIX, PanelParams
+from yardstick.params import (
+    SOURCE_NAME,
+    TOPIC_AFRICA,
+    TOPIC_ALL,
+    TOPIC_FAILED,
+    TOPIC_PREFIX,
+    TOPIC_VALIDATED,
+    TOPIC_WORLD_BANK,
+    UNKNOWN_TOPIC_PREFIX,
+    PanelParams,
+)
 
 OBS_COLS = [f.name for f in schemas.OBSERVATION.fields]
 
@@ -124,6 +134,30 @@ def normalise_api_pages(raw: DataFrame, indicators: DataFrame, extracted_at: str
     )
 
 
+def normalise_api_variant(raw: DataFrame, indicators: DataFrame, extracted_at: str) -> DataFrame:
+    """``normalise_api_pages`` on VARIANT (A1, B24, B25): each reply is parsed once and its fields are read from the binary form.
+
+    A field that is missing is no variant at all, a JSON null is a variant null: the first takes the extractor's default, the
+    second stays NULL. A reply that is no JSON, or has no second element, gives no rows.
+    """
+    rows = F.try_variant_get(F.try_parse_json("reply"), "$[1]", "array<variant>")
+    ex = raw.select("indicator_code", F.explode(rows).alias("r"))
+    ex = ex.select("indicator_code", "r", F.try_variant_get("r", "$.value", "double").alias("value")).filter("value IS NOT NULL")
+
+    def text(path: str, default) -> Column:
+        found = F.try_variant_get("r", path, "variant")
+        return F.when(found.isNull(), F.lit(default)).otherwise(F.try_variant_get("r", path, "string"))
+
+    d = indicators.select(F.col("indicator_code").alias("__d_code"), F.col("goal").alias("__d_goal"), F.col("indicator_name").alias("__d_name"))
+    j = ex.join(d, ex["indicator_code"] == d["__d_code"], "left")
+    return j.select(
+        F.col("__d_goal").alias("goal"), "indicator_code", C.field_or("__d_name", "").alias("indicator_name"),
+        text("$.countryiso3code", "").alias("country_code"), text("$.country.value", "").alias("country_name"),
+        text("$.country.id", "").alias("country_id"), text("$.date", "0").try_cast("int").alias("year"), "value",
+        text("$.unit", "").alias("unit"), text("$.obs_status", "").alias("obs_status"),
+        F.lit(SOURCE_NAME).alias("source"), F.lit(extracted_at).alias("extracted_at"))
+
+
 def recent_window(observations: DataFrame, years: int, as_of_year: int) -> DataFrame:
     """The last ``years`` calendar years up to ``as_of_year`` (the incremental extraction)."""
     return observations.filter(F.col("year").between(as_of_year - years + 1, as_of_year))
@@ -141,21 +175,26 @@ def topic_prefix(topic: Column) -> Column:
 ENVELOPE_LINE = schemas.extend(schemas.ENVELOPE, ("lake_prefix", StringType()), ("lake_day", StringType()))
 
 
+OBSERVED_TOPICS = (TOPIC_ALL, TOPIC_WORLD_BANK, TOPIC_AFRICA, TOPIC_VALIDATED, TOPIC_FAILED)
+
+
 def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams, mode: str = "append",
-                  batch_id: int = 0) -> None:
+                  batch_id: int = 0, observe: Observation | None = None) -> None:
     """Write one envelope per topic, partition and chunk: ``{batch_metadata{...}, records[...]}``.
 
     ``routed`` has ``topic``, a JSON ``value`` and its consumption order, ``partition`` and
-    ``offset``. A chunk is a run of max_records_per_object consecutive offsets of one partition, so an
+    ``offset``, and may have the broker's ``timestamp``, which the records then carry. A chunk is a run of max_records_per_object consecutive offsets of one partition, so an
     object has at most that many records, in offset order, the same on every attempt, and no
     task holds a whole topic. Stamp, batch id, partition and chunk make up the object's key: keys never
-    repeat, and (key, position) orders the records of a partition as they arrived.
+    repeat, and (key, position) orders the records of a partition as they arrived. ``observe`` counts what is written, without a
+    second pass: ``files_<i>`` and ``records_<i>`` of the i-th of OBSERVED_TOPICS.
     """
     missing = {"topic", "value", "partition", "offset"} - set(routed.columns)
     if missing:
         raise ValueError(f"envelopes need the columns {sorted(missing)}")
     ts = F.lit(written_at).cast("timestamp")
-    record = F.struct(F.col("offset").alias("o"), F.from_json("value", schemas.DEAD_LETTER).alias("m"))
+    at = F.unix_micros("timestamp") if "timestamp" in routed.columns else F.lit(None).cast("long")
+    record = F.struct(F.col("offset").alias("o"), F.from_json("value", schemas.DEAD_LETTER).withField("broker_micros", at).alias("m"))
     chunk = F.floor(F.col("offset") / F.lit(p.max_records_per_object)).cast("long")
     env = routed.groupBy("topic", "partition", chunk.alias("chunk")).agg(F.sort_array(F.collect_list(record)).alias("r"))
     prefix = topic_prefix(F.col("topic"))
@@ -168,6 +207,12 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams,
         prefix.alias("lake_prefix"),
         F.date_format(ts, "yyyy-MM-dd").alias("lake_day"),
     )
+    if observe is not None:
+        meta, counts = F.col("batch_metadata"), []
+        for i, t in enumerate(OBSERVED_TOPICS):
+            counts += [F.count_if(meta["topic"] == t).alias(f"files_{i}"),
+                       F.coalesce(F.sum(F.when(meta["topic"] == t, meta["record_count"])), F.lit(0)).alias(f"records_{i}")]
+        out = out.observe(observe, *counts)
     out.write.mode(mode).partitionBy("lake_prefix", "lake_day").json(path)
 
 
@@ -176,8 +221,9 @@ def read_batches(spark: SparkSession, path: str, topic: str | None = None, days:
 
     Returns the message columns plus ``batch_file`` (logical object key),
     ``source_file`` (physical file), ``pos`` (position in the envelope) and
-    ``topic``; (batch_file, pos) orders the records of a key as they arrived (H2): a key's
-    messages share a partition, whose offsets run on from batch to batch.
+    ``topic``; (broker_micros, batch_file, pos) orders the records of a key as they arrived (H2): a key's
+    messages share a partition, whose offsets run on from batch to batch, until the topic gains
+    partitions: then the broker's time orders them.
     Prefix and day filters prune partitions.
     """
     df = spark.read.schema(ENVELOPE_LINE).json(path)
@@ -206,12 +252,12 @@ LOAD_COLS = ("record_id", "goal", "indicator_code", "indicator_name", "country_c
 
 
 def load_records(records: DataFrame, current: DataFrame | None = None) -> DataFrame:
-    """Lake -> raw stream table (A10): validated records upserted on record_id in (batch_file, pos) order.
+    """Lake -> raw stream table (A10): validated records upserted on record_id in (broker time, batch_file, pos) order.
 
     A new record keeps its first arrival's columns, batch_file among them; value and extracted_at
     come from the last arrival.
     """
     rows = records.filter(F.col("record_id").isNotNull()).select(
         *[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in LOAD_COLS],
-        F.col("batch_file").alias("__file"), F.col("pos").alias("__pos"))
-    return upsert(current, rows, ["record_id"], ["value", "extracted_at"], ["__file", "__pos"])
+        F.col("broker_micros").alias("__at"), F.col("batch_file").alias("__file"), F.col("pos").alias("__pos"))
+    return upsert(current, rows, ["record_id"], ["value", "extracted_at"], ["__at", "__file", "__pos"])

@@ -6,10 +6,13 @@ columns the Kafka source yields) for tests and replays. Everything between
 source and sink is the batch code unchanged: decoding, validation and fan-out
 are stateless column expressions.
 
-Upsert state lives in the table, not in the state store: each micro-batch's
+The upsert has two forms. In the log form each micro-batch's
 valid records are appended to a log partition named by its batch id
 (overwritten on retry, so a replayed batch is idempotent), and the current
-table is the H2 upsert over the log, ordered by (batch id, partition, offset).
+table is the H2 upsert over the log. In the stateful form the first and last
+arrival of every record id are kept in the RocksDB state store, and each micro-batch's changed rows replace those of a
+bucketed table. Arrivals are ordered by (broker time, batch id, partition, offset): a topic that gains
+partitions moves keys, and only the time orders a key's messages in two partitions.
 Checkpoints make the source offsets and the sink commit atomic, so nothing is
 lost when a write fails or an executor dies (the reference's consumer could
 drop a buffer on a failed flush).
@@ -18,8 +21,9 @@ drop a buffer on a failed flush).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,8 +32,11 @@ from yardstick.functions import columns as C
 from yardstick.operators import routing as R
 from yardstick.operators.upsert import upsert
 from yardstick.params import TOPIC_PREFIX, TOPIC_VALIDATED, UNKNOWN_TOPIC_PREFIX, PanelParams
+from yardstick.session import drop_stored, on_path, stored
+from yardstick.sources.buckets import create_buckets, upsert_buckets
 
 TRANSPORT = "topic string, key string, value string, partition int, offset long"
+TIMED = TRANSPORT + ", timestamp timestamp"  # with the broker's time
 
 
 def read_topics(spark: SparkSession, topics: Sequence[str], source: dict) -> DataFrame:
@@ -37,7 +44,8 @@ def read_topics(spark: SparkSession, topics: Sequence[str], source: dict) -> Dat
 
     ``source['format']`` is 'kafka' (options passed through, earliest offsets)
     or a file format ('json') with ``source['path']``; files are taken in
-    arrival order, ``maxFilesPerTrigger`` bounds a micro-batch.
+    arrival order, ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a micro-batch. ``timestamp`` is the broker's
+    (log append time), NULL in files that carry none.
     """
     fmt = source.get("format", "json")
     if fmt == "kafka":
@@ -47,11 +55,12 @@ def read_topics(spark: SparkSession, topics: Sequence[str], source: dict) -> Dat
             reader = reader.option(k, v)
         raw = reader.load().select(
             "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-            "partition", "offset")
+            "partition", "offset", "timestamp")
     else:
-        reader = spark.readStream.format(fmt).schema(TRANSPORT)
-        if "maxFilesPerTrigger" in source:
-            reader = reader.option("maxFilesPerTrigger", source["maxFilesPerTrigger"])
+        reader = spark.readStream.format(fmt).schema(TIMED)
+        for bound in ("maxFilesPerTrigger", "maxBytesPerTrigger"):
+            if bound in source:
+                reader = reader.option(bound, source[bound])
         raw = reader.load(source["path"])
     return raw.filter(F.col("topic").isin(*topics))
 
@@ -62,16 +71,17 @@ def decode(stream: DataFrame) -> DataFrame:
     Each value is parsed once, as a map; a field that is missing or of another type is NULL. A value that is not a JSON object is kept with ``decodable = false`` (to be
     routed to the dead-letter output) instead of being dropped.
     """
-    parsed = stream.select("topic", "key", "partition", "offset", F.col("value").alias("payload"),
+    at = F.col("timestamp") if "timestamp" in stream.columns else F.lit(None).cast("timestamp").alias("timestamp")
+    parsed = stream.select("topic", "key", "partition", "offset", at, F.col("value").alias("payload"),
                            F.from_json("value", "map<string,string>").alias("m"))
     fields = [F.try_element_at("m", F.lit(f.name)).try_cast(f.dataType).alias(f.name) for f in schemas.DEAD_LETTER.fields]
-    return parsed.select("topic", "key", "partition", "offset", "payload", F.col("m").isNotNull().alias("decodable"), *fields)
+    return parsed.select("topic", "key", "partition", "offset", "timestamp", "payload", F.col("m").isNotNull().alias("decodable"), *fields)
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
     """Messages that could not be decoded, as dead-letter rows."""
     return decoded.filter(~F.col("decodable")).select(
-        "topic", "key", "partition", "offset", "payload", F.lit("Undecodable message").alias("failure_reason"))
+        "topic", "key", "partition", "offset", "timestamp", "payload", F.lit("Undecodable message").alias("failure_reason"))
 
 
 def route_stream(decoded: DataFrame, members, p: PanelParams) -> DataFrame:
@@ -80,11 +90,11 @@ def route_stream(decoded: DataFrame, members, p: PanelParams) -> DataFrame:
     Undecodable messages go to the dead-letter topic with their raw value.
     """
     good = R.validate(decoded.filter("decodable"), p)
-    routed = R.fan_out(good, members, p, carry=("partition", "offset"))
+    routed = R.fan_out(good, members, p, carry=("partition", "offset", "timestamp"))
     bad = undecodable(decoded).select(
         F.lit(R.TOPIC_FAILED).alias("topic"), "key",
         F.to_json(F.struct(F.col("payload").alias("raw"), "failure_reason")).alias("value"),
-        F.lit(None).cast("string").alias("record_id"), F.lit(False).alias("valid"), "partition", "offset")
+        F.lit(None).cast("string").alias("record_id"), F.lit(False).alias("valid"), "partition", "offset", "timestamp")
     return routed.unionByName(bad)
 
 
@@ -179,23 +189,37 @@ def lake_stream(spark: SparkSession, path: str, topic: str | None = None,
     return ex.select("topic", "batch_file", "source_file", "pos", "m.*")
 
 
-def lake_sink(path: str, p: PanelParams, clock: Callable[[], str] | None = None) -> Callable[[DataFrame, int], None]:
+LEDGER = "batch_id long, topic string, files_written long, records_written long, written_at string"
+
+
+def lake_sink(path: str, p: PanelParams, clock: Callable[[], str] | None = None, ledger: str | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer flushing each micro-batch to the lake as envelopes.
 
     Every micro-batch goes to ``path/batch=<id>/`` and that folder is replaced on
     a replay, so a retried batch leaves no duplicates; ``clock`` gives the
-    ``written_at`` stamp (UTC now by default).
+    ``written_at`` stamp (UTC now by default). With ``ledger`` the files and records of each topic (D9), observed while they are
+    written, go to ``ledger/batch=<id>``, replaced on a replay as well: a row for each topic that had any.
     """
     from datetime import datetime, timezone
 
-    from yardstick.sources.files import write_batches
+    from yardstick.sources.files import OBSERVED_TOPICS, write_batches
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = clock() if clock else datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-        write_batches(batch, f"{path.rstrip('/')}/batch={batch_id}", stamp, p, mode="overwrite", batch_id=batch_id)
+        seen = Observation(f"flush-{batch_id}") if ledger else None
+        write_batches(batch, f"{path.rstrip('/')}/batch={batch_id}", stamp, p, mode="overwrite", batch_id=batch_id, observe=seen)
+        if ledger:
+            rows = [(batch_id, t, seen.get[f"files_{i}"], seen.get[f"records_{i}"], stamp) for i, t in enumerate(OBSERVED_TOPICS)]
+            counts = batch.sparkSession.createDataFrame([r for r in rows if r[2]], LEDGER)  # a row a topic
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{ledger.rstrip('/')}/batch={batch_id}")
     return write
 
 
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """One row a micro-batch and topic: files and records written, and when."""
+    return spark.read.schema(LEDGER).parquet(f"{ledger.rstrip('/')}/*")
+
+
 # ---- J8: stream upsert keyed by record id --------------------------------------------------------
 
 STREAM_UPDATE = ("value", "extracted_at")
@@ -222,14 +246,14 @@ LOG_COLS = ("record_id", "goal", "indicator_code", "indicator_name", "country_co
 def _log_rows(log: DataFrame) -> DataFrame:
     return log.select(*[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in LOG_COLS],
                       F.concat(F.lit("batch_"), F.col("batch_id").cast("string")).alias("batch_file"),
-                      F.col("batch_id").alias("__batch"), "partition", "offset")
+                      F.col("batch_id").alias("__batch"), "partition", "offset", "timestamp")
 
 
 def _fold(snapshot: DataFrame | None, log: DataFrame) -> DataFrame:
-    # within a micro-batch a key's messages are in one partition, in offset order; across micro-batches the
-    # batch id orders them, also when the topic has gained partitions and the key has moved.
+    # the broker's time first: when the topic gains partitions a key moves, and a backlog holds its messages of both
+    # partitions in one micro-batch; without times the batch id, then the partition and offset decide.
     # Snapshot rows precede every log row.
-    return upsert(snapshot, _log_rows(log), ["record_id"], list(STREAM_UPDATE), ["__batch", "partition", "offset"])
+    return upsert(snapshot, _log_rows(log), ["record_id"], list(STREAM_UPDATE), ["timestamp", "__batch", "partition", "offset"])
 
 
 def latest_snapshot(spark: SparkSession, snapshot_root: str | None) -> tuple[DataFrame | None, int]:
@@ -247,7 +271,7 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str | None) -> tuple[Dat
 def current_table(spark: SparkSession, log_path: str, snapshot_root: str | None = None) -> DataFrame:
     """The upserted stream table (H2): the newest snapshot folded with the log
     partitions after it. First arrival keeps every column but value and
-    extracted_at, which come from the last arrival in (batch, partition, offset) order;
+    extracted_at, which come from the last arrival in (broker time, batch, partition, offset) order;
     batch_file names the micro-batch of the first arrival."""
     snapshot, upto = latest_snapshot(spark, snapshot_root)
     log = spark.read.parquet(log_path).filter(F.col("batch_id") > upto)
@@ -271,9 +295,60 @@ def compact(spark: SparkSession, log_path: str, snapshot_root: str) -> int:
     return int(newest)
 
 
+# ---- J8 on the state store ------------------------------------------------------------------------
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB: on the executors' disks, with changes checkpointed."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def upsert_state(decoded: DataFrame, topic: str = TOPIC_VALIDATED) -> DataFrame:
+    """The upserted rows of a decoded stream as a stateful aggregate by record id (J8); run it in update mode.
+
+    The state of a record is its first arrival (all columns) and its last one (value and extracted_at) in
+    (broker time, partition, offset) order, so a message that comes late in another micro-batch, or again, changes nothing
+    wrongly. The state has one entry a record id, like the table itself; no watermark drops any.
+    """
+    rows = decoded.filter((F.col("topic") == topic) & F.col("decodable"))
+    rows = rows.select(*[C.to_value(c).alias(c) if c == "value" else F.col(c) for c in LOG_COLS], "timestamp", "partition", "offset")
+    order = F.struct("timestamp", "partition", "offset")
+    kept = [c for c in LOG_COLS if c != "record_id" and c not in STREAM_UPDATE]
+    state = rows.groupBy("record_id").agg(F.min_by(F.struct(*kept), order).alias("f"), F.max_by(F.struct(*STREAM_UPDATE), order).alias("l"))
+    return state.select(*[F.col("record_id") if c == "record_id" else F.col(f"f.{c}") if c in kept else F.col(f"l.{c}") for c in LOG_COLS])
+
+
+def bucket_sink(root: str, key: str = "record_id", buckets: int = 32) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of an update-mode stream: a micro-batch's rows replace those of the bucketed table at ``root``.
+
+    Each row is a key's whole new state, so writing a micro-batch again changes nothing; only the buckets
+    of its keys are read and written. The micro-batch is written once as a scratch table, so the state is updated once.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = stored(batch, f"batch-{batch_id}")
+        if not rows.isEmpty():
+            if not on_path(spark, root, "exists"):
+                create_buckets(rows, root, [key], buckets)
+            else:
+                upsert_buckets(spark, root, rows, [key], [c for c in rows.columns if c != key], [])
+        drop_stored(rows)
+    return write
+
+
 def transport_rows(messages: DataFrame, topic: str = TOPIC_VALIDATED) -> DataFrame:
-    """Messages with a partition and an offset -> transport rows (topic, key = country code, JSON value, both)."""
+    """Messages with a partition and an offset -> transport rows (topic, key = country code, JSON value, both, and a timestamp if there is one)."""
     payload = [c for c in R.MESSAGE_FIELDS if c in messages.columns]
+    at = [F.col("timestamp")] if "timestamp" in messages.columns else []
     return messages.select(
         F.lit(topic).alias("topic"), F.col("country_code").alias("key"),
-        F.to_json(F.struct(*payload)).alias("value"), "partition", "offset")
+        F.to_json(F.struct(*payload)).alias("value"), "partition", "offset", *at)
