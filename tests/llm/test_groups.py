@@ -144,6 +144,13 @@ def test_vector_groups_against_brute_force(spark, block):
     assert len(got) == len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_vector_groups_with_repeated_ids(spark):
+    """One id with two vectors, and one id in two labels: every vector keeps its links, labels stay apart."""
+    rows = [(1, [1.0, 0.0, 0.0], 7), (1, [0.0, 1.0, 0.0], 7), (2, [0.0, 1.0, 0.01], 7), (3, [1.0, 0.0, 0.0], 8), (2, [1.0, 0.0, 0.01], 8), (4, [0.0, 0.0, 1.0], 8)]
+    got = vectors.vector_groups(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 1, 1), (2, 1, 1), (2, 1, 2), (3, 1, 2), (4, 0, 4)]
+
+
 def test_vector_groups_empty_and_clashing(spark):
     from pyspark.sql import functions as F
     df = table(spark, SF, "embeddings")

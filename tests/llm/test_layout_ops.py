@@ -167,6 +167,20 @@ def test_written_shards_hold_whole_records(spark, odd):
     assert sorted(map(key, back.collect())) == sorted(map(key, odd.collect()))
 
 
+def test_long_records_get_more_buckets(spark, docs_of):
+    """Texts of 1 MB: buckets are sized by bytes, every record comes back whole, shards stay within one row."""
+    docs = docs_of([chr(97 + i % 26) * (1 << 20) for i in range(40)] + ["short"] * 200)
+    path = scratch_path(spark, "long-shards")
+    sharding.write_shards(docs, path, docs.columns, shards=8, bytes_per_bucket=2 << 20)
+    back = spark.read.parquet(path)
+    per = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert sum(per) == 240 and max(per) - min(per) <= 1
+    got = back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("m"), "n_chars").collect()
+    assert sorted(got) == sorted(docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("m"), "n_chars").collect())
+    assert sharding.buckets_needed(docs, bytes_per_bucket=2 << 20).first().n in (21, 22)  # 40 MB of texts
+    assert sharding.buckets_needed(docs, rows_per_bucket=10).first().n == 24
+
+
 # ---- urls ----
 
 

@@ -10,33 +10,46 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardstick.llm.common import partitions, table
+from yardstick.session import scratch_path
 
 SEED = 20_240_607
 SHARDS = 8
 ROWS_PER_BUCKET = 50_000
+BYTES_PER_BUCKET = 64 << 20
+
+
+def record_bytes(records: DataFrame) -> Column:
+    """About what a record takes in memory: the bytes of its texts, and eight for any other column."""
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(records.schema[c].dataType, (T.StringType, T.BinaryType)) else F.lit(8)
+                for c in records.columns), F.lit(8)).cast("long")
+
+
+def buckets_needed(records: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, bytes_per_bucket: int = BYTES_PER_BUCKET) -> DataFrame:
+    """One row: the number of buckets, by rows or by bytes, whichever needs more, and at least the shuffle partitions."""
+    rows = F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket))
+    size = F.ceil(F.coalesce(F.sum(record_bytes(records)), F.lit(0)) / F.lit(bytes_per_bucket))
+    return records.agg(F.greatest(rows, size, F.lit(partitions(records.sparkSession))).cast("long").alias("n"))
 
 
 def external_shuffle(records: DataFrame, key: list[str], shards: int = SHARDS, seed: int = SEED,
-                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                     rows_per_bucket: int = ROWS_PER_BUCKET, bytes_per_bucket: int = BYTES_PER_BUCKET) -> DataFrame:
     """Add shard (int, 0 to shards - 1) and slot (long, gapless from 0 in its shard) to every record.
 
     `key` names the columns that identify a record. The same records give the same order
-    whatever their partitions. Bucket count: rows / rows_per_bucket, at least the shuffle
-    partitions, so a bucket fits a task's memory at every size. Rows alike in all key columns
+    whatever their partitions. Bucket count: rows / rows_per_bucket or bytes / bytes_per_bucket, whichever is more, at least the
+    shuffle partitions, so a bucket fits a task's memory at every size, of short records and of long ones. Rows alike in all key columns
     are interchangeable; where `key` names every column, each is spread with the number of its
     copy, so that even a record that makes up a third of the input scatters uniformly (with
     further columns, give a key that tells the records apart). Nulls are ordinary values.
     Empty input gives an empty result. Columns shard and slot of the input are replaced.
     """
-    spark = records.sparkSession
     keep = [c for c in records.columns if c not in ("shard", "slot")]
-    per_bucket = (F.count(F.lit(1)) / F.lit(rows_per_bucket))
-    n_buckets = records.agg(F.greatest(F.ceil(per_bucket), F.lit(partitions(spark))).cast("long")).scalar()
+    n_buckets = buckets_needed(records, rows_per_bucket, bytes_per_bucket).scalar()
     copies = records.select(*keep, F.xxhash64(F.lit(seed), *key).alias("__h"))
     if set(keep) == set(key):  # whole rows are keys: count copies before the scatter, then lay them out again
         copies = (copies.groupBy(*keep, "__h").agg(F.count(F.lit(1)).alias("__n"))
@@ -63,26 +76,27 @@ def external_shuffle(records: DataFrame, key: list[str], shards: int = SHARDS, s
         at = right.column("__end")[0].as_py() - right.column("__n")[0].as_py() + place
         shard = at * shards // total
         slot = at - -(-shard * total // shards)
-        return pa.table([*(left.column(c) for c in names), pa.array(shard.astype(np.int32)),
-                         pa.array(slot.astype(np.int64))], names=[*names, "shard", "slot"])
+        out = pa.table([*(left.column(c) for c in names), pa.array(shard.astype(np.int32)),
+                        pa.array(slot.astype(np.int64))], names=[*names, "shard", "slot"])
+        return out.take(pa.array(np.argsort(place)))  # the bucket's records in their new order
 
     return (scattered.groupBy("__bucket").cogroup(laid.groupBy("__bucket"))
             .applyInArrow(fisher_yates, out_schema))
 
 
 def write_shards(records: DataFrame, path: str, key: list[str], shards: int = SHARDS, seed: int = SEED,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
-    """Write whole records as parquet folders shard=0 ... in slot order; a shard is written by many tasks."""
-    done = external_shuffle(records, key, shards, seed, rows_per_bucket)
-    (done.repartitionByRange(max(shards, partitions(records.sparkSession)), "shard", "slot")
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+                 rows_per_bucket: int = ROWS_PER_BUCKET, bytes_per_bucket: int = BYTES_PER_BUCKET) -> None:
+    """Write whole records as parquet folders shard=0 ... with their slots; every bucket is shuffled and written by one task."""
+    external_shuffle(records, key, shards, seed, rows_per_bucket, bytes_per_bucket).write.partitionBy("shard").parquet(path)
 
 
 def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents into shards 0 to 7 under the law `rows`; a null text has size 1 and crc 0."""
-    docs = table(spark, sf_dir, "documents").select(
+    """All documents, written whole into shards 0 to 7 under the law `rows`, and read back; a null text has size 1 and crc 0."""
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "shards")
+    write_shards(docs, path, docs.columns)
+    schema = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
+    back = spark.read.schema(schema).parquet(path)
+    return back.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
-    return external_shuffle(docs, ["doc_id", "size", "text_crc32"]).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

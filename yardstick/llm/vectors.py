@@ -140,8 +140,8 @@ def vector_groups(vectors: DataFrame, cosine: float = COSINE, centres: int = CEN
     Pairs of one non-null label with cosine >= `cosine` are linked. A vector that is null, empty, zero or
     holds a null or non-finite component, and a row with a null vec_id or label, links with
     nothing (component_id its vec_id). Vectors of different lengths never link. Rows equal in label and
-    unit vector are one class, compared once and counted with its size. Repeated vec_ids of
-    one label and vector count as vectors of their own and get the same result.
+    unit vector are one class, compared once and counted with its size. Repeated vec_ids count as vectors of their own, each
+    judged in its label; those of one label and vector get the same result.
     """
     tau = float(np.sqrt(2 - 2 * cosine))
 
@@ -158,11 +158,12 @@ def vector_groups(vectors: DataFrame, cosine: float = COSINE, centres: int = CEN
     rows = store(vectors.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("string"))
                  .mapInArrow(unit, "vec_id long, space string, same binary, vec binary"), "vectors")
     valid = rows.where("vec is not null")
-    classes = valid.groupBy("space", "same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n_same"))
-    classes = store(classes, "vector-classes")
-    members = store(salted_join(valid.select("vec_id", "space", "same"), classes, ["space", "same"], ["vec_id"]), "vector-members")
-    reps = store(valid.join(classes.withColumnRenamed("rep", "vec_id"), ["space", "same", "vec_id"])
-                 .dropDuplicates(["space", "vec_id"]).select("vec_id", "space", "n_same", "vec"), "vector-reps")
+    # classes have numbers of their own, which hold once they are written: ids may repeat, over labels and vectors
+    classes = valid.groupBy("space", "same").agg(F.min("vec_id").alias("low_id"), F.count(F.lit(1)).alias("n_same"))
+    classes = store(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
+    members = store(salted_join(valid.select("vec_id", "space", "same"), classes.drop("low_id"), ["space", "same"], ["vec_id"]), "vector-members")
+    reps = store(valid.join(classes.withColumnRenamed("low_id", "vec_id"), ["space", "same", "vec_id"])
+                 .dropDuplicates(["rep"]).select(F.col("rep").alias("vec_id"), "space", "n_same", "vec"), "vector-reps")
 
     # a bounded sample: at most `centres` vectors, the first in hash order
     sample = reps.orderBy(F.xxhash64("vec_id"), "vec_id").limit(centres).select("space", "vec").collect()
@@ -270,9 +271,13 @@ def vector_groups(vectors: DataFrame, cosine: float = COSINE, centres: int = CEN
     found = store(joined.mapInArrow(compare, "id long, n long, low long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     labels = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    per = links.join(labels, "id", "left").select(F.col("id").alias("rep"), "n", "component")
-    out = members.select("vec_id", "rep", "n_same").join(per, "rep", "left").select(
-        "vec_id", (F.col("n_same") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    comps = store(classes.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                  .join(links.select(F.col("id").alias("rep"), "n"), "rep", "left")
+                  .select("rep", "low_id", "n", F.coalesce("component", "rep").alias("component")), "vector-components")
+    low = comps.groupBy("component").agg(F.min("low_id").alias("component_id"))
+    named = salted_join(comps, low, ["component"], ["rep"]).select("rep", "n", "component_id")
+    out = salted_join(members.select("vec_id", "rep", "n_same"), named, ["rep"], ["vec_id"]).select(
+        "vec_id", (F.col("n_same") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
     alone = rows.where("vec is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
