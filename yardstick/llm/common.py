@@ -46,6 +46,23 @@ def spread_join(many: DataFrame, one: DataFrame, keys: list[str], n: str, spread
     return left.join(one.withColumn("__salt", F.explode(copies)).drop(n), [*keys, "__salt"]).drop("__salt")
 
 
+MEMBER_BITS = 1 << 22
+
+
+def may_be_in(ids: DataFrame, column: str) -> Column:
+    """Whether a row's `column` may be one of ids (one column of that name, distinct): a hashed bitmap of fixed size, as a scalar subquery.
+
+    It only saves moving rows: false positives are joined, and more ids only mean more of them.
+    """
+    one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), {MEMBER_BITS}) % 64 as int))")
+    word = F.floor(F.pmod(F.xxhash64(column), F.lit(MEMBER_BITS)) / 64).cast("int")
+    words = ids.groupBy(word.alias("i")).agg(F.bit_or(one).alias("w"))
+    every = ids.sparkSession.range(MEMBER_BITS // 64).select(F.col("id").cast("int").alias("i"))
+    laid = every.join(words, "i", "left").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0)).alias("w")))).alias("a"))
+    bitmap = laid.select(F.transform("a", lambda r: r["w"])).scalar()
+    return F.coalesce(F.get(bitmap, word).bitwiseAND(one) != 0, F.lit(False))
+
+
 def numbered(df: DataFrame, key: str, order: list[str], out: str, per_key: DataFrame | None = None,
              bucket: Column | None = None) -> DataFrame:
     """Number the rows of each key from 0 without gaps, in hash order, a hot key in many tasks.

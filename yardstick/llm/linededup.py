@@ -10,8 +10,8 @@ Chunks that repeat anywhere are seeds, and are grown line by line to both sides:
 ends between boundaries. Runs that repeat are compared byte by byte (grouped on the bytes of their lines, without the
 white space after each); the first occurrence (smallest doc_id, then place) stays and the others are removed.
 
-No hash of the corpus is stored but each text's own line hashes; they are counted, and read again for those that repeat.
-Texts move only if they hold a run that repeats.
+What is stored of the corpus are each text's line hashes and chunk hashes. Texts move only if they hold a run that repeats (a bitmap of
+fixed size tells which may).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yardstick.llm.common import drop_stored, let, spread_join, store, table
+from yardstick.llm.common import drop_stored, let, may_be_in, spread_join, store, table
 
 LONG_LINE = 12
 MIN_WORDS = 10
@@ -160,14 +160,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
 
     starts = bound(lambda h, w: F.filter(F.transform(chunks(h, w, min_words, long_line), lambda c, no: F.struct(
         no.alias("no"), F.when(c["e"].isNotNull(), _span_hash(h, c["s"], c["e"])).alias("h"))), lambda c: c["h"].isNotNull()))
-    seeds = own.select("__rid", F.explode(starts).alias("c")).select("__rid", "c.no", "c.h")
-    seeds = _repeated(seeds, ["__rid", "no"])
+    keys = store(own.select("__rid", F.explode(starts).alias("c")).select("__rid", "c.no", "c.h"), "chunk-hashes")
+    seeds = _repeated(keys, ["__rid", "no"])
     seeds = seeds.groupBy("__rid").agg(F.sort_array(F.collect_set("no")).alias("seeds"))
     runs = own.join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
         bound(lambda h, w: grown(h, w, F.col("seeds"), min_words, long_line))).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
     runs = store(runs, "runs")
     found = _repeated(runs, ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e", "h")).alias("runs"))
     # byte comparison of the runs whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
+    found = store(found, "runs-found")
+    light = light.where(may_be_in(found.select("__rid").distinct(), "__rid"))  # only these texts move
     candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
         "__rid", "__doc", F.explode(_texts_of(F.col("text"), F.col("runs"))).alias("r"))
     candidates = store(candidates.select("__rid", "__doc", "r.s", "r.e", "r.h", "r.bytes"), "candidates")
@@ -179,9 +181,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     gone = (spread_join(light_runs, first, ["h", "b"], "n", ["__rid", "s", "e"]).where(place > F.col("first"))
             .groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e")).alias("__gone")))
     gone = store(gone, "runs-gone")
-    for t in (stored_lines, runs, candidates, first):
+    for t in (stored_lines, keys, runs, found, candidates, first):
         drop_stored(t)
-    out = rows.join(gone.hint("merge"), ["__rid", "__doc"], "left")
+    hit = may_be_in(gone.select("__rid").distinct(), "__rid")
+    untouched = rows.where(~hit).withColumn("__gone", F.lit(None).cast(gone.schema["__gone"].dataType))
+    out = rows.where(hit).join(gone.hint("merge"), ["__rid", "__doc"], "left").unionByName(untouched)
 
     def cut(p: Column, at: Column) -> Column:
         inside = F.flatten(F.transform("__gone", lambda g: F.sequence(F.get(at, g["s"]), F.coalesce(F.get(at, g["e"] + 1), F.size(p)) - 1)))
