@@ -109,6 +109,28 @@ def test_near_duplicates_odd_rows(spark, odd, clash, empty):
     assert neardup.near_duplicates(empty, 2).collect() == [] and neardup.kept_documents(empty).collect() == []
 
 
+def test_near_duplicates_without_and_with_shared_ids(spark, docs_of):
+    """Null ids are linked like others, texts under one id are judged each by itself, one row of a group stays."""
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10 ** 6)}" for _ in range(120)) for x in "abc")
+    near = lambda t: t + " tail"
+    texts = [a, near(a), a, b, c, near(c), near(b), b, b]
+    ids = [1, None, None, 7, 7, 9, None, None, None]  # b and c share id 7; a, b have copies and near copies without ids
+    docs = docs_of(texts, ids)
+    got = neardup.near_duplicates(docs, 2).collect()
+    assert len(got) == 9
+    want = {a: 1, near(a): 1, b: 7, near(b): 7, c: 7, near(c): 7}
+    found = sorted(((-1 if r.doc_id is None else r.doc_id), r.component_id, r.kept) for r in got)
+    assert found == sorted(((-1 if i is None else i), want[t], i == want[t]) for i, t in zip(ids, texts, strict=True))
+    kept = neardup.kept_documents(docs, 2).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, a), (7, b), (7, c)])
+    alone = docs_of([a, near(a), a, b], [None] * 4)  # nobody has an id: one row of each group, of repeated rows one
+    kept = neardup.kept_documents(alone, 2).collect()
+    assert len(kept) == 2 and b in {r.text for r in kept} and {r.text for r in kept} & {a, near(a)}
+    judged = neardup.near_duplicates(alone, 2).collect()
+    assert all(r.component_id is None for r in judged) and {sum(r.kept for r in judged)} <= {2, 3}
+
+
 def _brute_vectors(rows, cosine=0.93):
     unit = {}
     for i, v, label in rows:

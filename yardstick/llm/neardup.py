@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yardstick.llm.common import drop_stored, salted_join, store, table
@@ -44,8 +44,13 @@ def small_hashes(keys: np.ndarray, at: np.ndarray, half: int, m: int) -> np.ndar
     return out
 
 
+def row_key() -> Column:
+    """A row's identity: rows alike in doc_id and text are one, also where the id is null or two texts share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def sketches(docs: DataFrame, n_words: int, half: int = HALF, m: int = M) -> DataFrame:
-    """doc_id, n_shingles, set_key (hash of the whole set; null if empty) and small (2 m hashes) of every text."""
+    """rid (see row_key), doc_id, n_shingles, set_key (hash of the whole set; null if empty) and small (2 m hashes) of every text."""
     def run(batches):
         for batch in batches:
             for part in by_bytes(batch, "text"):
@@ -60,21 +65,21 @@ def sketches(docs: DataFrame, n_words: int, half: int = HALF, m: int = M) -> Dat
                         set_key[i] = xxhash.xxh3_128_digest(keys[at[i]:at[i + 1]].tobytes())
                         small[i] = got[row]
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
+                    "rid": part.column("rid"), "doc_id": part.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
                     "set_key": pa.array(set_key, pa.binary()), "small": pa.array(small, pa.list_(pa.int64()))})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, small array<long>")
+    return docs.select(row_key().alias("rid"), F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "rid long, doc_id long, n_shingles long, set_key binary, small array<long>")
 
 
 def shingle_sets(docs: DataFrame, n_words: int) -> DataFrame:
-    """id and set (sorted 64-bit shingle hashes as bytes) of every text."""
+    """id and set (sorted 64-bit shingle hashes as bytes) of every text of docs (id, text)."""
     def run(batches):
         for batch in batches:
             for part in by_bytes(batch, "text"):
                 keys, at = shingles(words(part.column("text")), n_words)
                 yield pa.RecordBatch.from_pydict({
-                    "id": part.column("doc_id"),
+                    "id": part.column("id"),
                     "set": pa.array([keys[at[i]:at[i + 1]].tobytes() for i in range(len(at) - 1)], pa.binary())})
 
     return docs.mapInArrow(run, "id long, set binary")
@@ -173,21 +178,32 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, half:
 
     Links: 100 |intersection| >= percent |union| of the distinct n-word shingles (A-Z
     lower-cased; fewer words are one shingle). A null, empty or blank text has no shingles and
-    links with nothing. Texts with equal sets are one class, named by its smallest doc_id, so
+    links with nothing: its component is its own doc_id. Texts with equal sets are one class, so
     copies never meet pair by pair. Members of a table key are tried against its smallest member
     and their neighbour: each class's most frequent partner first, then TRIALS - 1 more
     where the components still differ. Then every pair that shares a key and whose components
-    still differ is compared, block by block: no link between different texts is lost to the order of trials. Repeated rows of a
-    doc_id get the same result. A null doc_id has a null component unless its text equals or
-    nears that of a document with an id; it is kept if its component is null.
+    still differ is compared, block by block: no link between different texts is lost to the order of trials.
+
+    Classes have numbers of their own, so ids decide nothing but names: component_id is the smallest doc_id of the rows
+    reachable, null if none of them has one. kept is doc_id = component_id; in a group without ids the rows of one text
+    are kept. Repeated rows get the same result; texts that share a doc_id are judged each by itself.
     """
+    return _judged(docs, n_words, percent, half, m).select(
+        "doc_id", "n_shingles", F.col("component_doc").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("component_doc"), F.col("component_doc").isNull() & F.col("root")).alias("kept"))
+
+
+def _judged(docs: DataFrame, n_words: int, percent: int, half: int = HALF, m: int = M) -> DataFrame:
+    """rid, doc_id, n_shingles, component (a number; null without shingles), component_doc and root (whether the row is of the text that
+    stands for a group without ids) of every row."""
     rows = store(sketches(docs, n_words, half, m), "sketches")
-    named = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    members = store(salted_join(rows.where("set_key is not null"), named, ["set_key"], ["doc_id"])
-                    .select("doc_id", "n_shingles", "rep",
-                            F.when(F.col("doc_id") == F.col("rep"), F.col("small")).alias("small"))
+    named = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_doc"), F.min("rid").alias("class_rid"))
+    named = store(named.withColumn("rep", F.monotonically_increasing_id()), "classes")  # numbers hold once they are written
+    members = store(salted_join(rows.where("set_key is not null"), named.drop("class_doc"), ["set_key"], ["rid"])
+                    .select("rid", "doc_id", "n_shingles", "rep",
+                            F.when(F.col("rid") == F.col("class_rid"), F.col("small")).alias("small"))
                     .unionByName(rows.where("set_key is null").select(
-                        "doc_id", "n_shingles", F.col("doc_id").alias("rep"), F.lit(None).cast("array<long>").alias("small"))),
+                        "rid", "doc_id", "n_shingles", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("array<long>").alias("small"))),
                     "members")
     drop_stored(rows)
     # one key per table, for class representatives only
@@ -205,8 +221,8 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, half:
     best = Window.partitionBy("b").orderBy(F.desc("n"), "a")
     trials = store(tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).withColumn("turn", F.row_number().over(best))
                    .where(F.col("turn") <= TRIALS), "trials")
-    involved = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(involved, "doc_id", "left_semi")
+    involved = named.join(buckets.select("rep").distinct(), "rep", "left_semi").select(F.col("class_rid").alias("rid"), F.col("rep").alias("id"))
+    texts = docs.select(row_key().alias("rid"), F.col("text").cast("string")).join(involved, "rid").select("id", "text")
     sets = store(shingle_sets(texts, n_words).dropDuplicates(["id"]), "sets")
 
     links = store(confirmed(trials.where("turn = 1").select("a", "b"), sets, percent), "links")
@@ -226,26 +242,34 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, half:
     small = members.where("small is not null").groupBy("rep").agg(F.first("small").alias("small"))
     links = links.unionByName(across(store(open_.join(small, "rep"), "open"), sets, percent, m))
     labels = components(links)
-    out = members.select("doc_id", "n_shingles", "rep").join(
-        labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    component = F.coalesce("component", "rep")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    # names of the components: the smallest doc_id of each, then of each class, then of each row
+    classes = store(named.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                    .select("rep", "class_doc", "class_rid", F.coalesce("component", "rep").alias("component")), "class-components")
+    docs_of = classes.groupBy("component").agg(F.min("class_doc").alias("component_doc"))
+    classes = salted_join(classes, docs_of, ["component"], ["rep"]).select("rep", "class_rid", "component", "component_doc")
+    found = salted_join(members.where("rep is not null").drop("small"), classes, ["rep"], ["rid"])
+    root = (F.col("rid") == F.col("class_rid")) & (F.col("rep") == F.col("component"))
+    return found.select("rid", "doc_id", "n_shingles", "component", "component_doc", root.alias("root")).unionByName(
+        members.where("rep is null").select("rid", "doc_id", "n_shingles", F.lit(None).cast("long").alias("component"),
+                                            F.col("doc_id").alias("component_doc"), F.lit(True).alias("root")))
 
 
 def kept_documents(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that near_duplicates keeps: one of each group, with their columns.
+    """The rows of docs that stay, with their columns: one of each group of near-duplicates, whatever their ids.
 
-    Rows that share a doc_id are one document, of which one row stays; every row with a null
-    doc_id and no identified near-duplicate stays.
+    Of a group the row with the smallest doc_id stays (null ids last; of several texts under that id, one); of rows alike
+    in doc_id and text, one. A text without shingles is a group of its own, one for each doc_id and text.
     """
-    verdict = near_duplicates(docs, n_words, percent)
-    gone = store(verdict.where(~F.col("kept")).select("doc_id").distinct(), "near-duplicates")
-    repeated = store(verdict.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                     .where("n > 1").select("doc_id"), "repeated-ids")
-    left = docs.join(gone, "doc_id", "left_anti")
-    once = left.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    judged = store(_judged(docs, n_words, percent), "judged")
+    group = F.coalesce("component", "rid")  # of texts without shingles, the row itself
+    judged = judged.select("rid", "doc_id", group.alias("group"), F.col("component").isNull().alias("alone"))
+    first = judged.groupBy("group", "alone").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("m"))
+    stays = store(first.select(F.col("m.rid").alias("__rid")).distinct(), "kept-rows")
+    rows = docs.withColumn("__rid", row_key())
+    left = rows.join(stays, "__rid", "left_semi")
+    repeated = store(left.groupBy("__rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__rid"), "repeated-rows")
+    once = left.join(repeated, "__rid", "left_anti")
+    return once.unionByName(left.join(repeated, "__rid", "left_semi").dropDuplicates(["__rid"])).select(*docs.columns)
 
 
 def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
