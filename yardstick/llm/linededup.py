@@ -26,30 +26,18 @@ MIN_WORDS = 10
 FEW = 8
 WORDS = r"[^\x20\x09-\x0D]+"
 PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
-MARK = "\x01"
+ENDS = r"\n|(?<=[.!?]) "  # the same with the white space cut off
 BLANK = " \t\n\x0b\x0c\r"
 
 
 def pieces(text: Column) -> Column:
-    """A text's pieces in order; end to end they are the text.
-
-    A mark is set after each end and split at, which is faster than the pattern; a text that holds the mark takes the pattern.
-    """
-    whole = F.coalesce(text, F.lit(""))
-    marked = whole
-    for end in ("\n", ". ", "! ", "? "):
-        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
-    return F.when(F.instr(whole, MARK) == 0, F.split(marked, MARK, -1)).otherwise(F.split(whole, PIECES, -1))
+    """A text's pieces in order; end to end they are the text."""
+    return F.split(F.coalesce(text, F.lit("")), PIECES, -1)
 
 
 def bare_pieces(text: Column) -> Column:
-    """The pieces without the white space after them (spaces and line ends), which is cut off by the split itself where it can be."""
-    whole = F.coalesce(text, F.lit(""))
-    marked = F.replace(whole, F.lit("\n"), F.lit(MARK))
-    for end in (".", "!", "?"):
-        marked = F.replace(marked, F.lit(end + " "), F.lit(end + MARK))
-    fast = F.transform(F.split(marked, MARK, -1), lambda x: F.rtrim(x))
-    return F.when(F.instr(whole, MARK) == 0, fast).otherwise(F.transform(F.split(whole, PIECES, -1), lambda x: F.rtrim(x, F.lit(" \n"))))
+    """The pieces without the white space after them (spaces and line ends)."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), ENDS, -1), lambda x: F.rtrim(x))
 
 
 def _says(piece: Column) -> Column:
@@ -64,19 +52,8 @@ def _places(p: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Structs h, w (hash and words) of a text's lines: its pieces with words, without the white space after them."""
-    whole = F.coalesce(text, F.lit(""))
-    plain = ~whole.startswith(" ")  # words are apart by single spaces or lines: spaces and one more are the words
-    for odd in ("  ", "\n ", "\t", "\x0b", "\x0c", "\r"):
-        plain = plain & (F.instr(whole, odd) == 0)
-
-    def words(x: Column, simple: Column) -> Column:
-        spaces = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
-        return F.when(x == "", 0).when(simple, spaces + 1).otherwise(F.regexp_count(x, F.lit(WORDS)))
-
-    def made(simple: Column) -> Column:
-        return F.filter(F.transform(bare_pieces(text), lambda x: F.struct(F.xxhash64(x).alias("h"), words(x, simple).alias("w"))), lambda x: x["w"] > 0)
-
-    return let(plain, made)
+    made = F.transform(bare_pieces(text), lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
+    return F.filter(made, lambda x: x["w"] > 0)
 
 
 def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
