@@ -31,13 +31,14 @@ def member_flag(df: DataFrame, code_col: str, members, out: str, salts: int = 1)
     or a one-column DataFrame of codes that grows with the data (a left join).
     Never NULL. With ``salts`` above 1 each code has that many copies and the rows of one code are dealt to them by
     a hash of the whole row: for rows that aren't aggregated, where one code may hold a large share, and for
-    streams, where adaptive execution splits nothing.
+    streams, where adaptive execution splits nothing. Members that the planner broadcasts as they are need no
+    copies, and get none (their estimate wouldn't count the copies).
     """
     if not isinstance(members, DataFrame):
         return df.withColumn(out, is_member(code_col, members))
     m = members.select(F.col(members.columns[0]).alias("__member_code")).distinct()
     m = m.withColumn("__is_member", F.lit(True))
-    if salts == 1:
+    if salts == 1 or broadcast_by_estimate(m):
         joined = df.join(m, df[code_col] == m["__member_code"], "left")
     else:
         m = m.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -46,6 +47,12 @@ def member_flag(df: DataFrame, code_col: str, members, out: str, salts: int = 1)
     return joined.withColumn(out, F.coalesce(F.col("__is_member"), F.lit(False))).drop("__member_code", "__is_member", "__copy", "__salt")
 
 
+def broadcast_by_estimate(df: DataFrame) -> bool:
+    """Whether the planner broadcasts df in a join: its estimated size is within the session's threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
 def in_set(df: DataFrame, code_col: str, members) -> DataFrame:
     """Keep rows whose code is in ``members`` (list -> isin, DataFrame -> semi join)."""
     if not isinstance(members, DataFrame):
