@@ -325,3 +325,23 @@ def test_a_country_with_half_of_all_messages_is_dealt_over_tasks(spark):
             spark.conf.set(k, v)
     assert max(got[1]) >= 20_000 and max(got[R.SALTS]) < 2 * sorted(got[R.SALTS])[len(got[R.SALTS]) // 2]
     assert flags[1] == flags[R.SALTS] and sum(got[R.SALTS]) == 40_000
+
+
+def test_copies_of_members_are_never_broadcast(spark):
+    """The distinct members are within the broadcast threshold once measured, their copies are not: the copies are merged."""
+    from yardstick.operators.dims import member_flag
+    msgs = spark.range(5_000).select(F.concat(F.lit("C"), (F.col("id") % 997).cast("string")).alias("code"), "id")
+    members = spark.range(200_000).select(F.concat(F.lit("C"), (F.col("id") % 500).cast("string")).alias("code"))
+    settings = {"spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "100k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        flagged = member_flag(msgs, "code", members, "m", salts=R.SALTS)
+        got = flagged.collect()
+        plan = flagged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 5_000 and all(r.m == (r.id % 997 < 500) for r in got)
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
