@@ -194,7 +194,8 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams,
         raise ValueError(f"envelopes need the columns {sorted(missing)}")
     ts = F.lit(written_at).cast("timestamp")
     at = F.unix_micros("timestamp") if "timestamp" in routed.columns else F.lit(None).cast("long")
-    record = F.struct(F.col("offset").alias("o"), F.from_json("value", schemas.DEAD_LETTER).withField("broker_micros", at).alias("m"))
+    # the time joins its record after the grouping: a field added to the parsed value here would parse it again for each field
+    record = F.struct(F.col("offset").alias("o"), F.from_json("value", schemas.DEAD_LETTER).alias("m"), at.alias("t"))
     chunk = F.floor(F.col("offset") / F.lit(p.max_records_per_object)).cast("long")
     env = routed.groupBy("topic", "partition", chunk.alias("chunk")).agg(F.sort_array(F.collect_list(record)).alias("r"))
     prefix = topic_prefix(F.col("topic"))
@@ -203,7 +204,7 @@ def write_batches(routed: DataFrame, path: str, written_at: str, p: PanelParams,
     out = env.select(
         F.struct(F.col("topic"), F.size("r").cast("long").alias("record_count"), F.lit(written_at).alias("written_at"),
                  key.alias("s3_key")).alias("batch_metadata"),
-        F.transform("r", lambda x: x["m"]).alias("records"),
+        F.transform("r", lambda x: x["m"].withField("broker_micros", x["t"])).alias("records"),
         prefix.alias("lake_prefix"),
         F.date_format(ts, "yyyy-MM-dd").alias("lake_day"),
     )
