@@ -182,6 +182,11 @@ def _arrivals(spark, sf_dir):
     return numbered_by_time(rows, "partition", "arrival_ts", "arrival_seq", "offset")
 
 
+def _members_table(spark, sf_dir):
+    """The members' codes, written once: a stream meets them again in every micro-batch."""
+    return stored(src.members(spark, sf_dir, _P).distinct(), "members")
+
+
 def _routed_arrivals(spark, sf_dir):
     return R.fan_out(_arrivals(spark, sf_dir), src.members(spark, sf_dir, _P), _P, carry=("partition", "offset", "timestamp"))
 
@@ -623,7 +628,7 @@ def q_stream_route(spark, sf_dir):
     _write_arrivals(ST.transport_rows(_arrivals(spark, sf_dir), RAW_INPUT_TOPIC), src_dir)
     decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
                                                                   "maxFilesPerTrigger": FILES_PER_TRIGGER}))
-    routed = ST.with_batch_metrics(ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P))
+    routed = ST.with_batch_metrics(ST.route_stream(decoded, _members_table(spark, sf_dir), _P))
     q = ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt)
     ST.run_once(q)
     return _payload(spark.read.parquet(out))
@@ -646,7 +651,7 @@ def q_stream_undecodable(spark, sf_dir):
     _write_arrivals(good.unionByName(bad), src_dir)
     decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
                                                                   "maxFilesPerTrigger": FILES_PER_TRIGGER}))
-    routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+    routed = ST.route_stream(decoded, _members_table(spark, sf_dir), _P)
     ST.run_once(ST.start(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt))
     dead = spark.read.parquet(out).filter(F.col("topic") == R.TOPIC_FAILED)
     return dead.select("key", F.get_json_object("value", "$.raw").alias("raw"),
@@ -918,7 +923,7 @@ def q_stream_lake(spark, sf_dir):
     _write_arrivals(ST.transport_rows(_arrivals(spark, sf_dir), RAW_INPUT_TOPIC), src_dir)
     decoded = ST.decode(ST.read_topics(spark, [RAW_INPUT_TOPIC], {"format": "json", "path": src_dir,
                                                                   "maxFilesPerTrigger": FILES_PER_TRIGGER}))
-    routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+    routed = ST.route_stream(decoded, _members_table(spark, sf_dir), _P)
     q = routed.writeStream.option("checkpointLocation", ckpt).foreachBatch(
         ST.lake_sink(lake, _P, clock=lambda: _AS_OF.replace(" ", "T"))).trigger(availableNow=True).start()
     ST.run_once(q)

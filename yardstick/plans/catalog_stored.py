@@ -155,10 +155,11 @@ def q_stream_flush_ledger(spark, sf_dir):
     src_dir, ckpt, lake = K._stream_dirs(spark, "flush-ledger")
     ledger = f"{lake}-ledger"
     rows = stored(K._in_turns(ST.transport_rows(K._arrivals(spark, sf_dir), K.RAW_INPUT_TOPIC)), "transport")
+    members = K._members_table(spark, sf_dir)
     for turn in range(K.ARRIVALS):  # one arrival a run, taken as one micro-batch
         K._land(rows, turn, src_dir)
         decoded = ST.decode(ST.read_topics(spark, [K.RAW_INPUT_TOPIC], {"format": "json", "path": f"{src_dir}/*"}))
-        routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+        routed = ST.route_stream(decoded, members, _P)
         q = routed.writeStream.option("checkpointLocation", ckpt).foreachBatch(
             ST.lake_sink(lake, K._LAKE_P, clock=lambda: K._AS_OF.replace(" ", "T"), ledger=ledger)).trigger(availableNow=True).start()
         ST.run_once(q)
@@ -171,10 +172,11 @@ def q_stream_bounded_consumer(spark, sf_dir):
     files arrive; every topic's payload."""
     src_dir, ckpt, out = K._stream_dirs(spark, "bounded-consumer")
     rows = stored(K._in_turns(ST.transport_rows(K._arrivals(spark, sf_dir), K.RAW_INPUT_TOPIC)), "transport")
+    members = K._members_table(spark, sf_dir)
 
     def consume():
         decoded = ST.decode(ST.read_topics(spark, [K.RAW_INPUT_TOPIC], {"format": "json", "path": f"{src_dir}/*", "maxBytesPerTrigger": BOUND}))
-        routed = ST.route_stream(decoded, src.members(spark, sf_dir, _P), _P)
+        routed = ST.route_stream(decoded, members, _P)
         return ST.run_stream(routed, {"format": "parquet", "path": out, "partitionBy": ["topic"]}, ckpt, interval="1 second")
 
     K._land(rows, 0, src_dir)
