@@ -345,3 +345,29 @@ def test_copies_of_members_are_never_broadcast(spark):
             spark.conf.set(k, v)
     assert len(got) == 5_000 and all(r.m == (r.id % 997 < 500) for r in got)
     assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_envelopes_parse_each_record_once(spark, monkeypatch):
+    """The broker's time joins a record without another parse for each of its fields."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from yardstick.sources import files as FS
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "json", lambda self, path: written.append(self._df))
+    routed = spark.range(10).select(F.lit(TOPIC_VALIDATED).alias("topic"), F.format_string('{"record_id": "r%d"}', "id").alias("value"),
+                                    F.lit(0).alias("partition"), F.col("id").alias("offset"), F.timestamp_seconds("id").alias("timestamp"))
+    FS.write_batches(routed, "unused", "2024-01-31 00:00:00", REFERENCE)
+    assert written[0]._jdf.queryExecution().optimizedPlan().toString().lower().count("from_json(") \
+        + written[0]._jdf.queryExecution().optimizedPlan().toString().lower().count("jsontostructs(") == 1
+    got = [(r.record_id, r.broker_micros) for r in written[0].select(F.inline("records")).select("record_id", "broker_micros").collect()]
+    assert got == [(f"r{i}", i * 1_000_000) for i in range(10)]
+
+
+def test_streams_read_members_as_a_table(spark):
+    """Micro-batches scan the members' codes, they don't derive them again."""
+    from tests.conftest import SF001
+    from yardstick.params import DRIVER
+    from yardstick.plans import catalog as K
+    from yardstick.sources import panel
+    members = K._members_table(spark, SF001)
+    assert "Join" not in members._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(members) == rows(panel.members(spark, SF001, DRIVER).distinct())
