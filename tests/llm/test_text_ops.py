@@ -114,6 +114,27 @@ def test_passage_inside_lines_is_found(spark, docs_of):
         assert [w for w in left[i].text.split() if w not in inside] == own  # and nothing else
 
 
+def test_words_are_matched_only_where_white_space_is_odd(spark):
+    """Lines of single spaces are counted by their spaces: no regular expression splits texts or runs over their words, and the counts are those of brute force."""
+    rng = np.random.default_rng(3)
+    parts = ["a", "bc", "é", "😀", ".", "!", "?", " ", " ", " ", "  ", "\n", "\t", "\r", "\x0b", "\x0c", ". ", "! ", "? ", "\x01", "\u00a0"]
+    texts = ["".join(rng.choice(parts[:12] if i % 3 else parts, int(rng.integers(0, 40)))) for i in range(600)] + [None, "", " ", "a.  b", "a. \nb", "a.\n b. "]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for r in df.select("i", linededup.pieces(F.col("t")).alias("p"), linededup.lines(F.col("t")).alias("l")).collect():
+        p, _, own = _lines(texts[r.i])
+        assert r.p == p
+        assert [(x.h, x.w) for x in r.l] == [(_xxhash(x), len(brute.words(x))) for x in own]
+    h = spark.createDataFrame([([int(x) for x in rng.integers(-9, 9, 6)],)], "h array<long>")
+    spans = [(s, e) for s in range(6) for e in range(s, 6)]
+    got = h.select(*(linededup._span_hash(F.col("h"), F.lit(s), F.lit(e)).alias(f"a{s}{e}") for s, e in spans),
+                   *(F.xxhash64(F.slice("h", s + 1, e - s + 1)).alias(f"b{s}{e}") for s, e in spans)).first()
+    assert all(got[f"a{s}{e}"] == got[f"b{s}{e}"] for s, e in spans)
+
+    plan = lambda c: df.select(c(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "(?<=" not in plan(linededup.pieces) and "(?<=" not in plan(linededup.lines)
+    assert "contains" in plan(linededup.lines).lower()
+
+
 def _brute_dedup(docs):
     """docs: list of (doc_id, text), different ids. The text that is left of each: chunks, seeds, runs and repeats by their definitions."""
     long = linededup.LONG_LINE

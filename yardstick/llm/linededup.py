@@ -16,6 +16,8 @@ fixed size tells which may).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,19 +27,37 @@ LONG_LINE = 12
 MIN_WORDS = 10
 FEW = 8
 WORDS = r"[^\x20\x09-\x0D]+"
-PIECES = r"(?<=\n)|(?<=[.!?] )"  # the places between pieces: nothing is lost by the split
-ENDS = r"\n|(?<=[.!?]) "  # the same with the white space cut off
 BLANK = " \t\n\x0b\x0c\r"
 
 
+def _marked(text: Column) -> Column:
+    """The text with a line end after each sentence end, so that its pieces are what lies between line ends."""
+    text = F.coalesce(text, F.lit(""))
+    for end in (". ", "! ", "? "):
+        text = F.replace(text, F.lit(end), F.lit(end + "\n"))
+    return text
+
+
+def _sentence(piece: Column) -> Column:
+    """Whether a piece between two marks is cut at a sentence end, which always has a mark of its own, not at a line end of the text."""
+    return piece.endswith(". ") | piece.endswith("! ") | piece.endswith("? ")
+
+
 def pieces(text: Column) -> Column:
     """A text's pieces in order; end to end they are the text."""
-    return F.split(F.coalesce(text, F.lit("")), PIECES, -1)
+    def whole(p: Column) -> Column:
+        return F.transform(p, lambda x, i: F.when((i == F.size(p) - 1) | _sentence(x), x).otherwise(F.concat(x, F.lit("\n"))))
+
+    return let(F.split(_marked(text), "\n", -1), whole)
+
+
+def _bare(marked: Column) -> Column:
+    return F.transform(F.split(marked, "\n", -1), lambda x: F.rtrim(x))
 
 
 def bare_pieces(text: Column) -> Column:
     """The pieces without the white space after them (spaces and line ends)."""
-    return F.transform(F.split(F.coalesce(text, F.lit("")), ENDS, -1), lambda x: F.rtrim(x))
+    return _bare(_marked(text))
 
 
 def _says(piece: Column) -> Column:
@@ -52,8 +72,25 @@ def _places(p: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Structs h, w (hash and words) of a text's lines: its pieces with words, without the white space after them."""
-    made = F.transform(bare_pieces(text), lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORDS)).alias("w")))
-    return F.filter(made, lambda x: x["w"] > 0)
+    def line(x: Column, w: Column) -> Column:
+        return F.struct(F.xxhash64(x).alias("h"), w.alias("w"))
+
+    def matched(x: Column) -> Column:
+        return F.regexp_count(x, F.lit(WORDS))
+
+    def spaced(x: Column, solid: Column) -> Column:
+        """Words of a piece whose white space is spaces: one more than its spaces, if none stands at its start or beside another."""
+        odd = x.startswith(" ") | x.contains("  ")
+        return F.when(odd, matched(x)).when(x == "", 0).otherwise(F.octet_length(x) - F.octet_length(solid) + 1)
+
+    def made(t: Column) -> Column:  # solid: the same pieces without their spaces, taken out of the whole text at once
+        solid = F.split(F.replace(t, F.lit(" "), F.lit("")), "\n", -1)
+        return F.zip_with(_bare(t), solid, lambda x, y: line(x, spaced(x, y)))
+
+    t = F.coalesce(text, F.lit(""))
+    other = functools.reduce(lambda a, c: a | t.contains(c), "\x0b\x0c\r", t.contains("\t"))  # white space but spaces and line ends
+    all_ = F.when(other, F.transform(bare_pieces(t), lambda x: line(x, matched(x)))).otherwise(let(_marked(t), made))
+    return F.filter(all_, lambda x: x["w"] > 0)
 
 
 def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
@@ -67,7 +104,8 @@ def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LO
         """The lines from i on, at most min_words of them as each has a word: lines in the upper half of a long, words in the lower."""
         step = lambda a, v: F.when((a >= 2 << 32) & (F.pmod(a, F.lit(1 << 32)) >= min_words), a).otherwise(a + v + F.lit(1 << 32))
         last = lambda a: F.when((a >= 2 << 32) & (F.pmod(a, F.lit(1 << 32)) >= min_words), (i + F.shiftright(a, 32) - 1).cast("int"))
-        return F.when(F.get(w, i) >= long_line, i).otherwise(F.aggregate(
+        two = F.get(w, i) + F.get(w, i + 1)  # most chunks end here; null at the last line
+        return F.when(F.get(w, i) >= long_line, i).when(two >= min_words, i + 1).when(two.isNotNull(), F.aggregate(
             F.slice(w, i + 1, F.lit(max(2, min_words))), F.lit(0).cast("long"), step, last))
 
     starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), begins)
@@ -75,7 +113,9 @@ def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LO
 
 
 def _span_hash(h: Column, s: Column, e: Column) -> Column:
-    return F.xxhash64(F.slice(h, s + 1, e - s + 1))
+    """Hash of the lines s to e; that of an array is the one of its entries in turn, so most spans need no array."""
+    one, two = F.xxhash64(F.get(h, s)), F.xxhash64(F.get(h, s), F.get(h, e))
+    return F.when(e == s, one).when(e == s + 1, two).otherwise(F.xxhash64(F.slice(h, s + 1, e - s + 1)))
 
 
 def grown(h: Column, w: Column, seeds: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
