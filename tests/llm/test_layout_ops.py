@@ -159,6 +159,39 @@ def test_repeated_rows_scatter(spark):
     assert all(sorted(r.slot for r in got if r.shard == s) == list(range(375)) for s in range(8))
 
 
+def test_only_repeated_records_move_twice(spark, tmp_path):
+    """Records of 2 KB, one in four repeated: only those cross an exchange before the scatter, and all are shuffled as if each did."""
+    def moved(df):
+        """Bytes that the exchanges of a plan wrote."""
+        total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+        while todo:
+            p = todo.pop()
+            if p.nodeName() == "AdaptiveSparkPlan":
+                todo.append(p.executedPlan())
+            elif "QueryStage" in p.nodeName():
+                todo.append(p.plan())
+            elif p.nodeName() != "ReusedExchange":
+                if p.nodeName() == "Exchange":
+                    total += p.metrics().apply("dataSize").value()
+                todo += [p.children().apply(i) for i in range(p.children().size())]
+        return total
+
+    alone = spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 64).alias("text"))
+    for name, source, most in (("alone", alone, 1.25), ("some", alone.unionByName(alone.where("doc_id % 4 = 0")), 2)):
+        source.repartition(5).write.parquet(f"{tmp_path}/{name}")
+        df = spark.read.parquet(f"{tmp_path}/{name}")
+        out = sharding.external_shuffle(df, ["doc_id", "text"])
+        got = out.collect()
+        assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter((r.doc_id, r.text) for r in df.collect())
+        count = collections.Counter(r.shard for r in got)
+        assert max(count.values()) - min(count.values()) <= 1
+        assert all(sorted(r.slot for r in got if r.shard == s) == list(range(count[s])) for s in range(8))
+        size = df.agg(F.sum(F.length("text"))).first()[0]
+        assert size < moved(out) < most * size, name
+        again = sharding.external_shuffle(df.repartition(3), ["doc_id", "text"]).collect()
+        assert sorted(again) == sorted(got)
+
+
 def test_written_shards_hold_whole_records(spark, odd):
     path = scratch_path(spark, "shards")
     sharding.write_shards(odd, path, ["doc_id", "text"], shards=4)

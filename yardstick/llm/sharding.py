@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yardstick.llm.common import partitions, table
+from yardstick.llm.common import may_be_in, partitions, table
 from yardstick.session import scratch_path
 
 SEED = 20_240_607
@@ -45,17 +45,21 @@ def external_shuffle(records: DataFrame, key: list[str], shards: int = SHARDS, s
     shuffle partitions, so a bucket fits a task's memory at every size, of short records and of long ones. Rows alike in all key columns
     are interchangeable; where `key` names every column, each is spread with the number of its
     copy, so that even a record that makes up a third of the input scatters uniformly (with
-    further columns, give a key that tells the records apart). Nulls are ordinary values.
+    further columns, give a key that tells the records apart). A record that is alone moves once, a
+    repeated one is counted where it lies and moves twice. Nulls are ordinary values.
     Empty input gives an empty result. Columns shard and slot of the input are replaced.
     """
     keep = [c for c in records.columns if c not in ("shard", "slot")]
     n_buckets = buckets_needed(records, rows_per_bucket, bytes_per_bucket).scalar()
     copies = records.select(*keep, F.xxhash64(F.lit(seed), *key).alias("__h"))
     if set(keep) == set(key):  # whole rows are keys: count copies before the scatter, then lay them out again
-        copies = (copies.groupBy(*keep, "__h").agg(F.count(F.lit(1)).alias("__n"))
-                  .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).drop("__n"))
-        copies = copies.withColumn("__h", F.when(F.col("__copy") == 1, F.col("__h"))
-                                   .otherwise(F.xxhash64("__h", "__copy"))).drop("__copy")
+        again = copies.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__h")
+        may_repeat = may_be_in(again, "__h")  # only these rows move before the scatter
+        alike = (copies.where(may_repeat).groupBy(*keep, "__h").agg(F.count(F.lit(1)).alias("__n"))
+                 .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).drop("__n"))
+        alike = alike.withColumn("__h", F.when(F.col("__copy") == 1, F.col("__h"))
+                                 .otherwise(F.xxhash64("__h", "__copy"))).drop("__copy")
+        copies = copies.where(~may_repeat).unionByName(alike)
     scattered = copies.withColumn("__bucket", F.pmod("__h", n_buckets))
     per = scattered.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     # one row per bucket: rows / rows_per_bucket of them
