@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -357,6 +358,29 @@ def test_trie_query_keeps_pairs_and_triples_seen_once(spark, docs_of, monkeypatc
         assert got[i].score == pytest.approx(score, abs=4e-4 * n)
 
 
+def test_trie_counts_take_a_byte_and_stay_exact(spark, docs_of):
+    """Counts and masses on both sides of 255 come back exactly; a level's file has a byte a count, and two a context."""
+    texts = [" ".join(f"w{i}" for i in range(400)), *["b c"] * 254, *["d e"] * 255, *["f g"] * 256, "a " * 70_000]
+    model = lm.train(docs_of(texts), scratch_path(spark, "trie"), min_count=1)
+    h, at = lm.tokens(pa.array(texts))
+    one, two = collections.Counter(h.tolist()), collections.Counter()
+    number, count, word = model.words(h)
+    assert [int(c) for c in count[word]] == [one[x] for x in h.tolist()]
+    keys = model.pairs(number[word], at)
+    keys = np.unique(keys[keys != lm.NONE], return_counts=True)
+    places = model.levels[2].find(keys[0])
+    assert (places >= 0).all() and (model.levels[2].at("count", places) == keys[1]).all()
+    for k, n in zip(keys[0].tolist(), keys[1].tolist(), strict=True):
+        two[k // model.fan[2]] += n - lm.DISCOUNT
+    mass, _ = model.levels[2].context(np.array(sorted(two), np.uint64), model.fan[2])
+    assert mass.tolist() == [two[c] for c in sorted(two)]
+    for level in (2, 3):
+        for s, meta in enumerate(model.levels[level].metas):
+            held = {k: v.nbytes for k, v in lm._get(model.levels[level].paths[s]).items() if not k.startswith(("key.", "context.", "start.", "p"))}
+            large = sum(v for k, v in held.items() if k.endswith((".big", ".value")))
+            assert sum(held.values()) - large <= 3 * meta[1] and large <= 8 * 2 * 3 * 8
+
+
 def test_trie_odd_rows(spark, odd, clash, empty):
     model = lm.train(clash, scratch_path(spark, "trie"))
     assert lm.score(clash, model).count() == clash.count()

@@ -10,8 +10,8 @@ sorted keys, one file a shard in the shared folder, memory-mapped by the tasks t
 
 The query keeps every pair and triple that it counts; `train` alone can drop the rare ones (min_count).
 
-Levels 2 and 3 also hold, for every context, a monotone pointer to its first successor and the
-probability mass of its successors. Probabilities are interpolated absolute discounting:
+Levels 2 and 3 also hold, for every context, a monotone pointer to its first successor, the count of all
+successors and that of different ones: their probability mass. Counts take a byte each, those of 255 and more are listed apart. Probabilities are interpolated absolute discounting:
 p(w | c) = max(n(c w) - D, 0) / n(c) + lambda(c) p(w | shorter c), lambda(c) the mass that is left, down to
 the smoothed word probability; stored as 16-bit log codes. What a task gathers is bounded: it
 sends sorted runs of counted keys, a shard's runs meet in one task, and keys are spread
@@ -93,6 +93,24 @@ def _value(code: np.ndarray) -> np.ndarray:
     return np.power(10.0, code / -float(CODES))
 
 
+def _small(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
+    """Arrays of counts, a byte each; those of 255 and more are listed whole beside them."""
+    big = np.flatnonzero(values >= 255)
+    return {name: np.minimum(values, 255).astype(np.uint8), f"{name}.big": big, f"{name}.value": values[big].astype(np.int64)}
+
+
+class Small:
+    def __init__(self, arrays: dict[str, np.ndarray], name: str):
+        self.low, self.big, self.value = (arrays[k] for k in (name, f"{name}.big", f"{name}.value"))
+
+    def __getitem__(self, i: np.ndarray) -> np.ndarray:
+        """Values at places i."""
+        out = self.low[i].astype(np.int64)
+        over = np.flatnonzero(out == 255)
+        out[over] = self.value[np.searchsorted(self.big, i[over])]
+        return out
+
+
 # ---- files ---------------------------------------------------------------------------
 
 
@@ -142,7 +160,8 @@ class Level:
     def part(self, s: int, name: str):
         if (s, name) not in self.open:
             arrays = _get(self.paths[s])
-            self.open[s, name] = EliasFano(arrays, name) if f"{name}.head" in arrays else arrays[name]
+            kind = EliasFano if f"{name}.head" in arrays else Small if f"{name}.big" in arrays else None
+            self.open[s, name] = kind(arrays, name) if kind else arrays[name]
         return self.open[s, name]
 
     def _split(self, shard: np.ndarray):
@@ -183,7 +202,7 @@ class Level:
                 got = self.part(s, "context").find(contexts[rows[r]])
                 ok = got >= 0
                 hit = rows[r][ok]
-                mass[hit] += self.part(s, "mass")[got[ok]]
+                mass[hit] += self.part(s, "total")[got[ok]] - DISCOUNT * self.part(s, "kinds")[got[ok]]
                 begin = self.part(s, "start")[got[ok]].astype(np.int64) + self.base[s]
                 start[hit] = np.where(start[hit] < 0, begin, start[hit])
         return mass, start
@@ -347,10 +366,11 @@ def _kept(contexts_count, fan: int, min_count: int):
         context = keys // U(fan)
         starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         own = context[starts]
-        n = np.repeat(contexts_count(own), np.diff(np.append(starts, len(keys))))
-        mass = np.add.reduceat(counts - DISCOUNT, starts)
-        return keys, {"p": _code((counts - DISCOUNT) / n), "count": counts.astype(np.uint32), "mass": mass,
-                      **encode(own, "context"), **encode(starts.astype(U), "start")}, int(np.diff(np.append(starts, len(keys))).max())
+        kinds = np.diff(np.append(starts, len(keys)))
+        n = np.repeat(contexts_count(own), kinds)
+        return keys, {"p": _code((counts - DISCOUNT) / n), **_small(counts, "count"),
+                      **_small(np.add.reduceat(counts, starts), "total"), **_small(kinds, "kinds"),
+                      **encode(own, "context"), **encode(starts.astype(U), "start")}, int(kinds.max())
     return make
 
 
@@ -378,7 +398,7 @@ def train(texts: DataFrame, folder: str, min_count: int = MIN_COUNT) -> Model:
     p = partitions(texts.sparkSession)
 
     def words_made(keys, counts):
-        return keys, {"count": counts.astype(np.uint64)}, 0
+        return keys, _small(counts, "count"), 0
 
     by_hash = lambda keys: ((keys >> U(32)) * U(p) >> U(32)).astype(np.int64)
     metas, total, _ = _level(texts, folder, 1, lambda h, at: h, by_hash, words_made)
