@@ -25,7 +25,7 @@ from yardstick.llm.common import drop_stored, let, may_be_in, spread_join, store
 
 LONG_LINE = 12
 MIN_WORDS = 10
-FEW = 8
+FEW = 8  # a power of two
 WORDS = r"[^\x20\x09-\x0D]+"
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -62,7 +62,7 @@ def bare_pieces(text: Column) -> Column:
 
 def _says(piece: Column) -> Column:
     """Whether a piece holds a word: it begins with one, or something is left of it without white space."""
-    return (F.ascii(piece) > 32) | (F.trim(piece, F.lit(BLANK)) != "")
+    return (piece >= "!") | (F.trim(piece, F.lit(BLANK)) != "")  # by bytes: white space is below "!"
 
 
 def _places(p: Column) -> Column:
@@ -97,7 +97,7 @@ def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LO
     """Structs s, e (first and last line) of a text's chunks: from each line that begins one, the shortest run that is long enough;
     e is null where the text ends before that."""
     def begins(i: Column) -> Column:
-        own = (F.pmod(F.get(h, i), F.lit(FEW)) < F.get(w, i)) | (F.get(w, i) >= long_line)
+        own = (F.get(h, i).bitwiseAND(F.lit(FEW - 1).cast("long")) < F.get(w, i)) | (F.get(w, i) >= long_line)
         return own | F.coalesce(F.get(h, i - 1) == F.get(h, i), F.lit(False))
 
     def end(i: Column) -> Column:
@@ -191,11 +191,13 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
         "__rid", "__doc", F.explode(_texts_of(F.col("text"), F.col("runs"))).alias("r"))
     candidates = store(candidates.select("__rid", "__doc", "r.s", "r.e", "r.h", "r.bytes"), "candidates")
     place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("s")).cast("decimal(33,0)")
-    same = candidates.groupBy("h", "bytes").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
+    same = candidates.groupBy("h", "bytes").agg(F.min(place).alias("first"), F.min("__doc").alias("doc"), F.count(F.lit(1)).alias("n"))
     # rows find their bytes' first place again by two hashes, 128 bits, of the lines and of the bytes
-    first = store(same.where("first < last").select("h", F.xxhash64("bytes").alias("b"), "first", "n"), "firsts")
+    line = F.pmod("first", F.lit(1 << 31).cast("decimal(11,0)")).cast("int")
+    first = store(same.where("n > 1").select("h", F.xxhash64("bytes").alias("b"), "doc", line.alias("line"), "n"), "firsts")
+    later = (F.col("__doc") > F.col("doc")) | ((F.col("__doc") == F.col("doc")) & (F.col("s") > F.col("line")))
     light_runs = candidates.select("__rid", "__doc", "s", "e", "h", F.xxhash64("bytes").alias("b"))
-    gone = (spread_join(light_runs, first, ["h", "b"], "n", ["__rid", "s", "e"]).where(place > F.col("first"))
+    gone = (spread_join(light_runs, first, ["h", "b"], "n", ["__rid", "s", "e"]).where(later)
             .groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e")).alias("__gone")))
     gone = store(gone, "runs-gone")
     for t in (stored_lines, keys, runs, found, candidates, first):
