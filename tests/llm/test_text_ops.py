@@ -182,6 +182,23 @@ def test_line_dedup_against_brute_force(spark, docs_of):
     assert all(r.text == texts[r.doc_id] for r in left if r.doc_id < 40 and r.doc_id % 2 == 0)
 
 
+def test_chunks_are_cut_once_and_first_places_hold_for_any_id(spark, monkeypatch):
+    """Lines and chunks of a text are worked out and stored together; the first place is right for ids of any size and in texts that repeat themselves."""
+    passage = [f"line {i} of a passage has {i * 3} and a few more" for i in range(6)]
+    ids = [-(1 << 63), -5, -1, 0, 1, (1 << 31) - 1, 1 << 31, (1 << 32) - 1, 1 << 32, (1 << 32) + 1, 1 << 62, (1 << 63) - 2]
+    texts = ["\n".join([f"own words of text {i} " + "x" * i, *passage[i % 4:], f"end {i}", *passage[:3], *passage[:2 + i % 3]]) for i in range(len(ids))]
+    cuts, made, chunks, store = [], {}, linededup.chunks, linededup.store
+    monkeypatch.setattr(linededup, "chunks", lambda *a: cuts.append(1) or chunks(*a))
+    monkeypatch.setattr(linededup, "store", lambda df, name: made.update({name: df.columns}) or store(df, name))
+    for some in (slice(None), slice(0, 3), slice(3, 8), slice(8, None)):
+        docs = list(zip(ids, texts, strict=True))[some]
+        df = spark.createDataFrame(docs[::-1], "doc_id long, text string")
+        cuts.clear()
+        assert {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()} == _brute_dedup(docs)
+        assert len(cuts) == 1
+    assert "chunk-hashes" not in made and "w" not in made["line-hashes"]  # one table of lines and chunks, without word counts
+
+
 def _repeated_words(docs, words):
     """Per document, which words lie in a run of `words` or more that an earlier document holds, by brute force."""
     seen, out = set(), []

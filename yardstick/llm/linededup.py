@@ -83,9 +83,15 @@ def lines(text: Column) -> Column:
         odd = x.startswith(" ") | x.contains("  ")
         return F.when(odd, matched(x)).when(x == "", 0).otherwise(F.octet_length(x) - F.octet_length(solid) + 1)
 
+    def neat(x: Column, solid: Column) -> Column:
+        """The same in a text without such spaces."""
+        return F.when(x == "", 0).otherwise(F.octet_length(x) - F.octet_length(solid) + 1)
+
     def made(t: Column) -> Column:  # solid: the same pieces without their spaces, taken out of the whole text at once
         solid = F.split(F.replace(t, F.lit(" "), F.lit("")), "\n", -1)
-        return F.zip_with(_bare(t), solid, lambda x, y: line(x, spaced(x, y)))
+        odd = t.contains("  ") | t.contains("\n ") | t.startswith(" ")  # told once for all lines of a text
+        each = lambda words: F.zip_with(_bare(t), solid, lambda x, y: line(x, words(x, y)))
+        return F.when(odd, each(spaced)).otherwise(each(neat))
 
     t = F.coalesce(text, F.lit(""))
     other = functools.reduce(lambda a, c: a | t.contains(c), "\x0b\x0c\r", t.contains("\t"))  # white space but spaces and line ends
@@ -94,10 +100,12 @@ def lines(text: Column) -> Column:
 
 
 def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
-    """Structs s, e (first and last line) of a text's chunks: from each line that begins one, the shortest run that is long enough;
-    e is null where the text ends before that."""
+    """Struct s, e of arrays (first and last line) of a text's chunks: from each line that begins one, the shortest run that is long
+    enough; an entry of e is null where the text ends before that."""
     def begins(i: Column) -> Column:
-        own = (F.get(h, i).bitwiseAND(F.lit(FEW - 1).cast("long")) < F.get(w, i)) | (F.get(w, i) >= long_line)
+        own = F.get(h, i).bitwiseAND(F.lit(FEW - 1).cast("long")) < F.get(w, i)
+        if long_line < FEW:  # else a long line has words enough for any hash
+            own = own | (F.get(w, i) >= long_line)
         return own | F.coalesce(F.get(h, i - 1) == F.get(h, i), F.lit(False))
 
     def end(i: Column) -> Column:
@@ -109,7 +117,7 @@ def chunks(h: Column, w: Column, min_words: int = MIN_WORDS, long_line: int = LO
             F.slice(w, i + 1, F.lit(max(2, min_words))), F.lit(0).cast("long"), step, last))
 
     starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), begins)
-    return F.transform(starts, lambda i: F.struct(i.alias("s"), end(i).alias("e")))
+    return let(starts, lambda s: F.struct(s.alias("s"), F.transform(s, end).alias("e")))
 
 
 def _span_hash(h: Column, s: Column, e: Column) -> Column:
@@ -118,36 +126,56 @@ def _span_hash(h: Column, s: Column, e: Column) -> Column:
     return F.when(e == s, one).when(e == s + 1, two).otherwise(F.xxhash64(F.slice(h, s + 1, e - s + 1)))
 
 
-def grown(h: Column, w: Column, seeds: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
+def hashed(text: Column, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> Column:
+    """A text's lines and chunks, all that is stored of it: struct h (the lines' hashes), s, e (first and last line of each chunk)
+    and c (the chunk's hash); e and c are null where the text ends before the chunk."""
+    def stored(h: Column, c: Column) -> Column:
+        key = F.zip_with(c["s"], c["e"], lambda s, e: F.when(e.isNotNull(), _span_hash(h, s, e)))
+        return F.struct(h.alias("h"), c["s"].alias("s"), c["e"].alias("e"), key.alias("c"))
+
+    # a field of an array of structs is an array made anew wherever it is read: once a text here
+    return let(lines(text), lambda x: let(x["h"], lambda h: let(x["w"], lambda w: let(
+        chunks(h, w, min_words, long_line), lambda c: stored(h, c)))))
+
+
+def grown(h: Column, s: Column, e: Column, seeds: Column) -> Column:
     """What is removed if it repeats: structs s, e and h of the chunks numbered `seeds` (in order), and of those grown by lines.
 
     A chunk grows forwards up to where the next one ends, or to the line before the next seed, and backwards to where the
     one before it begins, or to the line after the seed before. So a stretch of equal lines that holds a seed is
     covered by runs that it holds as a whole.
     """
-    span = lambda a, b: F.struct(a.cast("int").alias("s"), b.cast("int").alias("e"))
-    none = lambda x: F.filter(F.array(span(x, x)), lambda _: F.lit(False))
+    span = lambda a, b: F.struct(a.alias("s"), b.alias("e"), _span_hash(h, a, b).alias("h"))
+
+    def runs(no: Column, k: Column) -> Column:
+        start, end = F.get(s, no), F.get(e, no)
+        until = F.when(F.get(seeds, k + 1) == no + 1, F.get(s, no + 1) - 1).otherwise(F.coalesce(F.get(e, no + 1) - 1, F.size(h) - 1))
+        since = F.when(F.get(seeds, k - 1) == no - 1, F.get(e, no - 1) + 1).otherwise(F.coalesce(F.get(s, no - 1), F.lit(0)))
+        ahead = F.transform(F.sequence(end, F.greatest(end, until)), lambda x: span(start, x))
+        behind = F.transform(F.sequence(since, start - 1), lambda x: span(x, end))
+        return F.when(since < start, F.concat(ahead, behind)).otherwise(ahead)
 
-    def runs(all_: Column, no: Column, k: Column) -> Column:
-        own, following, previous = F.get(all_, no), F.get(all_, no + 1), F.get(all_, no - 1)
-        end, start = F.size(w) - 1, F.lit(0)
-        until = F.when(F.get(seeds, k + 1) == no + 1, following["s"] - 1).otherwise(F.coalesce(following["e"] - 1, end))
-        since = F.when(F.get(seeds, k - 1) == no - 1, previous["e"] + 1).otherwise(F.coalesce(previous["s"], start))
-        ahead = F.transform(F.sequence(own["e"], F.greatest(own["e"], until)), lambda e: span(own["s"], e))
-        behind = F.when(since < own["s"], F.transform(F.sequence(F.least(since, own["s"] - 1), own["s"] - 1), lambda s: span(s, own["e"])))
-        return F.concat(ahead, F.coalesce(behind, none(own["s"])))
+    return F.flatten(F.transform(seeds, runs))
 
-    spans = let(chunks(h, w, min_words, long_line), lambda all_: F.flatten(F.transform(seeds, lambda no, k: runs(all_, no, k))))
-    return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _span_hash(h, x["s"], x["e"]).alias("h")))
+
+def _place(s: Column, e: Column) -> Column:
+    """A run's first and last line in one long, as structs cost several times that where millions are collected."""
+    return F.shiftleft(s.cast("long"), 32).bitwiseOR(e.cast("long"))
+
+
+def _ends(place: Column) -> tuple[Column, Column]:
+    return F.shiftright(place, 32).cast("int"), place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
 def _texts_of(text: Column, runs: Column) -> Column:
-    """The runs of a text, each with the bytes of its lines."""
-    def made(t: Column) -> Column:
-        return F.transform(runs, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["h"].alias("h"), F.array_join(
-            F.slice(t, x["s"] + 1, x["e"] - x["s"] + 1), "\n").alias("bytes")))
+    """The runs of a text, given as places, each with the bytes of its lines."""
+    def run(t: Column, at: Column) -> Column:
+        s, e = _ends(at)
+        one, two = F.get(t, s), F.concat(F.get(t, s), F.lit("\n"), F.get(t, e))
+        more = F.array_join(F.slice(t, s + 1, e - s + 1), "\n")
+        return F.struct(at.alias("at"), F.when(e == s, one).when(e == s + 1, two).otherwise(more).alias("bytes"))
 
-    return let(F.filter(bare_pieces(text), _says), made)
+    return let(F.filter(bare_pieces(text), _says), lambda t: F.transform(runs, lambda at: run(t, at)))
 
 
 def _repeated(keys: DataFrame, spread: list[str]) -> DataFrame:
@@ -156,6 +184,12 @@ def _repeated(keys: DataFrame, spread: list[str]) -> DataFrame:
     return spread_join(keys, twice, ["h"], "n", spread)
 
 
+def _collected(rows: DataFrame, by: list[str], of: Column, name: str) -> DataFrame:
+    """The distinct values `of` the rows of each key, as an array. The rows move as they are: few of a key lie together
+    before that, and arrays of few values cost more to make and move."""
+    return rows.select(*by, of.alias(name)).repartition(*by).groupBy(*by).agg(F.collect_set(name).alias(name))
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, counts: bool = True) -> DataFrame:
     """docs with text less its repeated runs of lines (see above), plus n_removed (long, pieces) if `counts`.
 
@@ -169,45 +203,45 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     rows = docs.select(*keep).withColumn("__rid", F.xxhash64("doc_id", "text")).withColumn(
         "__doc", F.coalesce("doc_id", last).cast("long"))
     light = rows.select("__rid", "__doc", "text").where("text is not null")
-    stored_lines = store(light.select("__rid", "__doc", lines(F.col("text")).alias("l")), "line-hashes")
-    own = stored_lines.where(F.size("l") > 0)
-
-    def bound(body) -> Column:  # a field of an array of structs is an array made anew wherever it is read: once a text here
-        return let(F.col("l.h"), lambda h: let(F.col("l.w"), lambda w: body(h, w)))
-
-    starts = bound(lambda h, w: F.filter(F.transform(chunks(h, w, min_words, long_line), lambda c, no: F.struct(
-        no.alias("no"), F.when(c["e"].isNotNull(), _span_hash(h, c["s"], c["e"])).alias("h"))), lambda c: c["h"].isNotNull()))
-    keys = store(own.select("__rid", F.explode(starts).alias("c")).select("__rid", "c.no", "c.h"), "chunk-hashes")
-    seeds = _repeated(keys, ["__rid", "no"])
-    seeds = seeds.groupBy("__rid").agg(F.sort_array(F.collect_set("no")).alias("seeds"))
-    runs = own.join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
-        bound(lambda h, w: grown(h, w, F.col("seeds"), min_words, long_line))).alias("r")).select("__rid", "__doc", "r.s", "r.e", "r.h")
+    own = store(light.select("__rid", "__doc", hashed(F.col("text"), min_words, long_line).alias("l")).select(
+        "__rid", "__doc", "l.*"), "line-hashes")
+    keys = own.select("__rid", F.posexplode("c").alias("no", "h")).where("h is not null")
+    seeds = _collected(_repeated(keys, ["__rid", "no"]), ["__rid"], F.col("no"), "seeds").withColumn("seeds", F.sort_array("seeds"))
+    runs = own.select("__rid", "__doc", "h", "s", "e").join(seeds.hint("merge"), "__rid").select("__rid", "__doc", F.explode(
+        grown(F.col("h"), F.col("s"), F.col("e"), F.col("seeds"))).alias("r")).select("__rid", "__doc", _place(F.col("r.s"), F.col("r.e")).alias("at"), "r.h")
     runs = store(runs, "runs")
-    found = _repeated(runs, ["__rid", "s", "e"]).groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e", "h")).alias("runs"))
+    found = _collected(_repeated(runs, ["__rid", "at"]), ["__rid", "__doc"], F.col("at"), "runs")
     # byte comparison of the runs whose hash repeats; neither table that joins the texts has a size bound, so neither is broadcast
     found = store(found, "runs-found")
     light = light.where(may_be_in(found.select("__rid").distinct(), "__rid"))  # only these texts move
     candidates = light.join(found.hint("merge"), ["__rid", "__doc"]).select(
         "__rid", "__doc", F.explode(_texts_of(F.col("text"), F.col("runs"))).alias("r"))
-    candidates = store(candidates.select("__rid", "__doc", "r.s", "r.e", "r.h", "r.bytes"), "candidates")
-    place = (F.col("__doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("s")).cast("decimal(33,0)")
-    same = candidates.groupBy("h", "bytes").agg(F.min(place).alias("first"), F.min("__doc").alias("doc"), F.count(F.lit(1)).alias("n"))
-    # rows find their bytes' first place again by two hashes, 128 bits, of the lines and of the bytes
-    line = F.pmod("first", F.lit(1 << 31).cast("decimal(11,0)")).cast("int")
-    first = store(same.where("n > 1").select("h", F.xxhash64("bytes").alias("b"), "doc", line.alias("line"), "n"), "firsts")
-    later = (F.col("__doc") > F.col("doc")) | ((F.col("__doc") == F.col("doc")) & (F.col("s") > F.col("line")))
-    light_runs = candidates.select("__rid", "__doc", "s", "e", "h", F.xxhash64("bytes").alias("b"))
-    gone = (spread_join(light_runs, first, ["h", "b"], "n", ["__rid", "s", "e"]).where(later)
-            .groupBy("__rid", "__doc").agg(F.collect_set(F.struct("s", "e")).alias("__gone")))
+    candidates = store(candidates.select("__rid", "__doc", "r.at", F.xxhash64(F.lit(1), "r.bytes").alias("h"),
+                                         F.xxhash64("r.bytes").alias("b"), "r.bytes"), "candidates")
+    # the first line in the smallest doc_id: both in a long where the doc_id has 32 bits, in a decimal only where not
+    line, bits = _ends(F.col("at"))[0].cast("long"), F.lit(1 << 31)
+    small = F.col("__doc").between(0, (1 << 32) - 1)
+    near = F.when(small, F.shiftleft("__doc", 31).bitwiseOR(line))
+    far = F.when(~small, (F.col("__doc").cast("decimal(20,0)") * bits.cast("decimal(11,0)") + line).cast("decimal(33,0)"))
+    same = candidates.groupBy("h", "b", "bytes").agg(F.min(near).alias("near"), F.min(far).alias("far"), F.min("__doc").alias("doc"),
+                                                     F.count(F.lit(1)).alias("n")).where("n > 1")
+    line = F.when(F.shiftright("near", 31) == F.col("doc"), F.col("near").bitwiseAND(bits - 1)).otherwise(F.pmod("far", bits.cast("decimal(11,0)")))
+    # rows find their bytes' first place again by the two hashes, 128 bits
+    first = store(same.select("h", "b", "doc", line.cast("int").alias("line"), "n"), "firsts")
+    later = (F.col("__doc") > F.col("doc")) | ((F.col("__doc") == F.col("doc")) & (_ends(F.col("at"))[0] > F.col("line")))
+    light_runs = candidates.select("__rid", "__doc", "at", "h", "b")
+    gone = spread_join(light_runs, first, ["h", "b"], "n", ["__rid", "at"]).where(later)
+    gone = _collected(gone, ["__rid", "__doc"], F.col("at"), "__gone")
     gone = store(gone, "runs-gone")
-    for t in (stored_lines, keys, runs, found, candidates, first):
+    for t in (own, runs, found, candidates, first):
         drop_stored(t)
     hit = may_be_in(gone.select("__rid").distinct(), "__rid")
     untouched = rows.where(~hit).withColumn("__gone", F.lit(None).cast(gone.schema["__gone"].dataType))
     out = rows.where(hit).join(gone.hint("merge"), ["__rid", "__doc"], "left").unionByName(untouched)
 
     def cut(p: Column, at: Column) -> Column:
-        inside = F.flatten(F.transform("__gone", lambda g: F.sequence(F.get(at, g["s"]), F.coalesce(F.get(at, g["e"] + 1), F.size(p)) - 1)))
+        covered = lambda s, e: F.sequence(F.get(at, s), F.coalesce(F.get(at, e + 1), F.size(p)) - 1)
+        inside = F.flatten(F.transform("__gone", lambda g: covered(*_ends(g))))
         return let(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), inside), lambda left: F.struct(
             F.array_join(F.transform(left, lambda i: F.get(p, i)), "").alias("text"),
             *([(F.size(p) - F.size(left)).alias("n")] if counts else [])))
