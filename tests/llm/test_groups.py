@@ -8,8 +8,8 @@ import pytest
 from tests.llm import brute
 from tests.llm.conftest import SF
 from yardstick.llm import neardup, vectors
-from yardstick.llm.common import table
-from yardstick.llm.components import components
+from yardstick.llm.common import store, table
+from yardstick.llm.components import components, extended
 
 
 @pytest.mark.parametrize("shape", ["random", "path", "star", "empty"])
@@ -30,6 +30,29 @@ def test_components(spark, shape):
     assert got == brute.components(ends, [p for p in links if p[0] != p[1]])
 
 
+@pytest.mark.parametrize("more", [60, 3, 0])
+def test_components_extended_by_more_links(spark, more):
+    rng = random.Random(more)
+    old, new = ([(rng.randrange(120), rng.randrange(120)) for _ in range(n)] for n in (50, more))
+    labels, added = (store(spark.createDataFrame(x, "a long, b long"), "t") for x in (old, [*new, (200, 200), (None, 1)]))
+    got = extended(store(components(labels), "t"), added).collect()
+    ends = {x for a, b in old + new if a != b for x in (a, b)}
+    assert len(got) == len(ends)
+    assert {r.id: r.component for r in got} == brute.components(ends, [p for p in old + new if p[0] != p[1]])
+
+
+def test_old_links_are_not_gone_through_again(spark, docs_of):
+    """Links that a later trial adds none to: one loop over them, so few queries for the driver to plan."""
+    docs = store(docs_of(["a b c d e f g", "a b c d e f g", "h i j k l m n", "A b c d e f g", ""]), "t")
+    sc = spark.sparkContext
+    sc.setJobGroup("near-duplicates", "")
+    try:
+        assert neardup.near_duplicates(docs, 5).count() == 5
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("near-duplicates")) <= 60
+
+
 def _families(rng, n):
     """Texts in families: copies with some words changed, exact copies, and strangers."""
     texts = []

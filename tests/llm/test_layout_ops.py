@@ -117,6 +117,13 @@ def test_packing_odd_rows(spark, odd, clash):
     assert sum(r.doc_id is None for r in pieces) >= 2  # rows without an id are packed as well
 
 
+def test_packing_numbers_the_pieces_once(spark):
+    """The plan of the last step holds what follows the numbering, not the numbering in each of its branches."""
+    docs = store(table(spark, SF, "documents"), "t")
+    plan = packing.pack_stored(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 20
+
+
 def test_full_sequences_hold_exactly_k_pieces(spark):
     docs = table(spark, SF, "documents")
     stored = store(packing.pieces(docs, packing.tokenizer_path(), keep_ids=True), "t")

@@ -46,3 +46,22 @@ def components(links: DataFrame) -> DataFrame:
         if old_labels is not None:
             drop_stored(old_labels)
             drop_stored(parents)
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The stored `labels` (from `components`) after more links (a, b; stored) are added to those that made them.
+
+    The added links are taken between the components so far, and only the components that they join are worked on: the
+    links that made `labels` are not gone through again. Without such links, `labels` itself is returned.
+    """
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"__{end}"))
+    between = store(links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                    .select(F.coalesce("__a", "a").alias("a"), F.coalesce("__b", "b").alias("b")).where("a <> b"), "cc-between")
+    if between.isEmpty():
+        drop_stored(between)
+        return labels
+    met = components(between)
+    drop_stored(between)
+    old = (labels.join(met.select(F.col("id").alias("component"), F.col("component").alias("__to")), "component", "left")
+           .select("id", F.coalesce("__to", "component").alias("component")))
+    return store(old.unionByName(met.join(labels.select("id"), "id", "left_anti")), "cc-labels")

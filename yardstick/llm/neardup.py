@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yardstick.llm.common import drop_stored, salted_join, store, table
-from yardstick.llm.components import components
+from yardstick.llm.components import components, extended
 from yardstick.llm.textvec import by_bytes, shingles, words
 
 HALF, M = 3, 12
@@ -225,14 +225,12 @@ def _judged(docs: DataFrame, n_words: int, percent: int, half: int = HALF, m: in
     texts = docs.select(row_key().alias("rid"), F.col("text").cast("string")).join(involved, "rid").select("id", "text")
     sets = store(shingle_sets(texts, n_words).dropDuplicates(["id"]), "sets")
 
-    links = store(confirmed(trials.where("turn = 1").select("a", "b"), sets, percent), "links")
-    labels = components(links)
+    labels = components(store(confirmed(trials.where("turn = 1").select("a", "b"), sets, percent), "links"))
     la = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     lb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     rest = (trials.where("turn > 1").select("a", "b").join(la, "a", "left").join(lb, "b", "left")
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    links = links.unionByName(store(confirmed(store(rest, "rest"), sets, percent), "links"))
-    labels = components(links)
+    labels = extended(labels, store(confirmed(store(rest, "rest"), sets, percent), "links"))
     # keys whose members are still in several components
     marked = (buckets.select("key", "rep", "n_shingles").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
@@ -240,8 +238,7 @@ def _judged(docs: DataFrame, n_words: int, percent: int, half: int = HALF, m: in
     open_ = marked.join(mixed, "key", "left_semi").groupBy("rep").agg(
         F.first("component").alias("component"), F.first("n_shingles").alias("n_shingles"))
     small = members.where("small is not null").groupBy("rep").agg(F.first("small").alias("small"))
-    links = links.unionByName(across(store(open_.join(small, "rep"), "open"), sets, percent, m))
-    labels = components(links)
+    labels = extended(labels, across(store(open_.join(small, "rep"), "open"), sets, percent, m))
     # names of the components: the smallest doc_id of each, then of each class, then of each row
     classes = store(named.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
                     .select("rep", "class_doc", "class_rid", F.coalesce("component", "rep").alias("component")), "class-components")

@@ -165,8 +165,9 @@ def pack(piece_rows: DataFrame, length: int = LENGTH) -> DataFrame:
                .withColumn("__full", F.expr("__n div k"))
                .select("k", "__full", F.coalesce(F.sum("__full").over(
                    Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first")))
-    ranked = numbered(piece_rows, "k", ["position"] * placed + ["doc_id", "start", "ids_crc32"], "__i",
-                      bucket=run if placed else None).join(F.broadcast(classes), "k")
+    classes = store(classes, "piece-classes")  # read four times below, as the numbered pieces are three times
+    ranked = store(numbered(piece_rows, "k", ["position"] * placed + ["doc_id", "start", "ids_crc32"], "__i",
+                            bucket=run if placed else None).join(F.broadcast(classes), "k"), "numbered-pieces")
     whole = F.col("__i") < F.col("__full") * F.col("k")
     inside = Window.partitionBy("sequence_id").orderBy("__i").rowsBetween(Window.unboundedPreceding, -1)
     full = (ranked.where(whole).withColumn("sequence_id", F.expr("__first + __i div k"))
